@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-_MODULES = ("url_filter", "chat_format", "exact_dedup", "bpe", "token_store")
+_MODULES = ("url_filter", "chat_format", "exact_dedup", "bpe", "token_store", "language_id", "media")
 QUERIES: dict = {}
 ORACLES: dict = {}
 for _name in _MODULES:
