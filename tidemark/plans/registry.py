@@ -2,14 +2,22 @@
 
 from __future__ import annotations
 
+from importlib import import_module
+
+from . import demo
+
+_MODULES = ("projections",)
+for _name in _MODULES:
+    import_module(f"{__package__}.{_name}")
+
 
 def queries() -> dict:
-    return {}
+    return dict(demo.QUERIES)
 
 
-def oracle_sql() -> dict:
-    return {}
+def oracle_sql() -> dict[str, str]:
+    return dict(demo.ORACLES)
 
 
 def flagship(spark, sf_dir):
-    raise NotImplementedError
+    return demo.participations(spark, sf_dir)
