@@ -8,6 +8,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def half_up(x: Column, digits: int = 4) -> Column:
+    """x rounded half up by plain arithmetic, which other engines repeat to the last bit."""
+    return F.floor(x * 10**digits + 0.5) / 10**digits
+
+
 def record(finish: str = "finish", returns: str = "price", stake: str = "measure", day: str = "day") -> list[Column]:
     """Aggregates of one group: n, wins, second and third places, rates in percent, return on stake, first and last day."""
     place = lambda k: F.count_if(F.col(finish) <= k)
@@ -17,7 +22,7 @@ def record(finish: str = "finish", returns: str = "price", stake: str = "measure
     return [
         F.count("*").alias("n"), F.count_if(F.col(finish) == 1).alias("w1"), F.count_if(F.col(finish) == 2).alias("w2"),
         F.count_if(F.col(finish) == 3).alias("w3"), pct(place(1)).alias("win_pct"), pct(place(2)).alias("top2_pct"),
-        pct(place(3)).alias("top3_pct"), F.round(F.try_divide(paid, F.sum(stake)), 4).alias("roi"),
+        pct(place(3)).alias("top3_pct"), half_up(F.try_divide(paid, F.sum(stake))).alias("roi"),
         F.min(day).alias("since"), F.max(day).alias("until"),
     ]
 
