@@ -11,7 +11,7 @@ from .projections import payouts
 
 REC = """count(*) AS n, count(*) FILTER (WHERE finish = 1) AS w1, count(*) FILTER (WHERE finish = 2) AS w2, count(*) FILTER (WHERE finish = 3) AS w3,
   round(100 * count(*) FILTER (WHERE finish <= 1) / count(*), 4) AS win_pct, round(100 * count(*) FILTER (WHERE finish <= 2) / count(*), 4) AS top2_pct,
-  round(100 * count(*) FILTER (WHERE finish <= 3) / count(*), 4) AS top3_pct, floor(sum(CASE WHEN finish = 1 THEN round(price * 100)::BIGINT ELSE 0 END) / 100.0::DOUBLE / sum(measure) * 10000 + 0.5) / 10000 AS roi,
+  round(100 * count(*) FILTER (WHERE finish <= 3) / count(*), 4) AS top3_pct, floor(sum(CASE WHEN finish = 1 THEN round(price * 100)::BIGINT ELSE 0 END) / 100.0::DOUBLE / sum(measure) * 10000 + 0.500001) / 10000 AS roi,
   min(day) AS since, max(day) AS until"""
 PERIODS = [("all", "1900-01-01", "2999-12-31"), ("1996", "1996-01-01", "1996-12-31"), ("1997", "1997-01-01", "1997-12-31"), ("last365", "1997-01-01", "1998-01-01")]
 PERIOD_SQL = "pd(period, a, b) AS (VALUES " + ", ".join(f"('{n}', DATE '{a}', DATE '{b}')" for n, a, b in PERIODS) + ")"

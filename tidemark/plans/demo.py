@@ -6,6 +6,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 EPOCH = "2000-01-01"
+
+
+def hu(expression: str, digits: int = 4) -> str:
+    """SQL of operators.stats.half_up."""
+    return f"floor(({expression}) * 1e{digits} + 0.500001) / 1e{digits}"
+
+
 #: name -> callable(spark, sf_dir); name -> SQL.
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}

@@ -6,7 +6,7 @@ from importlib import import_module
 
 from . import demo
 
-_MODULES = ("projections", "joins", "aggregates")
+_MODULES = ("projections", "joins", "aggregates", "windows")
 for _name in _MODULES:
     import_module(f"{__package__}.{_name}")
 
