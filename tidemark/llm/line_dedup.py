@@ -1,10 +1,12 @@
 """Line dedup by distinct-site spread: lines that stand on many sites are boilerplate and are taken out.
 
-1. Each line (trimmed of spaces, blank lines aside) gives a 96-bit hash; HyperLogLog sketches of the sites are
-   aggregated for each hash, partly before the shuffle, so that a line of millions of rows is a sketch by then.
+1. Each line (trimmed of spaces, blank lines aside) gives a 96-bit hash. Of the lines with enough rows to reach the
+   threshold, HyperLogLog sketches of the sites are aggregated for each hash, partly before the shuffle, so that a
+   line of millions of rows is a sketch by then.
 2. A line whose estimate lies clearly beyond the threshold is boilerplate, one clearly below is not. For the lines
    near it, and only for them, sites are counted exactly.
-3. Boilerplate hashes meet the rows' lines; a document loses all its boilerplate lines.
+3. A document loses all its boilerplate lines. Up to BROADCAST_LINES of them, counted first, go to every task as two
+   arrays, and texts don't move; beyond that lines meet them in a shuffled join.
 
 Defined results: a null text is the empty one; a null site counts for no line; blank lines stay and are never
 boilerplate; a document that repeats a line loses each of them; rows that repeat an id are handled each by itself; an
@@ -13,16 +15,23 @@ empty table gives no rows; other columns are not read.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ._common import materialise, small, table
+from ._segments import slices
 
 #: Sites from which on a line is boilerplate.
 MIN_SITES = 12
 #: Of a sketch: 2^LG_K registers, about 1.04 / sqrt(2^LG_K) relative error; lines within BAND errors are recounted.
 LG_K = 9
 BAND = 6
+#: Boilerplate lines at most that are broadcast, 12 bytes each.
+BROADCAST_LINES = 1_000_000
 
 
 def _lines(text: Column) -> Column:
@@ -38,9 +47,12 @@ def boilerplate(docs: DataFrame, *, site_col: str, text_col: str, min_sites: int
     """h struct<a long, b int>, sites long: hashes of the lines that stand on at least min_sites sites."""
     line = F.explode(F.array_distinct(F.transform(F.filter(_lines(F.col(text_col)), lambda x: F.btrim(x) != ""), _hash)))
     rows = docs.select(F.col(site_col).alias("site"), line.alias("h")).filter("site IS NOT NULL")
-    spread = rows.groupBy("h").agg(F.count("*").alias("n"), F.hll_sketch_estimate(F.hll_sketch_agg("site", LG_K)).alias("est"))
+    # A line with fewer rows than min_sites has fewer sites: just the others get a sketch, whose buffers are large.
+    often = rows.groupBy("h").agg(F.count("*").alias("n")).filter(F.col("n") >= min_sites).select("h")
+    rows = rows.join(small(materialise(often, "frequent-lines")), "h", "left_semi")
+    spread = rows.groupBy("h").agg(F.hll_sketch_estimate(F.hll_sketch_agg("site", LG_K)).alias("est"))
     error = BAND * 1.04 / 2 ** (LG_K / 2)
-    spread = materialise(spread.filter((F.col("n") >= min_sites) & (F.col("est") >= min_sites * (1 - error))), "line-spread")
+    spread = materialise(spread.filter(F.col("est") >= min_sites * (1 - error)), "line-spread")
     near = F.col("est") <= min_sites * (1 + error)
     recount = rows.join(small(spread.filter(near).select("h")), "h", "left_semi")
     exact = recount.groupBy("h").agg(F.count_distinct("site").alias("sites")).filter(F.col("sites") >= min_sites)
@@ -48,19 +60,64 @@ def boilerplate(docs: DataFrame, *, site_col: str, text_col: str, min_sites: int
 
 
 def remove_boilerplate(
-    docs: DataFrame, *, id_col: str = "doc_id", site_col: str = "source", text_col: str = "text", min_sites: int = MIN_SITES
-) -> DataFrame:
+    docs: DataFrame, *, id_col: str = "doc_id", site_col: str = "source", text_col: str = "text",
+    min_sites: int = MIN_SITES, broadcast_lines: int = BROADCAST_LINES,
+) -> DataFrame:
     """id, text string without boilerplate lines, n_lines long, n_removed long."""
     found = boilerplate(docs, site_col=site_col, text_col=text_col, min_sites=min_sites)
-    line = F.explode(F.array_distinct(F.transform(_lines(F.col(text_col)), _hash)))
-    hits = docs.select(F.col(id_col).alias("hit_id"), line.alias("h")).join(small(found.select("h")), "h", "left_semi")
+    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text"))
+    if found.count() <= broadcast_lines:
+        return _remove_in_place(rows, found).withColumnRenamed("id", id_col)
+    return _remove_by_join(rows, found).withColumnRenamed("id", id_col)
+
+
+def _remove_in_place(rows: DataFrame, found: DataFrame) -> DataFrame:
+    hashes = sorted(tuple(r["h"]) for r in found.select("h").collect())
+    held = rows.sparkSession.sparkContext.broadcast(
+        (np.array([h[0] for h in hashes], np.int64), np.array([h[1] for h in hashes], np.int32))
+    )
+    kind = rows.schema["id"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first, second = held.value
+        for batch in batches:
+            for x, y in slices(batch.column("text")):
+                part = batch.slice(x, y - x)
+                a, b = (part.column(c).flatten().to_numpy() for c in ("a", "b"))
+                offsets = part.column("a").offsets.to_numpy() - part.column("a").offsets[0].as_py()
+                gone = np.zeros(len(a), bool)
+                at = np.searchsorted(first, a)
+                while (live := np.flatnonzero((at < len(first)) & ~gone)).size:  # hashes may share their first part
+                    live = live[first[at[live]] == a[live]]
+                    if not live.size:
+                        break
+                    gone[live] = second[at[live]] == b[live]
+                    at = np.where(np.isin(np.arange(len(at)), live), at + 1, len(first))
+                removed = np.diff(np.concatenate([[0], np.cumsum(gone)])[offsets])
+                texts = part.column("text").to_pylist()
+                for k in np.flatnonzero(removed).tolist():
+                    bad = gone[offsets[k] : offsets[k + 1]].tolist()
+                    texts[k] = "\n".join(line for line, drop in zip(texts[k].split("\n"), bad, strict=True) if not drop)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("id"), pa.array(texts, pa.string()), pa.array(np.diff(offsets).astype(np.int64)), pa.array(removed.astype(np.int64))],
+                    ["id", "text", "n_lines", "n_removed"],
+                )
+
+    lines = F.transform(_lines(F.col("text")), _hash)
+    hashed = rows.select("id", "text", lines.alias("h")).select("id", "text", F.col("h.a").alias("a"), F.col("h.b").alias("b"))
+    return hashed.mapInArrow(run, f"id {kind}, text string, n_lines long, n_removed long")
+
+
+def _remove_by_join(rows: DataFrame, found: DataFrame) -> DataFrame:
+    line = F.explode(F.array_distinct(F.transform(_lines(F.col("text")), _hash)))
+    hits = rows.select(F.col("id").alias("hit_id"), line.alias("h")).join(found.select("h"), "h", "left_semi")
     bad = materialise(hits.groupBy("hit_id").agg(F.collect_set("h").alias("bad")), "boilerplate-of-rows")
-    rows = docs.select(F.col(id_col).alias("id"), _lines(F.col(text_col)).alias("lines"))
+    rows = rows.select("id", _lines(F.col("text")).alias("lines"))
     rows = rows.join(bad, F.col("id").eqNullSafe(F.col("hit_id")), "left")
     good = F.filter("lines", lambda x: (F.btrim(x) == "") | ~F.array_contains(F.col("bad"), _hash(x)))
     kept = F.when(F.col("bad").isNull(), F.col("lines")).otherwise(good)
     return rows.withColumn("kept", kept).select(
-        F.col("id").alias(id_col),
+        "id",
         F.array_join("kept", "\n").alias("text"),
         F.size("lines").cast("long").alias("n_lines"),
         (F.size("lines") - F.size("kept")).cast("long").alias("n_removed"),
