@@ -24,19 +24,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ._common import table
-from ._segments import SegmentCache, slices
+from ._segments import SegmentCache, ragged, slices
 
 VOCABULARY = "byte_bpe_50k.json"
-#: Above any leaf: no merge.
-_NONE = np.int64(1) << 60
+#: Above any leaf and rank: no merge.
+_NONE = np.int32(2**31 - 1)
 #: Pre-tokens of up to so many bytes run side by side.
 _WIDEST = 128
-#: Rows of a matrix at most.
-_ROWS = 20_000
+#: Symbols of the pre-tokens that run side by side, padding included, at most.
+_CELLS = 1 << 18
+#: The hash table of pairs has 2^_SLOT_BITS slots; keys are spread by an odd multiplier.
+_SLOT_BITS = 18
+_SPREAD = np.int64(-7046029254386353131)
 #: The split of byte-level BPE, as the vocabulary's own documentation gives it (fixed value).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Blocks in which every Unicode version classes characters alike; others are split by the library itself.
-_COMMON = re.compile("[\0-՗‐-‧‰-⁞、-〾ぁ-ゖァ-ヺ一-龥가-힣]*")
+COMMON = re.compile("[\0-՗‐-‧‰-⁞、-〾ぁ-ゖァ-ヺ一-龥가-힣]*")
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -106,28 +109,39 @@ class Bpe:
         self.path, vocab = path, spec["model"]["vocab"]
         pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in spec["model"]["merges"]]
         symbols = byte_symbols()
-        self.byte_id = np.zeros(256, np.int64)
+        self.byte_id = np.zeros(256, np.int32)
         for char, b in symbols.items():
             self.byte_id[b] = vocab[char]
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         size = 1 + max([*vocab.values(), *self.special.values()])
-        self.bytes_of: list[bytes] = [b""] * size
+        bytes_of = [b""] * size
         for token, i in vocab.items():
-            self.bytes_of[i] = bytes(symbols[c] for c in token)
+            bytes_of[i] = bytes(symbols[c] for c in token)
         for token, i in self.special.items():
-            self.bytes_of[i] = token.encode()
+            bytes_of[i] = token.encode()
+        self.all_bytes = np.frombuffer(b"".join(bytes_of), np.uint8)
+        self.byte_sizes = np.array([len(b) for b in bytes_of], np.int64)
+        self.byte_starts = np.cumsum(self.byte_sizes) - self.byte_sizes
         self.rank_of = {(vocab[a], vocab[b]): r for r, (a, b) in reversed(list(enumerate(pairs)))}
-        self.merged = np.array([vocab[a + b] for a, b in pairs], np.int64)
-        keys = np.array([a << 32 | b for a, b in self.rank_of], np.int64)
-        order = np.argsort(keys)
-        self.keys, self.ranks = keys[order], np.array(list(self.rank_of.values()), np.int64)[order]
+        self.merged = np.array([vocab[a + b] for a, b in pairs], np.int32)
+        # Pairs to ranks: an open hash table, and a plain table for pairs of single bytes.
+        self.slot_keys, self.slot_ranks = np.full(1 << _SLOT_BITS, -1, np.int64), np.zeros(1 << _SLOT_BITS, np.int32)
+        self.byte_pair_rank = np.full((256, 256), _NONE, np.int32)
+        byte_of = {int(i): b for b, i in enumerate(self.byte_id)}
+        for (a, b), rank in self.rank_of.items():
+            key = a << 32 | b
+            at = (key * int(_SPREAD) & 2**64 - 1) >> (64 - _SLOT_BITS)
+            while self.slot_keys[at] >= 0:
+                at = at + 1 & (1 << _SLOT_BITS) - 1
+            self.slot_keys[at], self.slot_ranks[at] = key, rank
+            if a in byte_of and b in byte_of:
+                self.byte_pair_rank[byte_of[a], byte_of[b]] = rank
         self.split = regex.compile(PATTERN)
         self._library = None
-        self.pretokens: dict[str, np.ndarray] = {}
         self.cache = SegmentCache(self.encode_segments, self.special)
 
     def pretokenize(self, text: str) -> list[str]:
-        if _COMMON.fullmatch(text):
+        if COMMON.fullmatch(text):
             return self.split.findall(text)
         if self._library is None:
             from tokenizers import Tokenizer
@@ -135,84 +149,125 @@ class Bpe:
             self._library = Tokenizer.from_file(self.path).pre_tokenizer
         return [text[a:b] for _, (a, b) in self._library.pre_tokenize_str(text)]
 
-    def encode_segments(self, segments: list[str]) -> list[np.ndarray]:
-        known = self.pretokens
-        split = [[s] if s[1:].isalpha() and s[0] == " " and _COMMON.fullmatch(s) else self.pretokenize(s) for s in segments]
-        new = sorted({p for parts in split for p in parts if p not in known})
-        if len(known) + len(new) > self.cache.limit:
-            known.clear()
-            new = sorted({p for parts in split for p in parts})
-        known.update(zip(new, self.merge([p.encode() for p in new]), strict=True))
-        empty = np.zeros(0, np.int64)
-        return [known[p[0]] if len(p) == 1 else np.concatenate([known[x] for x in p]) if p else empty for p in split]
-
-    def merge(self, words: list[bytes]) -> list[np.ndarray]:
-        """The ids of each pre-token."""
-        out: list[np.ndarray] = [np.zeros(0, np.int64)] * len(words)
+    def encode_segments(self, segments: list[str]) -> list[bytes]:
+        split = [[s] if s[1:].isalpha() and s[0] == " " and COMMON.fullmatch(s) else self.pretokenize(s) for s in segments]
+        distinct = list({p for parts in split for p in parts})
+        ids = dict(zip(distinct, self.merge([p.encode() for p in distinct]), strict=True))
+        return [b"".join([ids[p] for p in parts]) for parts in split]
+
+    def merge(self, words: list[bytes]) -> list[bytes]:
+        """The ids of each pre-token, as little-endian 32-bit integers."""
+        out = [b""] * len(words)
         by_width: dict[int, list[int]] = {}
         for i, w in enumerate(words):
-            if len(w) == 1:
-                out[i] = self.byte_id[w[0] : w[0] + 1]
-            elif len(w) > _WIDEST:
-                out[i] = np.array(PairTree(self, self.byte_id[np.frombuffer(w, np.uint8)].tolist()).run(), np.int64)
+            if len(w) > _WIDEST:
+                ids = PairTree(self, self.byte_id[np.frombuffer(w, np.uint8)].tolist()).run()
+                out[i] = np.array(ids, "<i4").tobytes()
             elif w:
                 by_width.setdefault(1 << max(2, (len(w) - 1).bit_length()), []).append(i)
         for width, which in by_width.items():
-            for at in range(0, len(which), _ROWS):
-                rows = which[at : at + _ROWS]
+            step = _CELLS // width
+            for at in range(0, len(which), step):
+                rows = which[at : at + step]
                 for i, ids in zip(rows, self._merge_rows([words[i] for i in rows], width), strict=True):
                     out[i] = ids
         return out
 
-    def _leaves(self, left: np.ndarray, right: np.ndarray, at: np.ndarray, width: int) -> np.ndarray:
-        """(rank, position) of pairs as one number; right < 0: there is no next symbol."""
-        key = left << 32 | right
-        found = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-        return np.where((right >= 0) & (self.keys[found] == key), self.ranks[found] * width + at, _NONE)
+    def _ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The merge rank of each pair of ids, _NONE where there is none (or right < 0)."""
+        key = np.where(right < 0, -2, left.astype(np.int64) << 32 | right)  # -1 marks an empty slot
+        at = key * _SPREAD >> (64 - _SLOT_BITS) & (1 << _SLOT_BITS) - 1
+        out = np.full(len(key), _NONE, np.int32)
+        todo = np.arange(len(key))
+        while len(todo):
+            held = self.slot_keys[at[todo]]
+            hit = held == key[todo]
+            out[todo[hit]] = self.slot_ranks[at[todo[hit]]]
+            todo = todo[~hit & (held >= 0)]
+            at[todo] = at[todo] + 1 & (1 << _SLOT_BITS) - 1
+        return out
+
+    def _merge_rows(self, words: list[bytes], width: int) -> list[bytes]:
+        """The ids of words of up to width bytes, as little-endian 32-bit integers.
 
-    def _merge_rows(self, words: list[bytes], width: int) -> list[np.ndarray]:
+        tree has 2 * width nodes for each word in heap order, root at 1, leaf of position i at width + i; a node
+        holds rank * width + position. All arrays are flat; base is the place of a word's first node or symbol.
+        """
         n = len(words)
+        data = np.frombuffer(b"".join(words), np.uint8)
         lengths = np.fromiter(map(len, words), np.int64, n)
+        first = np.cumsum(lengths) - lengths
         row = np.repeat(np.arange(n), lengths)
-        col = np.arange(len(row)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-        ids = np.full((n, width + 1), -1, np.int64)
-        ids[row, col] = self.byte_id[np.frombuffer(b"".join(words), np.uint8)]
-        after = np.tile(np.arange(1, width + 2), (n, 1))
-        before = np.tile(np.arange(-1, width), (n, 1))
-        at = np.broadcast_to(np.arange(width), (n, width))
-        levels = [self._leaves(ids[:, :-1], ids[:, 1:], at, width)]
-        levels[0][ids[:, :-1] < 0] = _NONE
-        while levels[-1].shape[1] > 1:
-            levels.append(np.minimum(levels[-1][:, ::2], levels[-1][:, 1::2]))
-
-        def update(rows: np.ndarray, cols: np.ndarray, leaves: np.ndarray) -> None:
-            levels[0][rows, cols] = leaves
-            for low, high in zip(levels, levels[1:], strict=False):
-                cols = cols >> 1
-                high[rows, cols] = np.minimum(low[rows, 2 * cols], low[rows, 2 * cols + 1])
-
-        while len(live := np.flatnonzero(levels[-1][:, 0] < _NONE)):
-            rank, i = np.divmod(levels[-1][live, 0], width)
-            j = after[live, i]
-            k = after[live, j]
-            ids[live, i] = new = self.merged[rank]
-            ids[live, j] = -1
-            after[live, i] = k
-            before[live, k] = i
-            update(live, j, np.full(len(live), _NONE))
-            update(live, i, self._leaves(new, ids[live, k], i, width))
-            h = before[live, i]
-            has = h >= 0
-            update(live[has], h[has], self._leaves(ids[live[has], h[has]], new[has], h[has], width))
-        kept = ids[:, :-1] >= 0
-        flat = ids[:, :-1][kept]
-        return np.split(flat, np.cumsum(kept.sum(1))[:-1])
-
-    def encode(self, texts: list[str]) -> list[bytes]:
+        col = np.arange(len(data)) - first[row]
+        place = row * width + col
+        ids = np.full(n * width, -1, np.int32)
+        ids[place] = self.byte_id[data]
+        after = np.tile(np.arange(1, width + 1, dtype=np.int32), n)
+        before = np.tile(np.arange(-1, width - 1, dtype=np.int32), n)
+        tree = np.full((n, 2 * width), _NONE, np.int32)
+        pairs = np.flatnonzero(col[1:] > 0)
+        ranks = self.byte_pair_rank[data[pairs], data[pairs + 1]]
+        found = ranks < _NONE
+        at = pairs[found]
+        tree.ravel()[row[at] * 2 * width + width + col[at]] = ranks[found] * width + col[at]
+        size = width
+        while size > 1:
+            np.minimum(tree[:, size : 2 * size : 2], tree[:, size + 1 : 2 * size : 2], out=tree[:, size // 2 : size])
+            size //= 2
+        tree = tree.ravel()
+        live = np.arange(n)
+        while True:
+            top = tree[live * (2 * width) + 1]
+            going = top < _NONE
+            live, top = live[going], top[going]
+            if not len(live):
+                break
+            rank, i = np.divmod(top, width)
+            base, node = live * width, live * (2 * width)
+            j = after[base + i]
+            k = after[base + j]
+            h = before[base + i]
+            made = self.merged[rank]
+            ids[base + i] = made
+            ids[base + j] = -1
+            after[base + i] = k
+            has_k, has_h = k < width, h >= 0
+            before[(base + k)[has_k]] = i[has_k]
+            right = np.where(has_k, ids[base + np.where(has_k, k, 0)], -1)
+            left = ids[(base + h)[has_h]]
+            got = self._ranks(np.concatenate([made, left]), np.concatenate([right, made[has_h]]))
+            where = np.concatenate([i, h[has_h]])
+            got = np.where(got < _NONE, got * width + where, _NONE)
+            tree[node + width + j] = _NONE
+            own = np.concatenate([node, node[has_h], node])
+            tree[own[: len(got)] + width + where] = got
+            walk = np.concatenate([where, j]) + width
+            while walk[0] > 1:
+                walk >>= 1
+                both = own + 2 * walk
+                tree[own + walk] = np.minimum(tree[both], tree[both + 1])
+        kept = ids >= 0
+        flat = ids[kept].astype("<i4").tobytes()
+        ends = (4 * np.cumsum(np.count_nonzero(kept.reshape(n, width), axis=1))).tolist()
+        return [flat[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, where each text's ids end)."""
         return self.cache.encode(texts)
 
-    def decode(self, ids: list[int]) -> str:
-        return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
+    def decode(self, ids: np.ndarray, ends: np.ndarray) -> pa.Array:
+        """The texts of ids, cut at ends; bytes that are no UTF-8 become replacement characters."""
+        sizes = self.byte_sizes[ids]
+        data = ragged(self.all_bytes, self.byte_starts[ids], sizes).tobytes()
+        cuts = np.concatenate([[0], np.cumsum(sizes)])[np.concatenate([[0], ends])]
+        try:
+            data.decode()
+            texts = None if np.any(np.frombuffer(data, np.uint8)[cuts[(cuts > 0) & (cuts < len(data))]] & 0xC0 == 0x80) else data
+        except UnicodeDecodeError:
+            texts = None
+        if texts is None:
+            return pa.array([data[a:b].decode("utf-8", "replace") for a, b in zip(cuts, cuts[1:], strict=False)], pa.string())
+        return pa.StringArray.from_buffers(len(ends), pa.py_buffer(cuts.astype(np.int32)), pa.py_buffer(data))
 
 
 @lru_cache(maxsize=4)
@@ -220,22 +275,29 @@ def load(path: str) -> Bpe:
     return Bpe(path)
 
 
-def encode(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row for each row of docs: id, ids array<int>. One scan, no shuffle."""
+def encode(
+    docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str = "text", decoded_col: str | None = None
+) -> DataFrame:
+    """One row for each row of docs: id, ids array<int>. One scan, no shuffle.
+
+    With decoded_col, one more column holds what the ids decode to, made where the ids are (a round trip).
+    """
     kind = docs.select(id_col).schema[0].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = load(path)
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            for a, b in slices(texts):
-                made = model.encode(texts[a:b])
-                ends = np.cumsum([0, *(len(m) // 4 for m in made)])
-                ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(made), "<i4")))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), ids], ["id", "ids"])
+            for a, b in slices(batch.column(1)):
+                ids, ends = model.encode(batch.column(1).slice(a, b - a))
+                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(ids))
+                out = [batch.column(0).slice(a, b - a), lists]
+                if decoded_col:
+                    out.append(model.decode(ids, ends))
+                yield pa.RecordBatch.from_arrays(out, ["id", "ids", "decoded"][: len(out)])
 
-    out = docs.select(id_col, text_col).mapInArrow(run, f"id {kind}, ids array<int>")
-    return out.withColumnRenamed("id", id_col)
+    schema = f"id {kind}, ids array<int>" + ", decoded string" * bool(decoded_col)
+    out = docs.select(id_col, text_col).mapInArrow(run, schema).withColumnRenamed("id", id_col)
+    return out.withColumnRenamed("decoded", decoded_col) if decoded_col else out
 
 
 def decode(rows: DataFrame, path: str, *, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
@@ -243,17 +305,16 @@ def decode(rows: DataFrame, path: str, *, ids_col: str = "ids", out_col: str = "
 
     @F.pandas_udf("string")
     def text_of(ids):
-        import pandas as pd
-
-        model = load(path)
-        return pd.Series([model.decode(x.tolist()) if x is not None else "" for x in ids], dtype=object)
+        lists = [x if x is not None else [] for x in ids]
+        ends = np.cumsum([len(x) for x in lists])
+        flat = np.concatenate(lists).astype(np.int64) if len(lists) else np.zeros(0, np.int64)
+        return load(path).decode(flat, ends).to_pandas()
 
     return rows.withColumn(out_col, text_of(F.col(ids_col)))
 
 
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = vocabulary_path()
-    both = decode(encode(table(spark, sf_dir, "documents"), path), path)
+    both = encode(table(spark, sf_dir, "documents"), vocabulary_path(), decoded_col="decoded")
     return both.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),

@@ -119,10 +119,9 @@ def predict(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Classifier(held.value)
         for batch in batches:
-            texts = batch.column("__text").to_pylist()
-            for a, b in slices(texts):
-                found = [model.predict(t) for t in texts[a:b]]
+            for a, b in slices(batch.column("__text")):
                 part = batch.slice(a, b - a)
+                found = [model.predict(t) for t in part.column("__text").to_pylist()]
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns[:-1], pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())],
                     [*marks, "lang_pred", "score"],

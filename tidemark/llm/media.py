@@ -156,9 +156,9 @@ def write_media(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for a, b in slices(texts):
-                media = pa.array([encode_png((t or "").encode()) for t in texts[a:b]], pa.binary())
+            for a, b in slices(batch.column(1)):
+                texts = batch.column(1).slice(a, b - a).to_pylist()
+                media = pa.array([encode_png((t or "").encode()) for t in texts], pa.binary())
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), media], ["id", "media"])
 
     out = docs.select(id_col, text_col).mapInArrow(run, f"id {kind}, media binary")
@@ -180,9 +180,8 @@ def read_media(rows: DataFrame, *, id_col: str = "doc_id", media_col: str = "med
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            media = batch.column(1).to_pylist()
-            for a, b in slices(media):
-                found = [one(m) for m in media[a:b]]
+            for a, b in slices(batch.column(1)):
+                found = [one(m) for m in batch.column(1).slice(a, b - a).to_pylist()]
                 made = [pa.array([f[i] for f in found], t) for i, t in enumerate((pa.int64(), pa.binary(), pa.string()))]
                 part = batch.slice(a, b - a)
                 yield pa.RecordBatch.from_arrays([*part.columns, *made], ["id", "media", "n_bytes", "payload", "feature"])

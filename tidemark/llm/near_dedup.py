@@ -7,9 +7,10 @@
    the count never exceeds the size of the symmetric difference; beyond it the screen is SIGMAS deviations wide.
 3. What passes is confirmed on the full shingle sets of both texts. Confirmed links give components.
 4. Buckets whose other members still lie in several components are compared all against all, in blocks of bounded
-   size. Each node asks for its most similar partner from another component, the asked pairs are confirmed, and
-   components merge; this repeats until nobody asks. After ROUNDS rounds all pairs that are left are asked at once.
-   So every pair of a bucket is compared, or already lies in one component: no link is lost to a cap.
+   size. A block asks for a forest of most similar pairs that would join its components, these are confirmed, and
+   components merge; this repeats, without the pairs that were refused, until no block asks. After ROUNDS rounds all
+   pairs that are left are asked at once. So every pair of a bucket is compared, or already lies in one component:
+   no link is lost to a cap.
 
 At a similarity of 0.8 a pair misses all 40 bands of 5 rows about once in ten million.
 
@@ -26,7 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from . import _shingles as sh
@@ -39,8 +40,8 @@ PERCENT = 80
 #: Sets of up to WHOLE shingles are sketched whole, larger ones by SAMPLES samples. A set near WHOLE has both.
 WHOLE, SAMPLES = 4096, 1024
 SIGMAS = 6
-#: Members of a bucket that are compared in one block are two such chunks at most.
-CHUNK = 256
+#: Members of a bucket that are compared in one block are two such chunks at most, SLAB of them at a time.
+CHUNK, SLAB = 1024, 128
 #: Pairs of one node that are confirmed in one group.
 PER_GROUP = 256
 ROUNDS = 6
@@ -146,7 +147,6 @@ def _confirm(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
     """
     kind = pairs.schema["a"].dataType.simpleString()
     counts = pairs.groupBy("b").agg(F.ceil(F.count("*") / PER_GROUP).cast("int").alias("groups"))
-    counts = materialise(counts, "confirm-groups")
     group = F.pmod(F.xxhash64("a"), F.col("groups")).cast("int").alias("g")
     asked = pairs.join(counts, "b").select("b", group, F.lit(1).alias("asked"), F.col("a").alias("node"))
     heads = counts.select("b", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("g"), F.lit(0).alias("asked"), F.col("b").alias("node"))
@@ -180,31 +180,47 @@ def _confirm(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """node, comp (the smallest node reachable) for all nodes of edges (a, b) but those that are themselves smallest.
 
-    Alternating large-star and small-star steps (Kiveris and others, 2014); each round's edges are written out.
+    Alternating large-star and small-star steps (Kiveris and others, 2014); each round's edges are written out, and
+    a round that changes none of them ends it.
     """
-    pairs = materialise(
-        edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges"
-    )
-    seen = None
+    pairs, state = _written(edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
     while True:
-        state = pairs.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.pmod(F.xxhash64("v", "u"), F.lit(1 << 40)))).first()
-        if state == seen:
-            return pairs.select(F.col("u").alias("node"), F.col("v").alias("comp"))
-        seen = state
         both = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         linked = large.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        pairs = materialise(linked.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "edges")
+        pairs, after = _written(linked.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
+        if after == state:
+            return pairs.select(F.col("u").alias("node"), F.col("v").alias("comp"))
+        state = after
+
+
+def _written(pairs: DataFrame) -> tuple[DataFrame, dict]:
+    """pairs (u, v) written out, with a count and two checksums taken on the way."""
+    seen = Observation()
+    sums = (F.count("*").alias("n"), F.sum(F.pmod(F.xxhash64("u", "v"), F.lit(1 << 40))).alias("s"), F.sum(F.pmod(F.xxhash64("v", "u"), F.lit(1 << 40))).alias("t"))
+    return materialise(pairs.observe(seen, *sums), "edges"), seen.get
+
+
+def _merge(labels: DataFrame | None, links: DataFrame) -> DataFrame:
+    """Labels (node, comp) after new links (a, b): components of the links between labels, then the nodes follow."""
+    if labels is None:
+        return components(links)
+    comp = lambda x: labels.select(F.col("node").alias(x), F.col("comp").alias(f"{x}_comp"))
+    ends = links.join(comp("a"), "a", "left").join(comp("b"), "b", "left")
+    new = components(ends.select(F.coalesce("a_comp", "a").alias("a"), F.coalesce("b_comp", "b").alias("b")))
+    moved = labels.join(new.select(F.col("node").alias("comp"), F.col("comp").alias("to")), "comp", "left")
+    moved = moved.select("node", F.coalesce("to", "comp").alias("comp"))
+    return materialise(moved.unionByName(new), "labels")
 
 
 def _ask(buckets: DataFrame, info: DataFrame, labels: DataFrame, rejected: DataFrame | None, *, all_pairs: bool) -> DataFrame:
-    """a, b, est: candidates from different components within buckets (band, node), the best of each a or all."""
+    """a, b (a > b): candidates from different components within buckets (band, node); see `_forest`."""
     kind = buckets.schema["node"].dataType.simpleString()
     here = buckets.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     open_ones = here.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m"))
-    open_ones = materialise(open_ones.filter("lo <> hi").select("band", F.ceil(F.col("m") / CHUNK).cast("int").alias("chunks")), "open-buckets")
+    open_ones = open_ones.filter("lo <> hi").select("band", F.ceil(F.col("m") / CHUNK).cast("int").alias("chunks"))
     rows = here.join(open_ones, "band").withColumn("own", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))
     rows = rows.select("band", "node", "comp", "own", other.alias("other"))
@@ -219,49 +235,96 @@ def _ask(buckets: DataFrame, info: DataFrame, labels: DataFrame, rejected: DataF
     rows = rows.repartition(parts, "band", "i", "j").sortWithinPartitions("band", "i", "j")
     columns = ["band", "i", "j", "own", "node", "comp", "n", "odd_whole", "odd_some", "no"]
 
-    def block(rows_: list[tuple]) -> Iterator[tuple]:
-        _, i, j, own, node, comp, n, whole, some, no = zip(*rows_, strict=True)
-        n, comp_, own_ = np.array(n, np.int64), np.unique(np.array(comp, object), return_inverse=True)[1], np.array(own)
+    def block(held: list[tuple]) -> list[tuple]:
+        _, i, j, own, node, comp, n, whole, some, no = zip(*held, strict=True)
+        n, label, own = np.array(n, np.int64), np.unique(np.array(comp, object), return_inverse=True)[1], np.array(own)
+        left, right = np.flatnonzero(own == i[0]), np.flatnonzero(own == j[0])
         (w, has), (s, _) = _words(list(whole)), _words(list(some))
+        is_whole = has[left][:, None] & has[right][None, :]
+        flips = _cross(w[left], w[right])
+        if not is_whole.all():
+            flips = np.where(is_whole, flips, _cross(s[left], s[right]))
+        sizes = np.broadcast_to(n[left][:, None], flips.shape), np.broadcast_to(n[right][None, :], flips.shape)
+        ok = passes(*sizes, flips, is_whole) & (label[left][:, None] != label[right][None, :])
         at = {x: k for k, x in enumerate(node)}
-        left = np.flatnonzero(own_ == i[0])
-        right = np.flatnonzero(own_ == j[0])
-        for k in left if i[0] != j[0] else range(len(node)):
-            who = right
-            is_whole = has[who] & has[k]
-            flips = np.where(is_whole, sh.popcounts(w[who], w[k]), sh.popcounts(s[who], s[k]))
-            sizes = np.full(len(who), n[k])
-            ok = passes(sizes, n[who], flips, is_whole) & (comp_[who] != comp_[k]) & (who != k)
-            if no[k] and ok.any():
-                ok &= ~np.isin(who, [at[x] for x in no[k] if x in at])
-            if not ok.any():
-                continue
-            est = _similar(sizes, n[who], flips, is_whole)
-            found = np.flatnonzero(ok)
-            for x in found if all_pairs else [found[np.argmax(est[found])]]:
-                yield node[k], node[who[x]], float(est[x])
+        column = {k: y for y, k in enumerate(right.tolist())}
+        for x, k in enumerate(left.tolist()):
+            ok[x, [column[at[y]] for y in no[k] or () if at.get(y) in column]] = False
+        if not ok.any():
+            return []
+        if all_pairs:
+            found = np.argwhere(ok)
+        else:
+            found = _forest(ok, _similar(*sizes, flips, is_whole), label[left], label[right])
+        return [(max(a, b), min(a, b)) for a, b in ((node[left[x]], node[right[y]]) for x, y in found)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
+        seen: set[tuple] = set()
+        kind_arrow = None
 
-        def flush() -> pa.RecordBatch:
-            out = list(block(held)) if len(held) > 1 else []
+        def flush() -> None:
+            if len(held) > 1:
+                seen.update(block(held))
             held.clear()
-            cols = list(zip(*out, strict=True)) if out else [(), (), ()]
-            types = (kind_arrow, kind_arrow, pa.float64())
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], ["a", "b", "est"])
 
-        kind_arrow = None
+        def out() -> pa.RecordBatch:
+            pairs = sorted(seen)
+            seen.clear()
+            return pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], kind_arrow) for k in (0, 1)], ["a", "b"])
+
         for batch in batches:
             kind_arrow = batch.column("node").type
             for row in zip(*(batch.column(c).to_pylist() for c in columns), strict=True):
                 if held and held[0][:3] != row[:3]:
-                    yield flush()
+                    flush()
+                    if len(seen) > 100_000:
+                        yield out()
                 held.append(row)
-        if held:
-            yield flush()
+        flush()
+        if seen:
+            yield out()
 
-    return rows.select(*columns).mapInArrow(run, f"a {kind}, b {kind}, est double")
+    return rows.select(*columns).mapInArrow(run, f"a {kind}, b {kind}").distinct()
+
+
+def _cross(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """XOR counts of all rows of a with all rows of b."""
+    return np.concatenate([sh.popcounts(a[i : i + SLAB, None], b[None, :]) for i in range(0, len(a), SLAB)])
+
+
+def _forest(ok: np.ndarray, est: np.ndarray, left: np.ndarray, right: np.ndarray) -> list[tuple[int, int]]:
+    """(row, column) pairs that would join all components that pairs of ok link, the most similar first (Boruvka's steps).
+
+    left, right: the component of each row and column.
+    """
+    value = np.where(ok, est, -1.0)
+    names = np.unique(np.concatenate([left, right]))
+    parent = {int(x): int(x) for x in names}
+
+    def root(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    out: list[tuple[int, int]] = []
+    while True:
+        l_root, r_root = (np.array([root(int(x)) for x in c]) for c in (left, right))
+        value[l_root[:, None] == r_root[None, :]] = -1.0
+        best_col, best_row = value.argmax(1), value.argmax(0)
+        edges = [(value[x, y], x, y, l_root[x]) for x, y in enumerate(best_col.tolist()) if value[x, y] >= 0]
+        edges += [(value[x, y], x, y, r_root[y]) for y, x in enumerate(best_row.tolist()) if value[x, y] >= 0]
+        if not edges:
+            return out
+        asked = set()
+        for _, x, y, mine in sorted(edges, key=lambda e: (-e[0], e[1], e[2])):
+            if mine in asked:
+                continue
+            asked.add(mine)
+            a, b = root(int(left[x])), root(int(right[y]))
+            if a != b:
+                parent[max(a, b)] = min(a, b)
+                out.append((x, y))
 
 
 def _best(pairs: DataFrame) -> DataFrame:
@@ -298,30 +361,19 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     texts = docs.select(F.col(id_col).alias("node"), F.col(text_col).alias("text"))
     texts = materialise(texts.join(small(needed), "node").select("node", "h1", "text"), "needed-texts")
 
-    first = materialise(_confirm(_best(star), texts, width), "links")
-    labels = components(first)
-    more = materialise(_confirm(_apart(star.select("a", "b"), labels).distinct(), texts, width), "links")
-    stars = lambda: labels.select(F.col("node").alias("a"), F.col("comp").alias("b"))
-    if more.limit(1).count():
-        labels = components(stars().unionByName(more))
+    labels = _merge(None, materialise(_confirm(_best(star), texts, width), "links"))
+    rest = materialise(_apart(star.select("a", "b"), labels), "star-rest")
+    if rest.limit(1).count():
+        labels = _merge(labels, materialise(_confirm(rest, texts, width), "links"))
     rejected: DataFrame | None = None
-    turn = 0
-    while True:
-        turn += 1
+    for turn in range(1, ROUNDS + 2):
         asked = materialise(_ask(others, info, labels, rejected, all_pairs=turn > ROUNDS), "asked")
         if not asked.limit(1).count():
             break
-        if turn > ROUNDS:
-            pairs = asked.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-        else:
-            pairs = _best(asked)
-        pairs = materialise(pairs, "asked-pairs")
-        linked = materialise(_confirm(pairs, texts, width), "links")
-        refused = pairs.join(linked, ["a", "b"], "left_anti")
-        rejected = materialise(refused if rejected is None else rejected.unionByName(refused), "rejected")
-        labels = components(stars().unionByName(linked))
-        if turn > ROUNDS:
-            break
+        linked = materialise(_confirm(asked, texts, width), "links")
+        refused = asked.join(linked, ["a", "b"], "left_anti")
+        rejected = refused if rejected is None else rejected.unionByName(refused)
+        labels = _merge(labels, linked)
     groups = classes.join(labels, "node", "left").withColumn("component_id", F.coalesce("comp", "node"))
     groups = materialise(
         groups.filter("size > 1 OR component_id <> node").select("h1", "h2", "size", "component_id"), "set-components"

@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import struct
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
@@ -29,8 +30,8 @@ from pyspark.sql import functions as F
 
 from ._common import materialise, small, table
 from ._segments import SegmentCache, slices
+from .bpe import COMMON, byte_symbols, vocabulary_path
 
-VOCABULARY = "byte_bpe_50k.json"
 END_ID = 2
 #: Tokens in a segment, up to the end of its last document.
 SEGMENT_TOKENS = 1 << 18
@@ -103,15 +104,9 @@ class Codes:
         return out
 
 
-def vocabulary_path(name: str = VOCABULARY) -> str:
-    import public_tokenizers
-
-    return public_tokenizers.path(name)
-
-
 @lru_cache(maxsize=4)
-def _encoder(path: str) -> Callable[[list[str]], list[bytes]]:
-    """Whole texts to ids with the tokenizers library, which sees each distinct segment once."""
+def _encoder(path: str) -> Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]:
+    """Whole texts to ids with the tokenizers library, which sees each distinct segment of a slice once."""
     import json
     import os
 
@@ -123,7 +118,29 @@ def _encoder(path: str) -> Callable[[list[str]], list[bytes]]:
     tokenizer.no_padding()
     with open(path, encoding="utf-8") as f:
         special = {t["content"]: t["id"] for t in json.load(f)["added_tokens"]}
-    new = lambda texts: [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    model = tokenizer.model
+    symbols = {b: c for c, b in byte_symbols().items()}
+    glue, latin = symbols[0x20], {b: c for b, c in symbols.items() if chr(b) != c}
+    stops = {p: np.array(tokenizer.encode(p, add_special_tokens=False).ids, "<i4").tobytes() for p in ("", ".", ",")}
+
+    def new(segments: list[str]) -> list[bytes]:
+        """Ids of each segment. A plain word, a full stop or comma after it or not, goes to the library's model at once."""
+        out: list[bytes | None] = []
+        rest = []
+        for s in segments:
+            word, stop = (s[:-1], s[-1]) if s[-1:] in (".", ",") else (s, "")
+            if s[:1] == " " and word[1:].isalpha() and (word.isascii() or COMMON.fullmatch(word)):
+                coded = glue + word[1:] if word.isascii() else word.encode().decode("latin-1").translate(latin)
+                out.append(array("i", [t.id for t in model.tokenize(coded)]).tobytes() + stops[stop])
+            else:
+                rest.append(len(out))
+                out.append(None)
+        made = tokenizer.encode_batch_fast([segments[i] for i in rest], add_special_tokens=False)
+        for i, e in zip(rest, made, strict=True):
+            out[i] = array("i", e.ids).tobytes()
+        return out
+
     return SegmentCache(new, special).encode
 
 
@@ -141,15 +158,15 @@ def write_store(
     kind = docs.select(id_col).schema[0].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, end = _encoder(path), np.array([end_id], "<i4").tobytes()
+        encode, end = _encoder(path), np.array([end_id], np.int32)
         part, number, first, count = TaskContext.get().partitionId(), 0, 0, 0
         ids: list[pa.Array] = []
         sizes: list[int] = []
-        held: list[bytes] = []
+        held: list[np.ndarray] = []
 
         def segment() -> pa.RecordBatch:
             nonlocal number, first
-            tokens = np.frombuffer(b"".join(held), "<u4")
+            tokens = np.concatenate(held).astype(np.uint32)
             row = {
                 "part": pa.array([part], pa.int32()), "number": pa.array([number], pa.int32()),
                 "first": pa.array([first], pa.int64()), "n_tokens": pa.array([len(tokens)], pa.int64()),
@@ -161,13 +178,14 @@ def write_store(
             return pa.RecordBatch.from_pydict(row)
 
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            for a, b in slices(texts):
-                for i, coded in enumerate(encode(texts[a:b]), a):
+            for a, b in slices(batch.column(1)):
+                coded, ends = encode(batch.column(1).slice(a, b - a))
+                starts = np.concatenate([[0], ends[:-1]])
+                for i, (x, y) in enumerate(zip(starts.tolist(), ends.tolist(), strict=True), a):
                     ids.append(batch.column(0).slice(i, 1))
-                    sizes.append(len(coded) // 4 + 1)
-                    held += [coded, end]
-                    count += sizes[-1]
+                    sizes.append(y - x + 1)
+                    held += [coded[x:y], end]
+                    count += y - x + 1
                     if count >= segment_tokens:
                         yield segment()
                         count = 0
@@ -185,8 +203,9 @@ def write_store(
     return materialise(ordered.mapInArrow(run, schema), "token-store")
 
 
-def read_documents(store: DataFrame, *, id_col: str = "doc_id") -> DataFrame:
-    """Documents of a store: id, start long (tokens of all documents before), n_tokens long, tokens array<int>."""
+def read_documents(store: DataFrame, *, id_col: str = "doc_id", want: tuple[str, ...] = ("tokens",)) -> DataFrame:
+    """Documents of a store: id, start long (tokens of all documents before), n_tokens long, and what is wanted:
+    tokens array<int>, or ids_crc32 long (of the ids as little-endian unsigned 32-bit integers)."""
     kind = store.schema["ids"].dataType.elementType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -197,20 +216,20 @@ def read_documents(store: DataFrame, *, id_col: str = "doc_id") -> DataFrame:
                 ends = np.cumsum(sizes)
                 if len(tokens) != ends[-1]:
                     raise ValueError("a segment's codes don't match its document sizes")
-                offsets = pa.array(np.concatenate([[0], ends]), pa.int32())
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        ids.values,
-                        pa.array(first.as_py() + ends - sizes),
-                        pa.array(sizes),
-                        pa.ListArray.from_arrays(offsets, pa.array(tokens.astype(np.int32))),
-                    ],
-                    ["id", "start", "n_tokens", "tokens"],
-                )
+                made = {"id": ids.values, "start": pa.array(first.as_py() + ends - sizes), "n_tokens": pa.array(sizes)}
+                if "tokens" in want:
+                    offsets = pa.array(np.concatenate([[0], ends]), pa.int32())
+                    made["tokens"] = pa.ListArray.from_arrays(offsets, pa.array(tokens.view(np.int32)))
+                if "ids_crc32" in want:
+                    data = memoryview(tokens.astype("<u4", copy=False)).cast("B")
+                    crcs = [zlib.crc32(data[4 * (e - n) : 4 * e]) for e, n in zip(ends.tolist(), sizes.tolist(), strict=True)]
+                    made["ids_crc32"] = pa.array(crcs, pa.int64())
+                yield pa.RecordBatch.from_pydict(made)
 
     placed = _placed(store).select("first", "ids", "sizes", "codes")
-    out = placed.mapInArrow(run, f"id {kind}, start long, n_tokens long, tokens array<int>")
-    return out.withColumnRenamed("id", id_col)
+    more = {"tokens": ", tokens array<int>", "ids_crc32": ", ids_crc32 long"}
+    schema = f"id {kind}, start long, n_tokens long" + "".join(v for k, v in more.items() if k in want)
+    return placed.mapInArrow(run, schema).withColumnRenamed("id", id_col)
 
 
 def _placed(store: DataFrame) -> DataFrame:
@@ -242,19 +261,9 @@ def tokens_at(store: DataFrame, wanted: DataFrame) -> DataFrame:
     return found.select("position", "first", "codes").mapInArrow(run, "position long, token long")
 
 
-def checksums(rows: DataFrame) -> DataFrame:
-    """tokens replaced by ids_crc32: of the ids as little-endian unsigned 32-bit integers."""
-
-    @F.pandas_udf("long")
-    def crc(tokens):
-        return tokens.map(lambda t: zlib.crc32(np.asarray(t, "<u4").tobytes()))
-
-    return rows.withColumn("ids_crc32", crc("tokens")).drop("tokens")
-
-
 def op9_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = write_store(table(spark, sf_dir, "documents"), vocabulary_path())
-    return checksums(read_documents(store))
+    return read_documents(store, want=("ids_crc32",))
 
 
 QUERIES = {"op9_token_store": op9_token_store}
