@@ -163,7 +163,7 @@ def fallback(spark, d):
     return out.select("id", F.coalesce("exact", "year", "named").alias("ref"), label.alias("level"))
 
 
-@query("J15_nearest", with_tk("""SELECT grp, day, m, id FROM (SELECT grp, day, m, id, row_number() OVER (PARTITION BY grp, day, m ORDER BY abs(date_diff('second', ts, deadline) - m * 60), id) AS k
+@query("J15_nearest", with_tk("""SELECT grp, day, m, id FROM (SELECT grp, day, m, id, row_number() OVER (PARTITION BY grp, day, m ORDER BY abs(date_sub('second', ts, deadline) - m * 60), id) AS k
   FROM tk, (VALUES (10), (60), (240)) v(m)) WHERE k = 1"""))
 def nearest(spark, d):
     rows = ticks(spark, d).withColumn("m", F.explode(F.array(F.lit(10), F.lit(60), F.lit(240))))

@@ -6,7 +6,7 @@ from importlib import import_module
 
 from . import demo
 
-_MODULES = ("projections", "joins", "aggregates", "windows")
+_MODULES = ("projections", "joins", "aggregates", "windows", "ticks", "sources", "baselines", "probabilities", "entities", "texts", "flagship")
 for _name in _MODULES:
     import_module(f"{__package__}.{_name}")
 
@@ -20,4 +20,4 @@ def oracle_sql() -> dict[str, str]:
 
 
 def flagship(spark, sf_dir):
-    return demo.participations(spark, sf_dir)
+    return demo.QUERIES["flagship_asof_ranks"](spark, sf_dir)
