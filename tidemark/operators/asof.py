@@ -67,6 +67,18 @@ def band_join(left: DataFrame, right: DataFrame, *, by: Sequence[str], left_on:
     return near.filter((F.col(right_on) < F.col(left_on)) & (F.col(right_on) >= F.col(left_on) - days)).drop("__cell")
 
 
+def overlap_counts(spans: DataFrame, by: Sequence[str], key: str, start: str, end: str) -> DataFrame:
+    """key, n: other closed intervals of the group that overlap each one, by two running counts instead of pairs."""
+    point = lambda t, kind: spans.select(*by, F.col(key).alias("id"), F.col(t).alias("t"), F.lit(kind).alias("kind"))
+    w = Window.partitionBy(*by).orderBy("t", "kind").rowsBetween(Window.unboundedPreceding, 0)
+    # At one time births (0) come before the question of how many were born (1), and that before ends (3); the
+    # question of how many have ended (2) comes before ends of its own time.
+    points = point(start, 0).unionByName(point(end, 1)).unionByName(point(start, 2)).unionByName(point(end, 3))
+    seen = points.select("id", "kind", F.count_if(F.col("kind") == 0).over(w).alias("born"), F.count_if(F.col("kind") == 3).over(w).alias("over"))
+    asked = seen.filter("kind IN (1, 2)").groupBy("id").agg(F.sum(F.when(F.col("kind") == 1, F.col("born")).otherwise(-F.col("over"))).alias("n"))
+    return asked.select(F.col("id").alias(key), (F.col("n") - 1).alias("n"))
+
+
 def rate(hits: Column, n: Column, digits: int = 6) -> Column:
     """hits / n, null where n is 0 or null."""
     return F.round(F.try_divide(hits, n), digits)

@@ -276,14 +276,14 @@ def band_facts(spark, d):
     )
 
 
-@query("A32_pick_records", with_pt("SELECT mark, period, count(*) AS n, count(*) FILTER (WHERE finish = 1) AS wins, count(*) FILTER (WHERE finish <= 3) AS placed, round(sum(CASE WHEN finish = 1 THEN round(price * 100)::BIGINT ELSE 0 END) / 100.0::DOUBLE / count(*), 4) AS roi FROM (SELECT popularity AS mark, finish, price, date_trunc('month', day)::DATE AS period FROM pt WHERE popularity <= 4) GROUP BY 1, 2"))
+@query("A32_pick_records", with_pt("SELECT mark, period, count(*) AS n, count(*) FILTER (WHERE finish = 1) AS wins, count(*) FILTER (WHERE finish <= 3) AS placed, floor(sum(CASE WHEN finish = 1 THEN round(price * 100)::BIGINT ELSE 0 END) / 100.0::DOUBLE / count(*) * 10000 + 0.500001) / 10000 AS roi FROM (SELECT popularity AS mark, finish, price, date_trunc('month', day)::DATE AS period FROM pt WHERE popularity <= 4) GROUP BY 1, 2"))
 def pick_records(spark, d):
     picks = participations(spark, d).filter("popularity <= 4").groupBy("event").agg(F.sort_array(F.collect_list(F.struct("popularity", "runner_no"))).alias("s"))
     flat = picks.select("event", F.posexplode("s.runner_no").alias("mark", "runner_no"))
     rows = flat.join(participations(spark, d).select("event", "runner_no", "finish", "price", "day"), ["event", "runner_no"])
     return rows.groupBy((F.col("mark") + 1).alias("mark"), F.trunc("day", "month").alias("period")).agg(
         F.count("*").alias("n"), F.count_if(F.col("finish") == 1).alias("wins"), F.count_if(F.col("finish") <= 3).alias("placed"),
-        F.round(F.sum(F.when(F.col("finish") == 1, F.round(F.col("price") * 100).cast("long")).otherwise(0)) / 100 / F.count("*"), 4).alias("roi"),
+        stats.half_up(F.sum(F.when(F.col("finish") == 1, F.round(F.col("price") * 100).cast("long")).otherwise(0)) / 100 / F.count("*")).alias("roi"),
     )
 
 

@@ -9,7 +9,7 @@ from ..operators import graph, ratings
 from ..operators.asof import band_join
 from ..sources import io
 from .demo import order_history, participations, query, snapshots, table, with_pt, with_snap
-from .joins import LIFE, PAIRS, lives, pairs
+from .joins import PAIRS, pairs
 
 
 @query("N1_entity_key", "SELECT c_custkey AS id, CASE WHEN c_custkey % 2 = 0 THEN c_name || '|' || (DATE '1980-01-01' + (c_custkey % 900)::INT) WHEN c_custkey % 3 = 0 THEN c_name || '|' || (1980 + c_custkey % 20) END AS key FROM customer")
@@ -21,12 +21,14 @@ def entity_key(spark, d):
     return c.select(F.col("c_custkey").alias("id"), key.alias("key"))
 
 
-@query("N2_homonyms", with_pt("SELECT name, count(*) AS pairs FROM (SELECT a.name FROM l9 a JOIN l9 b ON a.name = b.name AND a.id < b.id AND (a.ended < b.born OR b.ended < a.born)) GROUP BY 1", LIFE, "l9 AS (SELECT * FROM life WHERE ended - born < 1500)"))
+@query("N2_homonyms", with_pt("SELECT name, count(*) AS n FROM life a WHERE EXISTS (SELECT 1 FROM life b WHERE a.name = b.name AND (a.ended < b.born OR b.ended < a.born)) GROUP BY 1", "life AS (SELECT entity * 100000 + rider AS id, sire AS name, min(d_idx) AS born, max(d_idx) AS ended FROM pt GROUP BY 1, 2)"))
 def homonyms(spark, d):
-    a = lives(participations(spark, d)).filter("ended - born < 1500")
-    b = a.select(*[F.col(c).alias(f"{c}2") for c in a.columns])
-    apart = a.join(b, (F.col("name") == F.col("name2")) & (F.col("id") < F.col("id2")) & ((F.col("ended") < F.col("born2")) | (F.col("ended2") < F.col("born"))))
-    return apart.groupBy("name").agg(F.count("*").alias("pairs"))
+    """Entities of a name with a namesake whose life doesn't overlap theirs: the group's extremes tell, no pairs needed."""
+    w = Window.partitionBy("name")
+    pair = (F.col("entity") * 100000 + F.col("rider")).alias("id")
+    a = participations(spark, d).groupBy(pair, F.col("sire").alias("name")).agg(F.min("d_idx").alias("born"), F.max("d_idx").alias("ended"))
+    a = a.withColumn("last_born", F.max("born").over(w)).withColumn("first_end", F.min("ended").over(w))
+    return a.filter("last_born > ended OR first_end < born").groupBy("name").agg(F.count("*").alias("n"))
 
 
 @query("N3_aliases", "SELECT key, min(id) AS canonical, count(*) AS n FROM (SELECT p_partkey AS id, lower(regexp_replace(p_type, '(PLATED|POLISHED|BRUSHED|ANODIZED|BURNISHED)\\s*', '', 'g')) || '|' || p_brand AS key FROM part) GROUP BY 1")
@@ -143,10 +145,10 @@ def opposition(spark, d):
     return rows.select("event", "runner_no", F.round(F.try_divide(F.sum("r").over(e) - F.col("r"), F.count("*").over(e) - 1), 6).alias("others"))
 
 
-@query("R7_components", """WITH RECURSIVE e AS (SELECT DISTINCT l_suppkey AS a, 1000000 + l_partkey AS b FROM lineitem WHERE l_quantity >= 50 AND l_orderkey % 40 = 0), u AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
+@query("R7_components", """WITH RECURSIVE e AS (SELECT DISTINCT l_suppkey AS a, 1000000 + l_partkey AS b FROM lineitem WHERE l_quantity >= 50), u AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
   r AS (SELECT a AS node, a AS seen FROM u UNION SELECT r.node, u.b FROM r JOIN u ON u.a = r.seen) SELECT node, min(seen) AS comp FROM r GROUP BY 1""")
 def components(spark, d):
-    li = table(spark, d, "lineitem").filter("l_quantity >= 50 AND l_orderkey % 40 = 0")  # the graph's edges: large lines of every 40th order
+    li = table(spark, d, "lineitem").filter("l_quantity >= 50")  # the graph's edges: large lines
     return graph.components(li.select(F.col("l_suppkey").alias("a"), (1000000 + F.col("l_partkey")).alias("b")).distinct())
 
 

@@ -78,12 +78,10 @@ def lives(p):
     return p.groupBy(F.col("entity").alias("id"), F.col("sire").alias("name")).agg(F.min("d_idx").alias("born"), F.max("d_idx").alias("ended"))
 
 
-@query("J6_overlap", with_pt("SELECT a.id, count(*) AS n FROM short a JOIN short b ON a.name = b.name AND a.id < b.id AND a.born <= b.ended AND b.born <= a.ended GROUP BY 1", LIFE, "short AS (SELECT * FROM life WHERE id % 10 = 3)"))
+@query("J6_overlap", with_pt("SELECT a.id, count(*) - 1 AS n FROM life a JOIN life b ON a.name = b.name AND a.born <= b.ended AND b.born <= a.ended GROUP BY 1", LIFE))
 def overlap(spark, d):
-    a = lives(participations(spark, d)).filter("id % 10 = 3")  # the operand is every tenth entity: a demo of theta joins on names
-    b = a.select(*[F.col(c).alias(f"{c}2") for c in a.columns])
-    on = (F.col("name") == F.col("name2")) & (F.col("id") < F.col("id2")) & (F.col("born") <= F.col("ended2")) & (F.col("born2") <= F.col("ended"))
-    return a.join(b, on).groupBy("id").agg(F.count("*").alias("n"))
+    """Namesakes whose life overlaps, counted without forming pairs: births up to my end less ends before my birth."""
+    return asof.overlap_counts(lives(participations(spark, d)), ["name"], "id", "born", "ended")
 
 
 @query("J7_null_safe", with_pt("SELECT going, n, m FROM (SELECT nullif(going, 'A') AS going, count(*) AS n FROM pt GROUP BY 1) JOIN (SELECT nullif(going, 'A') AS g2, max(measure) AS m FROM pt GROUP BY 1) ON going IS NOT DISTINCT FROM g2"))

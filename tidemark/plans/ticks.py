@@ -6,6 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..operators import ticks as tk
+from ..operators.stats import half_up
 from ..streaming import jobs
 from .demo import hu, query, table, ticks, with_tk
 
@@ -81,8 +82,6 @@ def late_pairs(spark, d):
 
 @query("T8_late_shift", with_tk(f"SELECT grp, day, count(*) AS n, {hu('sum(abs(pf - pm)) / 2')} AS variation, count(*) FILTER (WHERE pf / pm >= 1.3) AS up FROM lp GROUP BY 1, 2", ML, LATE))
 def late_shift(spark, d):
-    from ..operators.stats import half_up
-
     return late_pairs(spark, d).groupBy("grp", "day").agg(F.count("*").alias("n"), half_up(F.sum(F.abs(F.col("pf") - F.col("pm"))) / 2).alias("variation"), F.count_if(F.col("pf") / F.col("pm") >= 1.3).alias("up"))
 
 
@@ -95,8 +94,6 @@ def early_triples(spark, d):
 
 @query("T10_marginals", with_tk(f"SELECT grp, key, {hu('s / sum(s) OVER (PARTITION BY grp)', 6)} AS share FROM (SELECT grp, key, sum(1 / (value + 1)) AS s FROM tk GROUP BY 1, 2)"))
 def marginals(spark, d):
-    from ..operators.stats import half_up
-
     g = ticks(spark, d).groupBy("grp", "key").agg(F.sum(1 / (F.col("value") + 1)).alias("s"))
     return g.select("grp", "key", half_up(F.col("s") / F.sum("s").over(Window.partitionBy("grp")), 6).alias("share"))
 
@@ -175,8 +172,9 @@ def heartbeat(spark, d):
     return g.select("event_type", "last", F.datediff(F.col("newest").cast("date"), F.col("last").cast("date")).alias("idle_days"))
 
 
-@query("T17_observations", "SELECT o_orderkey AS event, count(e.event_id) AS n, round(avg(e.value), 6) AS mean FROM orders LEFT JOIN events e ON day(e.ts) = day(o_orderdate) AND hour(e.ts) IN (10, 11, 12) AND e.value BETWEEN 5 AND 95 WHERE o_orderdate >= TIMESTAMP '2001-07-01' GROUP BY 1")
+@query("T17_observations", f"SELECT o_orderkey AS event, count(e.event_id) AS n, {hu('avg(e.value)')} AS mean FROM orders LEFT JOIN events e ON day(e.ts) = day(o_orderdate) AND hour(e.ts) IN (10, 11, 12) AND e.value BETWEEN 5 AND 95 GROUP BY 1")
 def observations(spark, d):
-    e = table(spark, d, "events").filter(F.hour("ts").isin(10, 11, 12) & F.col("value").between(5, 95)).select(F.dayofmonth("ts").alias("dom"), "event_id", "value")
-    o = table(spark, d, "orders").filter(F.col("o_orderdate") >= F.lit("2001-07-01").cast("timestamp_ntz")).select(F.col("o_orderkey").alias("event"), F.dayofmonth("o_orderdate").alias("dom"))
-    return o.join(e, "dom", "left").groupBy("event").agg(F.count("event_id").alias("n"), F.round(F.avg("value"), 6).alias("mean"))
+    e = table(spark, d, "events").filter(F.hour("ts").isin(10, 11, 12) & F.col("value").between(5, 95))
+    days = e.groupBy(F.dayofmonth("ts").alias("dom")).agg(F.count("*").alias("n"), half_up(F.avg("value")).alias("mean"))
+    o = table(spark, d, "orders").select(F.col("o_orderkey").alias("event"), F.dayofmonth("o_orderdate").alias("dom"))
+    return o.join(days, "dom", "left").select("event", F.coalesce("n", F.lit(0)).cast("long").alias("n"), "mean")

@@ -51,13 +51,16 @@ def _past(*keys, days=None):
     return Window.partitionBy(*keys).orderBy("d_idx").rangeBetween(start, -1)
 
 
-SEQ = Window.partitionBy("entity").orderBy("d_idx", "event")
+def _seq():
+    return Window.partitionBy("entity").orderBy("d_idx", "event")
+
+
 SEQ_SQL = "WINDOW w AS (PARTITION BY entity ORDER BY d_idx, event)"
 
 
 @query("W3_last_rows", with_oh(f"SELECT event, {', '.join(f'lag(price, {i}) OVER w AS p{i}' for i in range(1, 6))} FROM oh {SEQ_SQL}"))
 def last_rows(spark, d):
-    return order_history(spark, d).select("event", *[F.lag("price", i).over(SEQ).alias(f"p{i}") for i in range(1, 6)])
+    return order_history(spark, d).select("event", *[F.lag("price", i).over(_seq()).alias(f"p{i}") for i in range(1, 6)])
 
 
 @query("W4_previous_day", with_oh("SELECT o.event, p.total AS previous_total, (o.d_idx - p.d_idx)::INT AS gap FROM oh o ASOF LEFT JOIN (SELECT entity, d_idx, round(sum(price), 2) AS total FROM oh GROUP BY 1, 2) p ON o.entity = p.entity AND o.d_idx > p.d_idx"))
@@ -151,8 +154,8 @@ def event_level(spark, d):
 
 @query("W13_changes", with_oh("SELECT event, CASE WHEN lag(priority) OVER w <> priority THEN lag(priority) OVER w || ' > ' || priority END AS changed, lag(status) OVER w IS DISTINCT FROM status AS new_status FROM oh " + SEQ_SQL))
 def changes(spark, d):
-    prev, cur = F.lag("priority").over(SEQ), F.col("priority")
-    return order_history(spark, d).select("event", F.when(prev != cur, F.concat(prev, F.lit(" > "), cur)).alias("changed"), (~F.lag("status").over(SEQ).eqNullSafe(F.col("status"))).alias("new_status"))
+    prev, cur = F.lag("priority").over(_seq()), F.col("priority")
+    return order_history(spark, d).select("event", F.when(prev != cur, F.concat(prev, F.lit(" > "), cur)).alias("changed"), (~F.lag("status").over(_seq()).eqNullSafe(F.col("status"))).alias("new_status"))
 
 
 @query("W14_seen_before", with_oh("SELECT event, exists(SELECT 1 FROM oh b WHERE b.entity = a.entity AND b.priority = a.priority AND b.d_idx < a.d_idx) AS seen FROM oh a"))
@@ -162,7 +165,7 @@ def seen_before(spark, d):
 
 @query("W15_change_history", with_oh("SELECT event, a, b, count(*) OVER (PARTITION BY a, b ORDER BY d_idx RANGE BETWEEN 365 PRECEDING AND 1 PRECEDING) AS n FROM (SELECT *, lag(priority) OVER w AS a, priority AS b FROM oh " + SEQ_SQL + ") WHERE a <> b"))
 def change_history(spark, d):
-    rows = order_history(spark, d).withColumn("a", F.lag("priority").over(SEQ)).withColumn("b", F.col("priority")).filter("a <> b")
+    rows = order_history(spark, d).withColumn("a", F.lag("priority").over(_seq())).withColumn("b", F.col("priority")).filter("a <> b")
     # Transitions are few keys: count by day first, so that a frame holds days and not rows.
     days = asof.window_sums(asof.day_buckets(rows, ["a", "b"], "d_idx", {"n": F.lit(1)}), ["a", "b"], "d_idx", ["n"], 365)
     out = rows.select("event", "a", "b", "d_idx").join(days.select("a", "b", "d_idx", "n_before"), ["a", "b", "d_idx"])
@@ -174,7 +177,7 @@ WEIGHTS = (1.0, 0.8, 0.64, 0.512, 0.4096)
 
 @query("W17_decayed_mean", with_oh("SELECT event, round((" + " + ".join(f"coalesce(lag(price, {i}) OVER w * {v}, 0)" for i, v in enumerate(WEIGHTS, 1)) + ") / nullif(" + " + ".join(f"(CASE WHEN lag(price, {i}) OVER w IS NOT NULL THEN {v} ELSE 0 END)" for i, v in enumerate(WEIGHTS, 1)) + ", 0), 4) AS mean FROM oh " + SEQ_SQL))
 def decayed_mean(spark, d):
-    lags = [F.lag("price", i).over(SEQ) for i in range(1, 6)]
+    lags = [F.lag("price", i).over(_seq()) for i in range(1, 6)]
     top = sum((F.coalesce(v * w, F.lit(0.0)) for v, w in zip(lags, WEIGHTS, strict=True)), F.lit(0.0))
     low = sum((F.when(v.isNotNull(), F.lit(w)).otherwise(0.0) for v, w in zip(lags, WEIGHTS, strict=True)), F.lit(0.0))
     return order_history(spark, d).select("event", F.round(F.try_divide(top, low), 4).alias("mean"))
@@ -182,22 +185,27 @@ def decayed_mean(spark, d):
 
 @query("W18_rolling", with_oh("SELECT event, round(avg(price) OVER r, 4) AS mean, max(price) OVER r AS most, min(price) OVER r AS least, round(stddev_samp(price) OVER r, 4) AS sd FROM oh WINDOW r AS (PARTITION BY entity ORDER BY d_idx, event ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING)"))
 def rolling(spark, d):
-    r = SEQ.rowsBetween(-5, -1)
+    r = _seq().rowsBetween(-5, -1)
     sd = F.when(F.count("price").over(r) >= 2, F.stddev_samp("price").over(r))
     return order_history(spark, d).select("event", F.round(F.avg("price").over(r), 4).alias("mean"), F.max("price").over(r).alias("most"), F.min("price").over(r).alias("least"), F.round(sd, 4).alias("sd"))
 
 
-@query("W19_seasonal", with_pt("SELECT venue, d_idx, round(coalesce(s, y), 4) AS baseline, CASE WHEN s IS NOT NULL THEN 'season' WHEN y IS NOT NULL THEN 'year' END AS level FROM (SELECT a.venue, a.d_idx, (SELECT median(b.measure) FROM pt b WHERE b.venue = a.venue AND (b.d_idx BETWEEN a.d_idx - 372 AND a.d_idx - 358 OR b.d_idx BETWEEN a.d_idx - 737 AND a.d_idx - 723 OR b.d_idx BETWEEN a.d_idx - 1102 AND a.d_idx - 1088) HAVING count(*) >= 8) AS s, (SELECT median(b.measure) FROM pt b WHERE b.venue = a.venue AND b.d_idx BETWEEN a.d_idx - 365 AND a.d_idx - 1 HAVING count(*) >= 8) AS y FROM (SELECT DISTINCT venue, d_idx FROM pt WHERE d_idx % 7 = 0) a)"))
+SPANS = (372, 358), (737, 723), (1102, 1088)
+
+
+@query("W19_seasonal", with_pt("SELECT d.venue, d.d_idx, round(coalesce(s.m, y.m), 4) AS baseline, CASE WHEN s.m IS NOT NULL THEN 'season' WHEN y.m IS NOT NULL THEN 'year' END AS level FROM dv d LEFT JOIN sn s USING (venue, d_idx) LEFT JOIN yr y USING (venue, d_idx)", "dv AS (SELECT DISTINCT venue, d_idx FROM pt)",
+    "sn AS (SELECT a.venue, a.d_idx, median(b.measure) AS m FROM dv a JOIN pt b ON b.venue = a.venue AND (" + " OR ".join(f"b.d_idx BETWEEN a.d_idx - {x0} AND a.d_idx - {x1}" for x0, x1 in SPANS) + ") GROUP BY 1, 2 HAVING count(*) >= 8)",
+    "yr AS (SELECT a.venue, a.d_idx, median(b.measure) AS m FROM dv a JOIN pt b ON b.venue = a.venue AND b.d_idx BETWEEN a.d_idx - 365 AND a.d_idx - 1 GROUP BY 1, 2 HAVING count(*) >= 8)"))
 def seasonal(spark, d):
     p = participations(spark, d)
-    days = p.select("venue", "d_idx").distinct().filter("d_idx % 7 = 0")  # the report's weekly grid of days
-    spans = F.array(*[F.struct(F.lit(k).alias("k"), F.lit(a).alias("a"), F.lit(b).alias("b")) for k, a, b in (("s", 372, 358), ("s", 737, 723), ("s", 1102, 1088), ("y", 365, 1))])
-    want = days.select("venue", "d_idx", F.inline(spans))
-    want = want.select("venue", "d_idx", "k", F.explode(F.sequence(F.col("d_idx") - F.col("a"), F.col("d_idx") - F.col("b"))).alias("at"))
-    near = want.join(p.select("venue", F.col("d_idx").alias("at"), "measure"), ["venue", "at"])
-    med = near.groupBy("venue", "d_idx", "k").agg(F.percentile("measure", 0.5).alias("m"), F.count("*").alias("n")).filter("n >= 8")
-    both = med.groupBy("venue", "d_idx").agg(F.max(F.when(F.col("k") == "s", F.col("m"))).alias("s"), F.max(F.when(F.col("k") == "y", F.col("m"))).alias("y"))
-    out = days.join(both, ["venue", "d_idx"], "left")
+    days = p.select("venue", "d_idx").distinct()
+    facts = p.select("venue", F.col("d_idx").alias("at"), "measure")
+    shifts = F.explode(F.flatten(F.array(*[F.sequence(F.lit(a), F.lit(b)) for a, b in SPANS])))
+    same_season = days.withColumn("k", shifts).select("venue", "d_idx", (F.col("d_idx") - F.col("k")).alias("at"))
+    med = lambda near, n: near.groupBy("venue", "d_idx").agg(F.percentile("measure", 0.5).alias(n), F.count("*").alias("held")).filter("held >= 8").drop("held")
+    s = med(same_season.join(facts, ["venue", "at"]), "s")
+    y = med(asof.band_join(days, facts, by=["venue"], left_on="d_idx", right_on="at", days=365), "y")
+    out = days.join(s, ["venue", "d_idx"], "left").join(y, ["venue", "d_idx"], "left")
     level = F.when(F.col("s").isNotNull(), "season").when(F.col("y").isNotNull(), "year")
     return out.select("venue", "d_idx", F.round(F.coalesce("s", "y"), 4).alias("baseline"), level.alias("level"))
 
@@ -238,10 +246,10 @@ def active(spark, d):
     return days.select("sire", "d", F.sum("step").over(Window.partitionBy("sire").orderBy("d")).alias("active"))
 
 
-@query("W25_home", with_pt("SELECT rider, d_idx, home FROM (SELECT a.rider, a.d_idx, b.venue AS home, row_number() OVER (PARTITION BY a.rider, a.d_idx ORDER BY count(*) DESC, b.venue) AS k FROM (SELECT DISTINCT rider, d_idx FROM pt WHERE d_idx % 30 = 0) a JOIN pt b ON a.rider = b.rider AND b.d_idx BETWEEN a.d_idx - 365 AND a.d_idx - 1 GROUP BY 1, 2, 3) WHERE k = 1"))
+@query("W25_home", with_pt("SELECT rider, d_idx, home FROM (SELECT a.rider, a.d_idx, b.venue AS home, row_number() OVER (PARTITION BY a.rider, a.d_idx ORDER BY count(*) DESC, b.venue) AS k FROM (SELECT DISTINCT rider, d_idx FROM pt) a JOIN pt b ON a.rider = b.rider AND b.d_idx BETWEEN a.d_idx - 365 AND a.d_idx - 1 GROUP BY 1, 2, 3) WHERE k = 1"))
 def home(spark, d):
     p = participations(spark, d)
-    days = p.select("rider", "d_idx").distinct().filter("d_idx % 30 = 0")  # the report's monthly grid of days
+    days = p.select("rider", "d_idx").distinct()
     facts = p.groupBy("rider", F.col("d_idx").alias("at"), "venue").agg(F.count("*").alias("n"))
     near = asof.band_join(days, facts, by=["rider"], left_on="d_idx", right_on="at", days=365)
     g = near.groupBy("rider", "d_idx", "venue").agg(F.sum("n").alias("n"))
@@ -298,11 +306,11 @@ def debut(spark, d):
     return order_history(spark, d).groupBy("entity").agg(first.alias("s")).select("entity", "s.*")
 
 
-@query("W31_bitemporal", with_pt("SELECT p.event, p.runner_no, count(q.measure) AS known, round(avg(q.measure), 6) AS mean FROM pt p LEFT JOIN pt q ON q.rider = p.rider AND q.d_idx < p.d_idx AND q.d_idx >= p.d_idx - 60 AND q.available <= p.day WHERE p.runner_no = 1 GROUP BY 1, 2"))
+@query("W31_bitemporal", with_pt("SELECT p.event, p.runner_no, count(q.measure) AS known, round(avg(q.measure), 6) AS mean FROM pt p LEFT JOIN pt q ON q.rider = p.rider AND q.d_idx < p.d_idx AND q.d_idx >= p.d_idx - 60 AND q.available <= p.day GROUP BY 1, 2"))
 def bitemporal(spark, d):
     """Facts of the 60 days before that had become known by the day."""
     p = participations(spark, d)
-    left = p.filter("runner_no = 1").select("event", "runner_no", "rider", "d_idx", "day")
+    left = p.select("event", "runner_no", "rider", "d_idx", "day")
     facts = p.select("rider", F.col("d_idx").alias("at"), "available", "measure")
     near = asof.band_join(left, facts, by=["rider"], left_on="d_idx", right_on="at", days=60).filter("available <= day")
     g = near.groupBy("event", "runner_no").agg(F.count("*").alias("known"), F.round(F.avg("measure"), 6).alias("mean"))
@@ -319,7 +327,7 @@ def partner_conflict(spark, d):
 def rewind(spark, d):
     """A change log read backwards: the value as of a row is the next change's from-value, else the current one."""
     log = order_history(spark, d)
-    return log.select("event", F.coalesce(F.lead("priority").over(SEQ), F.lit("current")).alias("after"))
+    return log.select("event", F.coalesce(F.lead("priority").over(_seq()), F.lit("current")).alias("after"))
 
 
 @query("W34_rolling_median", with_pt("SELECT p.rider, p.d_idx, count(q.measure) AS n, median(q.measure) AS med FROM (SELECT DISTINCT rider, d_idx FROM pt) p JOIN pt q ON q.rider = p.rider AND q.d_idx BETWEEN p.d_idx - 90 AND p.d_idx - 1 GROUP BY 1, 2"))
