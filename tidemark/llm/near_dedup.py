@@ -41,10 +41,10 @@ PERCENT = 80
 WHOLE, SAMPLES = 4096, 1024
 SIGMAS = 6
 #: Members of a bucket that are compared in one block are two such chunks at most, SLAB of them at a time.
-CHUNK, SLAB = 1024, 128
+CHUNK, SLAB = 2048, 64
 #: Pairs of one node that are confirmed in one group.
 PER_GROUP = 256
-ROUNDS = 6
+ROUNDS = 3
 _LARGEST_WHOLE, _LEAST_SAMPLED = WHOLE * 100 // PERCENT, WHOLE * PERCENT // 100
 
 
@@ -224,7 +224,7 @@ def _ask(buckets: DataFrame, info: DataFrame, labels: DataFrame, rejected: DataF
     rows = here.join(open_ones, "band").withColumn("own", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))
     rows = rows.select("band", "node", "comp", "own", other.alias("other"))
-    rows = rows.select("band", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "comp")
+    rows = rows.select("band", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", "comp")
     rows = rows.join(info, "node")
     if rejected is None:
         rows = rows.withColumn("no", F.array().cast(f"array<{kind}>"))
@@ -233,19 +233,16 @@ def _ask(buckets: DataFrame, info: DataFrame, labels: DataFrame, rejected: DataF
         rows = rows.join(twice.groupBy(F.col("a").alias("node")).agg(F.collect_set("b").alias("no")), "node", "left")
     parts = int(buckets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = rows.repartition(parts, "band", "i", "j").sortWithinPartitions("band", "i", "j")
-    columns = ["band", "i", "j", "own", "node", "comp", "n", "odd_whole", "odd_some", "no"]
+    columns = ["band", "i", "j", "node", "comp", "n", "odd_whole", "odd_some", "no"]
 
     def block(held: list[tuple]) -> list[tuple]:
-        _, i, j, own, node, comp, n, whole, some, no = zip(*held, strict=True)
-        n, label, own = np.array(n, np.int64), np.unique(np.array(comp, object), return_inverse=True)[1], np.array(own)
-        left, right = np.flatnonzero(own == i[0]), np.flatnonzero(own == j[0])
+        _, _, _, node, comp, n, whole, some, no = zip(*held, strict=True)
+        n, label = np.array(n, np.int64), np.unique(np.array(comp, object), return_inverse=True)[1]
+        # Two members of the block's largest component need no comparison: all others meet everyone.
+        left, right = np.flatnonzero(label != np.bincount(label).argmax()), np.arange(len(node))
         (w, has), (s, _) = _words(list(whole)), _words(list(some))
-        is_whole = has[left][:, None] & has[right][None, :]
-        flips = _cross(w[left], w[right])
-        if not is_whole.all():
-            flips = np.where(is_whole, flips, _cross(s[left], s[right]))
-        sizes = np.broadcast_to(n[left][:, None], flips.shape), np.broadcast_to(n[right][None, :], flips.shape)
-        ok = passes(*sizes, flips, is_whole) & (label[left][:, None] != label[right][None, :])
+        ok, est = _compare((n[left], w[left], s[left], has[left]), (n[right], w[right], s[right], has[right]))
+        ok &= label[left][:, None] != label[right][None, :]
         at = {x: k for k, x in enumerate(node)}
         column = {k: y for y, k in enumerate(right.tolist())}
         for x, k in enumerate(left.tolist()):
@@ -255,7 +252,7 @@ def _ask(buckets: DataFrame, info: DataFrame, labels: DataFrame, rejected: DataF
         if all_pairs:
             found = np.argwhere(ok)
         else:
-            found = _forest(ok, _similar(*sizes, flips, is_whole), label[left], label[right])
+            found = _forest(ok, est, label[left], label[right])
         return [(max(a, b), min(a, b)) for a, b in ((node[left[x]], node[right[y]]) for x, y in found)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -290,7 +287,24 @@ def _ask(buckets: DataFrame, info: DataFrame, labels: DataFrame, rejected: DataF
 
 def _cross(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """XOR counts of all rows of a with all rows of b."""
-    return np.concatenate([sh.popcounts(a[i : i + SLAB, None], b[None, :]) for i in range(0, len(a), SLAB)])
+    return sh.popcounts(a[:, None], b[None, :])
+
+
+def _compare(left: tuple, right: tuple) -> tuple[np.ndarray, np.ndarray]:
+    """(may be links, estimated similarity) of all of left with all of right: (sizes, whole sketches, sampled ones, has whole)."""
+    n_b, w_b, s_b, has_b = right
+    ok = np.zeros((len(left[0]), len(n_b)), bool)
+    est = np.zeros(ok.shape, np.float32)
+    for i in range(0, len(ok), SLAB):
+        n_a, w_a, s_a, has_a = (x[i : i + SLAB] for x in left)
+        whole = has_a[:, None] & has_b[None, :]
+        flips = _cross(w_a, w_b)
+        if not whole.all():
+            flips = np.where(whole, flips, _cross(s_a, s_b))
+        sizes = np.broadcast_to(n_a[:, None], flips.shape), np.broadcast_to(n_b[None, :], flips.shape)
+        ok[i : i + SLAB] = passes(*sizes, flips, whole)
+        est[i : i + SLAB] = _similar(*sizes, flips, whole)
+    return ok, est
 
 
 def _forest(ok: np.ndarray, est: np.ndarray, left: np.ndarray, right: np.ndarray) -> list[tuple[int, int]]:
@@ -352,7 +366,8 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     info = nodes.select("node", "n", "odd_whole", "odd_some")
     members = nodes.select("node", F.explode("bands").alias("band"))
     shared = members.groupBy("band").agg(F.min("node").alias("pivot"), F.count("*").alias("m")).filter("m > 1")
-    buckets = materialise(members.join(materialise(shared, "shared-bands"), "band"), "buckets")
+    # A merge join at every size: both sides grow with the corpus, and large partitions of a band can be split.
+    buckets = materialise(members.join(materialise(shared, "shared-bands").hint("merge"), "band"), "buckets")
     star = buckets.filter("node <> pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct()
     star = materialise(_screen(star, info), "star-pairs")
     others = buckets.filter("m > 2 AND node <> pivot").select("band", "node")
