@@ -111,35 +111,37 @@ def budgets(leaves: DataFrame, spec: MixSpec) -> DataFrame:
     return parent.select(*keys, F.floor("parent_budget").cast("long").alias("budget"))
 
 
-def _tree(docs: DataFrame, domain: Column, lang_col: str, source_col: str, id_col: str, tokens: Column) -> DataFrame:
-    key = lambda c: F.coalesce(c.cast("string"), F.lit("?"))
-    return docs.select(
-        F.col(id_col).alias("id"),
-        key(domain).alias("domain"),
-        key(F.col(lang_col)).alias("lang"),
-        key(F.col(source_col)).alias("source"),
-        tokens.alias("n_tokens"),
-    )
+def _leaf_keys(domain: Column, lang: Column, source: Column) -> list[Column]:
+    return [F.coalesce(c.cast("string"), F.lit("?")).alias(n) for n, c in zip(LEVELS, (domain, lang, source), strict=True)]
 
 
 def mix(
     docs: DataFrame, spec: MixSpec, *, domain: Column, id_col: str = "doc_id", lang_col: str = "lang",
-    source_col: str = "source", tokens: Column,
+    source_col: str = "source", tokens: Column, keep: list[str] | None = None,
 ) -> DataFrame:
-    """Selected rows: id, domain, lang, source, n_tokens, epoch int (from 0), leaf_budget long."""
-    rows = materialise(_tree(docs, domain, lang_col, source_col, id_col, tokens), "mix-rows")
+    """Selected rows: id, domain, lang, source, n_tokens, epoch int (from 0), leaf_budget long.
+
+    keep: columns of docs to return instead, for each selection. Rows move only where a leaf's prefix ends.
+    """
+    names = [f"__keep{i}" for i in range(len(keep or []))]
+    kept = [F.col(c).alias(n) for c, n in zip(keep or [], names, strict=True)]
+    leaf = _leaf_keys(domain, F.col(lang_col), F.col(source_col))
+    wide = docs.select(F.col(id_col).alias("id"), *leaf, tokens.alias("n_tokens"), *kept)
+    rows = materialise(wide.drop(*names), "mix-rows")
     leaves = rows.groupBy(*LEVELS).agg(F.sum("n_tokens").alias("tokens"))
     plan = materialise(budgets(leaves, spec).join(leaves, list(LEVELS)), "mix-plan")
     # The epoch that a leaf ends in, and what is left for it.
     plan = plan.filter("tokens > 0").withColumn("last", F.floor(F.col("budget") / F.col("tokens")).cast("int"))
     plan = plan.withColumn("rest", F.col("budget") - F.col("last") * F.col("tokens"))
     # A plan has as many rows as the tree has leaves, which the configuration names; its size is checked.
-    placed = rows.join(small(plan.select(*LEVELS, "budget", "last", "rest")), list(LEVELS))
-    whole = placed.filter("last > 0").withColumn("epoch", F.explode(F.sequence(F.lit(0), F.col("last") - 1)))
-    hashed = F.md5(F.concat_ws(":", F.lit(spec.seed), F.col("last"), F.col("id")).cast("binary"))
-    final = placed.filter("rest > 0").withColumn("hash", hashed)
-    final = final.withColumn("range", F.pmod(F.conv(F.substring("hash", 1, 2), 16, 10).cast("int"), F.lit(RANGES)))
-    sums = final.groupBy(*LEVELS, "range").agg(F.sum("n_tokens").alias("here"), F.min("rest").alias("rest"))
+    plan = plan.select(*LEVELS, "budget", "last", "rest")
+
+    def last_epoch(df: DataFrame) -> DataFrame:
+        hashed = F.md5(F.concat_ws(":", F.lit(spec.seed), F.col("last"), F.col("id")).cast("binary"))
+        out = df.join(small(plan), list(LEVELS)).filter("rest > 0").withColumn("hash", hashed)
+        return out.withColumn("range", F.pmod(F.conv(F.substring("hash", 1, 2), 16, 10).cast("int"), F.lit(RANGES)))
+
+    sums = last_epoch(rows).groupBy(*LEVELS, "range").agg(F.sum("n_tokens").alias("here"), F.min("rest").alias("rest"))
     up_to = F.sum("here").over(Window.partitionBy(*LEVELS).orderBy("range"))
     ends = materialise(
         sums.withColumn("before", up_to - F.col("here")).filter("before <= rest").select(
@@ -147,32 +149,22 @@ def mix(
         ),
         "mix-ranges",
     )
-    cut = final.join(ends, [*LEVELS, "range"])
+    cut = last_epoch(wide).join(small(ends), [*LEVELS, "range"])
     order = Window.partitionBy(*LEVELS, "range").orderBy("hash", "id").rowsBetween(Window.unboundedPreceding, 0)
     part = cut.filter("NOT all").withColumn("sum", F.col("before") + F.sum("n_tokens").over(order)).filter("sum <= rest")
-    columns = ["id", *LEVELS, "n_tokens", "epoch", F.col("budget").alias("leaf_budget")]
-    last = cut.filter("all").select("id", *LEVELS, "n_tokens", "last", "budget")
-    last = last.unionByName(part.select("id", *LEVELS, "n_tokens", "last", "budget")).withColumn("epoch", F.col("last"))
-    out = whole.select(*columns).unionByName(last.select(*columns))
-    return out.withColumnRenamed("id", id_col)
+    columns = ["id", *LEVELS, "n_tokens", *names, "last", "budget"]
+    last = cut.filter("all").select(*columns).unionByName(part.select(*columns)).withColumn("epoch", F.col("last"))
+    whole = wide.join(small(plan), list(LEVELS)).filter("last > 0").select(*columns)
+    whole = whole.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.col("last") - 1)))
+    out = whole.unionByName(last)
+    if keep is not None:
+        return out.select(*[F.col(n).alias(c) for c, n in zip(keep, names, strict=True)])
+    return out.select(F.col("id").alias(id_col), *LEVELS, "n_tokens", "epoch", F.col("budget").alias("leaf_budget"))
 
 
 def mixed_documents(docs: DataFrame, spec: MixSpec = ONCE, *, id_col: str = "doc_id") -> DataFrame:
     """docs with all their columns, as often as `mix` selects them."""
-    tokens = token_count(F.col("text"))
-    found = mix(docs, spec, domain=domain_of(F.col("source")), id_col=id_col, tokens=tokens)
-    times = materialise(
-        found.groupBy(F.col(id_col).alias("mix_id"), F.col("n_tokens").alias("mix_tokens"), F.col("lang").alias("mix_lang"), F.col("source").alias("mix_source"))
-        .agg(F.count("*").alias("mix_times")), "mix-times",
-    )
-    same = (
-        docs[id_col].eqNullSafe(times["mix_id"]) & (tokens == times["mix_tokens"])
-        & (F.coalesce(docs["lang"], F.lit("?")) == times["mix_lang"]) & (F.coalesce(docs["source"], F.lit("?")) == times["mix_source"])
-    )
-    names = [docs[c] for c in docs.columns]
-    if spec.max_epochs == 1:
-        return docs.join(times, same, "left_semi")
-    return docs.join(times, same).select(*names, F.explode(F.sequence(F.lit(1), F.col("mix_times"))).alias("__nth")).drop("__nth")
+    return mix(docs, spec, domain=domain_of(F.col("source")), id_col=id_col, tokens=token_count(F.col("text")), keep=docs.columns)
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
