@@ -78,6 +78,24 @@ def test_language_id(spark, docs, empty):
     assert language_id.keep_identified(empty).count() == 0
 
 
+def test_language_id_keeps_very_long_texts(spark):
+    """Texts of megabytes, made of the rows that train() doesn't see, with a label that says nothing."""
+    known = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    unseen = known.filter(language_id.held_out() & F.col("text").isNotNull() & F.col("lang").isNotNull()).orderBy("doc_id").collect()
+    ids = iter(r.doc_id for r in known.select((F.col("doc_id") + 10_000_000).alias("doc_id")).filter(language_id.held_out()).limit(99).collect())
+    texts = {lang: " ".join(r.text for r in unseen if r.lang == lang) for lang in {r.lang for r in unseen}}
+    long = {next(ids): (lang, (t + " ") * (3_000_000 // len(t) + 1)) for lang, t in texts.items()}
+    assert len(long) == 4 and all(len(t) > 3_000_000 for _, t in long.values())
+    rows = known.unionByName(spark.createDataFrame([(i, t, None) for i, (_, t) in long.items()], known.schema))
+    kept = {r.doc_id for r in language_id.keep_identified(rows).filter("doc_id >= 10000000").select("doc_id").collect()}
+    assert kept == set(long)
+    model = language_id.Classifier(language_id.train(known.filter(~language_id.held_out())))
+    for lang, text in long.values():
+        found, score = model.predict(text)
+        part = model.predict(text[:30_000])
+        assert (found, part[0]) == (lang, lang) and score > 0.3 * part[1]
+
+
 def test_media(spark, docs, empty):
     rows = media.read_media(media.write_media(docs)).collect()
     assert len(rows) == len(TEXTS) and media.write_media(empty).count() == 0

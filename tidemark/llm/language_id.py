@@ -1,8 +1,9 @@
 """Language identification by compression: the language whose dictionary gives the smallest zstandard frame.
 
 Texts are reduced to lower-case words with one space between. For each language a raw-content dictionary holds
-such text of a bounded sample of labelled training rows. A text is compressed once with each dictionary, whole;
-the smallest size wins and the gap to the next one, in proportion, is the score. A narrow gap is a rejection.
+such text of a bounded sample of labelled training rows. A text is compressed once with each dictionary, whole, in
+blocks that fit the compressor's window beside the dictionary; the smallest sum of sizes wins and the gap to the next
+one, in proportion, is the score, whatever the text's length. A narrow gap is a rejection.
 
 Defined results: null texts and texts without letters are `und`, score 0, rejected; equal sizes (mostly texts of
 a word or two) go to the language with more training rows, then by name, with score 0, and are rejected; copies of
@@ -30,6 +31,9 @@ SAMPLE_CHARS = 2_000
 #: Bytes of a dictionary at most, and languages at most (the most frequent ones): both are broadcast.
 DICTIONARY_BYTES = 64 * 1024
 MAX_LANGUAGES = 500
+#: Bytes of a text that are compressed at a time. Block and dictionary fit the window (2^17 bytes): beyond the window
+#: no dictionary is reachable, all languages compress alike and the score would fall with the text's length.
+BLOCK_BYTES = 32 * 1024
 #: Scores below are rejected: less than one byte in 250 between the best two languages.
 MIN_MARGIN = 0.004
 UNDETERMINED = "und"
@@ -99,7 +103,8 @@ class Classifier:
         words = words_only(text or "")
         if not self.coders or not any(c.isalpha() for c in words.decode()):
             return UNDETERMINED, 0.0
-        sizes = [len(c.compress(words)) for c in self.coders]
+        blocks = [words[i : i + BLOCK_BYTES] for i in range(0, len(words), BLOCK_BYTES)]
+        sizes = [sum(len(c.compress(b)) for b in blocks) for c in self.coders]
         best = int(np.argmin(sizes))
         if len(sizes) == 1:
             return self.langs[0], 1.0
