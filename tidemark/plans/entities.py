@@ -152,6 +152,13 @@ def components(spark, d):
     return graph.components(li.select(F.col("l_suppkey").alias("a"), (1000000 + F.col("l_partkey")).alias("b")).distinct())
 
 
+@query("R7_components_all")
+def components_all(spark, d):
+    """The whole table's supplier-part links. No SQL: DuckDB's recursion holds every reachable pair of nodes."""
+    li = table(spark, d, "lineitem")
+    return graph.components(li.select(F.col("l_suppkey").alias("a"), (1000000 + F.col("l_partkey")).alias("b")).distinct())
+
+
 @query("R8_recursive_form")
 def recursive_form(spark, d):
     """Ability adjusted year by year: an entity's mean of adjusted values so far, events shifted by what their field shows."""
