@@ -83,3 +83,19 @@ def islands(day: Column, by: Sequence[str], order: Sequence[str], gap: int) -> C
     """Number of the block that a row is in: a new one begins more than gap days after the row before."""
     w = Window.partitionBy(*by).orderBy(*order)
     return F.sum(F.when(F.coalesce(day - F.lag(day).over(w) > gap, F.lit(True)), 1).otherwise(0)).over(w)
+
+
+def numbered(rows: DataFrame, order: Sequence[Column | str], name: str = "place") -> DataFrame:
+    """rows with their place in the order, from 1: ranges of the order are numbered side by side, each from the sum of
+    the sizes of those before it. Rows with equal keys are in one range."""
+    from .baseline import written
+
+    parts = written(rows.repartitionByRange(*order).withColumn("__part", F.spark_partition_id()), "ranges")
+    sizes = sorted((r["__part"], r["count"]) for r in parts.groupBy("__part").count().collect())  # one row a range
+    starts, before = [], 0
+    for part, n in sizes:
+        starts.append((part, before))
+        before += n
+    starts = F.broadcast(rows.sparkSession.createDataFrame(starts, "__part int, __before long"))
+    k = F.row_number().over(Window.partitionBy("__part").orderBy(*order))
+    return parts.withColumn("__k", k).join(starts, "__part").withColumn(name, F.col("__before") + F.col("__k")).drop("__part", "__k", "__before")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ..operators import asof
+from ..operators import asof, stats
 from .demo import order_history, participations, query, snapshots, table, ticks, with_oh, with_pt, with_snap, with_tk
 
 
@@ -184,6 +184,14 @@ def order(spark, d):
     return table(spark, d, "lineitem").orderBy(*keys).limit(100).select("l_orderkey", "l_linenumber", "l_quantity")
 
 
+@query("O1_order_all", "SELECT l_orderkey, l_linenumber, l_quantity, row_number() OVER (ORDER BY coalesce(nullif(l_linenumber, 7), 99), l_quantity DESC, l_orderkey, l_partkey, l_suppkey, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) AS place FROM lineitem")
+def order_all(spark, d):
+    """All rows of lineitem in order, with their place in it; every column breaks ties."""
+    keys = [F.coalesce(F.nullif(F.col("l_linenumber"), F.lit(7)), F.lit(99)), F.desc("l_quantity"), "l_orderkey", "l_partkey", "l_suppkey"]
+    keys += ["l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
+    return stats.numbered(table(spark, d, "lineitem"), keys).select("l_orderkey", "l_linenumber", "l_quantity", "place").orderBy("place")
+
+
 @query("O2_top_k", with_pt("SELECT venue, event, runner_no, price FROM (SELECT *, row_number() OVER (PARTITION BY venue ORDER BY price DESC, event, runner_no) AS k FROM pt) WHERE k <= 10"))
 def top_k(spark, d):
     w = Window.partitionBy("venue").orderBy(F.desc("price"), "event", "runner_no")
