@@ -170,6 +170,20 @@ def test_near_dedup(spark, docs, empty):
     assert near_dedup.drop_near_duplicates(empty).count() == 0
 
 
+def test_near_dedup_of_rows_without_id(spark, docs):
+    base = " ".join(f"w{i}" for i in range(60))
+    unique = " ".join(f"v{i}" for i in range(60))
+    near = base.replace("w59", "other")
+    rows = [(100, base, "en", "s1"), (101, near, "en", "s1"), (None, base.upper(), "en", "s1"), (None, near, "en", "s1"), (None, unique, "en", "s2"), (None, None, "en", "s3")]
+    for first in (docs, docs.filter("false")):
+        out = near_dedup.drop_near_duplicates(first.unionByName(spark.createDataFrame(rows, SCHEMA), allowMissingColumns=True))
+        assert out.columns == docs.columns
+        kept = [(r.doc_id, r.text) for r in out.collect()]
+        want = {(100, base), (None, unique), (None, None)}
+        assert want <= set(kept) and not {(None, base.upper()), (None, near), (101, near)} & set(kept)
+        assert len(kept) == 3 + (7 if first is docs else 0)
+
+
 def test_mixing(spark, docs, empty):
     tokens = mixing.token_count(F.col("text"))
     spec = mixing.MixSpec(share=1.0, max_epochs=1)

@@ -356,6 +356,11 @@ def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 5) -> DataFrame:
     """One row for each row of docs: id, n_shingles long, component_id (smallest id reachable over links), kept boolean."""
+    return _judged(docs, id_col=id_col, text_col=text_col, width=width).drop("h1", "h2")
+
+
+def _judged(docs: DataFrame, *, id_col: str, text_col: str, width: int) -> DataFrame:
+    """near_duplicates with h1, h2, the digest of each row's set."""
     rows = materialise(sketches(docs, id_col=id_col, text_col=text_col, width=width), "sketches")
     classes = materialise(
         rows.filter("n > 0").groupBy("h1", "h2", "n").agg(
@@ -400,14 +405,29 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         F.col("n").cast("long").alias("n_shingles"),
         comp.alias("component_id"),
         F.col("id").eqNullSafe(comp).alias("kept"),
+        "h1",
+        "h2",
     )
 
 
 def drop_near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 5) -> DataFrame:
-    """docs with all their columns: of each component, the rows of its smallest id."""
-    found = near_duplicates(docs, id_col=id_col, text_col=text_col, width=width)
-    gone = materialise(found.filter("NOT kept").select(F.col(id_col).alias("gone")).distinct(), "near-copies")
-    return docs.join(small(gone), docs[id_col].eqNullSafe(F.col("gone")), "left_anti")
+    """docs with all their columns: of each component, the rows of its smallest id.
+
+    Rows with a null id are told apart by their sets: one goes only if its own class has a component.
+    """
+    found = _judged(docs, id_col=id_col, text_col=text_col, width=width)
+    gone = materialise(found.filter("NOT kept").select(F.col(id_col).alias("gone"), "h1", "h2").distinct(), "near-copies")
+    by_id = small(gone.filter("gone IS NOT NULL").select("gone").distinct())
+    out = docs.join(by_id, docs[id_col] == F.col("gone"), "left_anti")
+    sets = gone.filter("gone IS NULL").select("h1", "h2")
+    if not sets.limit(1).count():
+        return out
+    unnamed = docs.filter(F.col(id_col).isNull()).select(F.col(text_col).alias("text")).distinct()
+    known = sketches(unnamed.select("text", F.col("text").alias("copy")), id_col="text", text_col="copy", width=width)
+    texts = materialise(known.select("id", "h1", "h2").join(small(sets), ["h1", "h2"], "left_semi").select(F.col("id").alias("__gone")), "unnamed-copies")
+    rest = docs.filter(F.col(id_col).isNull())
+    rest = rest.join(texts, rest[text_col] == F.col("__gone"), "left_anti")
+    return out.filter(F.col(id_col).isNotNull()).unionByName(rest)
 
 
 def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
