@@ -184,6 +184,71 @@ def test_near_dedup_of_rows_without_id(spark, docs):
         assert len(kept) == 3 + (7 if first is docs else 0)
 
 
+def test_near_dedup_of_repeated_ids(spark):
+    """The rows that go are those that near_duplicates doesn't keep, even where an id has rows of both kinds."""
+    base, unique, alone = (" ".join(f"{c}{i}" for i in range(60)) for c in "wvu")
+    near = base.replace("w59", "other")
+    rows = [(1, base), (5, near), (5, unique), (5, unique), (5, base), (6, None), (6, near), (6, ""), (None, near), (None, alone), (None, alone.replace("u59", "x"))]
+    df = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, h1 string")
+    judged = near_dedup.near_duplicates(df).collect()
+    assert len(judged) == len(rows)
+    out = near_dedup.drop_near_duplicates(df)
+    got = [(r.doc_id, r.text) for r in out.collect()]
+    want = [(1, base), (5, unique), (5, unique), (6, None), (6, ""), (None, alone), (None, alone.replace("u59", "x"))]
+    assert sorted(map(str, got)) == sorted(map(str, want)) and out.columns == df.columns
+    assert len(got) == sum(r.kept for r in judged)
+
+
+def linked(rows, width):
+    """doc_id -> smallest id reachable, all pairs compared."""
+    sets = {i: {tuple(w[k : k + width]) for k in range(max(1, len(w) - width + 1))} for i, t in rows for w in [t.split()]}
+    comp = {i: i for i in sets}
+    links = [(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    for _ in sets:
+        for a, b in links:
+            comp[a] = comp[b] = min(comp[a], comp[b])
+    return comp
+
+
+@pytest.mark.parametrize(("chunk", "rounds"), [(2048, 3), (4, 3), (4, 0)])
+def test_near_dedup_in_blocks(spark, monkeypatch, chunk, rounds):
+    """Chains, chunks smaller than a bucket, and all pairs at once; similarities on both sides of 0.8; sets beyond 5,120."""
+    monkeypatch.setattr(near_dedup, "CHUNK", chunk)
+    monkeypatch.setattr(near_dedup, "ROUNDS", rounds)
+    rng = np.random.default_rng(5)
+    base = [f"w{i}" for i in range(200)]
+    rows = []
+    for i in range(40):  # a family whose members differ in 2 to 24 places of 200
+        words = base.copy()
+        for k in rng.choice(200, 2 + i % 23, replace=False):
+            words[k] = f"x{i}_{k}"
+        rows.append((10 + i, " ".join(words)))
+    long = [f"l{i}" for i in range(6_000)]
+    rows += [(100, " ".join(long)), (101, " ".join(long[:-500])), (102, " ".join(long[:4_000] + [f"m{i}" for i in range(2_000)])), (103, " ".join(long[400:]))]
+    got = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), width=2).collect()
+    assert {r.doc_id: r.component_id for r in got} == linked(rows, 2)
+
+
+def test_near_dedup_folds_samples_and_keeps_recall():
+    """The screen lets pairs of 0.8 and more pass, and its estimate is close, for sets of all sizes."""
+    rng = np.random.default_rng(3)
+    salts = near_dedup.sh.seeds(2 * near_dedup.SAMPLES)
+    passed = asked = 0
+    for n in (1, 5, 40, 400, 9_000):
+        for share in (0.8, 0.9, 1.0):
+            both = int(np.ceil(n * share * 2 / (1 + share)))
+            for _ in range(20):
+                values = rng.integers(0, 2**63, 2 * n - both, dtype=np.int64).astype(np.uint64)
+                a, b = np.sort(values[:n]), np.sort(np.concatenate([values[:both], values[n:]]))
+                with np.errstate(over="ignore"):
+                    s = [np.frombuffer(near_dedup.sh.odd_sketch(near_dedup._spread(near_dedup.sh.sample(x, near_dedup.SAMPLES, salts))), np.uint64) for x in (a, b)]
+                flips = near_dedup.sh.popcounts(*s)
+                true = both / len(values)
+                asked, passed = asked + 1, passed + bool(near_dedup.passes(np.int64(n), np.int64(n), flips))
+                assert abs(near_dedup._similar(flips) - true) < 0.09
+    assert passed == asked
+
+
 def test_mixing(spark, docs, empty):
     tokens = mixing.token_count(F.col("text"))
     spec = mixing.MixSpec(share=1.0, max_epochs=1)

@@ -43,7 +43,18 @@ def materialise(df: DataFrame, name: str = "t") -> DataFrame:
     """df written as Parquet in the shared folder and read again: cuts the lineage and survives lost executors."""
     path = os.path.join(shared_dir(df.sparkSession), f"{name}-{uuid.uuid4().hex}")
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._written_at = path
+    return out
+
+
+def discard(*written: DataFrame) -> None:
+    """Removes the folders of DataFrames that `materialise` returned and that no result reads any more."""
+    for df in written:
+        if path := getattr(df, "_written_at", None):
+            context = df.sparkSession.sparkContext
+            at = context._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(context._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:

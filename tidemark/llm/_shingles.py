@@ -72,8 +72,12 @@ def sample(values: np.ndarray, k: int, salts: np.ndarray) -> np.ndarray:
         np.minimum.at(out, bins.ravel().astype(np.int64), ((rounds[:, None] << shift) | (h & low)).ravel())
         if out.max() != _EMPTY:
             return out
-    for t in np.flatnonzero(out == _EMPTY):
-        out[t] = (np.uint64(k + t) << shift) | (mix64(values ^ salts[k + t]) & low).min()
+    empty = np.flatnonzero(out == _EMPTY)
+    step = max(1, 65_536 // len(values))
+    for first in range(0, len(empty), step):
+        at = empty[first : first + step]
+        ranks = (mix64(values[None, :] ^ salts[k + at][:, None]) & low).min(1)
+        out[at] = ((k + at).astype(np.uint64) << shift) | ranks
     return out
 
 

@@ -1,22 +1,24 @@
 """MinHash near-dedup with odd sketches: banded candidates, XOR population counts, links confirmed on full sets.
 
-1. Every text gives the set of its word shingles, BANDS band keys from MinHash samples, and odd sketches. Texts
-   with equal sets are one class from here on, so that copies cost nothing more; its node is its smallest id.
+1. Every text gives the set of its word shingles and SAMPLES MinHash samples of it. The first samples make BANDS band
+   keys; all of them are folded into a parity bitmap, the odd sketch. Texts with equal sets are one class from here on,
+   so that copies cost nothing more; a class is a node.
 2. Classes that share a band key are candidates. Every member is first compared with its bucket's smallest node.
-   The sketches' XOR count screens each pair: for sets of up to WHOLE shingles the samples are the set itself, and
-   the count never exceeds the size of the symmetric difference; beyond it the screen is SIGMAS deviations wide.
+   The sketches' XOR count estimates how many samples differ; a pair goes on unless the count lies more than SIGMAS
+   deviations beyond what a similarity of PERCENT gives.
 3. What passes is confirmed on the full shingle sets of both texts. Confirmed links give components.
-4. Buckets whose other members still lie in several components are compared all against all, in blocks of bounded
-   size. A block asks for a forest of most similar pairs that would join its components, these are confirmed, and
-   components merge; this repeats, without the pairs that were refused, until no block asks. After ROUNDS rounds all
-   pairs that are left are asked at once. So every pair of a bucket is compared, or already lies in one component:
-   no link is lost to a cap.
-
-At a similarity of 0.8 a pair misses all 40 bands of 5 rows about once in ten million.
-
-Defined results: null or blank texts have the empty set, link with nothing and are kept; a null id has no node: its
-row takes the component of its class and is kept only if that has none; rows that repeat an id count as one
-document; equal texts share a component; an empty table gives no rows; other columns are not read by
+4. Buckets whose other members still lie in several components are compared all against all but within the largest of
+   these, in blocks of bounded size. A block asks for a forest of most similar pairs that would join its components,
+   these are confirmed, and components merge; this repeats, without the pairs that were refused, until no block asks.
+   After ROUNDS rounds all pairs that are left are asked at once. So every pair of a bucket is screened, or already lies
+   in one component: no link is lost to a cap.
+
+What can be lost: at a similarity of 0.8 a pair misses all 40 bands of 5 rows about once in ten million, and the screen
+of six deviations about once in a thousand million. Links that are reported are exact.
+
+Defined results: null or blank texts have the empty set, link with nothing and are kept. Rows that repeat an id are told
+apart by their sets. A row with a null id counts as a document, is linked like any other and is kept only where its
+component has no id at all; equal texts share a component; an empty table gives no rows; other columns are not read by
 `near_duplicates` and are kept by `drop_near_duplicates`.
 """
 
@@ -31,91 +33,107 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from . import _shingles as sh
-from ._common import join_groups, materialise, small, table
+from ._common import BROADCAST_ROWS, discard, join_groups, materialise, small, table
 from ._segments import slices
 
 BANDS, BAND_ROWS = 40, 5
 #: Links have 100 * intersection >= PERCENT * union.
 PERCENT = 80
-#: Sets of up to WHOLE shingles are sketched whole, larger ones by SAMPLES samples. A set near WHOLE has both.
-WHOLE, SAMPLES = 4096, 1024
+#: MinHash samples of a set, of which the first BANDS * BAND_ROWS make the band keys.
+SAMPLES = 1024
 SIGMAS = 6
 #: Members of a bucket that are compared in one block are two such chunks at most, SLAB of them at a time.
 CHUNK, SLAB = 2048, 64
 #: Pairs of one node that are confirmed in one group.
 PER_GROUP = 256
 ROUNDS = 3
-_LARGEST_WHOLE, _LEAST_SAMPLED = WHOLE * 100 // PERCENT, WHOLE * PERCENT // 100
+#: Refused pairs of a node that a block leaves out beforehand; those of nodes with more are taken out afterwards.
+REFUSED = 4096
 
 
 def sketches(docs: DataFrame, *, id_col: str, text_col: str, width: int) -> DataFrame:
-    """id, n int (shingles), h1, h2 long (digest of the set), bands array<long>, odd_whole, odd_some binary."""
+    """id, th long (hash of the text), n int (shingles), h1, h2 long (digest of the set), bands array<long>, odd binary."""
     kind = docs.select(id_col).schema[0].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for_bands, for_odd = sh.seeds(2 * BANDS * BAND_ROWS), sh.seeds(2 * SAMPLES + 7)[7:]
+        salts = sh.seeds(2 * SAMPLES)
         for batch in batches:
             for a, b in slices(batch.column(1)):
                 sets = sh.shingle_sets(batch.column(1).slice(a, b - a), width)
-                digests = np.frombuffer(b"".join(_digest(s) for s in sets), "<i8").reshape(-1, 2)
-                bands, whole, some = [], [], []
+                bands, odd = [], []
                 with np.errstate(over="ignore"):
                     for s in sets:
-                        n = len(s)
-                        bands.append(sh.band_keys(sh.sample(s, BANDS * BAND_ROWS, for_bands), BANDS).view(np.int64) if n else None)
-                        whole.append(sh.odd_sketch(s) if 0 < n <= _LARGEST_WHOLE else None)
-                        some.append(sh.odd_sketch(_spread(sh.sample(s, SAMPLES, for_odd))) if n > _LEAST_SAMPLED else None)
+                        if not len(s):
+                            bands.append(None), odd.append(None)
+                            continue
+                        samples = sh.sample(s, SAMPLES, salts)
+                        bands.append(sh.band_keys(samples[: BANDS * BAND_ROWS], BANDS).view(np.int64))
+                        odd.append(sh.odd_sketch(_spread(samples)))
+                part = batch.slice(a, b - a)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column(0).slice(a, b - a),
+                        part.column(0),
+                        part.column(2),
                         pa.array([len(s) for s in sets], pa.int32()),
-                        pa.array(digests[:, 0]),
-                        pa.array(digests[:, 1]),
+                        *_digest_columns(sets),
                         pa.array(bands, pa.list_(pa.int64())),
-                        pa.array(whole, pa.binary()),
-                        pa.array(some, pa.binary()),
+                        pa.array(odd, pa.binary()),
                     ],
-                    ["id", "n", "h1", "h2", "bands", "odd_whole", "odd_some"],
+                    ["id", "th", "n", "h1", "h2", "bands", "odd"],
                 )
 
-    schema = f"id {kind}, n int, h1 long, h2 long, bands array<long>, odd_whole binary, odd_some binary"
-    return docs.select(id_col, text_col).mapInArrow(run, schema)
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("th"))
+    return rows.mapInArrow(run, f"id {kind}, th long, n int, h1 long, h2 long, bands array<long>, odd binary")
 
 
 def _digest(shingles: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(shingles.tobytes())
 
 
+def _digest_columns(sets: list[np.ndarray]) -> list[pa.Array]:
+    both = np.frombuffer(b"".join(_digest(s) for s in sets), "<i8").reshape(-1, 2)
+    return [pa.array(both[:, 0]), pa.array(both[:, 1])]
+
+
+def _with_digests(rows: DataFrame, *, text_col: str, width: int) -> DataFrame:
+    """rows with the columns h1 and h2 behind their own: the digests of their sets."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, b in slices(batch.column(text_col)):
+                part = batch.slice(a, b - a)
+                sets = sh.shingle_sets(part.column(text_col), width)
+                yield pa.RecordBatch.from_arrays([*part.columns, *_digest_columns(sets)], [*part.schema.names, "h1", "h2"])
+
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
+    return rows.mapInArrow(run, f"{fields}, h1 long, h2 long")
+
+
 def _spread(samples: np.ndarray) -> np.ndarray:
     """Samples hashed with their place, so that a place that differs flips two random bits."""
     return sh.mix64(samples ^ sh.seeds(len(samples)))
 
 
-def passes(n_a: np.ndarray, n_b: np.ndarray, flips: np.ndarray, whole: np.ndarray) -> np.ndarray:
-    """Whether pairs with these set sizes and XOR counts may be links; whole: the sketches are of whole sets."""
+def passes(n_a: np.ndarray, n_b: np.ndarray, flips: np.ndarray) -> np.ndarray:
+    """Whether pairs with these set sizes and XOR counts may be links."""
     fits = 100 * np.minimum(n_a, n_b) >= PERCENT * np.maximum(n_a, n_b)
-    # A link's sets differ by at most this much; of samples, in this many places, two bits each.
-    most = (n_a + n_b) * (100 - PERCENT) / (100 + PERCENT)
+    # Of a link's samples at most so many places differ on average, two bits each.
     places = SAMPLES * (100 - PERCENT) / 100
-    mean = sh.expected_flips(np.where(whole, most, 2 * places))
+    mean = sh.expected_flips(2 * places)
     p = mean / sh.ODD_BITS
-    spread = sh.ODD_BITS * p * (1 - p) + np.where(whole, 0, 4 * places * PERCENT / 100)
-    limit = mean + SIGMAS * np.sqrt(spread) + 1
-    return fits & (flips <= np.where(whole, np.minimum(most, limit), limit))
+    spread = sh.ODD_BITS * p * (1 - p) + 4 * places * PERCENT / 100
+    return fits & (flips <= mean + SIGMAS * np.sqrt(spread) + 1)
 
 
-def _similar(n_a: np.ndarray, n_b: np.ndarray, flips: np.ndarray, whole: np.ndarray) -> np.ndarray:
+def _similar(flips: np.ndarray) -> np.ndarray:
     """Estimated similarity from the XOR count."""
     p = np.clip(1 - 2 * flips / sh.ODD_BITS, 1e-9, 1)
-    differ = np.log(p) / np.log(1 - 2 / sh.ODD_BITS)
-    return np.where(whole, (n_a + n_b - differ) / (n_a + n_b + differ), 1 - differ / (2 * SAMPLES))
+    return 1 - np.log(p) / np.log(1 - 2 / sh.ODD_BITS) / (2 * SAMPLES)
 
 
-def _words(sketch: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
-    """(uint64 words of the sketches, which of them exist)."""
-    blank = bytes(sh.ODD_BITS // 8)
-    data = np.frombuffer(b"".join(s or blank for s in sketch), np.uint64)
-    return data.reshape(len(sketch), -1), np.array([s is not None for s in sketch], bool)
+def _words(sketch: pa.Array) -> np.ndarray:
+    """The sketches as rows of uint64 words."""
+    return np.frombuffer(b"".join(sketch.to_pylist()), np.uint64).reshape(len(sketch), -1)
 
 
 def _screen(pairs: DataFrame, info: DataFrame) -> DataFrame:
@@ -123,21 +141,15 @@ def _screen(pairs: DataFrame, info: DataFrame) -> DataFrame:
     side = lambda x: info.select(*[F.col(c).alias(f"{x}_{c}") for c in info.columns])
     both = pairs.join(side("a"), F.col("a") == F.col("a_node")).join(side("b"), F.col("b") == F.col("b_node"))
     both = both.filter(100 * F.least("a_n", "b_n") >= PERCENT * F.greatest("a_n", "b_n"))
-    kind = pairs.schema["a"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            get = lambda c: batch.column(c).to_pylist()  # noqa: B023, E731
-            n_a, n_b = (np.array(get(c), np.int64) for c in ("a_n", "b_n"))
-            (wa, has_a), (wb, has_b) = _words(get("a_odd_whole")), _words(get("b_odd_whole"))
-            (sa, _), (sb, _) = _words(get("a_odd_some")), _words(get("b_odd_some"))
-            whole = has_a & has_b
-            flips = np.where(whole, sh.popcounts(wa, wb), sh.popcounts(sa, sb))
-            ok = pa.array(passes(n_a, n_b, flips, whole))
-            est = pa.array(_similar(n_a, n_b, flips, whole))
+            n_a, n_b = (batch.column(c).to_numpy() for c in ("a_n", "b_n"))
+            flips = sh.popcounts(_words(batch.column("a_odd")), _words(batch.column("b_odd")))
+            ok, est = pa.array(passes(n_a, n_b, flips)), pa.array(_similar(flips))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), est], ["a", "b", "est"]).filter(ok)
 
-    return both.mapInArrow(run, f"a {kind}, b {kind}, est double")
+    return both.select("a", "b", "a_n", "b_n", "a_odd", "b_odd").mapInArrow(run, "a long, b long, est double")
 
 
 def _confirm(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
@@ -145,7 +157,6 @@ def _confirm(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
 
     The pairs of a b stand together behind b's own text, in groups of bounded size; a group is read as a stream.
     """
-    kind = pairs.schema["a"].dataType.simpleString()
     counts = pairs.groupBy("b").agg(F.ceil(F.count("*") / PER_GROUP).cast("int").alias("groups"))
     group = F.pmod(F.xxhash64("a"), F.col("groups")).cast("int").alias("g")
     asked = pairs.join(counts, "b").select("b", group, F.lit(1).alias("asked"), F.col("a").alias("node"))
@@ -164,7 +175,7 @@ def _confirm(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
                 rest = (part.column(c).to_pylist() for c in ("b", "g", "asked", "node", "h1"))
                 for s, pb, g, is_asked, node, h1 in zip(sets, *rest, strict=True):
                     if np.frombuffer(_digest(s), "<i8")[0] != h1:
-                        continue  # another text under a repeated id
+                        continue  # another text with the same hash
                     if not is_asked:
                         head, place = s, (pb, g)
                     elif place == (pb, g):
@@ -172,9 +183,9 @@ def _confirm(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
                         if 100 * both >= PERCENT * (len(s) + len(head) - both):
                             a.append(node)
                             b.append(pb)
-                yield pa.RecordBatch.from_arrays([pa.array(a, part.column("node").type), pa.array(b, part.column("b").type)], ["a", "b"])
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
-    return rows.mapInArrow(run, f"a {kind}, b {kind}").distinct()
+    return rows.mapInArrow(run, "a long, b long").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -190,7 +201,9 @@ def components(edges: DataFrame) -> DataFrame:
         large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         linked = large.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        last = pairs
         pairs, after = _written(linked.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
+        discard(last)
         if after == state:
             return pairs.select(F.col("u").alias("node"), F.col("v").alias("comp"))
         state = after
@@ -216,103 +229,109 @@ def _merge(labels: DataFrame | None, links: DataFrame) -> DataFrame:
 
 
 def _ask(buckets: DataFrame, info: DataFrame, labels: DataFrame, rejected: DataFrame | None, *, all_pairs: bool) -> DataFrame:
-    """a, b (a > b): candidates from different components within buckets (band, node); see `_forest`."""
-    kind = buckets.schema["node"].dataType.simpleString()
+    """a, b (a > b): candidates from different components within buckets (band, node); see `_forest`.
+
+    A bucket's members outside its largest component are dealt to chunks, and so are the others; a block compares a
+    chunk of the first with a chunk of either. So the largest component comes once for each chunk of the first.
+    """
     here = buckets.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    open_ones = here.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m"))
-    open_ones = open_ones.filter("lo <> hi").select("band", F.ceil(F.col("m") / CHUNK).cast("int").alias("chunks"))
-    rows = here.join(open_ones, "band").withColumn("own", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))
-    rows = rows.select("band", "node", "comp", "own", other.alias("other"))
-    rows = rows.select("band", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", "comp")
+    held = here.groupBy("band", "comp").agg(F.count("*").alias("c")).groupBy("band").agg(
+        F.sum("c").alias("m"), F.max(F.struct("c", "comp")).alias("most"), F.count("*").alias("comps")
+    )
+    chunks = lambda n: F.ceil(n / CHUNK).cast("int")
+    open_ones = materialise(
+        held.filter("comps > 1").select(
+            "band", "m", F.col("most.comp").alias("most"), chunks(F.col("m") - F.col("most.c")).alias("some"), chunks(F.col("most.c")).alias("rest")
+        ), "open-bands",
+    )
+    if open_ones.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        rows = here.join(F.broadcast(open_ones), "band")
+    else:
+        rows = join_groups(here, open_ones, ["band"], "m").filter("m IS NOT NULL")
+    apart = F.col("comp") != F.col("most")
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("node"), F.when(apart, F.col("some")).otherwise(F.col("rest"))).cast("int"))
+    block = lambda i, j, side: F.struct(i.alias("i"), j.alias("j"), side.alias("side"))
+    own, some = F.col("own"), F.col("some")
+    upto = lambda n: F.sequence(F.lit(0), n - 1)
+    # side: 0 for a chunk that meets itself, else 1 for the first and 2 for the second chunk of a block.
+    mutual = F.transform(upto(some), lambda x: block(F.least(own, x), F.greatest(own, x), F.when(x == own, 0).when(x > own, 1).otherwise(2)))
+    onward = F.transform(upto(F.col("rest")), lambda y: block(own, some + y, F.lit(1)))
+    once = F.transform(upto(some), lambda x: block(x, some + own, F.lit(2)))
+    rows = rows.select("band", "node", "comp", F.inline(F.when(apart, F.concat(mutual, onward)).otherwise(once)))
     rows = rows.join(info, "node")
     if rejected is None:
-        rows = rows.withColumn("no", F.array().cast(f"array<{kind}>"))
+        rows = rows.withColumn("no", F.array().cast("array<long>"))
     else:
         twice = rejected.unionByName(rejected.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        rows = rows.join(twice.groupBy(F.col("a").alias("node")).agg(F.collect_set("b").alias("no")), "node", "left")
+        few = twice.groupBy("a").agg(F.count("*").alias("times")).filter(F.col("times") <= REFUSED).select("a")
+        lists = twice.join(few, "a").groupBy(F.col("a").alias("node")).agg(F.collect_list("b").alias("no"))
+        rows = rows.join(lists, "node", "left")
     parts = int(buckets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = rows.repartition(parts, "band", "i", "j").sortWithinPartitions("band", "i", "j")
-    columns = ["band", "i", "j", "node", "comp", "n", "odd_whole", "odd_some", "no"]
-
-    def block(held: list[tuple]) -> list[tuple]:
-        _, _, _, node, comp, n, whole, some, no = zip(*held, strict=True)
-        n, label = np.array(n, np.int64), np.unique(np.array(comp, object), return_inverse=True)[1]
-        # Two members of the block's largest component need no comparison: all others meet everyone.
-        left, right = np.flatnonzero(label != np.bincount(label).argmax()), np.arange(len(node))
-        (w, has), (s, _) = _words(list(whole)), _words(list(some))
-        ok, est = _compare((n[left], w[left], s[left], has[left]), (n[right], w[right], s[right], has[right]))
-        ok &= label[left][:, None] != label[right][None, :]
-        at = {x: k for k, x in enumerate(node)}
-        column = {k: y for y, k in enumerate(right.tolist())}
-        for x, k in enumerate(left.tolist()):
-            ok[x, [column[at[y]] for y in no[k] or () if at.get(y) in column]] = False
-        if not ok.any():
-            return []
-        if all_pairs:
-            found = np.argwhere(ok)
-        else:
-            found = _forest(ok, est, label[left], label[right])
-        return [(max(a, b), min(a, b)) for a, b in ((node[left[x]], node[right[y]]) for x, y in found)]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
-        seen: set[tuple] = set()
-        kind_arrow = None
-
-        def flush() -> None:
-            if len(held) > 1:
-                seen.update(block(held))
-            held.clear()
-
-        def out() -> pa.RecordBatch:
-            pairs = sorted(seen)
-            seen.clear()
-            return pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], kind_arrow) for k in (0, 1)], ["a", "b"])
+    def pairs_of(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        t = pa.Table.from_batches(parts).combine_chunks()
+        node, comp, n, side = (t.column(c).to_numpy() for c in ("node", "comp", "n", "side"))
+        label = np.unique(comp, return_inverse=True)[1]
+        left, right = np.flatnonzero(side != 2), np.flatnonzero(side != 1)
+        if not side.any():  # of a chunk with itself; its own largest component needs no comparison within
+            left = np.flatnonzero(label != np.bincount(label).argmax())
+        words, no = _words(t.column("odd").combine_chunks()), t.column("no").to_pylist()
+        column = {x: k for k, x in enumerate(node[right].tolist())} if any(no) else {}
+
+        def slab(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            flips = sh.popcounts(words[rows][:, None], words[right][None, :])
+            ok = passes(n[rows][:, None], n[right][None, :], flips) & (label[rows][:, None] != label[right][None, :])
+            if column:
+                for x, k in enumerate(rows.tolist()):
+                    ok[x, [column[y] for y in no[k] or () if y in column]] = False
+            return ok, flips
+
+        def made(x: np.ndarray, y: np.ndarray) -> pa.RecordBatch:
+            a, b = node[left[x]], node[right[y]]
+            return pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], ["a", "b"])
+
+        value = None if all_pairs else np.full((len(left), len(right)), -1.0, np.float32)
+        for at in range(0, len(left), SLAB):
+            ok, flips = slab(left[at : at + SLAB])
+            if all_pairs:
+                x, y = np.nonzero(ok)
+                if len(x):
+                    yield made(x + at, y)
+            else:
+                value[at : at + SLAB] = np.where(ok, _similar(flips), -1.0)
+        if value is not None and (value >= 0).any():
+            found = np.array(_forest(value, label[left], label[right])).reshape(-1, 2)
+            yield made(found[:, 0], found[:, 1])
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        last = None
         for batch in batches:
-            kind_arrow = batch.column("node").type
-            for row in zip(*(batch.column(c).to_pylist() for c in columns), strict=True):
-                if held and held[0][:3] != row[:3]:
-                    flush()
-                    if len(seen) > 100_000:
-                        yield out()
-                held.append(row)
-        flush()
-        if seen:
-            yield out()
-
-    return rows.select(*columns).mapInArrow(run, f"a {kind}, b {kind}").distinct()
-
-
-def _cross(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """XOR counts of all rows of a with all rows of b."""
-    return sh.popcounts(a[:, None], b[None, :])
-
-
-def _compare(left: tuple, right: tuple) -> tuple[np.ndarray, np.ndarray]:
-    """(may be links, estimated similarity) of all of left with all of right: (sizes, whole sketches, sampled ones, has whole)."""
-    n_b, w_b, s_b, has_b = right
-    ok = np.zeros((len(left[0]), len(n_b)), bool)
-    est = np.zeros(ok.shape, np.float32)
-    for i in range(0, len(ok), SLAB):
-        n_a, w_a, s_a, has_a = (x[i : i + SLAB] for x in left)
-        whole = has_a[:, None] & has_b[None, :]
-        flips = _cross(w_a, w_b)
-        if not whole.all():
-            flips = np.where(whole, flips, _cross(s_a, s_b))
-        sizes = np.broadcast_to(n_a[:, None], flips.shape), np.broadcast_to(n_b[None, :], flips.shape)
-        ok[i : i + SLAB] = passes(*sizes, flips, whole)
-        est[i : i + SLAB] = _similar(*sizes, flips, whole)
-    return ok, est
-
-
-def _forest(ok: np.ndarray, est: np.ndarray, left: np.ndarray, right: np.ndarray) -> list[tuple[int, int]]:
-    """(row, column) pairs that would join all components that pairs of ok link, the most similar first (Boruvka's steps).
-
-    left, right: the component of each row and column.
+            keys = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in ("band", "i", "j")], axis=1)
+            cuts = np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1
+            for x, y in zip([0, *cuts.tolist()], [*cuts.tolist(), len(keys)], strict=True):
+                if x == y:
+                    continue
+                key = tuple(keys[x].tolist())
+                if held and key != last:
+                    yield from pairs_of(held)
+                    held.clear()
+                held.append(batch.slice(x, y - x))
+                last = key
+        if held:
+            yield from pairs_of(held)
+
+    columns = ["band", "i", "j", "side", "node", "comp", "n", "odd", "no"]
+    asked = rows.select(*columns).mapInArrow(run, "a long, b long").distinct()
+    return asked if rejected is None else asked.join(rejected, ["a", "b"], "left_anti")
+
+
+def _forest(value: np.ndarray, left: np.ndarray, right: np.ndarray) -> list[tuple[int, int]]:
+    """(row, column) pairs that would join all components that pairs link, the most similar first (Boruvka's steps).
+
+    value: estimated similarity, -1 where there is no pair. left, right: the component of each row and column.
     """
-    value = np.where(ok, est, -1.0)
     names = np.unique(np.concatenate([left, right]))
     parent = {int(x): int(x) for x in names}
 
@@ -359,27 +378,19 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     return _judged(docs, id_col=id_col, text_col=text_col, width=width).drop("h1", "h2")
 
 
-def _judged(docs: DataFrame, *, id_col: str, text_col: str, width: int) -> DataFrame:
-    """near_duplicates with h1, h2, the digest of each row's set."""
-    rows = materialise(sketches(docs, id_col=id_col, text_col=text_col, width=width), "sketches")
-    classes = materialise(
-        rows.filter("n > 0").groupBy("h1", "h2", "n").agg(
-            F.min("id").alias("node"), F.count("*").alias("size"), *[F.first(c).alias(c) for c in ("bands", "odd_whole", "odd_some")]
-        ), "set-classes",
-    )
-    nodes = classes.filter("node IS NOT NULL")
-    info = nodes.select("node", "n", "odd_whole", "odd_some")
-    members = nodes.select("node", F.explode("bands").alias("band"))
-    shared = members.groupBy("band").agg(F.min("node").alias("pivot"), F.count("*").alias("m")).filter("m > 1")
+def _links(docs: DataFrame, classes: DataFrame, *, id_col: str, text_col: str, width: int) -> DataFrame:
+    """Labels (node, comp) of the classes that links join."""
+    info = classes.select("node", "n", "odd")
+    members = classes.select("node", F.explode("bands").alias("band"))
+    shared = materialise(members.groupBy("band").agg(F.min("node").alias("pivot"), F.count("*").alias("m")).filter("m > 1"), "shared-bands")
     # A merge join at every size: both sides grow with the corpus, and large partitions of a band can be split.
-    buckets = materialise(members.join(materialise(shared, "shared-bands").hint("merge"), "band"), "buckets")
+    buckets = materialise(members.join(shared.hint("merge"), "band"), "buckets")
     star = buckets.filter("node <> pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct()
     star = materialise(_screen(star, info), "star-pairs")
     others = buckets.filter("m > 2 AND node <> pivot").select("band", "node")
     needed = star.select(F.col("a").alias("node")).union(star.select("b")).union(others.select("node")).distinct()
-    needed = materialise(needed.join(nodes.select("node", "h1"), "node"), "needed")
-    texts = docs.select(F.col(id_col).alias("node"), F.col(text_col).alias("text"))
-    texts = materialise(texts.join(small(needed), "node").select("node", "h1", "text"), "needed-texts")
+    needed = materialise(needed.join(classes.select("node", "id", "th", "h1"), "node"), "needed")
+    texts = _texts_of(docs, needed, id_col=id_col, text_col=text_col)
 
     labels = _merge(None, materialise(_confirm(_best(star), texts, width), "links"))
     rest = materialise(_apart(star.select("a", "b"), labels), "star-rest")
@@ -392,12 +403,46 @@ def _judged(docs: DataFrame, *, id_col: str, text_col: str, width: int) -> DataF
             break
         linked = materialise(_confirm(asked, texts, width), "links")
         refused = asked.join(linked, ["a", "b"], "left_anti")
-        rejected = refused if rejected is None else rejected.unionByName(refused)
-        labels = _merge(labels, linked)
-    groups = classes.join(labels, "node", "left").withColumn("component_id", F.coalesce("comp", "node"))
-    groups = materialise(
-        groups.filter("size > 1 OR component_id <> node").select("h1", "h2", "size", "component_id"), "set-components"
-    )
+        last, rejected = rejected, materialise(refused if rejected is None else rejected.unionByName(refused), "refused")
+        if last is not None:
+            discard(last)
+        last, labels = labels, _merge(labels, linked)
+        discard(asked, linked, last)
+    discard(shared, buckets, star, needed, texts, rest)
+    return labels
+
+
+def _texts_of(docs: DataFrame, needed: DataFrame, *, id_col: str, text_col: str) -> DataFrame:
+    """node, h1, text: one text of each needed class (node, id, th, h1)."""
+    rows = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("__th"))
+    same = F.col("__id").eqNullSafe(F.col("id")) & (F.col("__th") == F.col("th"))
+    texts = materialise(rows.join(small(needed), same).select("node", "h1", "text"), "needed-texts")
+    if texts.count() == needed.count():
+        return texts
+    one = materialise(texts.dropDuplicates(["node"]), "needed-texts")  # rows that repeat an id and its text
+    discard(texts)
+    return one
+
+
+def _judged(docs: DataFrame, *, id_col: str, text_col: str, width: int) -> DataFrame:
+    """near_duplicates with h1, h2, the digest of each row's set."""
+    rows = materialise(sketches(docs, id_col=id_col, text_col=text_col, width=width), "sketches")
+    named = rows.filter("n > 0").groupBy("h1", "h2", "n").agg(
+        F.min("id").alias("id"), F.coalesce(F.min_by("th", "id"), F.min("th")).alias("th"), F.count("*").alias("size"),
+        *[F.first(c).alias(c) for c in ("bands", "odd")],
+    )
+    # The number is written with its row and never made again.
+    classes = materialise(named.withColumn("node", F.monotonically_increasing_id()), "set-classes")
+    labels = _links(docs, classes, id_col=id_col, text_col=text_col, width=width)
+    # The smallest node of a component has no label of its own.
+    all_ = materialise(labels.unionByName(labels.select(F.col("comp").alias("node"), "comp").distinct()), "component-nodes")
+    firsts = all_.join(classes.select("node", "id"), "node").groupBy("comp").agg(F.min("id").alias("first"), F.count("*").alias("members"))
+    firsts = materialise(firsts, "component-ids")
+    joined = join_groups(all_, firsts, ["comp"], "members").select("node", "first")
+    groups = classes.join(joined, "node", "left").withColumn("component_id", F.coalesce("first", "id"))
+    alone = (F.col("size") == 1) & F.col("component_id").eqNullSafe(F.col("id"))
+    groups = materialise(groups.filter(~alone).select("h1", "h2", "size", "component_id"), "set-components")
+    discard(labels, all_, firsts, classes)
     out = join_groups(rows.select("id", "n", "h1", "h2"), groups, ["h1", "h2"], "size")
     comp = F.when(F.col("n") == 0, F.col("id")).otherwise(F.coalesce("component_id", "id"))
     return out.select(
@@ -411,23 +456,29 @@ def _judged(docs: DataFrame, *, id_col: str, text_col: str, width: int) -> DataF
 
 
 def drop_near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 5) -> DataFrame:
-    """docs with all their columns: of each component, the rows of its smallest id.
+    """docs with all their columns: just the rows that `near_duplicates` keeps.
 
-    Rows with a null id are told apart by their sets: one goes only if its own class has a component.
+    Rows go by their id, and where an id (or null) has both rows that stay and rows that go, by id and set.
     """
-    found = _judged(docs, id_col=id_col, text_col=text_col, width=width)
-    gone = materialise(found.filter("NOT kept").select(F.col(id_col).alias("gone"), "h1", "h2").distinct(), "near-copies")
-    by_id = small(gone.filter("gone IS NOT NULL").select("gone").distinct())
-    out = docs.join(by_id, docs[id_col] == F.col("gone"), "left_anti")
-    sets = gone.filter("gone IS NULL").select("h1", "h2")
-    if not sets.limit(1).count():
+    found = _judged(docs, id_col=id_col, text_col=text_col, width=width).select(F.col(id_col).alias("gone"), "kept", "h1", "h2")
+    found = materialise(found, "near-judged")
+    gone = materialise(found.filter("NOT kept").select("gone", "h1", "h2").distinct(), "near-copies")
+    ids = gone.select("gone").distinct()
+    by_id = small(ids)
+    out = docs.join(by_id, docs[id_col].eqNullSafe(by_id["gone"]), "left_anti")
+    stay = found.filter("kept").select(F.col("gone").alias("stay"))
+    both = materialise(ids.join(stay, F.col("gone").eqNullSafe(F.col("stay")), "left_semi"), "near-shared-ids")
+    discard(found)
+    if not both.limit(1).count():
         return out
-    unnamed = docs.filter(F.col(id_col).isNull()).select(F.col(text_col).alias("text")).distinct()
-    known = sketches(unnamed.select("text", F.col("text").alias("copy")), id_col="text", text_col="copy", width=width)
-    texts = materialise(known.select("id", "h1", "h2").join(small(sets), ["h1", "h2"], "left_semi").select(F.col("id").alias("__gone")), "unnamed-copies")
-    rest = docs.filter(F.col(id_col).isNull())
-    rest = rest.join(texts, rest[text_col] == F.col("__gone"), "left_anti")
-    return out.filter(F.col(id_col).isNotNull()).unionByName(rest)
+    names = docs.columns
+    key, text = f"c{names.index(id_col)}", f"c{names.index(text_col)}"
+    safe = docs.toDF(*[f"c{i}" for i in range(len(names))])
+    safe = safe.join(small(both.withColumnRenamed("gone", "__both")), F.col(key).eqNullSafe(F.col("__both")), "left_semi")
+    judged = _with_digests(safe, text_col=text, width=width)
+    copies = small(gone.select("gone", F.col("h1").alias("g1"), F.col("h2").alias("g2")))
+    same = F.col(key).eqNullSafe(F.col("gone")) & (F.col("h1") == F.col("g1")) & (F.col("h2") == F.col("g2"))
+    return out.unionByName(judged.join(copies, same, "left_anti").drop("h1", "h2").toDF(*names))
 
 
 def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
