@@ -7,9 +7,9 @@ by its subtree beforehand, a shortage is made up by siblings first and reaches a
 the whole family is used up. Each leaf's budget is filled in seeded epochs: every epoch orders the leaf's rows by a
 seeded hash, whole epochs come first, and of the last one the longest prefix that fits the budget is taken.
 
-Prefixes are found without sorting a leaf: rows fall by hash into ranges, sums over the ranges give the one range
-in which a prefix ends, and only that range's rows are sorted. A leaf with a third of all rows is split by its
-ranges like any other.
+Prefixes are found without sorting a leaf: rows fall by a byte of their hash into ranges, and sums over the ranges give
+the one range in which a prefix ends; that range is split again by the next byte until it has few rows, whatever the
+leaf's size, and only these are sorted. Splitting reads ids and counts; texts are read once, to select them.
 
 Defined results: a null or empty text has no tokens; a null domain, language or source is the key "?"; nodes that
 the weights don't name weigh 1; weight 0 takes nothing; rows tie-break by id and then count as they come, a
@@ -26,8 +26,9 @@ from pyspark.sql import functions as F
 
 from ._common import materialise, small, table
 
-#: Hash ranges of a leaf in each epoch.
-RANGES = 256
+#: A range in which a prefix ends is split by the next byte of the hash until it has at most so many rows.
+SORTED_ROWS = 10_000
+_HASH_BYTES = 16
 
 
 @dataclass(frozen=True)
@@ -138,22 +139,30 @@ def mix(
 
     def last_epoch(df: DataFrame) -> DataFrame:
         hashed = F.md5(F.concat_ws(":", F.lit(spec.seed), F.col("last"), F.col("id")).cast("binary"))
-        out = df.join(small(plan), list(LEVELS)).filter("rest > 0").withColumn("hash", hashed)
-        return out.withColumn("range", F.pmod(F.conv(F.substring("hash", 1, 2), 16, 10).cast("int"), F.lit(RANGES)))
-
-    sums = last_epoch(rows).groupBy(*LEVELS, "range").agg(F.sum("n_tokens").alias("here"), F.min("rest").alias("rest"))
-    up_to = F.sum("here").over(Window.partitionBy(*LEVELS).orderBy("range"))
-    ends = materialise(
-        sums.withColumn("before", up_to - F.col("here")).filter("before <= rest").select(
-            *LEVELS, "range", "before", (F.col("before") + F.col("here") <= F.col("rest")).alias("all")
-        ),
-        "mix-ranges",
-    )
-    cut = last_epoch(wide).join(small(ends), [*LEVELS, "range"])
-    order = Window.partitionBy(*LEVELS, "range").orderBy("hash", "id").rowsBetween(Window.unboundedPreceding, 0)
-    part = cut.filter("NOT all").withColumn("sum", F.col("before") + F.sum("n_tokens").over(order)).filter("sum <= rest")
+        return df.join(small(plan), list(LEVELS)).filter("rest > 0").withColumn("hash", hashed)
+
+    # ends: for each leaf the hash prefix (hex) in which its tokens run out, and the tokens of the hashes below it.
+    ends = plan.filter("rest > 0").select(*LEVELS, F.lit("").alias("prefix"), F.lit(0).cast("long").alias("before"), F.lit(None).cast("long").alias("n"))
+    head = F.expr("substring(hash, 1, length(prefix))")
+    for _ in range(_HASH_BYTES):
+        within = last_epoch(rows).join(small(ends.filter(F.coalesce(F.col("n") > SORTED_ROWS, F.lit(True)))), list(LEVELS))
+        byte = F.expr("substring(hash, length(prefix) + 1, 2)")
+        sums = within.filter(head == F.col("prefix")).groupBy(*LEVELS, "prefix", byte.alias("byte")).agg(
+            F.sum("n_tokens").alias("here"), F.count("*").alias("rows"), F.min("rest").alias("rest"), F.min("before").alias("before")
+        )
+        up_to = F.col("before") + F.sum("here").over(Window.partitionBy(*LEVELS).orderBy("byte"))
+        split = sums.withColumn("up_to", up_to).filter("up_to > rest")
+        first = F.min_by(F.struct((F.col("up_to") - F.col("here")).alias("before"), "rows"), "byte").alias("end")
+        split = split.groupBy(*LEVELS, "prefix").agg(F.min("byte").alias("byte"), first)
+        split = split.select(*LEVELS, F.concat("prefix", "byte").alias("prefix"), F.col("end.before").alias("before"), F.col("end.rows").alias("n"))
+        ends = materialise(split.unionByName(ends.filter(F.col("n") <= SORTED_ROWS)), "mix-ends")
+        if not ends.filter(F.col("n") > SORTED_ROWS).limit(1).count():
+            break
+    cut = last_epoch(wide).join(small(ends), list(LEVELS))
+    order = Window.partitionBy(*LEVELS).orderBy("hash", "id").rowsBetween(Window.unboundedPreceding, 0)
+    part = cut.filter(head == F.col("prefix")).withColumn("sum", F.col("before") + F.sum("n_tokens").over(order)).filter("sum <= rest")
     columns = ["id", *LEVELS, "n_tokens", *names, "last", "budget"]
-    last = cut.filter("all").select(*columns).unionByName(part.select(*columns)).withColumn("epoch", F.col("last"))
+    last = cut.filter(head < F.col("prefix")).select(*columns).unionByName(part.select(*columns)).withColumn("epoch", F.col("last"))
     whole = wide.join(small(plan), list(LEVELS)).filter("last > 0").select(*columns)
     whole = whole.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.col("last") - 1)))
     out = whole.unionByName(last)
