@@ -28,13 +28,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ._common import materialise, small, table
+from ._common import discard, materialise, small, table
 from ._segments import SegmentCache, slices
 from .bpe import COMMON, byte_symbols, vocabulary_path
 
 END_ID = 2
 #: Tokens in a segment, up to the end of its last document.
 SEGMENT_TOKENS = 1 << 18
+#: Bytes of text that are encoded at a time: the more, the fewer times a frequent word is looked up.
+ENCODE_BYTES = 16_000_000
 _BLOCK = 512
 _MAGIC = b"DAC1"
 
@@ -153,12 +155,26 @@ def write_store(
     end_id: int = END_ID,
     segment_tokens: int = SEGMENT_TOKENS,
 ) -> DataFrame:
-    """Tokenises docs in ascending id order, appends end_id to each, writes the store, and returns it as read back."""
+    """Tokenises docs, appends end_id to each, writes the store in ascending id order, and returns it as read back.
+
+    Texts are encoded where they lie; only packed ids are sorted and dealt by ranges of ids.
+    """
     spark = docs.sparkSession
     kind = docs.select(id_col).schema[0].dataType.simpleString()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, end = _encoder(path), np.array([end_id], np.int32)
+        for batch in batches:
+            for a, b in slices(batch.column("text"), ENCODE_BYTES):
+                part = batch.slice(a, b - a)
+                coded, ends = encode(part.column("text"))
+                packed = []
+                for x, y in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True):
+                    ids = np.concatenate([coded[x:y], end])
+                    packed.append(b"\x02" + ids.astype("<u2").tobytes() if ids.max() < 1 << 16 else b"\x04" + ids.astype("<u4").tobytes())
+                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("th"), pa.array(packed, pa.binary())], ["id", "th", "packed"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, number, first, count = TaskContext.get().partitionId(), 0, 0, 0
         ids: list[pa.Array] = []
         sizes: list[int] = []
@@ -178,29 +194,27 @@ def write_store(
             return pa.RecordBatch.from_pydict(row)
 
         for batch in batches:
-            for a, b in slices(batch.column(1)):
-                coded, ends = encode(batch.column(1).slice(a, b - a))
-                starts = np.concatenate([[0], ends[:-1]])
-                for i, (x, y) in enumerate(zip(starts.tolist(), ends.tolist(), strict=True), a):
-                    ids.append(batch.column(0).slice(i, 1))
-                    sizes.append(y - x + 1)
-                    held += [coded[x:y], end]
-                    count += y - x + 1
-                    if count >= segment_tokens:
-                        yield segment()
-                        count = 0
+            for i, data in enumerate(batch.column(1).to_pylist()):
+                here = np.frombuffer(data, f"<u{data[0]}", offset=1)
+                ids.append(batch.column(0).slice(i, 1))
+                sizes.append(len(here))
+                held.append(here)
+                count += len(here)
+                if count >= segment_tokens:
+                    yield segment()
+                    count = 0
         if sizes:
             yield segment()
 
-    order = [F.col("id"), F.xxhash64("text")]
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("th"))
+    # Written first: dealing by ranges reads its input twice.
+    coded = materialise(texts.mapInArrow(code, f"id {kind}, th long, packed binary"), "token-ids")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = (
-        docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-        .repartitionByRange(parts, *order)
-        .sortWithinPartitions(*order)
-    )
+    ordered = coded.repartitionByRange(parts, "id", "th").sortWithinPartitions("id", "th").select("id", "packed")
     schema = f"part int, number int, first long, n_tokens long, ids array<{kind}>, sizes array<long>, codes binary"
-    return materialise(ordered.mapInArrow(run, schema), "token-store")
+    store = materialise(ordered.mapInArrow(run, schema), "token-store")
+    discard(coded)
+    return store
 
 
 def read_documents(store: DataFrame, *, id_col: str = "doc_id", want: tuple[str, ...] = ("tokens",)) -> DataFrame:
@@ -243,22 +257,28 @@ def _placed(store: DataFrame) -> DataFrame:
 def tokens_at(store: DataFrame, wanted: DataFrame) -> DataFrame:
     """position, token for the positions (long, counted over the whole store) of wanted, each read alone.
 
-    Positions meet segments by a range join on the segments' directory; codes are then read by address.
+    Positions meet the segments' directory by cells; those of a segment are gathered, so that its codes come once,
+    and are then read by address.
     """
     placed = _placed(store)
-    spans = placed.select("first", (F.col("first") + F.col("n_tokens")).alias("after"), "codes")
+    spans = placed.select("part", "number", "first", (F.col("first") + F.col("n_tokens")).alias("after"))
     step = F.lit(SEGMENT_TOKENS)
     cells = spans.withColumn("cell", F.explode(F.sequence(F.floor(F.col("first") / step), F.floor((F.col("after") - 1) / step))))
-    found = wanted.select("position", F.floor(F.col("position") / step).alias("cell")).join(cells, "cell")
+    asked = wanted.groupBy("position").agg(F.count("*").alias("times"))
+    found = asked.withColumn("cell", F.floor(F.col("position") / step)).join(cells, "cell")
     found = found.filter((F.col("position") >= F.col("first")) & (F.col("position") < F.col("after")))
+    local = F.struct((F.col("position") - F.col("first")).alias("at"), "times")
+    found = found.groupBy("part", "number", "first").agg(F.collect_list(local).alias("wanted")).join(store.select("part", "number", "codes"), ["part", "number"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = batch.column("position").to_pylist()
-            here = [Codes(c).token(p - f) for p, f, c in zip(at, batch.column("first").to_pylist(), batch.column("codes").to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column("position"), pa.array(here, pa.int64())], ["position", "token"])
+            for i in range(batch.num_rows):
+                first, asked, data = (batch.column(c)[i].as_py() for c in ("first", "wanted", "codes"))
+                codes = Codes(data)
+                made = [(first + w["at"], codes.token(w["at"])) for w in asked for _ in range(w["times"])]
+                yield pa.RecordBatch.from_arrays([pa.array([m[k] for m in made], pa.int64()) for k in (0, 1)], ["position", "token"])
 
-    return found.select("position", "first", "codes").mapInArrow(run, "position long, token long")
+    return found.select("first", "wanted", "codes").mapInArrow(run, "position long, token long")
 
 
 def op9_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
