@@ -72,10 +72,10 @@ def remove_boilerplate(
 
 
 def _remove_in_place(rows: DataFrame, found: DataFrame) -> DataFrame:
-    hashes = sorted(tuple(r["h"]) for r in found.select("h").collect())
-    held = rows.sparkSession.sparkContext.broadcast(
-        (np.array([h[0] for h in hashes], np.int64), np.array([h[1] for h in hashes], np.int32))
-    )
+    hashes = found.select("h.a", "h.b").toArrow()
+    a, b = (hashes.column(c).to_numpy() for c in ("a", "b"))
+    order = np.lexsort((b, a))
+    held = rows.sparkSession.sparkContext.broadcast((a[order], b[order]))
     kind = rows.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
