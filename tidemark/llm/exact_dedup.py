@@ -142,8 +142,12 @@ def drop_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     out = docs.withColumn("__sha", sha)
     same = out[id_col].eqNullSafe(dropped["gone_id"]) & (out["__sha"] == dropped["gone_sha"])
     out = out.join(dropped, same, "left_anti")
-    if gone.filter("one_stays").limit(1).count():  # rows that repeat an id and its text: one of them
-        out = out.dropDuplicates([id_col, "__sha"])
+    repeated = gone.filter("one_stays")
+    if repeated.limit(1).count():  # rows that repeat an id and its text: one of them; the others don't move
+        repeated = small(repeated)
+        same = out[id_col].eqNullSafe(repeated["gone_id"]) & (out["__sha"] == repeated["gone_sha"])
+        one = out.join(repeated, same, "left_semi").dropDuplicates([id_col, "__sha"])
+        out = out.join(repeated, same, "left_anti").unionByName(one)
     return out.drop("__sha")
 
 
