@@ -96,6 +96,39 @@ def test_language_id_keeps_very_long_texts(spark):
         assert (found, part[0]) == (lang, lang) and score > 0.3 * part[1]
 
 
+def test_language_id_in_rounds(spark, docs, monkeypatch):
+    """Many rounds of dictionaries give what one gives, and no language is left out."""
+    words = {f"l{k}": " ".join(f"{chr(97 + k)}{i % 7}{'xyz'[i % 3]}word{chr(97 + k)}" for i in range(40)) for k in range(9)}
+    rows = [(i, t + f" {i}", lang, "s") for i, (lang, t) in enumerate(sorted(words.items()) * 2)]
+    df = spark.createDataFrame(rows, SCHEMA).unionByName(docs.select("doc_id", "text", "lang", "source"))
+    once = language_id.predict(df, language_id.learned(df)).collect()
+    monkeypatch.setattr(language_id, "ROUND_LANGUAGES", 2)
+    assert sorted(map(str, language_id.predict(df, language_id.learned(df)).collect())) == sorted(map(str, once))
+    assert {r.lang_pred for r in once} >= set(words)
+    held = dict(language_id.train(df))
+    assert held["l3"].count(b"wordd") == 80  # whole texts of all sampled rows
+
+
+def test_language_id_against_plain_zstandard(spark):
+    """Sizes worked out again for each text and language with the library alone."""
+    import zstandard
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    known = language_id.train(docs.filter(~language_id.held_out()))
+    best = {}
+    for r in docs.collect():
+        words = " ".join("".join(c if c.isalpha() else " " for c in (r.text or "").lower()).split()).encode()
+        sizes = []
+        for lang, content in known:
+            params = zstandard.ZstdCompressionParameters.from_level(5, min_match=3, dict_size=len(content), source_size=4096, window_log=max(17, (len(content) + 32 * 1024 - 1).bit_length()), write_content_size=False)
+            coder = zstandard.ZstdCompressor(compression_params=params, dict_data=zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT))
+            sizes.append((sum(len(coder.compress(words[i : i + 32 * 1024])) for i in range(0, len(words), 32 * 1024)), lang))
+        best[r.doc_id] = (sorted(s for s, _ in sizes)[:2], {x for s, x in sizes if s == min(sizes)[0]}, bool(words))
+    for r in language_id.predict(docs, known).collect():
+        (size, second), langs, some = best[r.doc_id]
+        assert (r.lang_pred in langs and abs(r.score - (second - size) / second) < 0.01) if some else r.lang_pred == "und"
+
+
 def test_media(spark, docs, empty):
     rows = media.read_media(media.write_media(docs)).collect()
     assert len(rows) == len(TEXTS) and media.write_media(empty).count() == 0
@@ -122,6 +155,29 @@ def test_url_filter(spark):
     assert url_filter.match(trie, "c.b", "/xyz/1").path == "/xyz/" and url_filter.match(trie, "c.b", "/xyz") is None
 
 
+def test_url_rules_beyond_the_bound(spark):
+    """Sub-tries by host suffix judge as the broadcast trie does; a table of rules as tuples do."""
+    hosts = ["example.com", "www.example.com", "a.www.example.com", "other.com", "com", "net", "shop.net", "X.Net", "org", ""]
+    urls = [f"http://{h}{p}" for h in hosts for p in ("", "/", "/en", "/en/", "/en/x?q", "/es/1#f", "/EN/", "/en/deep/er")] + [None, "none", "://", "a\nb://net/es/"]
+    df = spark.createDataFrame([(i, u) for i, u in enumerate(urls * 3)] + [(None, "http://net/es/")], "page_id long, url string")
+    rules = [*url_filter.RULES, url_filter.Rule("NET", "/es/1", "allow"), url_filter.Rule("www.example.com", "/en/deep", "block"), url_filter.Rule("com", "/en/deep/er", "block")]
+    want = sorted(map(str, url_filter.filter_urls(df, rules).collect()))
+    assert len(want) == 3 * len(urls) + 1
+    of_table = spark.createDataFrame(rules, "host string, path string, verdict string")
+    assert sorted(map(str, url_filter.filter_urls(df, of_table).collect())) == want
+    for given in (rules, of_table):
+        assert sorted(map(str, url_filter.filter_urls(df, given, trie_bytes=100).collect())) == want
+    with pytest.raises(OverflowError):
+        url_filter.build_trie(rules, 2_000)
+
+
+def test_url_groups_of_a_hot_host(spark, monkeypatch):
+    monkeypatch.setattr(url_filter, "GROUP_URLS", 7)
+    df = spark.createDataFrame([(i, f"http://h{i % 3}.hot.net/es/{i}") for i in range(100)], "page_id long, url string")
+    got = url_filter.filter_urls(df, [url_filter.Rule("hot.net", "/es/", "block")], trie_bytes=0).collect()
+    assert len({r.page_id for r in got}) == len(got) == 100 and {r.rule for r in got} == {"hot.net/es/"}
+
+
 def test_chat_format(spark):
     turns = [(1, 0, "user", "hi <b>"), (1, 1, "user", None), (1, 2, "assistant", "\\l </turn>\n<next>"), (1, 2, "assistant", "\\l </turn>\n<next>"), (2, None, None, "x"), (None, 1, "a>b", "y"), (3, 1, "assistant", "z" * 200_000)]
     df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").withColumn("turns", F.lit(1)).withColumn("conv", F.lit(2))
@@ -249,6 +305,36 @@ def test_near_dedup_folds_samples_and_keeps_recall():
     assert passed == asked
 
 
+def test_mixing_by_hand(spark, monkeypatch):
+    """Null ids, repeated rows and two epochs, against a plain walk over each leaf's rows; ranges split to their ends."""
+    monkeypatch.setattr(mixing, "SORTED_ROWS", 1)
+    rows = [(i if i % 9 else None, "w " * (1 + i % 4) + "x", "en" if i % 3 else None, f"s{i % 2}") for i in range(120)] + [(7, "w x", "en", "s1")] * 5
+    df = spark.createDataFrame(rows, SCHEMA)
+    spec = mixing.MixSpec(share=1.4, max_epochs=2, lang_weights={"en": 3, "?": 1})
+    got = mixing.mix(df, spec, domain=F.lit("d"), tokens=mixing.token_count(F.col("text"))).collect()
+    leaves = {}
+    for i, t, lang, source in rows:
+        leaves.setdefault((lang or "?", source), []).append((i, len(t.split())))
+    for leaf, held in leaves.items():
+        here = [r for r in got if (r.lang, r.source) == leaf]
+        budget, total = here[0].leaf_budget, sum(n for _, n in held)
+        last, rest, at = budget // total, budget % total, 0
+        want = sorted((e, i or -1, n) for e in range(last) for i, n in held)
+        key = lambda r: (hashlib.md5(f"{spec.seed}:{last}".encode() + (b"" if r[0] is None else f":{r[0]}".encode())).hexdigest(), r[0] or -1)  # noqa: B023, E731
+        tail = []
+        for i, n in sorted(held, key=key):
+            at += n
+            if at > rest:
+                break
+            tail.append((last, i or -1, n))
+        found = [(r.epoch, r.doc_id or -1, r.n_tokens) for r in here]
+        assert sorted(x for x in found if x[0] < last) == want
+        # Rows without id tie: any of them may come first.
+        assert sum(x[2] for x in found) <= budget and abs(len(found) - len(want) - len(tail)) <= 4
+        if None not in [i for i, _ in held]:
+            assert sorted(x for x in found if x[0] == last) == sorted(tail)
+
+
 def test_mixing(spark, docs, empty):
     tokens = mixing.token_count(F.col("text"))
     spec = mixing.MixSpec(share=1.0, max_epochs=1)
