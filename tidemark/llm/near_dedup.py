@@ -5,7 +5,8 @@
    so that copies cost nothing more; a class is a node.
 2. Classes that share a band key are candidates. Every member is first compared with its bucket's smallest node.
    The sketches' XOR count estimates how many samples differ; a pair goes on unless the count lies more than SIGMAS
-   deviations beyond what a similarity of PERCENT gives.
+   deviations beyond what a similarity of PERCENT gives. A second bitmap has the parities of the set itself: its XOR
+   count never exceeds the sets' difference, so a count beyond what a link may differ by rules a pair out for certain.
 3. What passes is confirmed on the full shingle sets of both texts. Confirmed links give components.
 4. Buckets whose other members still lie in several components are compared all against all but within the largest of
    these, in blocks of bounded size. A block asks for a forest of most similar pairs that would join its components,
@@ -52,7 +53,8 @@ REFUSED = 4096
 
 
 def sketches(docs: DataFrame, *, id_col: str, text_col: str, width: int) -> DataFrame:
-    """id, th long (hash of the text), n int (shingles), h1, h2 long (digest of the set), bands array<long>, odd binary."""
+    """id, th long (hash of the text), n int (shingles), h1, h2 long (digest of the set), bands array<long>,
+    odd binary (of the samples), parity binary (of the set)."""
     kind = docs.select(id_col).schema[0].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -60,15 +62,16 @@ def sketches(docs: DataFrame, *, id_col: str, text_col: str, width: int) -> Data
         for batch in batches:
             for a, b in slices(batch.column(1)):
                 sets = sh.shingle_sets(batch.column(1).slice(a, b - a), width)
-                bands, odd = [], []
+                bands, odd, parity = [], [], []
                 with np.errstate(over="ignore"):
                     for s in sets:
                         if not len(s):
-                            bands.append(None), odd.append(None)
+                            bands.append(None), odd.append(None), parity.append(None)
                             continue
                         samples = sh.sample(s, SAMPLES, salts)
                         bands.append(sh.band_keys(samples[: BANDS * BAND_ROWS], BANDS).view(np.int64))
                         odd.append(sh.odd_sketch(_spread(samples)))
+                        parity.append(sh.odd_sketch(s))
                 part = batch.slice(a, b - a)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -78,12 +81,13 @@ def sketches(docs: DataFrame, *, id_col: str, text_col: str, width: int) -> Data
                         *_digest_columns(sets),
                         pa.array(bands, pa.list_(pa.int64())),
                         pa.array(odd, pa.binary()),
+                        pa.array(parity, pa.binary()),
                     ],
-                    ["id", "th", "n", "h1", "h2", "bands", "odd"],
+                    ["id", "th", "n", "h1", "h2", "bands", "odd", "parity"],
                 )
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("th"))
-    return rows.mapInArrow(run, f"id {kind}, th long, n int, h1 long, h2 long, bands array<long>, odd binary")
+    return rows.mapInArrow(run, f"id {kind}, th long, n int, h1 long, h2 long, bands array<long>, odd binary, parity binary")
 
 
 def _digest(shingles: np.ndarray) -> bytes:
@@ -125,6 +129,11 @@ def passes(n_a: np.ndarray, n_b: np.ndarray, flips: np.ndarray) -> np.ndarray:
     return fits & (flips <= mean + SIGMAS * np.sqrt(spread) + 1)
 
 
+def within(n_a: np.ndarray, n_b: np.ndarray, flips: np.ndarray) -> np.ndarray:
+    """Whether the sets' parities leave a link possible: a link's sets differ in at most so many shingles."""
+    return flips * (100 + PERCENT) <= (n_a + n_b) * (100 - PERCENT)
+
+
 def _similar(flips: np.ndarray) -> np.ndarray:
     """Estimated similarity from the XOR count."""
     p = np.clip(1 - 2 * flips / sh.ODD_BITS, 1e-9, 1)
@@ -146,10 +155,11 @@ def _screen(pairs: DataFrame, info: DataFrame) -> DataFrame:
         for batch in batches:
             n_a, n_b = (batch.column(c).to_numpy() for c in ("a_n", "b_n"))
             flips = sh.popcounts(_words(batch.column("a_odd")), _words(batch.column("b_odd")))
-            ok, est = pa.array(passes(n_a, n_b, flips)), pa.array(_similar(flips))
+            odd = sh.popcounts(_words(batch.column("a_parity")), _words(batch.column("b_parity")))
+            ok, est = pa.array(passes(n_a, n_b, flips) & within(n_a, n_b, odd)), pa.array(_similar(flips))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), est], ["a", "b", "est"]).filter(ok)
 
-    return both.select("a", "b", "a_n", "b_n", "a_odd", "b_odd").mapInArrow(run, "a long, b long, est double")
+    return both.select("a", "b", *[f"{x}_{c}" for x in "ab" for c in ("n", "odd", "parity")]).mapInArrow(run, "a long, b long, est double")
 
 
 def _confirm(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
@@ -276,12 +286,15 @@ def _ask(buckets: DataFrame, info: DataFrame, labels: DataFrame, rejected: DataF
         left, right = np.flatnonzero(side != 2), np.flatnonzero(side != 1)
         if not side.any():  # of a chunk with itself; its own largest component needs no comparison within
             left = np.flatnonzero(label != np.bincount(label).argmax())
-        words, no = _words(t.column("odd").combine_chunks()), t.column("no").to_pylist()
+        words, parity = (_words(t.column(c).combine_chunks()) for c in ("odd", "parity"))
+        no = t.column("no").to_pylist()
         column = {x: k for k, x in enumerate(node[right].tolist())} if any(no) else {}
 
         def slab(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             flips = sh.popcounts(words[rows][:, None], words[right][None, :])
             ok = passes(n[rows][:, None], n[right][None, :], flips) & (label[rows][:, None] != label[right][None, :])
+            x, y = np.nonzero(ok)
+            ok[x, y] = within(n[rows[x]], n[right[y]], sh.popcounts(parity[rows[x]], parity[right[y]]))
             if column:
                 for x, k in enumerate(rows.tolist()):
                     ok[x, [column[y] for y in no[k] or () if y in column]] = False
@@ -322,7 +335,7 @@ def _ask(buckets: DataFrame, info: DataFrame, labels: DataFrame, rejected: DataF
         if held:
             yield from pairs_of(held)
 
-    columns = ["band", "i", "j", "side", "node", "comp", "n", "odd", "no"]
+    columns = ["band", "i", "j", "side", "node", "comp", "n", "odd", "parity", "no"]
     asked = rows.select(*columns).mapInArrow(run, "a long, b long").distinct()
     return asked if rejected is None else asked.join(rejected, ["a", "b"], "left_anti")
 
@@ -380,7 +393,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
 
 def _links(docs: DataFrame, classes: DataFrame, *, id_col: str, text_col: str, width: int) -> DataFrame:
     """Labels (node, comp) of the classes that links join."""
-    info = classes.select("node", "n", "odd")
+    info = classes.select("node", "n", "odd", "parity")
     members = classes.select("node", F.explode("bands").alias("band"))
     shared = materialise(members.groupBy("band").agg(F.min("node").alias("pivot"), F.count("*").alias("m")).filter("m > 1"), "shared-bands")
     # A merge join at every size: both sides grow with the corpus, and large partitions of a band can be split.
@@ -429,7 +442,7 @@ def _judged(docs: DataFrame, *, id_col: str, text_col: str, width: int) -> DataF
     rows = materialise(sketches(docs, id_col=id_col, text_col=text_col, width=width), "sketches")
     named = rows.filter("n > 0").groupBy("h1", "h2", "n").agg(
         F.min("id").alias("id"), F.coalesce(F.min_by("th", "id"), F.min("th")).alias("th"), F.count("*").alias("size"),
-        *[F.first(c).alias(c) for c in ("bands", "odd")],
+        *[F.first(c).alias(c) for c in ("bands", "odd", "parity")],
     )
     # The number is written with its row and never made again.
     classes = materialise(named.withColumn("node", F.monotonically_increasing_id()), "set-classes")
