@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.io import new_path
-from .asof import band_join
+from .rolling import rolling
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -21,15 +21,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
 def asof_medians(rows: DataFrame, levels: Sequence[tuple[str, Sequence[str], int]], *, day: str, value: str, least: int = 8) -> DataFrame:
     """rows with baseline and level: the median of value over the days before, at the first level with `least` rows.
 
-    levels: (name, keys, days), finest first. Each level is one band join of its distinct (keys, day) with the rows.
+    levels: (name, keys, days), finest first. Each level is one rolling pass for its distinct (keys, day).
     """
     out = rows
     for name, keys, days in levels:
         probe = rows.select(*keys, day).distinct()
-        facts = rows.select(*keys, F.col(day).alias("__at"), F.col(value).alias("__v"))
-        near = band_join(probe, facts, by=list(keys), left_on=day, right_on="__at", days=days)
-        med = near.groupBy(*keys, day).agg(F.percentile("__v", 0.5).alias(f"__{name}"), F.count("*").alias("__n")).filter(F.col("__n") >= least)
-        out = out.join(med.drop("__n"), [*keys, day], "left")
+        med = rolling(probe, rows.select(*keys, day, value), by=list(keys), day=day, value=value, days=days)
+        med = med.filter(F.col("window_n") >= least).select(*keys, day, F.col("window").alias(f"__{name}"))
+        out = out.join(med, [*keys, day], "left")
     names = [n for n, _, _ in levels]
     label = F.coalesce(*[F.when(F.col(f"__{n}").isNotNull(), F.lit(n)) for n in names])
     return out.select(*rows.columns, F.coalesce(*[F.col(f"__{n}") for n in names]).alias("baseline"), label.alias("level"))
@@ -61,12 +60,8 @@ def alternating_medians(rows: DataFrame, factors: Sequence[str], value: str, rou
 
 def pooled_percentile(rows: DataFrame, pool: DataFrame, *, by: Sequence[str], day: str, value: str, days: int = 365, least: int = 20) -> DataFrame:
     """rows with the share of pool values of the days before that are smaller, ties counting half; null below `least`."""
-    facts = pool.select(*by, F.col(day).alias("__at"), F.col(value).alias("__v"))
-    keyed = rows.withColumn("__row", F.struct(*rows.columns))
-    near = band_join(keyed.select(*by, day, value, "__row"), facts, by=list(by), left_on=day, right_on="__at", days=days)
-    v, p = F.col(value), F.col("__v")
-    g = near.groupBy("__row").agg(F.count("*").alias("pool_n"), ((F.count_if(p < v) + F.count_if(p == v) / 2) / F.count("*")).alias("pct"))
-    return g.select("__row.*", "pool_n", F.when(F.col("pool_n") >= least, F.col("pct")).alias("pct"))
+    out = rolling(rows, pool.select(*by, day, value), by=list(by), day=day, value=value, days=days, stat="share_below").filter("window_n > 0")
+    return out.select(*rows.columns, F.col("window_n").alias("pool_n"), F.when(F.col("window_n") >= least, F.col("window")).alias("pct"))
 
 
 def quartile_label(value: Column, by: Sequence[str], labels: Sequence[str]) -> Column:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import baseline as bl
 from ..operators import stats
-from ..operators.asof import band_join
+from ..operators.rolling import rolling
 from .demo import hu, participations, query, with_pt
 from .windows import DAYBIAS, day_bias
 
@@ -38,8 +38,8 @@ def day_value(spark, d):
 def rank_matched(spark, d):
     p = participations(spark, d).filter("finish <= 5")
     probe = p.select("venue", "finish", "d_idx").distinct()
-    near = band_join(probe, p.select("venue", "finish", F.col("d_idx").alias("at"), "price"), by=["venue", "finish"], left_on="d_idx", right_on="at", days=180)
-    med = near.groupBy("venue", "finish", "d_idx").agg(F.round(F.percentile("price", 0.5), 4).alias("baseline"), F.count("*").alias("n")).filter("n >= 8")
+    med = rolling(probe, p, by=["venue", "finish"], day="d_idx", value="price", days=180).filter("window_n >= 8")
+    med = med.select("venue", "finish", "d_idx", F.round("window", 4).alias("baseline"), F.col("window_n").alias("n"))
     return p.join(med, ["venue", "finish", "d_idx"]).select("event", "runner_no", "baseline", "n")
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import exprs as x
 from ..operators import asof, stats
+from ..operators.rolling import rolling as moving
 from .demo import hu, order_history, participations, query, with_oh, with_pt
 
 HIST = "hb AS (SELECT entity, d_idx, count(*) AS n, count(*) FILTER (WHERE finish <= 3) AS hits, count(*) FILTER (WHERE finish = 1) AS wins, sum(measure) AS m, sum(measure * measure) AS m2 FROM pt GROUP BY 1, 2)"
@@ -200,11 +201,11 @@ def seasonal(spark, d):
     p = participations(spark, d)
     days = p.select("venue", "d_idx").distinct()
     facts = p.select("venue", F.col("d_idx").alias("at"), "measure")
-    shifts = F.explode(F.flatten(F.array(*[F.sequence(F.lit(a), F.lit(b)) for a, b in SPANS])))
-    same_season = days.withColumn("k", shifts).select("venue", "d_idx", (F.col("d_idx") - F.col("k")).alias("at"))
-    med = lambda near, n: near.groupBy("venue", "d_idx").agg(F.percentile("measure", 0.5).alias(n), F.count("*").alias("held")).filter("held >= 8").drop("held")
-    s = med(same_season.join(facts, ["venue", "at"]), "s")
-    y = med(asof.band_join(days, facts, by=["venue"], left_on="d_idx", right_on="at", days=365), "y")
+    # The years' spans fall on one another when facts move ahead by the end of their span.
+    width = SPANS[0][0] - SPANS[0][1] + 1
+    ahead = facts.withColumn("by", F.explode(F.array(*[F.lit(b - 1) for _, b in SPANS]))).withColumn("at", F.col("at") + F.col("by"))
+    med = lambda facts, k, n: moving(days, facts, by=["venue"], day="d_idx", at="at", value="measure", days=k).filter("window_n >= 8").select("venue", "d_idx", F.col("window").alias(n))
+    s, y = med(ahead, width, "s"), med(facts, 365, "y")
     out = days.join(s, ["venue", "d_idx"], "left").join(y, ["venue", "d_idx"], "left")
     level = F.when(F.col("s").isNotNull(), "season").when(F.col("y").isNotNull(), "year")
     return out.select("venue", "d_idx", F.round(F.coalesce("s", "y"), 4).alias("baseline"), level.alias("level"))
@@ -250,10 +251,8 @@ def active(spark, d):
 def home(spark, d):
     p = participations(spark, d)
     days = p.select("rider", "d_idx").distinct()
-    facts = p.groupBy("rider", F.col("d_idx").alias("at"), "venue").agg(F.count("*").alias("n"))
-    near = asof.band_join(days, facts, by=["rider"], left_on="d_idx", right_on="at", days=365)
-    g = near.groupBy("rider", "d_idx", "venue").agg(F.sum("n").alias("n"))
-    return g.groupBy("rider", "d_idx").agg(F.min_by("venue", F.struct((-F.col("n")).alias("m"), "venue")).alias("home"))
+    out = moving(days, p.select("rider", "d_idx", "venue"), by=["rider"], day="d_idx", value="venue", days=365, stat="mode").filter("window_n > 0")
+    return out.select("rider", "d_idx", F.col("window").cast("int").alias("home"))
 
 
 SIGNED = "CASE WHEN grade <= 2 THEN 10 WHEN grade = 3 THEN 0 ELSE -5 END"
@@ -333,5 +332,5 @@ def rewind(spark, d):
 @query("W34_rolling_median", with_pt("SELECT p.rider, p.d_idx, count(q.measure) AS n, median(q.measure) AS med FROM (SELECT DISTINCT rider, d_idx FROM pt) p JOIN pt q ON q.rider = p.rider AND q.d_idx BETWEEN p.d_idx - 90 AND p.d_idx - 1 GROUP BY 1, 2"))
 def rolling_median(spark, d):
     p = participations(spark, d)
-    near = asof.band_join(p.select("rider", "d_idx").distinct(), p.select("rider", F.col("d_idx").alias("at"), "measure"), by=["rider"], left_on="d_idx", right_on="at", days=90)
-    return near.groupBy("rider", "d_idx").agg(F.count("*").alias("n"), F.percentile("measure", 0.5).alias("med"))
+    out = moving(p.select("rider", "d_idx").distinct(), p, by=["rider"], day="d_idx", value="measure", days=90).filter("window_n > 0")
+    return out.select("rider", "d_idx", F.col("window_n").alias("n"), F.col("window").alias("med"))
