@@ -29,6 +29,32 @@ def interpolate(x: Column, points: Sequence[tuple[float, float]]) -> Column:
     return F.when(x <= points[0][0], F.lit(points[0][1])).otherwise(out)
 
 
+def isotonic(cells: DataFrame, by: str, cell: str) -> DataFrame:
+    """by, cell, x, y with the neighbours' x0, y0, x1, y1: the non-decreasing fit of hits h of n over a bounded table.
+
+    The fit at i is the largest over a <= i of the least mean of [a, b] over b >= i; pairs of cells are few.
+    """
+    w = Window.partitionBy(by).orderBy(cell)
+    runs = cells.withColumn("cn", F.sum("n").over(w)).withColumn("ch", F.sum("h").over(w))
+    a = runs.select(by, F.col(cell).alias("a"), (F.col("cn") - F.col("n")).alias("n0"), (F.col("ch") - F.col("h")).alias("h0"))
+    b = runs.select(by, F.col(cell).alias("b"), "cn", "ch")
+    mean = (F.col("ch") - F.col("h0")) / (F.col("cn") - F.col("n0"))
+    spans = a.join(b, by).filter("a <= b").withColumn("m", mean)
+    least = F.min("m").over(Window.partitionBy(by, "a").orderBy(F.desc("b")))
+    fit = spans.withColumn("m", least).groupBy(by, F.col("b").alias(cell)).agg(F.max("m").alias("y"))
+    fit = fit.join(cells.select(by, cell, "x"), [by, cell])
+    near = [f(c).over(w).alias(n) for f, c, n in ((F.lag, "x", "x0"), (F.lag, "y", "y0"), (F.lead, "x", "x1"), (F.lead, "y", "y1"))]
+    return fit.select(by, cell, "x", "y", *near)
+
+
+def kolmogorov(d: Column, n: Column, terms: int = 100) -> Column:
+    """p value of the statistic d of n values: the alternating series with the usual correction for small n."""
+    root = F.sqrt(n.cast("double"))
+    t = (root + 0.12 + 0.11 / root) * d
+    parts = F.transform(F.sequence(F.lit(1), F.lit(terms)), lambda k: F.when(k % 2 == 1, 2.0).otherwise(-2.0) * F.exp(-2.0 * k * k * t * t))
+    return F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.aggregate(parts, F.lit(0.0), lambda s, x: s + x)))
+
+
 def mixed(p: Column, q: Column, a: float, b: float, event: Sequence[str]) -> Column:
     """p' in proportion to exp(a ln p + b logit q), normalised in the event; both clipped away from 0 and 1."""
     clip = lambda c: F.greatest(F.least(c, F.lit(1 - 1e-6)), F.lit(1e-6))
@@ -50,7 +76,8 @@ def harville(rows: DataFrame, event: str, runner: str, p: str, places: int) -> D
 
 def poisson_weight(key: Column, b: Column, seed: int = 7) -> Column:
     """A deterministic Poisson(1) draw for each (cluster, resample): the bootstrap without collecting clusters."""
-    u = F.pmod(F.xxhash64(key, b, F.lit(seed)), F.lit(1_000_000)) / 1_000_000
+    digest = F.md5(F.concat_ws(":", F.lit(seed), key, b).cast("binary"))
+    u = F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") / 4294967296.0
     out = F.lit(6)
     for k, cut in reversed(list(enumerate((0.367879, 0.735759, 0.919699, 0.981012, 0.996340, 0.999406)))):
         out = F.when(u < cut, k).otherwise(out)

@@ -157,9 +157,30 @@ def leave_year_out(spark, d):
     return p.join(e, ["sire", "going", "yr"]).select("event", "runner_no", stats.half_up(F.col("measure") - F.col("expected"), 6).alias("residual"))
 
 
-@query("B17_matched_strata", with_pt(f"SELECT {hu('sum((a.m - b.m) * a.n) / sum(a.n)', 6)} AS difference, sum(a.n)::BIGINT AS treated FROM (SELECT venue, going, count(*) AS n, avg(measure) AS m FROM pt WHERE popularity = 1 GROUP BY 1, 2) a JOIN (SELECT venue, going, avg(measure) AS m FROM pt WHERE popularity > 1 GROUP BY 1, 2) b USING (venue, going)"))
+#: Groups of events that are left out one after the other for the interval.
+JACK = 50
+B17 = f"""jk AS (SELECT venue, going, event % {JACK} AS g, count(*) FILTER (WHERE popularity = 1)::DOUBLE AS n, coalesce(sum(CASE WHEN popularity = 1 THEN measure END), 0) AS a, count(*) FILTER (WHERE popularity > 1)::DOUBLE AS k, coalesce(sum(CASE WHEN popularity > 1 THEN measure END), 0) AS b FROM pt GROUP BY 1, 2, 3),
+ jt AS (SELECT venue, going, sum(n) AS n, sum(a) AS a, sum(k) AS k, sum(b) AS b FROM jk GROUP BY 1, 2), gs AS (SELECT DISTINCT g FROM jk),
+ lo AS (SELECT g, sum((a / n - b / k) * n) / sum(n) AS est FROM (SELECT gs.g, t.n - coalesce(j.n, 0) AS n, t.a - coalesce(j.a, 0) AS a, t.k - coalesce(j.k, 0) AS k, t.b - coalesce(j.b, 0) AS b FROM gs CROSS JOIN jt t LEFT JOIN jk j ON j.g = gs.g AND j.venue = t.venue AND j.going = t.going) WHERE n > 0 AND k > 0 GROUP BY 1)"""
+
+
+@query("B17_matched_strata", with_pt(f"SELECT {hu('f.est', 6)} AS difference, treated, round(f.est - 1.96 * se, 4) AS low, round(f.est + 1.96 * se, 4) AS high FROM (SELECT sum((a / n - b / k) * n) / sum(n) AS est, sum(n)::BIGINT AS treated FROM jt WHERE n > 0 AND k > 0) f, (SELECT sqrt((count(*) - 1) / count(*) * sum((est - m) ** 2)) AS se FROM (SELECT est, avg(est) OVER () AS m FROM lo))", B17))
 def matched_strata(spark, d):
-    g = participations(spark, d).groupBy("venue", "going").agg(
-        F.count_if(F.col("popularity") == 1).alias("n"), F.avg(F.when(F.col("popularity") == 1, F.col("measure"))).alias("a"), F.avg(F.when(F.col("popularity") > 1, F.col("measure"))).alias("b")
-    ).filter("a IS NOT NULL AND b IS NOT NULL")
-    return g.agg(stats.half_up(F.sum((F.col("a") - F.col("b")) * F.col("n")) / F.sum("n"), 6).alias("difference"), F.sum("n").alias("treated"))
+    """Difference within strata weighted by treated rows, with a 95 % interval by leaving out groups of events."""
+    one, more = F.col("popularity") == 1, F.col("popularity") > 1
+    total = lambda ok: F.coalesce(F.sum(F.when(ok, F.col("measure"))), F.lit(0.0))
+    g = participations(spark, d).groupBy("venue", "going", (F.col("event") % JACK).alias("g")).agg(
+        F.count_if(one).alias("n"), total(one).alias("a"), F.count_if(more).alias("k"), total(more).alias("b")
+    )
+    g = bl.written(g, "strata")  # strata times JACK rows
+    names = ("n", "a", "k", "b")
+    whole = g.groupBy("venue", "going").agg(*[F.sum(c).alias(f"t{c}") for c in names])
+    effect = lambda n, a, k, b: F.sum((a / n - b / k) * n) / F.sum(n)
+    full = whole.filter("tn > 0 AND tk > 0").agg(effect(*[F.col(f"t{c}") for c in names]).alias("est"), F.sum("tn").alias("treated"))
+    every = whole.crossJoin(F.broadcast(g.select("g").distinct())).join(g, ["venue", "going", "g"], "left")
+    rest = [(F.col(f"t{c}") - F.coalesce(c, F.lit(0))).alias(f"r{c}") for c in names]
+    left = every.select("g", *rest).filter("rn > 0 AND rk > 0").groupBy("g").agg(effect(*[F.col(f"r{c}") for c in names]).alias("e"))
+    se = left.agg(F.sqrt((F.count("*") - 1) / F.count("*") * F.var_pop("e") * F.count("*")).alias("se"))
+    out = full.crossJoin(F.broadcast(se))  # one row each
+    band = lambda k: F.round(F.col("est") + k * F.col("se"), 4)
+    return out.select(stats.half_up(F.col("est"), 6).alias("difference"), "treated", band(-1.96).alias("low"), band(1.96).alias("high"))
\ No newline at end of file

@@ -35,15 +35,37 @@ def e3(spark, d):
     return probs(spark, d).withColumn("v", v).select("event", "runner_no", stats.half_up(pr.normalised(F.col("v"), ["event"]), 6).alias("p"))
 
 
-@query("E4_monotone")
+#: Cells of p in a calibration table, and the bands of field sizes that have a table of their own.
+CELLS, FIELDS = 50, ((3, "small"), (5, "middle"), (99, "large"))
+FIELD_SQL = "CASE WHEN field_size <= 3 THEN 'small' WHEN field_size <= 5 THEN 'middle' ELSE 'large' END"
+E4 = (
+    f"cal AS (SELECT event, runner_no, p, won, {FIELD_SQL} AS field, least(floor(round(p, 9) * {CELLS}), {CELLS - 1})::BIGINT AS cell FROM pb JOIN (SELECT event, runner_no, field_size FROM pt) USING (event, runner_no))",
+    "cells AS (SELECT field, cell, count(*) AS n, count(*) FILTER (WHERE won) AS h, round(avg(p), 9) AS x FROM cal GROUP BY 1, 2)",
+    "runs AS (SELECT *, sum(n) OVER w AS cn, sum(h) OVER w AS ch FROM cells WINDOW w AS (PARTITION BY field ORDER BY cell))",
+    "iso AS (SELECT i.field, i.cell, any_value(i.x) AS x, max(m) AS y FROM runs i JOIN (SELECT a.field, a.cell AS a, c.cell AS i, (SELECT min((b.ch - a.ch + a.h) / (b.cn - a.cn + a.n)::DOUBLE) FROM runs b WHERE b.field = a.field AND b.cell >= c.cell) AS m FROM runs a JOIN runs c ON a.field = c.field AND a.cell <= c.cell) t ON t.field = i.field AND t.i = i.cell GROUP BY 1, 2)",
+    "steps AS (SELECT field, cell, x, y, lead(x) OVER w AS x1, lead(y) OVER w AS y1, lag(x) OVER w AS x0, lag(y) OVER w AS y0 FROM iso WINDOW w AS (PARTITION BY field ORDER BY cell))",
+)
+
+
+@query("E4_monotone", with_pt("SELECT c.event, c.runner_no, round(CASE WHEN round(p, 9) < x THEN y0 + (round(p, 9) - x0) * (y - y0) / (x - x0) ELSE coalesce(y + (round(p, 9) - x) * (y1 - y) / (x1 - x), y) END, 6) AS p FROM (SELECT c.*, s.x, s.y, s.x1, s.y1, coalesce(s.x0, -1) AS x0, coalesce(s.y0, s.y) AS y0 FROM cal c JOIN steps s USING (field, cell)) c", PB, *E4))
 def e4(spark, d):
-    """Isotonic regression of the outcome on p, fitted by Spark ML, applied to all rows."""
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.regression import IsotonicRegression
-
-    rows = probs(spark, d).withColumn("label", F.col("won").cast("double"))
-    rows = VectorAssembler(inputCols=["p"], outputCol="features").transform(rows)
-    return IsotonicRegression().fit(rows).transform(rows).select("event", "runner_no", F.round("prediction", 6).alias("p"))
+    """A monotone table of each field-size band (isotonic regression over cells of p), applied by interpolation."""
+    from ..operators.baseline import written
+
+    size = participations(spark, d).select("event", "runner_no", "field_size")
+    rows = probs(spark, d).join(size, ["event", "runner_no"]).withColumn("p", F.round("p", 9))
+    field = F.lit(FIELDS[-1][1])
+    for most, name in reversed(FIELDS[:-1]):
+        field = F.when(F.col("field_size") <= most, name).otherwise(field)
+    rows = rows.withColumn("field", field).withColumn("cell", F.least(F.floor(F.col("p") * CELLS), F.lit(CELLS - 1).cast("long")))
+    cells = rows.groupBy("field", "cell").agg(F.count("*").alias("n"), F.count_if("won").alias("h"), F.round(F.avg("p"), 9).alias("x"))
+    steps = pr.isotonic(written(cells, "cells"), "field", "cell")  # CELLS rows a band at most
+    j = rows.join(F.broadcast(steps), ["field", "cell"])
+    p, x, y = F.col("p"), F.col("x"), F.col("y")
+    x0, y0 = F.coalesce("x0", F.lit(-1.0)), F.coalesce("y0", y)
+    below = y0 + (p - x0) * (y - y0) / (x - x0)
+    above = F.coalesce(y + (p - x) * (F.col("y1") - y) / (F.col("x1") - x), y)
+    return j.select("event", "runner_no", F.round(F.when(p < x, below).otherwise(above), 6).alias("p"))
 
 
 @query("E5_mixed", with_pt("SELECT event, runner_no, round(w / sum(w) OVER (PARTITION BY event), 6) AS p FROM (SELECT *, exp(0.7 * ln(greatest(least(p, 1 - 1e-6), 1e-6)) + 0.3 * ln(greatest(least(q, 1 - 1e-6), 1e-6) / (1 - greatest(least(q, 1 - 1e-6), 1e-6)))) AS w FROM (SELECT *, price / sum(price) OVER (PARTITION BY event) AS q FROM pb))", PB))
@@ -123,34 +145,62 @@ def e11(spark, d):
     return p.join(rate, ["m", "going"]).groupBy("m").agg(F.count("*").alias("n"), F.count_if(F.col("won") == (F.col("rate") >= 0.25)).alias("hits"))
 
 
-@query("E12_bootstrap")
+#: Clusters are groups of events, so that the draws don't grow with the events.
+GROUPS, RESAMPLES = 1000, 200
+POISSON = (0.367879, 0.735759, 0.919699, 0.981012, 0.996340, 0.999406)
+
+
+@query("E12_bootstrap", with_pt("SELECT round(quantile_cont(m, 0.025), 6) AS low, round(quantile_cont(m, 0.5), 6) AS mid, round(quantile_cont(m, 0.975), 6) AS high, count(*) AS resamples FROM (SELECT b, sum(w * h) / sum(w * n)::DOUBLE AS m FROM (SELECT *, CASE " + " ".join(f"WHEN u < {c} THEN {k}" for k, c in enumerate(POISSON)) + f" ELSE 6 END AS w FROM (SELECT g, n, h, b, ('0x' || substr(md5('7:' || g || ':' || b), 1, 8))::BIGINT / 4294967296.0::DOUBLE AS u FROM (SELECT event % {GROUPS} AS g, count(*) AS n, count(*) FILTER (WHERE finish = 1) AS h FROM pt WHERE popularity = 1 GROUP BY 1), range({RESAMPLES}) r(b))) GROUP BY 1)"))
 def e12(spark, d):
-    """95 % interval of the favourites' hit rate over resampled events: a weight for each (event, resample)."""
-    fav = participations(spark, d).filter("popularity = 1").select("event", (F.col("finish") == 1).cast("int").alias("hit"))
-    r = fav.withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(199)))).withColumn("w", pr.poisson_weight(F.col("event"), F.col("b")))
-    means = r.groupBy("b").agg((F.sum(F.col("w") * F.col("hit")) / F.sum("w")).alias("m"))
+    """95 % interval of the favourites' hit rate over resampled groups of events: a weight for each (group, resample)."""
+    fav = participations(spark, d).filter("popularity = 1")
+    g = fav.groupBy((F.col("event") % GROUPS).alias("g")).agg(F.count("*").alias("n"), F.count_if(F.col("finish") == 1).alias("h"))
+    r = g.withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(RESAMPLES - 1)))).withColumn("w", pr.poisson_weight(F.col("g"), F.col("b")))
+    means = r.groupBy("b").agg((F.sum(F.col("w") * F.col("h")) / F.sum(F.col("w") * F.col("n"))).alias("m"))
     q = lambda p: F.round(F.percentile("m", p), 6)
     return means.agg(q(0.025).alias("low"), q(0.5).alias("mid"), q(0.975).alias("high"), F.count("*").alias("resamples"))
 
 
-@query("E13_metrics", with_pt("SELECT round(avg(-CASE WHEN won THEN ln(p) ELSE ln(1 - p) END), 6) AS log_loss, (SELECT round((sum(r) FILTER (WHERE won) - count(*) FILTER (WHERE won) * (count(*) FILTER (WHERE won) + 1) / 2.0::DOUBLE) / (count(*) FILTER (WHERE won) * count(*) FILTER (WHERE NOT won)), 6) FROM (SELECT won, rank() OVER (ORDER BY p) + (count(*) OVER (PARTITION BY p) - 1) / 2.0::DOUBLE AS r FROM pq)) AS auc FROM pq", PB, "pq AS (SELECT event, won, greatest(least(round(p, 9), 1 - 1e-9), 1e-9) AS p FROM pb)"))
+@query("E13_metrics", with_pt("""SELECT round(avg(-CASE WHEN won THEN ln(p) ELSE ln(1 - p) END), 6) AS log_loss,
+  (SELECT round((sum(r) FILTER (WHERE won) - count(*) FILTER (WHERE won) * (count(*) FILTER (WHERE won) + 1) / 2.0::DOUBLE) / (count(*) FILTER (WHERE won) * count(*) FILTER (WHERE NOT won)), 6) FROM (SELECT won, rank() OVER (ORDER BY p) + (count(*) OVER (PARTITION BY p) - 1) / 2.0::DOUBLE AS r FROM pq)) AS auc,
+  (SELECT round(sum(w * (lower + same / 2)) FILTER (WHERE won) / (sum(w) FILTER (WHERE won) * sum(w) FILTER (WHERE NOT won)), 6) FROM (SELECT won, w, coalesce(sum(CASE WHEN NOT won THEN w END) OVER (ORDER BY p RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0) - coalesce(sum(CASE WHEN NOT won THEN w END) OVER (PARTITION BY p), 0) AS lower, coalesce(sum(CASE WHEN NOT won THEN w END) OVER (PARTITION BY p), 0) AS same FROM pq)) AS weighted_auc,
+  (SELECT count(*) FROM pq a JOIN pq b ON a.event = b.event AND a.won AND NOT b.won) AS pairs,
+  (SELECT round(sum(CASE WHEN a.p > b.p THEN 1 WHEN a.p = b.p THEN 0.5 ELSE 0 END) / count(*), 6) FROM pq a JOIN pq b ON a.event = b.event AND a.won AND NOT b.won) AS concordance,
+  (SELECT round(avg((finish <= 3)::INT), 6) FROM (SELECT finish, row_number() OVER (PARTITION BY event ORDER BY p DESC, runner_no) AS k FROM pq) WHERE k = 1) AS top1_in_top3
+FROM pq""", PB, "pq AS (SELECT event, runner_no, finish, won, price AS w, greatest(least(round(p, 9), 1 - 1e-9), 1e-9) AS p FROM pb)"))
 def e13(spark, d):
+    """Log-loss, AUC, AUC weighted by price, share of (winner, other) pairs of an event in the right order, first pick placed."""
     p = F.greatest(F.least(F.round("p", 9), F.lit(1 - 1e-9)), F.lit(1e-9))
-    rows = probs(spark, d).select("won", p.alias("p"))
-    # Ranks over the distinct values of p: counts by value, then one running sum over those.
-    v = rows.groupBy("p").agg(F.count("*").alias("n"), F.count_if("won").alias("h"), F.sum(-F.when(F.col("won"), F.log("p")).otherwise(F.log(1 - F.col("p")))).alias("loss"))
-    bins = v.withColumn("bin", F.floor(F.col("p") * 1000))
-    w = Window.partitionBy("bin").orderBy("p")
-    inner = bins.withColumn("before_in", F.sum("n").over(w) - F.col("n"))
-    per = bins.groupBy("bin").agg(F.sum("n").alias("bn"))
-    per = per.withColumn("before_bin", F.sum("bn").over(Window.orderBy("bin")) - F.col("bn"))  # 1001 rows at most
-    r = inner.join(F.broadcast(per), "bin").withColumn("r", F.col("before_bin") + F.col("before_in") + (F.col("n") + 1) / 2)
-    t = r.agg(F.sum("loss").alias("loss"), F.sum("n").alias("n"), F.sum("h").alias("h"), F.sum(F.col("h") * F.col("r")).alias("hr"))
-    auc = (F.col("hr") - F.col("h") * (F.col("h") + 1) / 2) / (F.col("h") * (F.col("n") - F.col("h")))
-    return t.select(F.round(F.col("loss") / F.col("n"), 6).alias("log_loss"), F.round(auc, 6).alias("auc"))
-
-
-@query("E14_mcnemar")
+    rows = probs(spark, d).select("event", "runner_no", "finish", "won", F.col("price").alias("w"), p.alias("p"))
+    # Ranks over the distinct values of p: counts by value, then running sums over those, within bins and over bins.
+    won, lost = (lambda c: F.sum(F.when(F.col("won"), c).otherwise(0)), lambda c: F.sum(F.when(F.col("won"), 0).otherwise(c)))
+    loss = F.sum(-F.when(F.col("won"), F.log("p")).otherwise(F.log(1 - F.col("p"))))
+    v = rows.groupBy("p").agg(F.count("*").alias("n"), loss.alias("loss"), won(F.lit(1)).alias("h"), lost(F.lit(1)).alias("m"), won(F.col("w")).alias("hw"), lost(F.col("w")).alias("mw"))
+    v = v.withColumn("bin", F.floor(F.col("p") * 1000))
+    inner, over = Window.partitionBy("bin").orderBy("p"), Window.orderBy("bin")
+    per = v.groupBy("bin").agg(F.sum("m").alias("bm"), F.sum("mw").alias("bw"))
+    per = per.select("bin", (F.sum("bm").over(over) - F.col("bm")).alias("m0"), (F.sum("bw").over(over) - F.col("bw")).alias("w0"))  # 1001 rows at most
+    r = v.select("*", (F.sum("m").over(inner) - F.col("m") / 2).alias("m1"), (F.sum("mw").over(inner) - F.col("mw") / 2).alias("w1")).join(F.broadcast(per), "bin")
+    total = lambda c: F.sum(c)
+    auc = total(F.col("h") * (F.col("m0") + F.col("m1"))) / (total("h") * total("m"))
+    weighted = total(F.col("hw") * (F.col("w0") + F.col("w1"))) / (total("hw") * total("mw"))
+    ranks = r.agg(F.round(total("loss") / total("n"), 6).alias("log_loss"), F.round(auc, 6).alias("auc"), F.round(weighted, 6).alias("weighted_auc"))
+    e = Window.partitionBy("event")
+    best = F.max(F.when(F.col("won"), F.col("p"))).over(e)
+    k = F.row_number().over(e.orderBy(F.desc("p"), "runner_no"))
+    near = rows.select("finish", "p", best.alias("best"), (~F.col("won") & best.isNotNull()).alias("other"), k.alias("k"))
+    right = F.sum(F.when(F.col("other"), F.when(F.col("best") > F.col("p"), 1.0).when(F.col("best") == F.col("p"), 0.5).otherwise(0.0)))
+    top = F.avg(F.when(F.col("k") == 1, (F.col("finish") <= 3).cast("int")))
+    pairs = near.agg(F.count_if("other").alias("pairs"), F.round(right / F.count_if("other"), 6).alias("concordance"), F.round(top, 6).alias("top1_in_top3"))
+    return ranks.crossJoin(F.broadcast(pairs))  # one row each
+
+
+E14_SQL = with_pt("""SELECT venue, k, n, round(p, 6) AS p, round(least(1.0, max(step) OVER (ORDER BY p, venue)), 6) AS holm FROM (SELECT *, (count(*) OVER () - row_number() OVER (ORDER BY p, venue) + 1) * p AS step FROM (
+  SELECT venue, k, n, least(1.0, 2 * list_sum(list_transform(range(least(k, n - k) + 1), lambda i: CASE WHEN n = 0 THEN 1.0 ELSE exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) - n * ln(2.0)) END))) AS p
+  FROM (SELECT venue, count(*) FILTER (WHERE a AND NOT b) AS k, count(*) FILTER (WHERE a <> b) AS n FROM (SELECT event, venue, bool_or(popularity = 1 AND finish = 1) AS a, bool_or(runner_no = 1 AND finish = 1) AS b FROM pt GROUP BY 1, 2) GROUP BY 1)))""")
+
+
+@query("E14_mcnemar", E14_SQL)
 def e14(spark, d):
     """Favourite against dearest as picks of the winner, by venue: exact p, and Holm's correction over the venues."""
     p = participations(spark, d)
@@ -163,7 +213,7 @@ def e14(spark, d):
     return g.select("venue", "k", "n", F.round("p", 6).alias("p"), F.round(F.least(F.lit(1.0), F.max("step").over(w)), 6).alias("holm"))
 
 
-@query("E15_uniformity", with_pt("SELECT venue, round(max(greatest(abs(u - k / n), abs(u - (k - 1) / n))), 6) AS d, max(n)::BIGINT AS n FROM (SELECT venue, u, row_number() OVER (PARTITION BY venue ORDER BY u, event)::DOUBLE AS k, count(*) OVER (PARTITION BY venue)::DOUBLE AS n FROM (SELECT venue, event, round((finish - 0.5) / field_size, 9)::DOUBLE AS u FROM pt WHERE popularity = 1)) GROUP BY 1"))
+@query("E15_uniformity", with_pt("SELECT venue, d, n, round(greatest(0, least(1, list_sum(list_transform(range(1, 101), lambda k: (CASE WHEN k % 2 = 1 THEN 2 ELSE -2 END) * exp(-2 * k * k * ((sqrt(n) + 0.12 + 0.11 / sqrt(n)) * d) ** 2))))), 4) AS p FROM (SELECT venue, round(max(greatest(abs(u - k / n), abs(u - (k - 1) / n))), 6) AS d, max(n)::BIGINT AS n FROM (SELECT venue, u, row_number() OVER (PARTITION BY venue ORDER BY u, event)::DOUBLE AS k, count(*) OVER (PARTITION BY venue)::DOUBLE AS n FROM (SELECT venue, event, round((finish - 0.5) / field_size, 9)::DOUBLE AS u FROM pt WHERE popularity = 1)) GROUP BY 1)"))
 def e15(spark, d):
     rows = participations(spark, d).filter("popularity = 1").select("venue", F.round((F.col("finish") - 0.5) / F.col("field_size"), 9).alias("u"))
     # Ties first: a value's steps are bounded by the running counts on either side of it.
@@ -172,7 +222,8 @@ def e15(spark, d):
     upto, n = F.sum("c").over(w), F.sum("c").over(Window.partitionBy("venue"))
     s = v.select("venue", "u", upto.alias("k"), (upto - F.col("c")).alias("j"), n.alias("n"))
     step = F.greatest(F.abs(F.col("u") - F.col("k") / F.col("n")), F.abs(F.col("u") - F.col("j") / F.col("n")))
-    return s.groupBy("venue").agg(F.round(F.max(step), 6).alias("d"), F.max("n").alias("n"))
+    out = s.groupBy("venue").agg(F.round(F.max(step), 6).alias("d"), F.max("n").alias("n"))
+    return out.withColumn("p", F.round(pr.kolmogorov(F.col("d"), F.col("n")), 4))
 
 
 @query("E16_market_gap", with_pt("SELECT event, runner_no, round(ln(p) - ln(q), 6) AS gap, rank() OVER (PARTITION BY event ORDER BY p DESC)::INT AS rank_p, rank() OVER (PARTITION BY event ORDER BY q DESC)::INT AS rank_q FROM (SELECT event, runner_no, round(p, 9) AS p, round(price / sum(price) OVER (PARTITION BY event), 9) AS q FROM pb) WHERE p >= 0.1", PB))
@@ -195,29 +246,46 @@ def e17(spark, d):
     return rows.select("event", "runner_no", F.get(F.array(*map(F.lit, MARKS)), k - 1).alias("mark"), F.round(F.col("p") / F.sum("p").over(e), 6).alias("p"))
 
 
-@query("E18_residual_probe", with_pt("SELECT q, count(*) AS n, round(avg(r), 6) AS mean, sum(CASE WHEN ym > 0 THEN 1 ELSE 0 END)::BIGINT AS up FROM (SELECT q, r, avg(r) OVER (PARTITION BY q, yr) AS ym FROM (SELECT ntile(5) OVER (PARTITION BY venue ORDER BY measure, event, runner_no)::INT AS q, won::INT - p AS r, yr FROM (SELECT pb.*, t.measure, year(pb.day) AS yr FROM pb JOIN pt t USING (event, runner_no)))) GROUP BY 1", PB).replace("sum(CASE WHEN ym > 0 THEN 1 ELSE 0 END)::BIGINT AS up", "count(*) FILTER (WHERE r > 0) AS up"))
+@query("E18_residual_probe", with_pt("""SELECT q, count(*) AS n, round(avg(r), 6) AS mean, (SELECT round(2 * sqrt(sum(e * e)) / sum(c), 6) FROM (SELECT sum(r - m) AS e, count(*) AS c FROM (SELECT event, r, avg(r) OVER () AS m FROM rq b WHERE b.q = rq.q) GROUP BY event)) AS twice_se,
+  (SELECT count(*) FILTER (WHERE m > 0) FROM (SELECT round(avg(r), 9) AS m FROM rq b WHERE b.q = rq.q GROUP BY yr)) AS years_up, count(DISTINCT yr) AS years FROM rq GROUP BY q""", PB,
+  "rq AS (SELECT event, yr, r, least(5, 1 + floor(5 * (below + same / 2) / n))::INT AS q FROM (SELECT event, yr, r, count(*) OVER (PARTITION BY venue ORDER BY measure RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)::DOUBLE - same AS below, same, n FROM (SELECT p.event, year(p.day) AS yr, p.venue, t.measure, p.won::INT - p.p AS r, count(*) OVER (PARTITION BY p.venue, t.measure)::DOUBLE AS same, count(*) OVER (PARTITION BY p.venue)::DOUBLE AS n FROM pb p JOIN (SELECT event, runner_no, measure FROM pt) t USING (event, runner_no))))"))
 def e18(spark, d):
+    """Residuals by fifth of a feature within its venue: mean, twice the standard error over events, sign of each year.
+
+    Fifths are cut by counts of values, so that ties stay together and no window holds a venue's rows.
+    """
     p = participations(spark, d).select("event", "runner_no", "measure")
     rows = probs(spark, d).join(p, ["event", "runner_no"]).withColumn("r", F.col("won").cast("int") - F.col("p"))
-    rows = rows.withColumn("q", F.ntile(5).over(Window.partitionBy("venue").orderBy("measure", "event", "runner_no")))
-    return rows.groupBy("q").agg(F.count("*").alias("n"), F.round(F.avg("r"), 6).alias("mean"), F.count_if(F.col("r") > 0).alias("up"))
+    v = rows.groupBy("venue", "measure").agg(F.count("*").alias("same"))
+    w = Window.partitionBy("venue")
+    place = (F.sum("same").over(w.orderBy("measure")) - F.col("same") / 2) / F.sum("same").over(w)
+    fifth = v.select(F.col("venue"), F.col("measure"), F.least(F.lit(5).cast("long"), 1 + F.floor(5 * place)).cast("int").alias("q"))
+    rows = rows.join(fifth, ["venue", "measure"]).select("q", "event", F.year("day").alias("yr"), "r")
+    means = rows.groupBy("q").agg(F.count("*").alias("n"), F.avg("r").alias("m"), F.count_distinct("yr").alias("years"))
+    events = rows.groupBy("q", "event").agg(F.sum("r").alias("s"), F.count("*").alias("c")).join(F.broadcast(means), "q")  # five rows
+    error = events.groupBy("q").agg((2 * F.sqrt(F.sum(F.pow(F.col("s") - F.col("c") * F.col("m"), 2))) / F.sum("c")).alias("se"))
+    years = rows.groupBy("q", "yr").agg(F.round(F.avg("r"), 9).alias("ym")).groupBy("q").agg(F.count_if(F.col("ym") > 0).alias("years_up"))
+    return means.join(error, "q").join(years, "q").select("q", "n", F.round("m", 6).alias("mean"), F.round("se", 6).alias("twice_se"), "years_up", "years")
 
 
 @query("E19_model")
 def e19(spark, d):
-    """Logistic regression (Spark ML) on as-of features; scored for all rows."""
+    """Logistic regression (Spark ML) on as-of features; all rows are scored by the coefficients, as plain expressions."""
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.feature import VectorAssembler
 
+    from ..operators.baseline import written
     from .windows import asof_rate
 
     rows = asof_rate(spark, d, 365).join(participations(spark, d).select("event", "runner_no", "popularity", "finish"), ["event", "runner_no"])
     rows = rows.select("event", "runner_no", F.coalesce("rate", F.lit(0.0)).alias("rate"), F.col("n").cast("double").alias("n"), F.col("popularity").cast("double").alias("popularity"), (F.col("finish") == 1).cast("double").alias("label"))
-    rows = VectorAssembler(inputCols=["rate", "n", "popularity"], outputCol="features").transform(rows)
-    model = LogisticRegression(maxIter=8, regParam=0.01).fit(rows)
-    from pyspark.ml.functions import vector_to_array
-
-    return model.transform(rows).select("event", "runner_no", F.round(F.get(vector_to_array("probability"), 1), 4).alias("p"))
+    names = ["rate", "n", "popularity"]
+    rows = written(rows, "model-rows")
+    model = LogisticRegression(maxIter=8, regParam=0.01).fit(VectorAssembler(inputCols=names, outputCol="features").transform(rows))
+    z = F.lit(float(model.intercept))
+    for name, b in zip(names, model.coefficients, strict=True):
+        z = z + float(b) * F.col(name)
+    return rows.select("event", "runner_no", F.round(1 / (1 + F.exp(-z)), 4).alias("p"))
 
 
 @query("E20_strongest", with_pt("SELECT event, round(a - b, 6) AS lead FROM (SELECT event, max(CASE WHEN k = 1 THEN p END) AS a, max(CASE WHEN k = 2 THEN p END) AS b FROM (SELECT event, round(p, 9) AS p, row_number() OVER (PARTITION BY event ORDER BY round(p, 9) DESC, runner_no) AS k FROM pb) WHERE k <= 2 GROUP BY 1) WHERE b IS NOT NULL ORDER BY round(a - b, 6) DESC, event LIMIT 20", PB).replace(" AS lead FROM", " AS ahead FROM"))
