@@ -67,6 +67,20 @@ def band_join(left: DataFrame, right: DataFrame, *, by: Sequence[str], left_on:
     return near.filter((F.col(right_on) < F.col(left_on)) & (F.col(right_on) >= F.col(left_on) - days)).drop("__cell")
 
 
+def last_before(rows: DataFrame, by: Sequence[str], day: str, order: Sequence[str], cols: Sequence[str], k: int) -> DataFrame:
+    """by, day, last: the k newest rows strictly before each day of the key, newest first, as structs of day, order and cols.
+
+    Each day keeps its k newest rows, and a day looks back over k days, so that no list grows with a key's past.
+    """
+    item = F.struct(day, *order, *cols)
+    newest = Window.partitionBy(*by, day).orderBy(*[F.desc(c) for c in order])
+    top = rows.withColumn("__k", F.row_number().over(newest)).filter(F.col("__k") <= k)
+    days = top.groupBy(*by, day).agg(F.collect_list(item).alias("__day"))
+    back = Window.partitionBy(*by).orderBy(day).rowsBetween(-k, -1)
+    all_ = F.flatten(F.collect_list("__day").over(back))
+    return days.select(*by, day, F.slice(F.reverse(F.array_sort(all_)), 1, k).alias("last"))
+
+
 def overlap_counts(spans: DataFrame, by: Sequence[str], key: str, start: str, end: str) -> DataFrame:
     """key, n: other closed intervals of the group that overlap each one, by two running counts instead of pairs."""
     point = lambda t, kind: spans.select(*by, F.col(key).alias("id"), F.col(t).alias("t"), F.lit(kind).alias("kind"))

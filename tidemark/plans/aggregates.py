@@ -276,15 +276,34 @@ def band_facts(spark, d):
     )
 
 
-@query("A32_pick_records", with_pt("SELECT mark, period, count(*) AS n, count(*) FILTER (WHERE finish = 1) AS wins, count(*) FILTER (WHERE finish <= 3) AS placed, floor(sum(CASE WHEN finish = 1 THEN round(price * 100)::BIGINT ELSE 0 END) / 100.0::DOUBLE / count(*) * 10000 + 0.500001) / 10000 AS roi FROM (SELECT popularity AS mark, finish, price, date_trunc('month', day)::DATE AS period FROM pt WHERE popularity <= 4) GROUP BY 1, 2"))
+SPANS_SQL = "[{'span': 'day', 'period': day}, {'span': 'week', 'period': date_trunc('week', day)::DATE}, {'span': 'month', 'period': date_trunc('month', day)::DATE}]"
+
+
+@query("A32_pick_records", with_pt(f"""SELECT mark, band, s.span AS span, s.period AS period, count(*) AS n, count(*) FILTER (WHERE finish = 1) AS wins, count(*) FILTER (WHERE finish <= 3) AS placed, floor(sum(CASE WHEN finish = 1 THEN round(price * 100)::BIGINT ELSE 0 END) / 100.0::DOUBLE / count(*) * 10000 + 0.500001) / 10000 AS roi, count(DISTINCT venue) AS venues
+  FROM (SELECT popularity::BIGINT AS mark, CASE WHEN discount < 0.03 THEN 'long' WHEN discount < 0.07 THEN 'mid' ELSE 'short' END AS band, finish, price, venue, unnest({SPANS_SQL}) AS s FROM pt WHERE popularity <= 4) GROUP BY 1, 2, 3, 4
+UNION ALL SELECT 0, 'exacta', s.span, s.period, count(*), count(*) FILTER (WHERE a = 1 AND b = 2), count(*) FILTER (WHERE a <= 3 AND b <= 3), NULL, count(DISTINCT venue)
+  FROM (SELECT *, unnest({SPANS_SQL}) AS s FROM (SELECT event, day, venue, max(CASE WHEN popularity = 1 THEN finish END) AS a, max(CASE WHEN popularity = 2 THEN finish END) AS b FROM pt GROUP BY 1, 2, 3)) WHERE b IS NOT NULL GROUP BY 3, 4"""))
 def pick_records(spark, d):
-    picks = participations(spark, d).filter("popularity <= 4").groupBy("event").agg(F.sort_array(F.collect_list(F.struct("popularity", "runner_no"))).alias("s"))
-    flat = picks.select("event", F.posexplode("s.runner_no").alias("mark", "runner_no"))
-    rows = flat.join(participations(spark, d).select("event", "runner_no", "finish", "price", "day"), ["event", "runner_no"])
-    return rows.groupBy((F.col("mark") + 1).alias("mark"), F.trunc("day", "month").alias("period")).agg(
+    """Records of the four picks by mark, odds band and day, week and month, and of the first two as an ordered pair."""
+    from ..functions.exprs import band
+
+    p = participations(spark, d)
+    spans = [F.struct(F.lit("day").alias("span"), F.col("day").alias("period")), *[F.struct(F.lit(s).alias("span"), F.trunc("day", s).alias("period")) for s in ("week", "month")]]
+    picks = p.filter("popularity <= 4").select(
+        F.col("popularity").cast("long").alias("mark"), band(F.col("discount"), [0.03, 0.07], ["long", "mid", "short"]).alias("band"), "finish", "price", "venue", F.inline(F.array(*spans))
+    )
+    one = picks.groupBy("mark", "band", "span", "period").agg(
         F.count("*").alias("n"), F.count_if(F.col("finish") == 1).alias("wins"), F.count_if(F.col("finish") <= 3).alias("placed"),
-        stats.half_up(F.sum(F.when(F.col("finish") == 1, F.round(F.col("price") * 100).cast("long")).otherwise(0)) / 100 / F.count("*")).alias("roi"),
+        stats.half_up(F.sum(F.when(F.col("finish") == 1, F.round(F.col("price") * 100).cast("long")).otherwise(0)) / 100 / F.count("*")).alias("roi"), F.count_distinct("venue").alias("venues"),
+    )
+    pick = lambda k: F.max(F.when(F.col("popularity") == k, F.col("finish")))
+    pairs = p.groupBy("event", "day", "venue").agg(pick(1).alias("a"), pick(2).alias("b")).filter("b IS NOT NULL").select("a", "b", "venue", F.inline(F.array(*spans)))
+    two = pairs.groupBy("span", "period").agg(
+        F.count("*").alias("n"), F.count_if((F.col("a") == 1) & (F.col("b") == 2)).alias("wins"),
+        F.count_if((F.col("a") <= 3) & (F.col("b") <= 3)).alias("placed"), F.count_distinct("venue").alias("venues"),
     )
+    two = two.select(F.lit(0).cast("long").alias("mark"), F.lit("exacta").alias("band"), "span", "period", "n", "wins", "placed", F.lit(None).cast("double").alias("roi"), "venues")
+    return one.unionByName(two)
 
 
 @query("A33_transitions", with_oh("SELECT k, count(*) AS n, count(*) FILTER (WHERE now) AS hits, round(count(*) FILTER (WHERE now) / count(*), 6) AS rate FROM (SELECT grade = 1 AS now, least(3, sum((grade = 1)::INT) OVER w)::BIGINT AS k, count(*) OVER w AS held FROM oh WINDOW w AS (PARTITION BY entity ORDER BY d_idx, event ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING)) WHERE held = 5 GROUP BY 1"))

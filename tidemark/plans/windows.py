@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import exprs as x
 from ..operators import asof, stats
 from ..operators.rolling import rolling as moving
-from .demo import hu, order_history, participations, query, with_oh, with_pt
+from .demo import OH, hu, order_history, participations, query, table, with_oh, with_pt
 
 HIST = "hb AS (SELECT entity, d_idx, count(*) AS n, count(*) FILTER (WHERE finish <= 3) AS hits, count(*) FILTER (WHERE finish = 1) AS wins, sum(measure) AS m, sum(measure * measure) AS m2 FROM pt GROUP BY 1, 2)"
 
@@ -131,10 +131,24 @@ def relative(spark, d):
                     (F.max("measure").over(e) - F.col("measure")).alias("to_max"), F.round(F.avg(F.when(F.col("k") <= 5, F.col("measure"))).over(e), 6).alias("top5"))
 
 
-@query("W10_islands", with_oh("SELECT event, block, row_number() OVER (PARTITION BY entity, block ORDER BY d_idx, event)::INT AS since_break FROM (SELECT *, sum(f) OVER (PARTITION BY entity ORDER BY d_idx, event)::BIGINT AS block FROM (SELECT *, CASE WHEN d_idx - lag(d_idx) OVER w <= 180 THEN 0 ELSE 1 END AS f FROM oh " + SEQ_SQL + "))"))
+@query("W10_islands", with_oh("SELECT event, b42, b180, row_number() OVER (PARTITION BY entity, b42 ORDER BY d_idx, event)::INT AS since42, row_number() OVER (PARTITION BY entity, b180 ORDER BY d_idx, event)::INT AS since180 FROM (SELECT *, sum(f42) OVER (PARTITION BY entity ORDER BY d_idx, event)::BIGINT AS b42, sum(f180) OVER (PARTITION BY entity ORDER BY d_idx, event)::BIGINT AS b180 FROM (SELECT *, CASE WHEN d_idx - lag(d_idx) OVER w <= 42 THEN 0 ELSE 1 END AS f42, CASE WHEN d_idx - lag(d_idx) OVER w <= 180 THEN 0 ELSE 1 END AS f180 FROM oh " + SEQ_SQL + "))"))
 def islands(spark, d):
-    o = order_history(spark, d).withColumn("block", stats.islands(F.col("d_idx"), ["entity"], ["d_idx", "event"], 180))
-    return o.select("event", "block", F.row_number().over(Window.partitionBy("entity", "block").orderBy("d_idx", "event")).alias("since_break"))
+    """Runs since a break of more than 42 and of more than 180 days."""
+    o = order_history(spark, d)
+    for gap in (42, 180):
+        o = o.withColumn(f"b{gap}", stats.islands(F.col("d_idx"), ["entity"], ["d_idx", "event"], gap))
+    since = lambda gap: F.row_number().over(Window.partitionBy("entity", f"b{gap}").orderBy("d_idx", "event")).alias(f"since{gap}")
+    return o.select("event", "b42", "b180", since(42), since(180))
+
+
+@query("W16_adjacent", "SELECT user_id, event_type, hour, value, previous FROM (SELECT *, lag(value) OVER w AS previous, lag(hour) OVER w AS before FROM (SELECT user_id, event_type, date_trunc('hour', ts) AS hour, arg_max(value, (ts, event_id)) AS value FROM events GROUP BY 1, 2, 3) WINDOW w AS (PARTITION BY user_id, event_type ORDER BY hour)) WHERE before = hour - INTERVAL 1 HOUR")
+def adjacent(spark, d):
+    """Each snapshot (hour) of a key against the snapshot right before it; where that one is missing there is no pair."""
+    e = table(spark, d, "events").withColumn("hour", F.date_trunc("hour", "ts").cast("timestamp_ntz"))
+    snaps = e.groupBy("user_id", "event_type", "hour").agg(F.max_by("value", F.struct("ts", "event_id")).alias("value"))
+    w = Window.partitionBy("user_id", "event_type").orderBy("hour")
+    rows = snaps.select("*", F.lag("value").over(w).alias("previous"), F.lag("hour").over(w).alias("before"))
+    return rows.filter(F.expr("before = hour - INTERVAL 1 HOUR")).drop("before")
 
 
 @query("W11_meetings", with_pt("SELECT venue, day, block, fy, dense_rank() OVER (PARTITION BY venue, fy ORDER BY block)::INT AS ordinal, row_number() OVER (PARTITION BY venue, fy, block ORDER BY day)::INT AS day_no FROM (SELECT *, sum(f) OVER (PARTITION BY venue ORDER BY day)::BIGINT AS block FROM (SELECT *, CASE WHEN date_diff('day', lag(day) OVER w, day) <= 2 AND fy = lag(fy) OVER w THEN 0 ELSE 1 END AS f FROM (SELECT DISTINCT venue, day, (year(day) - CASE WHEN month(day) < 4 THEN 1 ELSE 0 END)::INT AS fy FROM pt) WINDOW w AS (PARTITION BY venue ORDER BY day)))"))
@@ -218,23 +232,40 @@ def last_year(spark, d):
     return p.select("event", "runner_no", "rider", F.year("day").alias("yr")).join(y, ["rider", "yr"], "left").drop("rider", "yr")
 
 
-@query("W22_style", with_oh("SELECT event, CASE WHEN n >= 3 THEN CASE WHEN g < 2.5 THEN 'front' WHEN g < 3.5 THEN 'middle' ELSE 'back' END END AS style FROM (SELECT event, (SELECT count(*) FROM (SELECT * FROM oh b WHERE b.entity = a.entity AND b.d_idx < a.d_idx AND b.d_idx >= a.d_idx - 365 ORDER BY b.d_idx DESC, b.event DESC LIMIT 5)) AS n, (SELECT avg(grade) FROM (SELECT * FROM oh b WHERE b.entity = a.entity AND b.d_idx < a.d_idx AND b.d_idx >= a.d_idx - 365 ORDER BY b.d_idx DESC, b.event DESC LIMIT 5)) AS g FROM oh a)"))
+@query("W22_style", with_oh("SELECT event, CASE WHEN len(u) >= 3 THEN CASE WHEN list_avg(u) < 2.5 THEN 'front' WHEN list_avg(u) < 3.5 THEN 'middle' ELSE 'back' END END AS style FROM (SELECT event, CASE WHEN len(same) >= 3 THEN same ELSE l END AS u FROM (SELECT event, list_transform(l, x -> x.g) AS l, list_transform(list_filter(l, x -> x.s = status), x -> x.g) AS same FROM (SELECT event, status, (SELECT list({'s': status, 'g': grade}) FROM (SELECT * FROM oh b WHERE b.entity = a.entity AND b.d_idx < a.d_idx AND b.d_idx >= a.d_idx - 365 ORDER BY b.d_idx DESC, b.event DESC LIMIT 5)) AS l FROM oh a)))").replace("x -> ", "lambda x: "))
 def style(spark, d):
+    """Mean position of the last five rows of a year, of those alone that share the row's venue (status) if they are three."""
     o = order_history(spark, d)
-    past = F.collect_list(F.struct("d_idx", "event", "grade")).over(Window.partitionBy("entity").orderBy("d_idx").rangeBetween(-365, -1))
-    last = F.slice(F.reverse(F.array_sort(past)), 1, 5)
-    g = F.aggregate(last, F.lit(0), lambda a, r: a + r["grade"]) / F.size(last)
-    label = F.when(F.size(last) >= 3, F.when(g < 2.5, "front").when(g < 3.5, "middle").otherwise("back"))
-    return o.select("event", label.alias("style"))
-
-
-@query("W23_form_facts", with_oh("SELECT event, count(*) OVER p AS runs, (d_idx - max(d_idx) OVER p)::INT AS days_since, round(avg((grade = 1)::INT) OVER p, 6) AS late_rate, row_number() OVER (PARTITION BY entity, year(day) ORDER BY d_idx, event)::INT AS of_year, round(median(price) OVER p, 4) AS median_price FROM oh WINDOW p AS (PARTITION BY entity ORDER BY d_idx RANGE BETWEEN 730 PRECEDING AND 1 PRECEDING)"))
+    last = asof.last_before(o, ["entity"], "d_idx", ["event"], ["status", "grade"], 5)
+    rows = o.select("event", "entity", "d_idx", "status").join(last, ["entity", "d_idx"])
+    year = F.filter("last", lambda r: r["d_idx"] >= F.col("d_idx") - 365)
+    rows = rows.select("event", "status", year.alias("l"))
+    same = F.filter("l", lambda r: r["status"] == F.col("status"))
+    used = F.when(F.size(same) >= 3, same).otherwise(F.col("l"))
+    g = F.aggregate(used, F.lit(0), lambda a, r: a + r["grade"]) / F.size(used)
+    label = F.when(F.size(used) >= 3, F.when(g < 2.5, "front").when(g < 3.5, "middle").otherwise("back"))
+    return rows.select("event", label.alias("style"))
+
+
+@query("W23_form_facts", with_oh("""SELECT event, count(*) OVER p AS runs, (d_idx - max(d_idx) OVER p)::INT AS days_since, round(avg((grade = 1)::INT) OVER p, 6) AS late_rate, round(avg(CASE WHEN prev <= 2 THEN (grade <= 2)::INT END) OVER p, 6) AS hold_rate,
+  round(avg(CASE WHEN prev IS NOT NULL THEN (grade > prev)::INT END) OVER p, 6) AS fade_rate, round(avg((grade = 1)::INT) OVER v, 6) AS venue_rate, round(avg((grade = 1)::INT) OVER t, 6) AS weekend_rate, round(median(gap) OVER p, 4) AS median_gap,
+  row_number() OVER (PARTITION BY entity, year(day) ORDER BY d_idx, event)::INT AS of_year, round(median(price) OVER p, 4) AS median_price
+  FROM (SELECT *, lag(grade) OVER w AS prev, d_idx - lag(d_idx) OVER w AS gap, dayofweek(day) IN (0, 6) AS weekend FROM oh WINDOW w AS (PARTITION BY entity ORDER BY d_idx, event))
+  WINDOW p AS (PARTITION BY entity ORDER BY d_idx RANGE BETWEEN 730 PRECEDING AND 1 PRECEDING), v AS (PARTITION BY entity, status ORDER BY d_idx RANGE BETWEEN 730 PRECEDING AND 1 PRECEDING), t AS (PARTITION BY entity, weekend ORDER BY d_idx RANGE BETWEEN 730 PRECEDING AND 1 PRECEDING)"""))
 def form_facts(spark, d):
-    p = _past("entity", days=730)
+    """Two years before the day: counts, late, hold and fade rates, late rates at the venue and on the kind of day, gaps."""
+    p, v, t = _past("entity", days=730), _past("entity", "status", days=730), _past("entity", "weekend", days=730)
     of_year = F.row_number().over(Window.partitionBy("entity", F.year("day")).orderBy("d_idx", "event"))
-    return order_history(spark, d).select(
-        "event", F.count("*").over(p).alias("runs"), (F.col("d_idx") - F.max("d_idx").over(p)).alias("days_since"),
-        F.round(F.avg((F.col("grade") == 1).cast("int")).over(p), 6).alias("late_rate"), of_year.alias("of_year"), F.round(F.percentile("price", 0.5).over(p), 4).alias("median_price"),
+    o = order_history(spark, d).select(
+        "*", F.lag("grade").over(_seq()).alias("prev"), (F.col("d_idx") - F.lag("d_idx").over(_seq())).alias("gap"), F.dayofweek("day").isin(1, 7).alias("weekend")
+    )
+    share = lambda ok, w: F.round(F.avg(ok.cast("int")).over(w), 6)
+    late, prev = F.col("grade") == 1, F.col("prev")
+    return o.select(
+        "event", F.count("*").over(p).alias("runs"), (F.col("d_idx") - F.max("d_idx").over(p)).alias("days_since"), share(late, p).alias("late_rate"),
+        share(F.when(prev <= 2, F.col("grade") <= 2), p).alias("hold_rate"), share(F.when(prev.isNotNull(), F.col("grade") > prev), p).alias("fade_rate"),
+        share(late, v).alias("venue_rate"), share(late, t).alias("weekend_rate"), F.round(F.percentile("gap", 0.5).over(p), 4).alias("median_gap"),
+        of_year.alias("of_year"), F.round(F.percentile("price", 0.5).over(p), 4).alias("median_price"),
     )
 
 
@@ -262,11 +293,21 @@ def signed():
     return F.when(F.col("grade") <= 2, 10).when(F.col("grade") == 3, 0).otherwise(-5)
 
 
-@query("W26_balance", with_oh(f"SELECT event, fy, sum({SIGNED}) OVER (PARTITION BY entity, fy ORDER BY d_idx, event)::BIGINT AS balance, (100 + sum({SIGNED}) OVER (PARTITION BY entity ORDER BY d_idx, event))::BIGINT AS from_anchor FROM (SELECT *, (year(day) - CASE WHEN month(day) < 4 THEN 1 ELSE 0 END)::INT AS fy FROM oh)"))
+ANCHORED = f"an AS (SELECT *, sum({SIGNED}) OVER (PARTITION BY entity ORDER BY d_idx, event) AS run, CASE WHEN row_number() OVER (PARTITION BY entity, year(day) ORDER BY d_idx, event) = 1 THEN round(price / 1000)::BIGINT END AS official FROM oh)"
+
+
+@query("W26_balance", with_oh(f"SELECT event, sum({SIGNED}) OVER (PARTITION BY entity, year(day) - CASE WHEN month(day) < 4 THEN 1 ELSE 0 END ORDER BY d_idx, event)::BIGINT AS carried, (run + last_value(official - run IGNORE NULLS) OVER (PARTITION BY entity ORDER BY d_idx, event ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))::BIGINT AS forwards, (run + first_value(official - run IGNORE NULLS) OVER (PARTITION BY entity ORDER BY d_idx, event ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING))::BIGINT AS backwards FROM an", ANCHORED))
 def balance(spark, d):
+    """Running balance carried within a fiscal year, and rebuilt from official values (each year's first row): forwards
+    from the last one and backwards from the next one, by differences of one running sum."""
     o = order_history(spark, d).withColumn("fy", x.fiscal_year(F.col("day"))).withColumn("s", signed())
     run = lambda *k: F.sum("s").over(Window.partitionBy(*k).orderBy("d_idx", "event"))
-    return o.select("event", "fy", run("entity", "fy").alias("balance"), (100 + run("entity")).alias("from_anchor"))
+    first = F.row_number().over(Window.partitionBy("entity", F.year("day")).orderBy("d_idx", "event")) == 1
+    o = o.withColumn("run", run("entity")).withColumn("gap", F.when(first, F.round(F.col("price") / 1000).cast("long")) - F.col("run"))
+    before, after = _seq().rowsBetween(Window.unboundedPreceding, 0), _seq().rowsBetween(1, Window.unboundedFollowing)
+    forwards = F.col("run") + F.last("gap", ignorenulls=True).over(before)
+    backwards = F.col("run") + F.first("gap", ignorenulls=True).over(after)
+    return o.select("event", run("entity", "fy").alias("carried"), forwards.alias("forwards"), backwards.alias("backwards"))
 
 
 @query("W27_points", with_oh(f"SELECT event, coalesce(sum({SIGNED}) OVER (PARTITION BY entity ORDER BY d_idx RANGE BETWEEN 365 PRECEDING AND 7 PRECEDING), 0)::BIGINT AS points FROM oh"))
@@ -275,7 +316,10 @@ def points(spark, d):
     return order_history(spark, d).select("event", F.coalesce(F.sum(signed()).over(w), F.lit(0)).cast("long").alias("points"))
 
 
-@query("W27_folded_points")
+FOLD = f"WITH RECURSIVE {OH}, s AS (SELECT entity, {SIGNED} AS amount, grade * 20 AS lim, row_number() OVER (PARTITION BY entity ORDER BY d_idx, event) AS k FROM oh), f AS (SELECT entity, 0 AS k, 0 AS points FROM (SELECT DISTINCT entity FROM s) UNION ALL SELECT f.entity, f.k + 1, least(60, greatest(f.points, least(f.points + s.amount, s.lim))) FROM f JOIN s ON s.entity = f.entity AND s.k = f.k + 1) SELECT entity, max(k)::BIGINT AS n, arg_max(points, k)::INT AS points FROM f GROUP BY 1"
+
+
+@query("W27_folded_points", FOLD)
 def folded_points(spark, d):
     """Order-dependent ledger: each amount is capped by a per-row limit and the total by a global one."""
     rows = order_history(spark, d).withColumn("amount", signed())
@@ -284,11 +328,32 @@ def folded_points(spark, d):
     return rows.groupBy("entity").agg(seq.alias("s")).select("entity", F.size("s").cast("long").alias("n"), F.aggregate("s", F.lit(0), step).alias("points"))
 
 
-@query("W28_forecast", with_oh(f"SELECT reason, count(*) AS n, sum(short)::BIGINT AS short FROM (SELECT CASE WHEN last < DATE '1999-01-01' THEN 'inactive' WHEN points >= 40 THEN 'reached' WHEN points < 0 THEN 'negative' ELSE 'open' END AS reason, greatest(40 - points, 0) AS short FROM (SELECT entity, sum({SIGNED}) AS points, max(day) AS last FROM oh WHERE day <= DATE '2000-01-01' GROUP BY 1)) GROUP BY 1"))
+#: Dated lines: the points that count from a switch date on.
+LINES = (("1990-01-01", 30), ("1997-04-01", 35), ("1999-04-01", 40), ("2001-01-01", 50))
+W28 = (
+    "ls AS (SELECT entity, last, CASE WHEN month(last) < 4 THEN make_date(year(last), 4, 1) WHEN month(last) < 10 THEN make_date(year(last), 10, 1) ELSE make_date(year(last) + 1, 4, 1) END AS switch FROM (SELECT entity, max(day) AS last FROM oh GROUP BY 1))",
+    f"sw AS (SELECT entity, last, switch, coalesce(sum(CASE WHEN day > switch - 730 THEN {SIGNED} END), 0)::BIGINT AS points, coalesce(sum(CASE WHEN day > last - 730 AND day <= switch - 730 THEN {SIGNED} END), 0)::BIGINT AS dropping FROM ls JOIN oh USING (entity) GROUP BY 1, 2, 3)",
+    "li AS (SELECT *, (year(switch) - 1980 - entity % 20)::BIGINT AS age, CASE " + " ".join(f"WHEN switch >= DATE '{a}' THEN {b}" for a, b in reversed(LINES)) + " END AS line FROM sw)",
+)
+
+
+@query("W28_forecast", with_oh("SELECT entity, switch, age, line, points, dropping, greatest(line - points, 0) AS short, CASE WHEN age < 3 THEN 'too young' WHEN last < switch - 150 THEN 'inactive' WHEN points < 0 THEN 'negative' WHEN points >= line THEN 'reached' ELSE 'open' END AS reason FROM li", *W28))
 def forecast(spark, d):
-    g = order_history(spark, d).filter(F.col("day") <= F.lit("2000-01-01").cast("date")).groupBy("entity").agg(F.sum(signed()).alias("points"), F.max("day").alias("last"))
-    reason = F.when(F.col("last") < F.lit("1999-01-01").cast("date"), "inactive").when(F.col("points") >= 40, "reached").when(F.col("points") < 0, "negative").otherwise("open")
-    return g.groupBy(reason.alias("reason")).agg(F.count("*").alias("n"), F.sum(F.greatest(40 - F.col("points"), F.lit(0))).alias("short"))
+    """At an entity's next switch date (April or October 1st) after its last row: age, the line of that date, points of the
+    730 days before, what drops out until then, the shortfall, and why an entity is left out."""
+    o = order_history(spark, d).withColumn("s", signed()).withColumn("last", F.max("day").over(Window.partitionBy("entity")))
+    year, month = F.year("last"), F.month("last")
+    switch = F.when(month < 4, F.make_date(year, F.lit(4), F.lit(1))).when(month < 10, F.make_date(year, F.lit(10), F.lit(1))).otherwise(F.make_date(year + 1, F.lit(4), F.lit(1)))
+    o = o.withColumn("switch", switch)
+    start = F.date_sub("switch", 730)
+    total = lambda ok: F.coalesce(F.sum(F.when(ok, F.col("s"))), F.lit(0)).cast("long")
+    g = o.groupBy("entity", "last", "switch").agg(total(F.col("day") > start).alias("points"), total((F.col("day") > F.date_sub("last", 730)) & (F.col("day") <= start)).alias("dropping"))
+    line = F.lit(None).cast("int")
+    for day, points in LINES:
+        line = F.when(F.col("switch") >= F.lit(day).cast("date"), points).otherwise(line)
+    g = g.withColumn("age", F.year("switch") - 1980 - F.col("entity") % 20).withColumn("line", line)
+    reason = F.when(F.col("age") < 3, "too young").when(F.col("last") < F.date_sub("switch", 150), "inactive").when(F.col("points") < 0, "negative").when(F.col("points") >= F.col("line"), "reached").otherwise("open")
+    return g.select("entity", "switch", "age", "line", "points", "dropping", F.greatest(F.col("line") - F.col("points"), F.lit(0)).alias("short"), reason.alias("reason"))
 
 
 @query("W29_after_reference", with_oh("SELECT r.entity, count(o.event) AS n, min(o.day) AS first FROM (SELECT entity, min(day) + 365 AS ref FROM oh GROUP BY 1) r LEFT JOIN oh o ON o.entity = r.entity AND o.day > r.ref GROUP BY 1"))
@@ -305,15 +370,18 @@ def debut(spark, d):
     return order_history(spark, d).groupBy("entity").agg(first.alias("s")).select("entity", "s.*")
 
 
-@query("W31_bitemporal", with_pt("SELECT p.event, p.runner_no, count(q.measure) AS known, round(avg(q.measure), 6) AS mean FROM pt p LEFT JOIN pt q ON q.rider = p.rider AND q.d_idx < p.d_idx AND q.d_idx >= p.d_idx - 60 AND q.available <= p.day GROUP BY 1, 2"))
+@query("W31_bitemporal", with_pt("SELECT p.event, p.runner_no, any_value(p.pct) AS pct, count(q.measure) AS known, count(q.measure) FILTER (WHERE q.d_idx >= p.d_idx - 14) AS n14, round(avg(q.measure), 6) AS mean FROM (SELECT *, round(percent_rank() OVER (PARTITION BY d_idx, going ORDER BY measure), 6) AS pct FROM pt) p LEFT JOIN pt q ON q.rider = p.rider AND q.d_idx < p.d_idx AND q.d_idx >= p.d_idx - 60 AND q.available <= p.day GROUP BY 1, 2"))
 def bitemporal(spark, d):
-    """Facts of the 60 days before that had become known by the day."""
+    """Facts of the 60 days before that had become known by the day, how many of them in 14 days, and the own value's
+    rank among all of the day and condition."""
     p = participations(spark, d)
-    left = p.select("event", "runner_no", "rider", "d_idx", "day")
+    pct = F.percent_rank().over(Window.partitionBy("d_idx", "going").orderBy("measure"))
+    left = p.select("event", "runner_no", "rider", "d_idx", "day", F.round(pct, 6).alias("pct"))
     facts = p.select("rider", F.col("d_idx").alias("at"), "available", "measure")
     near = asof.band_join(left, facts, by=["rider"], left_on="d_idx", right_on="at", days=60).filter("available <= day")
-    g = near.groupBy("event", "runner_no").agg(F.count("*").alias("known"), F.round(F.avg("measure"), 6).alias("mean"))
-    return left.select("event", "runner_no").join(g, ["event", "runner_no"], "left").withColumn("known", F.coalesce("known", F.lit(0)).cast("long"))
+    g = near.groupBy("event", "runner_no").agg(F.count("*").alias("known"), F.count_if(F.col("at") >= F.col("d_idx") - 14).alias("n14"), F.round(F.avg("measure"), 6).alias("mean"))
+    out = left.select("event", "runner_no", "pct").join(g, ["event", "runner_no"], "left")
+    return out.fillna(0, ["known", "n14"])
 
 
 @query("W32_partner_conflict", with_pt("SELECT event, runner_no, count(*) FILTER (WHERE other <> runner_no) AS rivals FROM (SELECT a.event, a.runner_no, b.runner_no AS other FROM pt a JOIN pt b ON a.event = b.event AND a.sire = b.sire) GROUP BY 1, 2"))
@@ -322,15 +390,28 @@ def partner_conflict(spark, d):
     return participations(spark, d).select("event", "runner_no", n.alias("rivals"))
 
 
-@query("W33_rewind", with_oh("SELECT event, coalesce(lead(priority) OVER w, 'current') AS after FROM oh " + SEQ_SQL))
-def rewind(spark, d):
-    """A change log read backwards: the value as of a row is the next change's from-value, else the current one."""
-    log = order_history(spark, d)
-    return log.select("event", F.coalesce(F.lead("priority").over(_seq()), F.lit("current")).alias("after"))
+AS_OF = ("1996-07-01", "1998-01-01", "1999-12-31")
 
 
-@query("W34_rolling_median", with_pt("SELECT p.rider, p.d_idx, count(q.measure) AS n, median(q.measure) AS med FROM (SELECT DISTINCT rider, d_idx FROM pt) p JOIN pt q ON q.rider = p.rider AND q.d_idx BETWEEN p.d_idx - 90 AND p.d_idx - 1 GROUP BY 1, 2"))
+@query("W33_rewind", with_oh("SELECT c.entity, a.d AS as_of, coalesce((SELECT arg_min(l.was, (l.d_idx, l.event)) FROM lg l WHERE l.entity = c.entity AND l.day > a.d), c.now) AS value FROM (SELECT entity, arg_max(priority, (d_idx, event)) AS now FROM oh GROUP BY 1) c CROSS JOIN (VALUES " + ", ".join(f"(DATE '{a}')" for a in AS_OF) + ") a(d)", "lg AS (SELECT * FROM (SELECT *, lag(priority) OVER w AS was FROM oh " + SEQ_SQL + ") WHERE was <> priority)"))
+def rewind(spark, d):
+    """An attribute as of past days from its current value and a change log: the from-value of the first change after the
+    day, else the current value. One grouping for all days."""
+    o = order_history(spark, d).withColumn("was", F.lag("priority").over(_seq()))
+    at = F.struct("d_idx", "event")
+    days = [F.lit(a).cast("date") for a in AS_OF]
+    later = [F.min_by("was", F.when((F.col("was") != F.col("priority")) & (F.col("day") > a), at)).alias(f"was{i}") for i, a in enumerate(days)]
+    g = o.groupBy("entity").agg(F.max_by("priority", at).alias("now"), *later)
+    rows = F.inline(F.array(*[F.struct(a.alias("as_of"), F.coalesce(f"was{i}", "now").alias("value")) for i, a in enumerate(days)]))
+    return g.select("entity", rows)
+
+
+@query("W34_rolling_median", with_pt("SELECT d.rider, d.d_idx, count(q.measure) AS n, median(q.measure) AS med, array_to_string(list(q.measure::INT ORDER BY q.d_idx DESC, q.event DESC, q.runner_no DESC)[1:3], ',') AS last3 FROM (SELECT DISTINCT rider, d_idx FROM pt) d JOIN pt q ON q.rider = d.rider AND q.d_idx BETWEEN d.d_idx - 730 AND d.d_idx - 1 GROUP BY 1, 2"))
 def rolling_median(spark, d):
+    """Median and count of the 730 days before, and the last three values."""
     p = participations(spark, d)
-    out = moving(p.select("rider", "d_idx").distinct(), p, by=["rider"], day="d_idx", value="measure", days=90).filter("window_n > 0")
-    return out.select("rider", "d_idx", F.col("window_n").alias("n"), F.col("window").alias("med"))
+    out = moving(p.select("rider", "d_idx").distinct(), p, by=["rider"], day="d_idx", value="measure", days=730).filter("window_n > 0")
+    last = asof.last_before(p, ["rider"], "d_idx", ["event", "runner_no"], ["measure"], 3)
+    year2 = F.filter("last", lambda r: r["d_idx"] >= F.col("d_idx") - 730)
+    last = last.select("rider", "d_idx", F.array_join(F.transform(year2, lambda r: r["measure"].cast("int").cast("string")), ",").alias("last3"))
+    return out.join(last, ["rider", "d_idx"]).select("rider", "d_idx", F.col("window_n").alias("n"), F.col("window").alias("med"), "last3")
\ No newline at end of file
