@@ -40,10 +40,15 @@ def blocks(lines: DataFrame, by: Sequence[str], order: Sequence[str], start: Col
 
 
 def dictionary_codes(rows: DataFrame, col: str, order: Sequence[str]) -> DataFrame:
-    """rows with code: ids by first appearance from 0, -1 for null. The dictionary is the distinct values."""
+    """rows with code long: numbers by first appearance from 0 (of equal places by value), -1 for null.
+
+    The dictionary is the distinct values; it is numbered by ranges side by side.
+    """
+    from .stats import numbered
+
     first = rows.filter(F.col(col).isNotNull()).groupBy(col).agg(F.min(F.struct(*order)).alias("__at"))
-    codes = first.select(col, (F.row_number().over(Window.orderBy("__at")) - 1).alias("__code"))
-    return rows.join(codes, col, "left").withColumn("code", F.coalesce("__code", F.lit(-1))).drop("__code")
+    codes = numbered(first, ["__at", col], "__place").select(col, (F.col("__place") - 1).cast("long").alias("__code"))
+    return rows.join(codes, col, "left").withColumn("code", F.coalesce("__code", F.lit(-1).cast("long"))).drop("__code")
 
 
 def merge_repeats(rows: DataFrame, by: Sequence[str], day: str, days: int, order: Sequence[str]) -> DataFrame:

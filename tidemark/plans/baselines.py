@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from ..operators import asof
 from ..operators import baseline as bl
 from ..operators import stats
 from ..operators.rolling import rolling
@@ -34,6 +35,14 @@ def day_value(spark, d):
     return e.groupBy("venue", "d_idx").agg(stats.half_up(F.percentile("v", 0.5)).alias("value"), F.count("*").alias("events")).filter("events >= 2")
 
 
+@query("B2_condition_value", with_pt(f"SELECT venue, d_idx, going, {hu('median(v)')} AS value, count(*) AS events FROM (SELECT venue, d_idx, going, event, median((price - baseline) / distance * 1000) AS v FROM b1 WHERE baseline IS NOT NULL GROUP BY 1, 2, 3, 4 HAVING count(*) >= 2) GROUP BY 1, 2, 3", *B1))
+def condition_value(spark, d):
+    """The day value of each condition on its own."""
+    b = baselines(participations(spark, d)).filter("baseline IS NOT NULL")
+    e = b.groupBy("venue", "d_idx", "going", "event").agg(F.percentile((F.col("price") - F.col("baseline")) / F.col("distance") * 1000, 0.5).alias("v"), F.count("*").alias("n")).filter("n >= 2")
+    return e.groupBy("venue", "d_idx", "going").agg(stats.half_up(F.percentile("v", 0.5)).alias("value"), F.count("*").alias("events"))
+
+
 @query("B3_rank_matched", with_pt("SELECT p.event, p.runner_no, round(median(q.price), 4) AS baseline, count(*) AS n FROM pt p JOIN pt q ON q.venue = p.venue AND q.finish = p.finish AND q.d_idx BETWEEN p.d_idx - 180 AND p.d_idx - 1 WHERE p.finish <= 5 GROUP BY 1, 2 HAVING count(*) >= 8"))
 def rank_matched(spark, d):
     p = participations(spark, d).filter("finish <= 5")
@@ -43,20 +52,24 @@ def rank_matched(spark, d):
     return p.join(med, ["venue", "finish", "d_idx"]).select("event", "runner_no", "baseline", "n")
 
 
-@query("B4_blended")
+B4 = (
+    "rv AS (SELECT *, price - baseline AS v FROM b1 WHERE baseline IS NOT NULL)",
+    "ab AS (SELECT event, runner_no, sum(v * pow(0.8, k - 1)) / sum(pow(0.8, k - 1)) AS ability FROM (SELECT a.event, a.runner_no, q.v, row_number() OVER (PARTITION BY a.event, a.runner_no ORDER BY q.d_idx DESC, q.event DESC, q.runner_no DESC) AS k FROM rv a JOIN rv q ON q.entity = a.entity AND q.d_idx < a.d_idx) WHERE k <= 5 GROUP BY 1, 2)",
+)
+
+
+@query("B4_blended", with_pt(f"SELECT venue, d_idx, count(*) AS n, {hu('(median(v) + coalesce(median(v - ability), median(v))) / 2', 2)} AS value FROM rv LEFT JOIN ab USING (event, runner_no) GROUP BY 1, 2", *B1, *B4))
 def blended(spark, d):
     """Half the day value, half what the participants' own earlier values project (a decayed mean of their last five)."""
-    b = baselines(participations(spark, d)).filter("baseline IS NOT NULL").withColumn("v", F.col("price") - F.col("baseline"))
-    p = participations(spark, d).select("event", "runner_no", "entity")
-    rows = b.join(p, ["event", "runner_no"])
-    w = Window.partitionBy("entity").orderBy("d_idx").rangeBetween(Window.unboundedPreceding, -1)
-    past = F.slice(F.reverse(F.array_sort(F.collect_list(F.struct("d_idx", "event", "runner_no", "v")).over(w))), 1, 5)
-    weights = F.transform(past, lambda x, i: F.pow(F.lit(0.8), i))
-    top = F.aggregate(F.zip_with(past, weights, lambda r, k: r["v"] * k), F.lit(0.0), lambda a, x: a + x)
-    ability = F.try_divide(top, F.aggregate(weights, F.lit(0.0), lambda a, x: a + x))
-    rows = rows.withColumn("ability", ability)
-    day = rows.groupBy("venue", "d_idx").agg(F.percentile("v", 0.5).alias("own"), F.percentile(F.col("v") - F.col("ability"), 0.5).alias("projected"), F.count("*").alias("n"))
-    return day.select("venue", "d_idx", "n", F.round((F.col("own") + F.coalesce("projected", "own")) / 2, 2).alias("value"))
+    p = participations(spark, d)
+    rows = p.select("event", "runner_no", "entity", "venue", "going", "class", "d_idx", "price")
+    rows = bl.written(bl.asof_medians(rows, LEVELS, day="d_idx", value="price").filter("baseline IS NOT NULL").withColumn("v", F.col("price") - F.col("baseline")), "values")
+    last = asof.last_before(rows, ["entity"], "d_idx", ["event", "runner_no"], ["v"], 5)
+    weights = F.transform("last", lambda x, i: F.pow(F.lit(0.8), i))
+    top = F.aggregate(F.zip_with("last", weights, lambda r, k: r["v"] * k), F.lit(0.0), lambda a, x: a + x)
+    last = last.select("entity", "d_idx", F.try_divide(top, F.aggregate(weights, F.lit(0.0), lambda a, x: a + x)).alias("ability"))
+    day = rows.join(last, ["entity", "d_idx"]).groupBy("venue", "d_idx").agg(F.percentile("v", 0.5).alias("own"), F.percentile(F.col("v") - F.col("ability"), 0.5).alias("projected"), F.count("*").alias("n"))
+    return day.select("venue", "d_idx", "n", stats.half_up((F.col("own") + F.coalesce("projected", "own")) / 2, 2).alias("value"))
 
 
 @query("B5_frozen_history", with_pt(f"SELECT venue, d_idx, {hu('bias')} AS bias, d_idx < 0 AS frozen FROM wb", DAYBIAS))
@@ -115,10 +128,16 @@ def merged_ranks(spark, d):
     return rows.select("event", "runner_no", F.row_number().over(e.orderBy("q", "runner_no")).alias("predicted"))
 
 
-@query("B12_course_profile", with_pt("SELECT venue, g AS going, count(*) AS n, round(median(price), 4) AS mid FROM (SELECT venue, price, unnest([going, 'any']) AS g FROM pt WHERE finish = 1) GROUP BY 1, 2"))
+@query("B12_course_profile", with_pt("SELECT venue, g AS going, count(*) AS n, round(median(price), 4) AS mid, count(*) FILTER (WHERE runner_no <= 2) AS inner_gate, count(*) FILTER (WHERE popularity = 1) AS favourite, count(*) FILTER (WHERE sole) AS sole_leader FROM (SELECT venue, price, runner_no, popularity, measure > others AS sole, unnest([going, 'any']) AS g FROM (SELECT *, max(CASE WHEN finish > 1 THEN measure END) OVER (PARTITION BY event) AS others FROM pt) WHERE finish = 1) GROUP BY 1, 2"))
 def course_profile(spark, d):
-    win = participations(spark, d).filter("finish = 1").select("venue", "price", F.explode(F.array("going", F.lit("any"))).alias("going"))
-    return win.groupBy("venue", "going").agg(F.count("*").alias("n"), F.round(F.percentile("price", 0.5), 4).alias("mid"))
+    """Winners by venue and condition, and under any: median, counts by gate, by popularity and of sole leaders."""
+    others = F.max(F.when(F.col("finish") > 1, F.col("measure"))).over(Window.partitionBy("event"))
+    win = participations(spark, d).withColumn("others", others).filter("finish = 1")
+    win = win.select("venue", "price", "runner_no", "popularity", (F.col("measure") > F.col("others")).alias("sole"), F.explode(F.array("going", F.lit("any"))).alias("going"))
+    return win.groupBy("venue", "going").agg(
+        F.count("*").alias("n"), F.round(F.percentile("price", 0.5), 4).alias("mid"), F.count_if(F.col("runner_no") <= 2).alias("inner_gate"),
+        F.count_if(F.col("popularity") == 1).alias("favourite"), F.count_if("sole").alias("sole_leader"),
+    )
 
 
 def effects(spark, d):

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..operators import graph, ratings
 from ..operators.asof import band_join
 from ..sources import io
-from .demo import order_history, participations, query, snapshots, table, with_pt, with_snap
+from .demo import OH, order_history, participations, query, snapshots, table, with_pt, with_snap
 from .joins import PAIRS, pairs
 
 
@@ -124,7 +124,10 @@ def glicko(spark, d):
     return ratings.glicko_periods(yearly_pairs(spark, d), "year", range(1995, 2002)).select("entity", F.round("rating", 2).alias("rating"), F.round("dev", 2).alias("dev"))
 
 
-@query("R4_kalman")
+R4 = f"WITH RECURSIVE {OH}, s AS (SELECT entity, event, d_idx, price, row_number() OVER (PARTITION BY entity ORDER BY d_idx, event) AS k FROM oh), f AS (SELECT entity, event, k, 150000.0::DOUBLE AS before, d_idx, 150000.0::DOUBLE + 1e9 / (1e9 + 4e9) * (price - 150000.0) AS m, (1 - 1e9 / (1e9 + 4e9)) * 1e9 AS v FROM s WHERE k = 1 UNION ALL SELECT entity, event, k, m, d_idx, m + p / (p + 4e9) * (price - m), (1 - p / (p + 4e9)) * p FROM (SELECT s.entity, s.event, s.k, s.d_idx, s.price, f.m, f.v + 1e6 * (s.d_idx - f.d_idx) AS p FROM f JOIN s ON s.entity = f.entity AND s.k = f.k + 1)) SELECT event, round(before, 2) AS before FROM f"
+
+
+@query("R4_kalman", R4)
 def kalman(spark, d):
     o = order_history(spark, d).select("entity", "event", "d_idx", "price")
     return ratings.kalman(o, "entity", "d_idx", ["event"], "price", prior=150000.0, var=1e9, noise=4e9, per_day=1e6).select("event", F.round("before", 2).alias("before"))

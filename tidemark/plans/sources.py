@@ -99,15 +99,16 @@ def day_bundles(spark, d):
     return back.select("day", F.size("rows").cast("long").alias("n"), F.array_join(F.col("rows.o_orderkey").cast("array<string>"), ",").alias("keys"))
 
 
-@query("S13_split_by_size")
+@query("S13_split_by_size", "SELECT p_brand, part, count(*) AS n, sum(b)::BIGINT AS bytes, min(p_partkey) AS first, max(p_partkey) AS last FROM (SELECT *, floor((sum(b) OVER (PARTITION BY p_brand ORDER BY p_partkey) - b) / 4000)::BIGINT AS part FROM (SELECT *, strlen(p_name) + strlen(p_type) + 8 AS b FROM part)) GROUP BY 1, 2")
 def split_by_size(spark, d):
-    return io.split_by_size(table(spark, d, "part"), "p_brand", ["p_partkey", "p_name", "p_type"], 4000)
+    size = (F.octet_length("p_name") + F.octet_length("p_type") + 8).cast("long")
+    return io.split_by_size(table(spark, d, "part"), "p_brand", "p_partkey", size, 4000)[1]
 
 
-@query("S14_archive")
+@query("S14_archive", "SELECT ts::DATE::VARCHAR AS day, count(*) AS n, true AS same FROM events GROUP BY 1")
 def archive(spark, d):
     e = table(spark, d, "events").select("event_id", "user_id", "event_type", "value", F.col("ts").cast("date").alias("day"))
-    return io.archive_and_verify(e, io.new_path(spark, "archive"), "day", "event_id")
+    return io.archive_and_verify(e, io.new_path(spark, "archive"), "day")
 
 
 @query("S15_year_partitions", "SELECT year(o_orderdate)::INT AS year, count(*) AS n, round(sum(o_totalprice), 2) AS total FROM orders WHERE year(o_orderdate) BETWEEN 1996 AND 1998 GROUP BY 1")

@@ -40,10 +40,10 @@ def templates(spark, d):
     return s.groupBy(key.alias("key")).agg(F.count("*").alias("n"), F.min("id").alias("first")).filter("n >= 3")
 
 
-@query("X5_dictionary", "WITH x AS (SELECT p_partkey AS id, nullif(p_brand, 'Brand#11') AS b FROM part), c AS (SELECT b, row_number() OVER (ORDER BY min(id)) - 1 AS code FROM x WHERE b IS NOT NULL GROUP BY 1) SELECT id, coalesce(code, -1)::INT AS code FROM x LEFT JOIN c USING (b)")
+@query("X5_dictionary", "WITH x AS (SELECT l_orderkey AS o, l_linenumber AS l, CASE WHEN l_partkey % 97 <> 0 THEN l_partkey END AS v FROM lineitem), c AS (SELECT v, row_number() OVER (ORDER BY min((o, l)), v) - 1 AS code FROM x WHERE v IS NOT NULL GROUP BY 1) SELECT x.v, coalesce(code, -1)::BIGINT AS code, count(*) AS n FROM x LEFT JOIN c USING (v) GROUP BY 1, 2")
 def dictionary(spark, d):
-    p = table(spark, d, "part").select(F.col("p_partkey").alias("id"), F.nullif(F.col("p_brand"), F.lit("Brand#11")).alias("b"))
-    return text.dictionary_codes(p, "b", ["id"]).select("id", "code")
+    li = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("o"), F.col("l_linenumber").alias("l"), F.when(F.col("l_partkey") % 97 != 0, F.col("l_partkey")).alias("v"))
+    return text.dictionary_codes(li, "v", ["o", "l"]).groupBy("v", "code").agg(F.count("*").alias("n"))
 
 
 @query("X6_repeats", "SELECT status, cust, run, min(dd) AS since, max(dd) AS until, count(*) AS n FROM (SELECT *, sum(f) OVER (PARTITION BY status, cust ORDER BY dd, id)::BIGINT AS run FROM (SELECT *, CASE WHEN dd - lag(dd) OVER (PARTITION BY status, cust ORDER BY dd, id) <= 7 THEN 0 ELSE 1 END AS f FROM (SELECT o_orderkey AS id, o_orderstatus AS status, o_custkey AS cust, date_diff('day', DATE '2000-01-01', o_orderdate::DATE)::INT AS dd FROM orders))) GROUP BY 1, 2, 3")
@@ -52,41 +52,24 @@ def repeats(spark, d):
     return text.merge_repeats(o, ["status", "cust"], "dd", 7, ["id"])
 
 
-@query("X7_page_tables")
+@query("X7_page_tables", r"""SELECT page_id, pos, cell[1] AS target, cell[2] AS label, length(cell[2]) AS chars FROM (SELECT page_id, generate_subscripts(t, 1) - 1 AS pos, [unnest(t), unnest(l)] AS cell FROM (SELECT page_id, regexp_extract_all(html, '<a href="([^"<]*)">([^<]*)</a>', 1) AS t, regexp_extract_all(html, '<a href="([^"<]*)">([^<]*)</a>', 2) AS l FROM pages))""")
 def page_tables(spark, d):
-    """Typed rows out of pages: a small standard-library HTML reader for each page, on Arrow batches."""
-    import pyarrow as pa
+    """Typed rows out of pages: each row of the navigation list with its place, target and label; no parser library."""
+    cell = F.lit('<a href="([^"<]*)">([^<]*)</a>')
+    pages = table(spark, d, "pages").select("page_id", F.regexp_extract_all("html", cell, F.lit(1)).alias("t"), F.regexp_extract_all("html", cell, F.lit(2)).alias("l"))
+    rows = pages.select("page_id", F.posexplode(F.arrays_zip("t", "l")).alias("pos", "cell"))
+    return rows.select("page_id", "pos", F.col("cell.t").alias("target"), F.col("cell.l").alias("label"), F.char_length("cell.l").alias("chars"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from html.parser import HTMLParser
 
-        class Reader(HTMLParser):
-            def __init__(self):
-                super().__init__()
-                self.tags, self.links = 0, 0
+_WORDS = "SELECT DISTINCT {0}, unnest(string_split_regex(lower(text), '[^\\p{{L}}]+')) AS w FROM {1}"
 
-            def handle_starttag(self, tag, attrs):
-                self.tags += 1
-                self.links += tag == "a" and any(k == "href" for k, _ in attrs)
 
-        for b in batches:
-            found = []
-            for html in b.column(1).to_pylist():
-                r = Reader()
-                r.feed(html or "")
-                found.append((r.tags, r.links))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.int64())], ["page_id", "tags", "links"])
-
-    return table(spark, d, "pages").select("page_id", "html").mapInArrow(run, "page_id long, tags long, links long")
-
-
-@query("X8_linked_reports")
+@query("X8_linked_reports", f"SELECT doc_id, count(*) AS n, min(item) AS first_item FROM ({_WORDS.format('doc_id', 'documents')}) JOIN (SELECT w, min(item_id) AS item FROM ({_WORDS.format('item_id', 'benchmark')}) GROUP BY 1) USING (w) WHERE w <> '' GROUP BY 1")
 def linked_reports(spark, d):
-    """Words of conversation turns that are words of benchmark items, with where they were first seen."""
-    words = lambda df, i, c: df.select(F.col(i).alias(i), F.explode(F.array_distinct(F.split(F.lower(c), r"[^\p{L}]+"))).alias("w")).filter(F.length("w") >= 12)
-    roster = words(table(spark, d, "benchmark"), "item_id", "text").groupBy("w").agg(F.min("item_id").alias("item"))
-    said = words(table(spark, d, "conversations").select("conv_id", "text"), "conv_id", "text")
-    return said.join(roster, "w").groupBy("conv_id").agg(F.count("*").alias("n"), F.min("item").alias("first_item"))
+    """Documents and the roster words (those of benchmark items) in them, with the first item that has one."""
+    words = lambda df, i: df.select(F.col(i), F.explode(F.array_distinct(F.split(F.lower("text"), r"[^\p{L}]+"))).alias("w")).filter("w <> ''")
+    roster = words(table(spark, d, "benchmark"), "item_id").groupBy("w").agg(F.min("item_id").alias("item"))
+    return words(table(spark, d, "documents"), "doc_id").join(roster, "w").groupBy("doc_id").agg(F.count("*").alias("n"), F.min("item").alias("first_item"))
 
 
 @query("P19_normal_keys", "SELECT s_suppkey AS id, lower(regexp_replace(trim(s_name), '\\s+', ' ', 'g')) AS key FROM supplier")
@@ -159,10 +142,23 @@ def q6(spark, d):
     return y.select("yr", "n", (F.col("n") < 0.9 * F.lag("n").over(Window.orderBy("yr"))).alias("shrunk"))  # one row a year
 
 
-@query("Q7_fill_report", with_pt("SELECT count(*) AS rows_n, round(count(rate) / count(*), 6) AS rate_fill, count(*) FILTER (WHERE rate IS NULL) AS missing FROM (SELECT p.event, b.hb / nullif(b.nb, 0) AS rate FROM pt p JOIN (SELECT entity, d_idx, sum(n) OVER w AS nb, sum(h) OVER w AS hb FROM (SELECT entity, d_idx, count(*) AS n, count(*) FILTER (WHERE finish <= 3) AS h FROM pt GROUP BY 1, 2) WINDOW w AS (PARTITION BY entity ORDER BY d_idx RANGE BETWEEN 30 PRECEDING AND 1 PRECEDING)) b USING (entity, d_idx))"))
+FILLS = (30, 90, 365)
+_FILL = "SELECT 'rate_{0}' AS feature, count(*) AS rows_n, round(count(rate) / count(*), 6) AS fill, count(*) FILTER (WHERE rate IS NULL) AS missing, count(rate) / count(*) < 0.5 AS degraded FROM (SELECT p.event, b.hb / nullif(b.nb, 0) AS rate FROM pt p JOIN (SELECT entity, d_idx, sum(n) OVER w AS nb, sum(h) OVER w AS hb FROM fb WINDOW w AS (PARTITION BY entity ORDER BY d_idx RANGE BETWEEN {0} PRECEDING AND 1 PRECEDING)) b USING (entity, d_idx))"
+
+
+@query("Q7_fill_report", with_pt(" UNION ALL ".join(_FILL.format(k) for k in FILLS), "fb AS (SELECT entity, d_idx, count(*) AS n, count(*) FILTER (WHERE finish <= 3) AS h FROM pt GROUP BY 1, 2)"))
 def q7(spark, d):
-    f = asof_rate(spark, d, 30)
-    return f.agg(F.count("*").alias("rows_n"), F.round(F.count("rate") / F.count("*"), 6).alias("rate_fill"), F.count_if(F.col("rate").isNull()).alias("missing"))
+    """Fill of each feature column before scoring, those under a half marked as degraded; one pass over the rows."""
+    p = participations(spark, d)
+    days = history(p)
+    for k in FILLS:
+        w = asof.window_sums(days, ["entity"], "d_idx", ["n", "hits"], k)
+        days = w.select(*days.columns, asof.rate(F.col("hits_before"), F.col("n_before")).alias(f"rate_{k}"))
+    rows = p.select("entity", "d_idx").join(days, ["entity", "d_idx"])
+    counts = rows.agg(F.count("*").alias("rows_n"), *[F.count(f"rate_{k}").alias(f"c{k}") for k in FILLS])
+    fill = lambda k: F.col(f"c{k}") / F.col("rows_n")
+    made = [F.struct(F.lit(f"rate_{k}").alias("feature"), F.col("rows_n"), F.round(fill(k), 6).alias("fill"), (F.col("rows_n") - F.col(f"c{k}")).alias("missing"), (fill(k) < 0.5).alias("degraded")) for k in FILLS]
+    return counts.select(F.inline(F.array(*made)))
 
 
 @query("Q8_agreement", with_snap("SELECT 'price' AS col, count(*) FILTER (WHERE a.price IS NOT NULL AND b.price IS NOT NULL) AS both, count(*) FILTER (WHERE a.price = b.price) AS same, count(*) FILTER (WHERE a.price IS NOT NULL AND b.price IS NULL) AS only_a, count(*) FILTER (WHERE a.price IS NULL AND b.price IS NOT NULL) AS only_b FROM sa a FULL JOIN sb b USING (id)").replace(" AS both,", ' AS "both",'))

@@ -139,37 +139,39 @@ def sessions(spark, d):
     return tk.sessions(table(spark, d, "events"), "30 minutes", ["user_id"]).drop("end")
 
 
-@query("T13_sessions_stream")
+@query("T13_sessions_stream", 'SELECT min(ts) AS start, max(ts) + INTERVAL 30 MINUTE AS "end", user_id, count(*) AS n FROM (SELECT *, sum(f) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS s FROM (SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) < INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS f FROM events)) GROUP BY user_id, s HAVING max(ts) + INTERVAL 30 MINUTE <= (SELECT max(ts) - INTERVAL 1 DAY FROM events)')
 def sessions_stream(spark, d):
     out = jobs._out(spark, "sessions")
     jobs.drain(jobs.session_counts(jobs.read_ticks(spark, f"{d}/events.parquet")), out)
-    return spark.read.parquet(out)
+    # Appended are the sessions that the watermark has closed.
+    plain = lambda c: F.col(c).cast("timestamp_ntz").alias(c)
+    return spark.read.parquet(out).select(plain("start"), plain("end"), "user_id", "n")
 
 
-@query("T14_first_write_wins")
+@query("T14_first_write_wins", "SELECT user_id, ts::DATE AS day, arg_min(event_id, (ts, event_id)) AS event_id FROM events JOIN (SELECT ts::DATE AS day, max(ts) AS deadline FROM events GROUP BY 1) d ON d.day = ts::DATE WHERE ts <= deadline - INTERVAL 15 MINUTE GROUP BY 1, 2")
 def first_write_wins(spark, d):
     e = table(spark, d, "events")
     deadlines = e.groupBy(F.col("ts").cast("date").alias("day")).agg(F.max(F.col("ts").cast("timestamp")).alias("deadline"))
     out = jobs._out(spark, "first")
-    jobs.drain(jobs.first_write_wins(jobs.read_ticks(spark, f"{d}/events.parquet"), deadlines), out)
+    jobs.first_write_wins(jobs.read_ticks(spark, f"{d}/events.parquet"), deadlines, out)
     return spark.read.parquet(out).select("user_id", "day", "event_id")
 
 
-@query("T15_notify")
+@query("T15_notify", "SELECT subscriber, event_id, event_type, row_number() OVER (PARTITION BY subscriber ORDER BY event_id) <= 50 AS sent FROM events JOIN (SELECT DISTINCT event_type, user_id % 7 AS subscriber FROM events WHERE user_id % 3 = 0) USING (event_type)")
 def notify(spark, d):
     out = jobs._out(spark, "notify")
-    e = table(spark, d, "events")
-    subscribers = e.groupBy("event_type").agg(F.max("user_id").alias("subscriber"))
+    subscribers = table(spark, d, "events").filter("user_id % 3 = 0").select("event_type", (F.col("user_id") % 7).alias("subscriber")).distinct()
     jobs.notify(jobs.read_ticks(spark, f"{d}/events.parquet"), subscribers, out, cap=50)
-    return spark.read.parquet(out).select("subscriber", "event_id", "event_type")
+    g = spark.read.parquet(out).groupBy("subscriber", "event_id", "event_type")
+    return g.agg(F.bool_or("sent").alias("sent"))
 
 
-@query("T16_heartbeat", "SELECT event_type, max(ts) AS last, date_diff('day', max(ts)::DATE, (SELECT max(ts) FROM events)::DATE)::INT AS idle_days FROM events GROUP BY 1")
+@query("T16_heartbeat", "SELECT event_type, max(ts) AS last, date_diff('day', max(ts)::DATE, (SELECT max(ts) FROM events)::DATE)::INT AS idle_days, max(ts) + INTERVAL 6 HOUR < (SELECT max(ts) FROM events) AS due FROM events GROUP BY 1")
 def heartbeat(spark, d):
     e = table(spark, d, "events")
     newest = e.agg(F.max("ts").alias("newest"))
     g = e.groupBy("event_type").agg(F.max("ts").alias("last")).crossJoin(F.broadcast(newest))  # one row
-    return g.select("event_type", "last", F.datediff(F.col("newest").cast("date"), F.col("last").cast("date")).alias("idle_days"))
+    return g.select("event_type", "last", F.datediff(F.col("newest").cast("date"), F.col("last").cast("date")).alias("idle_days"), F.expr("last + INTERVAL 6 HOUR < newest").alias("due"))
 
 
 @query("T17_observations", f"SELECT o_orderkey AS event, count(e.event_id) AS n, {hu('avg(e.value)')} AS mean FROM orders LEFT JOIN events e ON day(e.ts) = day(o_orderdate) AND hour(e.ts) IN (10, 11, 12) AND e.value BETWEEN 5 AND 95 GROUP BY 1")

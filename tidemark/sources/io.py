@@ -121,25 +121,33 @@ def freeze_past(target: DataFrame, updates: DataFrame, key: Sequence[str], day:
     return past.unionByName(live).unionByName(rest)
 
 
-def split_by_size(rows: DataFrame, key: str, cols: Sequence[str], most: int) -> DataFrame:
-    """Bytes of each key's JSON, and which part it goes to so that no part is larger than most (one key at least)."""
-    size = rows.groupBy(key).agg(F.sum(F.octet_length(F.to_json(F.struct(*cols)))).alias("bytes"))
-    return size.withColumn("alone", F.col("bytes") > most)
+def split_by_size(rows: DataFrame, key: str, order: str, size: Column, most: int) -> tuple[DataFrame, DataFrame]:
+    """(rows with their part, index of key, part, n, bytes, first, last): a key's rows in order, cut every `most` bytes."""
+    upto = F.sum("__bytes").over(Window.partitionBy(key).orderBy(order).rowsBetween(Window.unboundedPreceding, 0))
+    parts = rows.withColumn("__bytes", size).withColumn("part", F.floor((upto - F.col("__bytes")) / most))
+    index = parts.groupBy(key, "part").agg(F.count("*").alias("n"), F.sum("__bytes").alias("bytes"), F.min(order).alias("first"), F.max(order).alias("last"))
+    return parts.drop("__bytes"), index
 
 
-def archive_and_verify(rows: DataFrame, out: str, day: str, key: str) -> DataFrame:
+def row_digests(cols: Sequence[str]) -> list[Column]:
+    """Count, sum and xor of a hash of whole rows: equal for equal bags of rows, whatever their order; sums keep repeats."""
+    h = F.xxhash64(*cols)
+    return [F.count("*").alias("n"), F.sum(h.cast("decimal(38,0)")).alias("s"), F.bit_xor(h).alias("x")]
+
+
+def archive_and_verify(rows: DataFrame, out: str, day: str) -> DataFrame:
     """One folder of gzip JSON for each day, read again; (day, n, same): whether counts and digests agree."""
     rows.write.mode("overwrite").partitionBy(day).option("compression", "gzip").json(out)
     back = rows.sparkSession.read.schema(rows.schema).json(out)
-    stats = lambda df, n: df.groupBy(F.col(day).cast("string").alias("day")).agg(F.count("*").alias(f"{n}_n"), F.bit_xor(F.xxhash64(F.col(key))).alias(f"{n}_x"))
+    cols = sorted(rows.columns)
+    stats = lambda df, n: df.groupBy(F.col(day).cast("string").alias("day")).agg(F.struct(*row_digests(cols)).alias(n))
     j = stats(rows, "a").join(stats(back, "b"), "day", "full_outer")
-    same = F.col("a_n").eqNullSafe(F.col("b_n")) & F.col("a_x").eqNullSafe(F.col("b_x"))
-    return j.select("day", F.col("a_n").alias("n"), same.alias("same"))
+    return j.select("day", F.col("a.n").alias("n"), F.col("a").eqNullSafe(F.col("b")).alias("same"))
 
 
 def replace_sources(old: DataFrame, new: DataFrame, source: str, cols: Sequence[str]) -> DataFrame:
     """All rows of a source are replaced only if their digest changed; sources that new lacks keep their old rows."""
-    digest = lambda df, n: df.groupBy(source).agg(F.sha2(F.to_json(F.sort_array(F.collect_list(F.struct(*cols)))), 256).alias(n))
-    changed = digest(new, "d2").join(digest(old, "d1"), source, "left").filter("d1 IS NULL OR d1 <> d2").select(source)
+    digest = lambda df, n: df.groupBy(source).agg(F.struct(*row_digests(cols)).alias(n))
+    changed = digest(new, "d2").join(digest(old, "d1"), source, "left").filter(~F.col("d1").eqNullSafe(F.col("d2"))).select(source)
     kept = old.join(changed, source, "left_anti").withColumn("replaced", F.lit(False))
     return kept.unionByName(new.join(changed, source, "left_semi").withColumn("replaced", F.lit(True)))

@@ -11,6 +11,7 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from ..operators import ticks as tk
@@ -45,37 +46,68 @@ def session_counts(ticks: DataFrame, *, gap: str = "30 minutes", late: str = "1
     return tk.sessions(ticks.withWatermark("ts", late), gap, ["user_id"])
 
 
+def _earlier(spark: SparkSession, out: str, batch_id: int) -> DataFrame | None:
+    """What the batches before this one wrote, with their number; none at the start. It is read from storage, so that a
+    job that is started again goes on where the last one stopped."""
+    try:
+        return spark.read.parquet(out).filter(F.col("batch") < batch_id)
+    except AnalysisException:  # no batch has been written
+        return None
+
+
 def latest_state(ticks: DataFrame, out: str) -> None:
     """Upsert of the latest tick of each key: each batch merges its own latest rows into the state written before."""
     spark = ticks.sparkSession
-    at: dict[str, str] = {}
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         fresh = batch.select("user_id", "ts", "event_id", "value")
-        if "path" in at:
-            fresh = fresh.unionByName(spark.read.parquet(at["path"]))
-        path = f"{out}/batch={batch_id}"
-        tk.latest(fresh, ["user_id"], ["ts", "event_id", "value"], ("ts", "event_id")).write.mode("overwrite").parquet(path)
-        at["path"] = path
+        before = _earlier(spark, out, batch_id)
+        last = before.agg(F.max("batch").alias("b")).first()["b"] if before is not None else None
+        if last is not None:
+            fresh = fresh.unionByName(before.filter(F.col("batch") == last).drop("batch"))
+        state = tk.latest(fresh, ["user_id"], ["ts", "event_id", "value"], ("ts", "event_id"))
+        state.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
     drain(ticks, out, mode="append", each=merge)
 
 
-def first_write_wins(ticks: DataFrame, deadlines: DataFrame, *, minutes: int = 15, late: str = "1 day") -> DataFrame:
-    """Rows at least `minutes` before their day's deadline; of rows with one key and day the first written stays."""
-    rows = ticks.withColumn("day", F.col("ts").cast("date")).join(F.broadcast(deadlines), "day")
-    open_ = rows.filter(F.col("ts") <= F.col("deadline") - F.make_dt_interval(mins=F.lit(minutes)))
-    return open_.withWatermark("ts", late).dropDuplicatesWithinWatermark(["user_id", "day"])
+def first_write_wins(ticks: DataFrame, deadlines: DataFrame, out: str, *, minutes: int = 15) -> None:
+    """Of the rows at least `minutes` before their day's deadline the first written of each key and day stays for good.
+
+    Within a batch the earliest row counts as first; rows after the freeze and later rows of a key are left out.
+    """
+    spark = ticks.sparkSession
+
+    def keep(batch: DataFrame, batch_id: int) -> None:
+        rows = batch.withColumn("day", F.col("ts").cast("date")).join(deadlines, "day")
+        open_ = rows.filter(F.col("ts") <= F.col("deadline") - F.make_dt_interval(mins=F.lit(minutes)))
+        first = open_.groupBy("user_id", "day").agg(F.min_by("event_id", F.struct("ts", "event_id")).alias("event_id"))
+        before = _earlier(spark, out, batch_id)
+        if before is not None:
+            first = first.join(before.select("user_id", "day"), ["user_id", "day"], "left_anti")
+        first.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+
+    drain(ticks, out, each=keep)
 
 
 def notify(ticks: DataFrame, subscribers: DataFrame, out: str, *, cap: int = 3) -> None:
-    """New ticks joined with the subscribers of their kind, at most `cap` for a subscriber and batch, each pair once."""
+    """Rows subscriber, event_id, event_type, sent: new ticks joined with the subscribers of their kind, each pair once.
+
+    A batch sends at most `cap` to a subscriber, lowest ids first; the others are written as not sent and come up again
+    with the next batch. Pairs of earlier batches are read from storage, so none is sent twice after a restart.
+    """
+    spark, pair = ticks.sparkSession, ["subscriber", "event_id"]
 
     def send(batch: DataFrame, batch_id: int) -> None:
+        hits = batch.select("event_id", "event_type").join(subscribers, "event_type").dropDuplicates(pair)
+        before = _earlier(spark, out, batch_id)
+        if before is not None:
+            known = before.groupBy(*pair).agg(F.first("event_type").alias("event_type"), F.bool_or("sent").alias("sent"))
+            hits = hits.join(known, pair, "left_anti").unionByName(known.filter("NOT sent").select(hits.columns))
         w = Window.partitionBy("subscriber").orderBy("event_id")
-        hits = batch.join(F.broadcast(subscribers), "event_type").dropDuplicates(["subscriber", "event_id"])
-        hits = hits.withColumn("k", F.row_number().over(w)).filter(F.col("k") <= cap)
-        hits.select("subscriber", "event_id", "event_type").write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+        chosen = hits.withColumn("k", F.row_number().over(w)).filter(F.col("k") <= cap).select(*pair, F.lit(True).alias("now"))
+        rows = hits.join(chosen, pair, "left").select(*pair, "event_type", F.coalesce("now", F.lit(False)).alias("sent"))
+        rows.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
     drain(ticks, out, each=send)
 
