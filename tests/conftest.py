@@ -14,7 +14,8 @@ def spark():
     s = (
         SparkSession.builder.master("local[4]").config("spark.sql.shuffle.partitions", "4").config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC").config("spark.driver.memory", "4g").config("spark.ui.showConsoleProgress", "false")
-        .config("spark.local.dir", tempfile.mkdtemp(prefix="spark-", dir="/tmp")).getOrCreate()
+        .config("spark.local.dir", tempfile.mkdtemp(prefix="spark-", dir="/tmp"))
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="spark-", dir="/tmp")).getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")
     yield s

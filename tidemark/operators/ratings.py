@@ -10,31 +10,42 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.io import new_path
 from .baseline import written
 
 
-def elo_periods(pairs: DataFrame, period: str, periods: Sequence, *, k: float = 32.0, start: float = 1500.0) -> DataFrame:
-    """entity, rating after all periods. pairs: period, one, two, won (boolean: one beat two).
+def elo_periods(pairs: DataFrame, period: str, *, k: float = 32.0, start: float = 1500.0) -> DataFrame:
+    """entity, period, before, rating for each period that an entity takes part in. pairs: period, event, one, two, won.
 
-    Within a period all pairs use the ratings before it, so that a period is one join and one grouping; the state table
-    is written after each.
+    Periods are those of the data, in order. Within one all pairs use the ratings before it, so that a period is one join
+    and one grouping over its own partition of the pairs; an event moves a rating by k / (n - 1) for each opponent.
     """
+    both = pairs.select(period, "event", F.col("one").alias("entity"), F.col("two").alias("other"), F.col("won").cast("double").alias("s"))
+    both = both.unionByName(pairs.select(period, "event", F.col("two").alias("entity"), F.col("one").alias("other"), (1 - F.col("won").cast("double")).alias("s")))
+    path = new_path(pairs.sparkSession, "elo-pairs")
+    both.write.partitionBy(period).parquet(path)
+    both = pairs.sparkSession.read.parquet(path)
+    periods = sorted(r[0] for r in both.select(period).distinct().collect())  # one value a period
     state: DataFrame | None = None
+    moves: list[DataFrame] = []
     for p in periods:
-        now = pairs.filter(F.col(period) == p)
-        both = now.select(F.col("one").alias("entity"), F.col("two").alias("other"), F.col("won").cast("double").alias("s"))
-        both = both.unionByName(now.select(F.col("two").alias("entity"), F.col("one").alias("other"), (1 - F.col("won").cast("double")).alias("s")))
+        now = both.filter(F.col(period) == p)
         if state is not None:
-            both = both.join(state, "entity", "left").join(state.select(F.col("entity").alias("other"), F.col("rating").alias("r2")), "other", "left")
+            now = now.join(state, "entity", "left").join(state.select(F.col("entity").alias("other"), F.col("rating").alias("r2")), "other", "left")
         else:
-            both = both.withColumn("rating", F.lit(None).cast("double")).withColumn("r2", F.lit(None).cast("double"))
+            now = now.withColumn("rating", F.lit(None).cast("double")).withColumn("r2", F.lit(None).cast("double"))
         mine, theirs = F.coalesce("rating", F.lit(start)), F.coalesce("r2", F.lit(start))
         expected = 1 / (1 + F.pow(F.lit(10.0), (theirs - mine) / 400))
-        moved = both.groupBy("entity").agg(F.first(mine).alias("r"), (k * F.avg(F.col("s") - expected)).alias("d")).select("entity", (F.col("r") + F.col("d")).alias("rating"))
-        if state is not None:
-            moved = moved.unionByName(state.join(moved, "entity", "left_anti"))
-        state = written(moved, "elo")
-    return state
+        events = now.groupBy("entity", "event").agg(F.first(mine).alias("r"), F.avg(F.col("s") - expected).alias("m"))
+        moved = events.groupBy("entity").agg(F.first("r").alias("before"), (k * F.sum("m")).alias("d"))
+        moved = written(moved.select("entity", F.lit(p).alias(period), "before", (F.col("before") + F.col("d")).alias("rating")), "elo-moves")
+        moves.append(moved)
+        fresh = moved.select("entity", "rating")
+        state = fresh if state is None else written(fresh.unionByName(state.join(fresh, "entity", "left_anti")), "elo")
+    out = moves[0]
+    for m in moves[1:]:
+        out = out.unionByName(m)
+    return out
 
 
 def glicko_periods(pairs: DataFrame, period: str, periods: Sequence, *, mu: float = 1500.0, phi: float = 350.0, drift: float = 30.0) -> DataFrame:

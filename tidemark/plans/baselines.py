@@ -79,13 +79,33 @@ def frozen_history(spark, d):
     return old.unionByName(b.filter("d_idx >= 0").withColumn("frozen", F.lit(False)))
 
 
-@query("B6_group_differences")
+ROUNDS = 10
+
+
+def alternating_sql(rows: str, factors: list[str], value: str, rounds: int) -> list[str]:
+    """The rounds of `alternating_medians` as a chain of common tables; the last effect of factor f is f_{rounds}."""
+    out, have = [], {}
+    for k in range(1, rounds + 1):
+        for f in factors:
+            others = [g for g in factors if g != f and g in have]
+            joins = " ".join(f"JOIN {have[g]} USING ({g})" for g in others)
+            rest = " - ".join([value, *[f"{have[g]}.effect" for g in others]])
+            out.append(f"e_{f}_{k} AS MATERIALIZED (SELECT {f}, median({rest}) AS effect FROM {rows} {joins} GROUP BY 1)")
+            have[f] = f"e_{f}_{k}"
+    return out
+
+
+B6 = ("cb AS (SELECT class, distance, median(price) AS base FROM pt GROUP BY 1, 2)", "rs AS MATERIALIZED (SELECT sire, d_idx, price - base AS r FROM pt JOIN cb USING (class, distance))")
+B13 = ("wn AS MATERIALIZED (SELECT class, venue, d_idx, price, measure, event FROM pt WHERE finish = 1)", *alternating_sql("wn", ["class", "venue", "d_idx"], "price", ROUNDS))
+
+
+@query("B6_group_differences", with_pt(f"SELECT sire, round(effect, 2) AS effect FROM e_sire_{ROUNDS}", *B6, *alternating_sql("rs", ["d_idx", "sire"], "r", ROUNDS)))
 def group_differences(spark, d):
-    """Day and sire effects on the residual over the class median, alternating a fixed number of times."""
+    """Day and sire effects on the residual over the class median, alternating ten times."""
     p = participations(spark, d)
     base = p.groupBy("class", "distance").agg(F.percentile("price", 0.5).alias("base"))
     r = bl.written(p.join(base, ["class", "distance"]).select("sire", "d_idx", (F.col("price") - F.col("base")).alias("r")), "residual")
-    return bl.alternating_medians(r, ["d_idx", "sire"], "r", rounds=2)["sire"].select("sire", F.round("effect", 2).alias("effect"))
+    return bl.alternating_medians(r, ["d_idx", "sire"], "r", rounds=ROUNDS)["sire"].select("sire", F.round("effect", 2).alias("effect"))
 
 
 @query("B7_deviation_words", with_pt("SELECT venue, d_idx, CASE WHEN bias < lo THEN 'low' WHEN bias > hi THEN 'high' ELSE 'normal' END AS word FROM wb JOIN (SELECT venue, quantile_cont(bias, 0.1) AS lo, quantile_cont(bias, 0.9) AS hi FROM wb GROUP BY 1 HAVING count(*) >= 30) USING (venue)", DAYBIAS))
@@ -142,15 +162,15 @@ def course_profile(spark, d):
 
 def effects(spark, d):
     p = participations(spark, d).filter("finish = 1").select("class", "venue", "d_idx", "price", "measure", "event")
-    return p, bl.alternating_medians(bl.written(p, "winners"), ["class", "venue", "d_idx"], "price", rounds=2)
+    return p, bl.alternating_medians(bl.written(p, "winners"), ["class", "venue", "d_idx"], "price", rounds=ROUNDS)
 
 
-@query("B13_alternating")
+@query("B13_alternating", with_pt(f"SELECT venue, round(effect, 2) AS effect FROM e_venue_{ROUNDS}", *B13))
 def alternating(spark, d):
     return effects(spark, d)[1]["venue"].select("venue", F.round("effect", 2).alias("effect"))
 
 
-@query("B14_speed_index")
+@query("B14_speed_index", with_pt(f"SELECT event, round(least(80 + 1000 / greatest(abs(c.effect + v.effect), 1000) * (c.effect + v.effect - price + d.effect) / 100 + 2 * (measure - 25), 200), 4) AS speed FROM wn JOIN e_class_{ROUNDS} c USING (class) JOIN e_venue_{ROUNDS} v USING (venue) JOIN e_d_idx_{ROUNDS} d USING (d_idx)", *B13))
 def speed_index(spark, d):
     p, e = effects(spark, d)
     for f in ("class", "venue", "d_idx"):

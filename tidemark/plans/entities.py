@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..operators import graph, ratings
 from ..operators.asof import band_join
 from ..sources import io
-from .demo import OH, order_history, participations, query, snapshots, table, with_pt, with_snap
+from .demo import OH, PT, order_history, participations, query, snapshots, table, with_pt, with_snap
 from .joins import PAIRS, pairs
 
 
@@ -114,9 +114,22 @@ def yearly_pairs(spark, d):
     return spark.read.parquet(path)
 
 
-@query("R2_elo")
+#: Quarters since year 0: one less than the number of the quarter, so that a year's four follow the last one's.
+QUARTER = "year(day) * 4 + quarter(day) - 1"
+ELO = f"""WITH RECURSIVE {PT}, pq AS (SELECT DISTINCT event, {QUARTER} AS q FROM pt), {PAIRS}, bo AS (SELECT event, one, two, won::INT::DOUBLE AS s FROM pr UNION ALL SELECT event, two, one, 1 - won::INT::DOUBLE FROM pr),
+ qs AS (SELECT q, row_number() OVER (ORDER BY q) AS i FROM (SELECT DISTINCT q FROM pq WHERE event IN (SELECT event FROM bo))), b AS MATERIALIZED (SELECT i, q, event, one, two, s FROM bo JOIN pq USING (event) JOIN qs USING (q)),
+ st AS (SELECT 0::BIGINT AS i, one AS entity, 1500.0::DOUBLE AS rating FROM (SELECT DISTINCT one FROM b) UNION ALL
+  SELECT s.i + 1, s.entity, s.rating + coalesce(d.delta, 0) FROM st s LEFT JOIN (SELECT one, sum(m) * 32 AS delta FROM (SELECT b.one, b.event, avg(b.s - 1 / (1 + pow(10, (r2.rating - r1.rating) / 400))) AS m FROM b JOIN st r1 ON r1.entity = b.one AND b.i = r1.i + 1 JOIN st r2 ON r2.entity = b.two GROUP BY 1, 2) GROUP BY 1) d ON d.one = s.entity WHERE s.i < (SELECT max(i) FROM qs))
+ SELECT p.entity, p.q::INT AS quarter, round(x.rating, 2) AS before, round(y.rating, 2) AS rating FROM (SELECT DISTINCT one AS entity, i, q FROM b) p JOIN st x ON x.entity = p.entity AND x.i = p.i - 1 JOIN st y ON y.entity = p.entity AND y.i = p.i"""
+
+
+@query("R2_elo", ELO)
 def elo(spark, d):
-    return ratings.elo_periods(yearly_pairs(spark, d), "year", range(1995, 2002)).select("entity", F.round("rating", 2).alias("rating"))
+    """Elo by quarters of the data, K / (n - 1) for each opponent, with the rating before each quarter."""
+    p = participations(spark, d)
+    quarter = p.select("event", (F.year("day") * 4 + F.quarter("day") - 1).alias("quarter")).distinct()
+    out = ratings.elo_periods(pairs(p).select("event", "one", "two", "won").join(quarter, "event"), "quarter")
+    return out.select("entity", "quarter", F.round("before", 2).alias("before"), F.round("rating", 2).alias("rating"))
 
 
 @query("R3_glicko")
