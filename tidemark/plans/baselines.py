@@ -148,6 +148,15 @@ def merged_ranks(spark, d):
     return rows.select("event", "runner_no", F.row_number().over(e.orderBy("q", "runner_no")).alias("predicted"))
 
 
+@query("B11_evaluation", with_pt("SELECT count(*) AS events, round(avg(rho), 6) AS spearman FROM (SELECT 1 - 6 * sum((predicted - finish) ** 2) / (count(*) * (count(*) ** 2 - 1)) AS rho FROM (SELECT event, finish, row_number() OVER (PARTITION BY event ORDER BY q, runner_no) AS predicted FROM (SELECT event, runner_no, finish, 0.6 * percent_rank() OVER (PARTITION BY event ORDER BY measure DESC) + 0.4 * percent_rank() OVER (PARTITION BY event ORDER BY popularity) AS q FROM pt)) GROUP BY event HAVING count(*) >= 3)"))
+def evaluation(spark, d):
+    """Mean rank correlation of the merged ranks with the results, over events of three and more."""
+    got = merged_ranks(spark, d).join(participations(spark, d).select("event", "runner_no", "finish"), ["event", "runner_no"])
+    n = F.count("*")
+    rho = 1 - 6 * F.sum(F.pow(F.col("predicted") - F.col("finish"), 2)) / (n * (n * n - 1))
+    return got.groupBy("event").agg(rho.alias("rho"), n.alias("n")).filter("n >= 3").agg(F.count("*").alias("events"), F.round(F.avg("rho"), 6).alias("spearman"))
+
+
 @query("B12_course_profile", with_pt("SELECT venue, g AS going, count(*) AS n, round(median(price), 4) AS mid, count(*) FILTER (WHERE runner_no <= 2) AS inner_gate, count(*) FILTER (WHERE popularity = 1) AS favourite, count(*) FILTER (WHERE sole) AS sole_leader FROM (SELECT venue, price, runner_no, popularity, measure > others AS sole, unnest([going, 'any']) AS g FROM (SELECT *, max(CASE WHEN finish > 1 THEN measure END) OVER (PARTITION BY event) AS others FROM pt) WHERE finish = 1) GROUP BY 1, 2"))
 def course_profile(spark, d):
     """Winners by venue and condition, and under any: median, counts by gate, by popularity and of sole leaders."""
@@ -180,10 +189,19 @@ def speed_index(spark, d):
     return p.select("event", F.round(F.least(index, F.lit(200.0)), 4).alias("speed"))
 
 
-@query("B15_pool_percentile", with_pt("SELECT p.event, count(*) AS pool_n, CASE WHEN count(*) >= 20 THEN round((count(*) FILTER (WHERE q.price < p.price) + count(*) FILTER (WHERE q.price = p.price) / 2.0::DOUBLE) / count(*), 6) END AS pct FROM pt p JOIN pt q ON q.venue = p.venue AND q.finish = 1 AND q.d_idx BETWEEN p.d_idx - 365 AND p.d_idx - 1 WHERE p.finish = 1 GROUP BY 1"))
+#: Runs of a day that weigh as much as no shift.
+SHIFT = 11.1
+B15 = f"sh AS (SELECT venue, d_idx, bias * c / (c + {SHIFT}) AS shift FROM wb JOIN (SELECT venue, d_idx, count(*) AS c FROM pt WHERE finish = 1 GROUP BY 1, 2) USING (venue, d_idx)), ad AS (SELECT event, venue, d_idx, round(price - coalesce(shift, 0), 6) AS v FROM pt LEFT JOIN sh USING (venue, d_idx) WHERE finish = 1)"
+
+
+@query("B15_pool_percentile", with_pt("SELECT p.event, count(*) AS pool_n, CASE WHEN count(*) >= 20 THEN round((count(*) FILTER (WHERE q.v < p.v) + count(*) FILTER (WHERE q.v = p.v) / 2.0::DOUBLE) / count(*), 6) END AS pct FROM ad p JOIN ad q ON q.venue = p.venue AND q.d_idx BETWEEN p.d_idx - 365 AND p.d_idx - 1 GROUP BY 1", DAYBIAS, B15))
 def pool_percentile(spark, d):
-    win = participations(spark, d).filter("finish = 1").select("event", "venue", "d_idx", "price")
-    out = bl.pooled_percentile(win, win, by=["venue"], day="d_idx", value="price")
+    """Percentile of a winner's value, less the day's shift shrunk by n / (n + SHIFT), in the venue's pool of 365 days."""
+    win = bl.written(participations(spark, d).filter("finish = 1").select("event", "venue", "d_idx", "price", "finish"), "winners")
+    n = win.groupBy("venue", "d_idx").agg(F.count("*").alias("c"))
+    shift = day_bias(win).join(n, ["venue", "d_idx"]).select("venue", "d_idx", (F.col("bias") * F.col("c") / (F.col("c") + SHIFT)).alias("shift"))
+    win = win.join(shift, ["venue", "d_idx"], "left").select("event", "venue", "d_idx", F.round(F.col("price") - F.coalesce("shift", F.lit(0.0)), 6).alias("v"))
+    out = bl.pooled_percentile(win, win, by=["venue"], day="d_idx", value="v")
     return out.select("event", "pool_n", F.round("pct", 6).alias("pct"))
 
 

@@ -63,11 +63,15 @@ def record_linkage(spark, d):
     return j.select("id", F.when(one, F.col("r1")).when(two, F.col("r2")).alias("ref"), how.alias("how"))
 
 
-@query("N7_identify", with_pt("SELECT p.event, p.runner_no, count(*) AS candidates FROM pt p JOIN pt q ON q.day = p.day AND q.venue = p.venue AND q.runner_no = p.runner_no AND abs(q.price - p.price) <= 100 GROUP BY 1, 2"))
+@query("N7_identify", with_pt("SELECT p.event, p.runner_no, count(*) FILTER (WHERE abs(q.price - p.price) <= 100) AS candidates, count(*) FILTER (WHERE abs(q.price - p.price) > 100) AS mismatched, round(min(CASE WHEN abs(q.price - p.price) > 100 THEN abs(q.price - p.price) END), 2) AS nearest FROM pt p JOIN pt q ON q.day = p.day AND q.venue = p.venue AND q.runner_no = p.runner_no GROUP BY 1, 2"))
 def identify(spark, d):
+    """Runs with the printed day, place and number whose value fits, and a report of those that only the value rules out."""
     p = participations(spark, d).select("event", "runner_no", "day", "venue", "price")
     q = p.select("day", "venue", "runner_no", F.col("price").alias("price2"))
-    return p.join(q, ["day", "venue", "runner_no"]).filter(F.abs(F.col("price") - F.col("price2")) <= 100).groupBy("event", "runner_no").agg(F.count("*").alias("candidates"))
+    off = F.abs(F.col("price") - F.col("price2"))
+    return p.join(q, ["day", "venue", "runner_no"]).groupBy("event", "runner_no").agg(
+        F.count_if(off <= 100).alias("candidates"), F.count_if(off > 100).alias("mismatched"), F.round(F.min(F.when(off > 100, off)), 2).alias("nearest")
+    )
 
 
 @query("N8_profiles", "SELECT o_custkey AS id, min(o_orderdate)::DATE AS since, max(o_orderdate)::DATE AS until, count(*) AS n FROM orders GROUP BY 1")
@@ -76,14 +80,21 @@ def profiles(spark, d):
     return o.groupBy(F.col("o_custkey").alias("id")).agg(F.min("day").alias("since"), F.max("day").alias("until"), F.count("*").alias("n"))
 
 
-@query("N9_roster", with_snap("SELECT id, CASE WHEN b.k IS NULL AND id % 2 = 0 AND id % 4 = 0 THEN 'left' WHEN b.k IS NULL THEN 'absent once' WHEN a.k IS NULL THEN 'joined' ELSE 'stays' END AS state FROM (SELECT id, 1 AS k FROM sa) a FULL JOIN (SELECT id, 1 AS k FROM sb) b USING (id)"))
+@query("N9_roster", with_snap("SELECT id, CASE WHEN a AND NOT b AND NOT c THEN 'left' WHEN a AND NOT b THEN 'absent once' WHEN a AND NOT c THEN 'absent now' WHEN NOT a AND c AND NOT b THEN 'joined' WHEN NOT a AND b AND NOT c THEN 'seen once' WHEN NOT a THEN 'joined before' ELSE 'stays' END AS state FROM (SELECT id, id % 2 = 0 AS a, id % 3 <> 0 AS b, id % 5 <> 1 AS c FROM so) WHERE a OR b OR c"))
 def roster(spark, d):
-    """Two-night rule: who is missing for the second time has left. Those absent the night before are every fourth id."""
+    """Three nights' rosters: who is missing for the second night in a row has left, who is missing once has not."""
     a, b = snapshots(spark, d)
-    before = a.filter("id % 4 = 0").select("id", F.lit(True).alias("absent_before"))
-    j = a.select("id", F.lit(True).alias("was")).join(b.select("id", F.lit(True).alias("now")), "id", "full_outer").join(before, "id", "left")
-    state = F.when(F.col("now").isNull() & F.col("absent_before"), "left").when(F.col("now").isNull(), "absent once").when(F.col("was").isNull(), "joined").otherwise("stays")
-    return j.select("id", state.alias("state"))
+    c = table(spark, d, "orders").select(F.col("o_orderkey").alias("id")).filter("id % 5 <> 1")
+    nights = None
+    for name, night in (("a", a), ("b", b), ("c", c)):
+        seen = night.select("id", F.lit(True).alias(name))
+        nights = seen if nights is None else nights.join(seen, "id", "full_outer")
+    a, b, c = (F.coalesce(n, F.lit(False)) for n in "abc")
+    state = (
+        F.when(a & ~b & ~c, "left").when(a & ~b, "absent once").when(a & ~c, "absent now").when(~a & c & ~b, "joined")
+        .when(~a & b & ~c, "seen once").when(~a, "joined before").otherwise("stays")
+    )
+    return nights.select("id", state.alias("state"))
 
 
 @query("N10_lifetime", with_pt("SELECT owner, year(day)::INT AS yr, count(*) AS n, count(*) FILTER (WHERE finish = 1) AS wins, count(*) FILTER (WHERE finish <= 3 AND class LIKE 'PROMO%') AS placed FROM pt GROUP BY 1, 2"))
@@ -108,12 +119,6 @@ def head_to_head(spark, d):
     return p.select("event", "one", "two", F.count("*").over(w).alias("met"), F.count_if("won").over(w).alias("won"))
 
 
-def yearly_pairs(spark, d):
-    path = io.new_path(spark, "pairs")
-    pairs(participations(spark, d)).withColumn("year", (1995 + F.floor((F.col("d_idx") + 1826) / 365)).cast("int")).write.parquet(path)
-    return spark.read.parquet(path)
-
-
 #: Quarters since year 0: one less than the number of the quarter, so that a year's four follow the last one's.
 QUARTER = "year(day) * 4 + quarter(day) - 1"
 ELO = f"""WITH RECURSIVE {PT}, pq AS (SELECT DISTINCT event, {QUARTER} AS q FROM pt), {PAIRS}, bo AS (SELECT event, one, two, won::INT::DOUBLE AS s FROM pr UNION ALL SELECT event, two, one, 1 - won::INT::DOUBLE FROM pr),
@@ -132,9 +137,22 @@ def elo(spark, d):
     return out.select("entity", "quarter", F.round("before", 2).alias("before"), F.round("rating", 2).alias("rating"))
 
 
-@query("R3_glicko")
+GLICKO = f"""WITH RECURSIVE {PT}, pq AS (SELECT DISTINCT event, {QUARTER} AS q FROM pt), {PAIRS}, sc AS (SELECT event, one, two, 0.5 + greatest(-3, least(3, gap)) / 6.0::DOUBLE AS s FROM pr), bo AS (SELECT event, one, two, s FROM sc UNION ALL SELECT event, two, one, 1 - s FROM sc),
+ qs AS (SELECT q, row_number() OVER (ORDER BY q) AS i FROM (SELECT DISTINCT q FROM pq WHERE event IN (SELECT event FROM bo))), b AS MATERIALIZED (SELECT i, q, one, two, s FROM bo JOIN pq USING (event) JOIN qs USING (q)),
+ st AS (SELECT 0::BIGINT AS i, one AS entity, 1500.0::DOUBLE AS rating, 350.0::DOUBLE AS dev FROM (SELECT DISTINCT one FROM b) UNION ALL
+  SELECT s.i + 1, s.entity, s.rating + coalesce(ln(10) / 400 * d.up / (1 / s.dev ** 2 + d.info), 0), least(350, sqrt(CASE WHEN d.info IS NULL THEN s.dev ** 2 ELSE 1 / (1 / s.dev ** 2 + d.info) END + 900))
+  FROM st s LEFT JOIN (SELECT one, sum(g * (s - e)) AS up, sum(g * g * e * (1 - e) * (ln(10) / 400) ** 2) AS info FROM (SELECT *, 1 / (1 + pow(10, -g * (r - r2) / 400)) AS e FROM (SELECT b.one, b.s, r1.rating AS r, r2.rating AS r2, 1 / sqrt(1 + 3 * (ln(10) / 400) ** 2 * r2.dev ** 2 / pi() ** 2) AS g FROM b JOIN st r1 ON r1.entity = b.one AND b.i = r1.i + 1 JOIN st r2 ON r2.entity = b.two)) GROUP BY 1) d ON d.one = s.entity WHERE s.i < (SELECT max(i) FROM qs))
+ SELECT p.entity, p.q::INT AS quarter, round(x.rating, 2) AS before, round(y.rating, 2) AS rating FROM (SELECT DISTINCT one AS entity, i, q FROM b) p JOIN st x ON x.entity = p.entity AND x.i = p.i - 1 JOIN st y ON y.entity = p.entity AND y.i = p.i"""
+
+
+@query("R3_glicko", GLICKO)
 def glicko(spark, d):
-    return ratings.glicko_periods(yearly_pairs(spark, d), "year", range(1995, 2002)).select("entity", F.round("rating", 2).alias("rating"), F.round("dev", 2).alias("dev"))
+    """Glicko by quarters of the data with scores graded by margin (up to three places), and the rating before each."""
+    p = participations(spark, d)
+    quarter = p.select("event", (F.year("day") * 4 + F.quarter("day") - 1).alias("quarter")).distinct()
+    score = 0.5 + F.greatest(F.lit(-3), F.least(F.lit(3), F.col("gap"))) / 6.0
+    out = ratings.glicko_periods(pairs(p).select("event", "one", "two", score.alias("score")).join(quarter, "event"), "quarter")
+    return out.select("entity", "quarter", F.round("before", 2).alias("before"), F.round("rating", 2).alias("rating"))
 
 
 R4 = f"WITH RECURSIVE {OH}, s AS (SELECT entity, event, d_idx, price, row_number() OVER (PARTITION BY entity ORDER BY d_idx, event) AS k FROM oh), f AS (SELECT entity, event, k, 150000.0::DOUBLE AS before, d_idx, 150000.0::DOUBLE + 1e9 / (1e9 + 4e9) * (price - 150000.0) AS m, (1 - 1e9 / (1e9 + 4e9)) * 1e9 AS v FROM s WHERE k = 1 UNION ALL SELECT entity, event, k, m, d_idx, m + p / (p + 4e9) * (price - m), (1 - p / (p + 4e9)) * p FROM (SELECT s.entity, s.event, s.k, s.d_idx, s.price, f.m, f.v + 1e6 * (s.d_idx - f.d_idx) AS p FROM f JOIN s ON s.entity = f.entity AND s.k = f.k + 1)) SELECT event, round(before, 2) AS before FROM f"
@@ -146,9 +164,15 @@ def kalman(spark, d):
     return ratings.kalman(o, "entity", "d_idx", ["event"], "price", prior=150000.0, var=1e9, noise=4e9, per_day=1e6).select("event", F.round("before", 2).alias("before"))
 
 
-@query("R5_two_way")
+RIDGE = 10
+R5 = "WITH m AS (SELECT avg(l_quantity) AS m FROM lineitem), b AS MATERIALIZED (SELECT l_partkey AS a, l_suppkey AS b, count(*) AS n, sum(l_quantity - m) AS s FROM lineitem, m GROUP BY 1, 2), a0 AS (SELECT a, sum(s) / (sum(n) + 5) AS e FROM b GROUP BY 1), " + ", ".join(
+    f"b{k} AS MATERIALIZED (SELECT b.b, sum(s - n * e) / (sum(n) + 20) AS e FROM b JOIN a{k - 1} USING (a) GROUP BY 1), a{k} AS MATERIALIZED (SELECT b.a, sum(s - n * e) / (sum(n) + 5) AS e FROM b JOIN b{k} USING (b) GROUP BY 1)" for k in range(1, RIDGE + 1)
+) + f" SELECT b AS supplier, round(e, 4) AS effect FROM b{RIDGE}"
+
+
+@query("R5_two_way", R5)
 def two_way(spark, d):
-    a, b = ratings.two_way_ridge(table(spark, d, "lineitem"), "l_partkey", "l_suppkey", "l_quantity", rounds=3)
+    a, b = ratings.two_way_ridge(table(spark, d, "lineitem"), "l_partkey", "l_suppkey", "l_quantity", rounds=RIDGE)
     return b.select(F.col("l_suppkey").alias("supplier"), F.round("eb", 4).alias("effect"))
 
 
@@ -175,15 +199,25 @@ def components_all(spark, d):
     return graph.components(li.select(F.col("l_suppkey").alias("a"), (1000000 + F.col("l_partkey")).alias("b")).distinct())
 
 
-@query("R8_recursive_form")
+R8 = f"""WITH RECURSIVE {PT}, pa AS MATERIALIZED (SELECT event, rider, measure, year(day) AS yr FROM pt), pm AS (SELECT avg(measure) AS m FROM pa), ys AS (SELECT yr, row_number() OVER (ORDER BY yr) AS i FROM (SELECT DISTINCT yr FROM pa)),
+ st AS (SELECT 0::BIGINT AS i, rider, 0.0::DOUBLE AS s, 0::BIGINT AS n FROM (SELECT DISTINCT rider FROM pa) UNION ALL
+  SELECT st.i + 1, st.rider, st.s + coalesce(d.s, 0), (st.n + coalesce(d.n, 0))::BIGINT FROM st LEFT JOIN (SELECT rider, sum(measure + shift) AS s, count(*) AS n FROM (SELECT event, rider, measure, count(*) OVER e / (count(*) OVER e + 3)::DOUBLE * median(ability - measure) OVER e AS shift FROM (SELECT pa.event, pa.rider, pa.measure, (x.s + 3 * m) / (x.n + 3) AS ability FROM pa JOIN ys USING (yr) JOIN st x ON x.rider = pa.rider AND ys.i = x.i + 1, pm) WINDOW e AS (PARTITION BY event)) GROUP BY 1) d ON d.rider = st.rider WHERE st.i < (SELECT max(i) FROM ys))
+ SELECT rider, n, round((s + 3 * m) / (n + 3), 4) AS ability FROM st, pm WHERE i = (SELECT max(i) FROM ys)"""
+
+
+@query("R8_recursive_form", R8)
 def recursive_form(spark, d):
-    """Ability adjusted year by year: an entity's mean of adjusted values so far, events shifted by what their field shows."""
+    """Ability adjusted year by year of the data: an entity's mean of adjusted values so far, events shifted by what their
+    field shows."""
     from ..operators.baseline import written
 
-    p = written(participations(spark, d).select("event", "rider", "measure", F.year("day").alias("year")), "form")
+    p = participations(spark, d).select("event", "rider", "measure", F.year("day").alias("year"))
+    path = io.new_path(spark, "form")
+    p.write.partitionBy("year").parquet(path)
+    p = spark.read.parquet(path)
     prior = p.agg(F.avg("measure").alias("m")).first()["m"] or 0.0
     state = None
-    for year in range(1995, 2002):
+    for year in sorted(r[0] for r in p.select("year").distinct().collect()):  # one value a year
         now = p.filter(F.col("year") == year)
         now = now.withColumn("ability", F.lit(prior)) if state is None else now.join(state, "rider", "left").withColumn("ability", F.coalesce((F.col("s") + 3 * prior) / (F.col("n") + 3), F.lit(prior)))
         shift = now.groupBy("event").agg((F.count("*") / (F.count("*") + 3) * F.percentile(F.col("ability") - F.col("measure"), 0.5)).alias("shift"))
@@ -191,4 +225,4 @@ def recursive_form(spark, d):
         if state is not None:
             new = new.unionByName(state).groupBy("rider").agg(F.sum("s").alias("s"), F.sum("n").alias("n"))
         state = written(new, "form")
-    return state.select("rider", "n", F.round((F.col("s") + 3 * prior) / (F.col("n") + 3), 4).alias("ability"))
+    return state.select("rider", "n", F.round((F.col("s") + 3 * prior) / (F.col("n") + 3), 4).alias("ability"))
\ No newline at end of file

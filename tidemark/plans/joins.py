@@ -131,7 +131,7 @@ def next_events(spark, d):
     return rows.select("event", *[F.lead("event", k).over(w).alias(f"next{k}") for k in (1, 2, 3)])
 
 
-PAIRS = "pr AS (SELECT a.event, a.d_idx, a.rider AS one, b.rider AS two, a.finish < b.finish AS won FROM pt a JOIN pt b ON a.event = b.event AND a.runner_no < b.runner_no AND a.rider < b.rider)"
+PAIRS = "pr AS (SELECT a.event, a.d_idx, a.rider AS one, b.rider AS two, a.finish < b.finish AS won, b.finish - a.finish AS gap FROM pt a JOIN pt b ON a.event = b.event AND a.runner_no < b.runner_no AND a.rider < b.rider)"
 
 
 def pairs(p):
@@ -139,7 +139,7 @@ def pairs(p):
     a = p.select("event", "d_idx", "runner_no", F.col("rider").alias("one"), "finish")
     b = p.select("event", F.col("runner_no").alias("no2"), F.col("rider").alias("two"), F.col("finish").alias("finish2"))
     met = a.join(b, "event").filter("runner_no < no2 AND one < two")
-    return met.select("event", "d_idx", "one", "two", (F.col("finish") < F.col("finish2")).alias("won"))
+    return met.select("event", "d_idx", "one", "two", (F.col("finish") < F.col("finish2")).alias("won"), (F.col("finish2") - F.col("finish")).alias("gap"))
 
 
 @query("J13_pairs", with_pt("SELECT one, two, count(*) AS met, count(*) FILTER (WHERE won) AS won FROM pr GROUP BY 1, 2", PAIRS))

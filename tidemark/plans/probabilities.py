@@ -132,16 +132,22 @@ def e9(spark, d):
     return j.join(F.broadcast(g.filter("n >= 20")), "peer").filter("ratio > limit").select("event", "r1", "r2", F.round("ratio", 4).alias("ratio"), "n", F.round("surrogate", 4).alias("surrogate"))
 
 
-@query("E10_expected_value", with_pt("SELECT b, count(*) AS bets, count(*) FILTER (WHERE won) AS hits, round(sum(CASE WHEN won THEN 1 / (discount + 0.05) * 0.1 ELSE 0 END) / count(*), 6) AS back FROM (SELECT *, CASE WHEN discount < 0.03 THEN 'long' WHEN discount < 0.07 THEN 'mid' ELSE 'short' END AS b, round(p * (0.1 / (discount + 0.05)) * CASE WHEN discount < 0.03 THEN 0.9 WHEN discount < 0.07 THEN 1.0 ELSE 1.1 END, 9) AS ev FROM pb) WHERE ev >= 0.2 GROUP BY 1", PB))
+E10 = "CASE WHEN discount < 0.03 THEN 'long' WHEN discount < 0.07 THEN 'mid' ELSE 'short' END"
+
+
+@query("E10_expected_value", with_pt(f"SELECT b, any_value(round(coef, 6)) AS coef, count(*) AS bets, count(*) FILTER (WHERE won) AS hits, round(sum(CASE WHEN won THEN 1 / (discount + 0.05) * 0.1 ELSE 0 END) / count(*), 6) AS back FROM (SELECT *, round(p * (0.1 / (discount + 0.05)) * coef, 9) AS ev FROM (SELECT *, {E10} AS b FROM pb WHERE day >= DATE '2000-01-01') JOIN (SELECT {E10} AS b, count(*) FILTER (WHERE won) / sum(p) AS coef FROM pb WHERE day < DATE '2000-01-01' GROUP BY 1) USING (b)) WHERE ev >= 0.2 GROUP BY 1", PB))
 def e10(spark, d):
+    """Bets whose expected value reaches a line; the coefficient of each odds band is observed over expected before 2000."""
     from ..functions.exprs import band
 
-    b = band(F.col("discount"), [0.03, 0.07], ["long", "mid", "short"])
+    rows = probs(spark, d).withColumn("b", band(F.col("discount"), [0.03, 0.07], ["long", "mid", "short"]))
+    since = F.lit("2000-01-01").cast("date")
+    coef = rows.filter(F.col("day") < since).groupBy("b").agg((F.count_if("won") / F.sum("p")).alias("coef"))
     odds = 0.1 / (F.col("discount") + 0.05)
-    coef = F.when(F.col("b") == "long", 0.9).when(F.col("b") == "mid", 1.0).otherwise(1.1)
-    rows = probs(spark, d).withColumn("b", b).withColumn("ev", F.round(F.col("p") * odds * coef, 9)).filter("ev >= 0.2")
+    rows = rows.filter(F.col("day") >= since).join(F.broadcast(coef), "b")  # three rows
+    rows = rows.withColumn("ev", F.round(F.col("p") * odds * F.col("coef"), 9)).filter("ev >= 0.2")
     back = F.sum(F.when(F.col("won"), 1 / (F.col("discount") + 0.05) * 0.1).otherwise(0.0)) / F.count("*")
-    return rows.groupBy("b").agg(F.count("*").alias("bets"), F.count_if("won").alias("hits"), F.round(back, 6).alias("back"))
+    return rows.groupBy("b").agg(F.round(F.first("coef"), 6).alias("coef"), F.count("*").alias("bets"), F.count_if("won").alias("hits"), F.round(back, 6).alias("back"))
 
 
 @query("E11_walk_forward", with_pt("SELECT m, count(*) AS n, count(*) FILTER (WHERE won = (rate >= 0.25)) AS right FROM (SELECT p.month AS m, p.won, r.h / r.n AS rate FROM (SELECT date_trunc('month', day)::DATE AS month, going, finish = 1 AS won FROM pt) p JOIN (SELECT a.month, b.going, sum(b.n) AS n, sum(b.h) AS h FROM (SELECT DISTINCT date_trunc('month', day)::DATE AS month FROM pt) a JOIN (SELECT date_trunc('month', day)::DATE AS month, going, count(*) AS n, count(*) FILTER (WHERE finish = 1) AS h FROM pt GROUP BY 1, 2) b ON b.month < a.month AND b.month >= a.month - INTERVAL 12 MONTH GROUP BY 1, 2) r ON r.month = p.month AND r.going = p.going) GROUP BY 1").replace(" AS right FROM", " AS hits FROM"))
