@@ -96,6 +96,66 @@ def test_language_id_keeps_very_long_texts(spark):
         assert (found, part[0]) == (lang, lang) and score > 0.3 * part[1]
 
 
+def chunks_of(data):
+    at, out = 8, []
+    while at < len(data):
+        n = int.from_bytes(data[at : at + 4], "big")
+        out.append((data[at + 4 : at + 8], data[at + 8 : at + 8 + n]))
+        at += 12 + n
+    return out
+
+
+def png(chunks):
+    body = b"".join(len(d).to_bytes(4, "big") + k + d + zlib.crc32(k + d).to_bytes(4, "big") for k, d in chunks)
+    return b"\x89PNG\r\n\x1a\n" + body
+
+
+def test_media_damage():
+    data = media.encode_png(b"some payload " * 900)
+    at = data.index(b"IDAT") + 10
+    for bad, why in ((data[:at] + bytes([data[at] ^ 1]) + data[at + 1 :], "checksum"), (data[:-20], "ends|checksum"), (data[:at], "ends|checksum"), (data[:8], "ends"), (b"x" + data, "signature")):
+        with pytest.raises(ValueError, match=why):
+            media.decode_png(bad)
+    short = [(k, zlib.compress(zlib.decompress(d)[:-5]) if k == b"IDAT" else d) for k, d in chunks_of(data)]
+    with pytest.raises(ValueError, match="inflated length"):
+        media.decode_png(png(short))
+
+
+@pytest.mark.parametrize("kind", range(5))
+def test_media_filters(kind):
+    """Pictures filtered here by the definition of each filter, sample by sample, read back whole."""
+    image = np.random.default_rng(kind).integers(0, 256, (9, media.WIDTH), dtype=np.uint8)
+    rows = bytearray()
+    for y in range(9):
+        rows.append(kind)
+        for x in range(media.WIDTH):
+            a, b, c = (int(image[y, x - 1]) if x else 0), (int(image[y - 1, x]) if y else 0), (int(image[y - 1, x - 1]) if x and y else 0)
+            near = min((abs(b - c), 0, a), (abs(a - c), 1, b), (abs(a + b - 2 * c), 2, c))[2]
+            rows.append((int(image[y, x]) - (0, a, b, (a + b) // 2, near)[kind]) & 255)
+    head = media.WIDTH.to_bytes(4, "big") + (9).to_bytes(4, "big") + bytes([8, 0, 0, 0, 0])
+    back, n = media.decode_png(png([(b"IHDR", head), (b"IDAT", zlib.compress(bytes(rows))), (b"IEND", b"")]))
+    assert (back == image).all() and n == image.size
+
+
+def test_media_hash_by_definition():
+    rng = np.random.default_rng(1)
+    for height in (1, 31, 32, 77):
+        image = rng.integers(0, 256, (height, media.WIDTH), dtype=np.uint8)
+        cells = np.zeros((32, 32))
+        for y in range(32):
+            for x in range(32):
+                top, left = y * height // 32, x * media.WIDTH // 32
+                cells[y, x] = image[top : max((y + 1) * height // 32, top + 1), left : max((x + 1) * media.WIDTH // 32, left + 1)].mean()
+        low = [sum(cells[y, x] * np.cos(np.pi * u * (2 * y + 1) / 64) * np.cos(np.pi * v * (2 * x + 1) / 64) for y in range(32) for x in range(32)) for u in range(8) for v in range(8)]
+        low = np.round(low, 6)  # frequencies that a flat picture lacks are exactly 0
+        bits = low > np.median(low[1:])
+        got = np.unpackbits(np.frombuffer(bytes.fromhex(media.dct_hash(image)), np.uint8)).astype(bool)
+        assert (bits != got).sum() <= 1  # a tie with the median in the last digit
+        brighter = np.clip(image.astype(int) + 2, 0, 255).astype(np.uint8)
+        far = np.unpackbits(np.frombuffer(bytes.fromhex(media.dct_hash(brighter)), np.uint8)) != got
+        assert far.sum() <= 6
+
+
 def test_language_id_in_rounds(spark, docs, monkeypatch):
     """Many rounds of dictionaries give what one gives, and no language is left out."""
     words = {f"l{k}": " ".join(f"{chr(97 + k)}{i % 7}{'xyz'[i % 3]}word{chr(97 + k)}" for i in range(40)) for k in range(9)}
@@ -353,6 +413,20 @@ def test_shortage_goes_to_siblings_first(spark):
     assert got == {"1": 100, "2": 200, "3": 300, "4": 600}
 
 
+def test_pipeline_stages(spark, docs, empty):
+    """Every stage on nulls, empty texts, repeated rows, clashing columns and an empty table; kept rows are whole rows of docs."""
+    import corpus_pipeline
+
+    more = docs.unionByName(docs.filter("doc_id IN (1, 8)"))
+    for name, stage in corpus_pipeline.STAGES:
+        out, none = stage(spark, more, "/root/testdata/sf0.001"), stage(spark, empty, "/root/testdata/sf0.001")
+        assert none.count() == 0
+        if name != "bpe":
+            assert out.columns == none.columns == docs.columns
+            assert out.exceptAll(more).count() == 0
+    assert stage(spark, more, "").count() == more.count()
+
+
 def test_line_dedup(spark, docs, empty):
     line = [(i, f"keep {i}\n shared line \n\nshared line", "en", f"s{i % 4}") for i in range(8)]
     df = spark.createDataFrame(line, SCHEMA).unionByName(docs, allowMissingColumns=True)
