@@ -2,7 +2,16 @@
 
 Every stage takes (spark, docs, sf_dir), works on all rows that the one before it kept, and returns a DataFrame,
 which is written as Parquet and read again as the next stage's docs. All but the last return the columns of
-`documents`. A stage defines its results for nulls, empty texts, repeated rows and empty tables as its operator does.
+`documents`, further columns too. An empty table stays empty in every stage. For nulls, empty texts and repeated rows:
+
+* language_id: null, empty and letterless texts are rejected; repeated rows are judged alike, a null id is no matter.
+* exact_dedup: a null text equals an empty one; of equal texts the largest id stays, null being the smallest; rows that
+  repeat an id and its text leave one.
+* near_dedup: null and blank texts stay; rows that repeat an id are told apart by their sets; a row without an id stays
+  only where no text of its group has one.
+* mixing: null and empty texts have no tokens, and leaves without tokens are left out; a null language or source is a key
+  of its own; a repeated row counts as another row.
+* bpe: a null text is the empty one, without ids; every row gives one row.
 """
 
 from __future__ import annotations
