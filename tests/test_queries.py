@@ -11,6 +11,10 @@ SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(SF).exists(), reason="no test tables")
 
 
+#: Queries without SQL: each is tested by value in test_models.py or test_graph.py.
+BRUTE_FORCE = {"E6_logit_pool", "E19_model", "R7_components_all"}
+
+
 @pytest.fixture(scope="module")
 def duck():
     import duckdb
@@ -53,4 +57,4 @@ def test_query(spark, duck, name):
         assert len(left) == len(right)
         assert [(a, b) for a, b in zip(left, right, strict=True) if not all(map(same, a, b))] == []
     else:
-        assert got.columns
+        assert name in BRUTE_FORCE and rows

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .demo import participations, query, with_pt
+from .demo import query, with_pt
 from .windows import HIST, asof_rate
 
 SQL = with_pt(
@@ -18,8 +18,7 @@ FROM (SELECT p.venue, p.finish, least(rank() OVER (PARTITION BY p.event ORDER BY
 
 @query("flagship_asof_ranks", SQL)
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = participations(spark, sf_dir).select("event", "runner_no", "venue", "finish")
-    rows = asof_rate(spark, sf_dir, 365).join(p, ["event", "runner_no"])
+    rows = asof_rate(spark, sf_dir, 365, keep=("venue", "finish"))
     place = F.rank().over(Window.partitionBy("event").orderBy(F.desc_nulls_last("rate")))
     rows = rows.withColumn("rate_rank", F.least(place, F.lit(5)))
     wins = F.count_if(F.col("finish") == 1)

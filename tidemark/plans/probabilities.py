@@ -291,7 +291,7 @@ def e19(spark, d):
     from ..operators.baseline import written
     from .windows import asof_rate
 
-    rows = asof_rate(spark, d, 365).join(participations(spark, d).select("event", "runner_no", "popularity", "finish"), ["event", "runner_no"])
+    rows = asof_rate(spark, d, 365, keep=("popularity", "finish"))
     rows = rows.select("event", "runner_no", F.coalesce("rate", F.lit(0.0)).alias("rate"), F.col("n").cast("double").alias("n"), F.col("popularity").cast("double").alias("popularity"), (F.col("finish") == 1).cast("double").alias("label"))
     names = ["rate", "n", "popularity"]
     rows = written(rows, "model-rows")

@@ -27,11 +27,12 @@ def _w1(days):
     return with_pt(f"SELECT p.event, p.runner_no, coalesce(b.nb, 0)::BIGINT AS n, round(b.hb / nullif(b.nb, 0), 6) AS rate FROM pt p JOIN (SELECT entity, d_idx, sum(n) OVER w AS nb, sum(hits) OVER w AS hb FROM hb WINDOW w AS (PARTITION BY entity ORDER BY d_idx RANGE BETWEEN {before(days)} AND 1 PRECEDING)) b USING (entity, d_idx)", HIST)
 
 
-def asof_rate(spark, d, days, form="frame"):
+def asof_rate(spark, d, days, form="frame", keep=()):
+    """Hit rate of each participation's entity over the days before, with the columns `keep` of the participation."""
     p = participations(spark, d)
     w = asof.window_sums(history(p), ["entity"], "d_idx", ["n", "hits"], days, form)
-    out = p.select("event", "runner_no", "entity", "d_idx").join(w.select("entity", "d_idx", "n_before", "hits_before"), ["entity", "d_idx"])
-    return out.select("event", "runner_no", F.coalesce("n_before", F.lit(0)).cast("long").alias("n"), asof.rate(F.col("hits_before"), F.col("n_before")).alias("rate"))
+    out = p.select("event", "runner_no", "entity", "d_idx", *keep).join(w.select("entity", "d_idx", "n_before", "hits_before"), ["entity", "d_idx"])
+    return out.select("event", "runner_no", *keep, F.coalesce("n_before", F.lit(0)).cast("long").alias("n"), asof.rate(F.col("hits_before"), F.col("n_before")).alias("rate"))
 
 
 for _days in (30, 90, 365, 1095, None):
