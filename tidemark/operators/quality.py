@@ -54,3 +54,16 @@ def agreement(a: DataFrame, b: DataFrame, key: Sequence[str], cols: Sequence[str
         ]
     rows = [F.struct(F.lit(c).alias("col"), *[F.col(f"{k}_{c}").alias(k) for k in ("both", "same", "only_a", "only_b")]) for c in cols]
     return j.agg(*counts).select(F.inline(F.array(*rows)))
+
+
+def guarded_replace(old: DataFrame, new: DataFrame, part: str, least: float) -> DataFrame:
+    """Rows of new for each part, but of old where new has fewer than `least` of its rows (the write is refused), with replaced.
+
+    Parts that only new has are taken; parts that new lacks keep their old rows.
+    """
+    count = lambda df, n: df.groupBy(part).agg(F.count("*").alias(n))
+    both = count(old, "n1").join(count(new, "n2"), part, "full_outer")
+    ok = F.coalesce(F.coalesce("n2", F.lit(0)) >= least * F.col("n1"), F.lit(True))
+    ok = both.select(F.col(part).alias("__part"), ok.alias("replaced"))
+    taken = lambda df, yes: df.join(ok, F.col(part).eqNullSafe(F.col("__part"))).filter(F.col("replaced") == yes).drop("__part")
+    return taken(old, False).unionByName(taken(new, True))

@@ -57,3 +57,81 @@ def merge_repeats(rows: DataFrame, by: Sequence[str], day: str, days: int, order
 
     run = rows.withColumn("run", islands(F.col(day), by, [day, *order], days))
     return run.groupBy(*by, "run").agg(F.min(day).alias("since"), F.max(day).alias("until"), F.count("*").alias("n"))
+
+
+def tag_report(sentences: DataFrame, rules: Sequence[tuple[str, str]], skip: str, exclusive: Sequence[tuple[str, str]]) -> DataFrame:
+    """id, tags, unmatched, skipped: labels of all sentences of a text, without those of pairs that contradict each other.
+
+    Sentences that match `skip` (boiler-plate) give no tags; unmatched counts the others that no rule matches.
+    """
+    s = F.col("sentence")
+    boiler = s.rlike(skip)
+    hit = [(label, s.rlike(p)) for p, label in rules]
+    none = ~boiler
+    for _, h in hit:
+        none = none & ~h
+    labels = sorted({label for _, label in rules})
+    has = []
+    for label in labels:
+        some = None
+        for other, h in hit:
+            if other == label:
+                some = h if some is None else some | h
+        has.append(F.bool_or(some & ~boiler).alias(f"__{label}"))
+    g = sentences.groupBy("id").agg(*has, F.count_if(none).alias("unmatched"), F.count_if(boiler).alias("skipped"))
+    drop = lambda t: [F.col(f"__{a}") & F.col(f"__{b}") for a, b in exclusive if t in (a, b)]
+    kept = []
+    for label in labels:
+        ok = F.col(f"__{label}")
+        for clash in drop(label):
+            ok = ok & ~clash
+        kept.append(F.when(ok, F.lit(label)))
+    return g.select("id", F.array_compact(F.array(*kept)).alias("tags"), "unmatched", "skipped")
+
+
+def tag_events(sentences: DataFrame, groups: dict[str, str], tail: str, notice: str, date: str, generic: str) -> DataFrame:
+    """id, grp, at, n, text: a text's sentences that affirm a group, joined in order, one row for each date of the group.
+
+    Notice lines are skipped; a match that `tail` follows (a negation, a "may") doesn't count; the generic group is left
+    out where a sentence has a specific one; undated sentences go to the group's newest date, or to null if it has none.
+    """
+    s = F.col("sentence")
+    found = F.array_compact(F.array(*[F.when(affirmed(s, p, tail), F.lit(g)) for g, p in groups.items()]))
+    specific = F.when(F.size(found) > 1, F.array_remove(found, generic)).otherwise(found)
+    at = F.nullif(F.regexp_extract(s, date, 0), F.lit("")).cast("long")
+    rows = sentences.filter(~s.rlike(notice)).select("id", "pos", "sentence", F.explode(specific).alias("grp"), at.alias("at"))
+    newest = F.max("at").over(Window.partitionBy("id", "grp"))
+    rows = rows.withColumn("at", F.coalesce("at", newest))
+    parts = F.array_sort(F.collect_list(F.struct("pos", "sentence")))
+    return rows.groupBy("id", "grp", "at").agg(F.count("*").alias("n"), F.array_join(F.transform(parts, lambda p: p["sentence"]), " ").alias("text"))
+
+
+def report_lines(lines: DataFrame, by: Sequence[str], pos: str, text: str, goes_on: str) -> DataFrame:
+    """by, unit, pos, text: lines joined with the lines after them that only go on (page breaks, brackets, lone dates)."""
+    order = Window.partitionBy(*by).orderBy(pos)
+    unit = F.sum(F.when(F.col(text).rlike(goes_on), 0).otherwise(1)).over(order)
+    parts = F.array_sort(F.collect_list(F.struct(F.col(pos).alias("p"), F.col(text).alias("t"))))
+    g = lines.withColumn("unit", unit).groupBy(*by, "unit").agg(F.min(pos).alias(pos), parts.alias("s"))
+    return g.select(*by, "unit", pos, F.array_join(F.transform("s", lambda p: p["t"]), " ").alias(text))
+
+
+def report_events(units: DataFrame, by: Sequence[str], pos: str, text: str, start: str, stop: str, kinds: Sequence[tuple[str, str]], causes: Sequence[str]) -> DataFrame:
+    """Units from a start line up to the next stop line, with block, kind (of the first rule that matches) and cause (the
+    earliest of the words, of those at one place the longest)."""
+    t = F.col(text)
+    b = blocks(units, by, [pos], t.rlike(start)).filter("block > 0")
+    stops = F.sum(F.when(t.rlike(stop), 1).otherwise(0)).over(Window.partitionBy(*by, "block").orderBy(pos))
+    b = b.withColumn("__stops", stops).filter("__stops = 0").drop("__stops")
+    kind = F.coalesce(*[F.when(t.rlike(p), F.lit(k)) for p, k in kinds])
+    words = "|".join(sorted(causes, key=lambda w: (-len(w), w)))
+    return b.select("*", kind.alias("kind"), F.nullif(F.regexp_extract(t, f"({words})", 1), F.lit("")).alias("cause"))
+
+
+def label_templates(keys: DataFrame, labels: DataFrame, top: int) -> DataFrame:
+    """label, key, n: counts by the dictionary's label, and the `top` most frequent keys that it lacks (label null).
+
+    keys: key, n; labels: key, label, one row for each key.
+    """
+    j = keys.join(labels, "key", "left")
+    known = j.filter("label IS NOT NULL").groupBy("label").agg(F.sum("n").alias("n")).select("label", F.lit(None).cast("string").alias("key"), "n")
+    return known.unionByName(j.filter("label IS NULL").select("label", "key", "n").orderBy(F.desc("n"), "key").limit(top))

@@ -47,6 +47,22 @@ def collapses(ticks: DataFrame, by: Sequence[str], most: float = 0.5, order: Seq
     return ticks.withColumn("previous", prev).filter((F.col("previous") > 0) & (F.col("value") <= most * F.col("previous")))
 
 
+def slots(ticks: DataFrame, by: Sequence[str], key: str, slot: Column, order: Sequence[str] = ("ts", "id")) -> DataFrame:
+    """by, key, i, o, r: each key's last value in every slot, the slot's number within the group, the value's rank in it."""
+    last = ticks.withColumn("__slot", slot).groupBy(*by, key, "__slot").agg(F.max_by("value", F.struct(*order)).alias("o"))
+    i = F.dense_rank().over(Window.partitionBy(*by).orderBy("__slot"))
+    r = F.rank().over(Window.partitionBy(*by, "__slot").orderBy("o"))
+    return last.select(*by, key, i.alias("i"), "o", r.alias("r"))
+
+
+def ranked_collapses(slots: DataFrame, by: Sequence[str], key: str, most: float = 0.5, best: int = 5) -> DataFrame:
+    """Rows among the `best` of a slot that fell to `most` of the slot right before it, with that value and rank."""
+    w = Window.partitionBy(*by, key).orderBy("i")
+    prev = slots.select("*", F.lag("i").over(w).alias("pi"), F.lag("o").over(w).alias("o0"), F.lag("r").over(w).alias("r0"))
+    fell = (F.col("o0") > 0) & (F.col("o") > 0) & (F.col("o") <= most * F.col("o0") + 1e-9)
+    return prev.filter((F.col("pi") == F.col("i") - 1) & (F.col("r") <= best) & fell).drop("pi")
+
+
 def latest(ticks: DataFrame, by: Sequence[str], cols: Sequence[str], order: Sequence[str] = ("ts", "id")) -> DataFrame:
     """The latest row of each key: an upsert state (update mode on a stream)."""
     best = F.max_by(F.struct(*cols), F.struct(*order))

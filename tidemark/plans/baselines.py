@@ -140,6 +140,27 @@ def pace_labels(spark, d):
     return j.select("event", pace.alias("pace"))
 
 
+B10 = "pe AS (SELECT event, venue, d_idx, min(price) AS m FROM pt GROUP BY 1, 2, 3), ph AS (SELECT venue, d_idx, sum(n) OVER w AS n, sum(s) OVER w AS s, sum(q) OVER w AS q, min(d_idx) OVER w AS since, max(d_idx) OVER w AS until FROM (SELECT venue, d_idx, count(*) AS n, sum(round(m)::BIGINT) AS s, sum(round(m)::BIGINT ** 2) AS q FROM pe GROUP BY 1, 2) WINDOW w AS (PARTITION BY venue ORDER BY d_idx RANGE BETWEEN 365 PRECEDING AND 1 PRECEDING))"
+
+
+@query("B10_pace_log", with_pt("SELECT event, n::BIGINT AS n, since, until, round((m - s / n) / sqrt((q - s * (s / n)) / (n - 1)), 3) AS z, CASE WHEN m < s / n - 0.6745 * sqrt((q - s * (s / n)) / (n - 1)) THEN 'fast' WHEN m < s / n THEN 'quick' WHEN m < s / n + 0.6745 * sqrt((q - s * (s / n)) / (n - 1)) THEN 'even' ELSE 'slow' END AS pace FROM pe JOIN ph USING (venue, d_idx) WHERE n >= 30", B10))
+def pace_log(spark, d):
+    """Each event's fastest value against the venue's 365 days before: standardised residual, the normal quartile that it
+    falls in, and the days and events of the window that the figures come from. Venues need 30 earlier events."""
+    e = participations(spark, d).groupBy("event", "venue", "d_idx").agg(F.min("price").alias("m"))
+    whole = F.round("m").cast("long")  # whole numbers, so that sums don't depend on the order of rows
+    days = asof.day_buckets(e, ["venue"], "d_idx", {"n": F.lit(1), "s": whole, "q": whole * whole})
+    w = Window.partitionBy("venue").orderBy("d_idx").rangeBetween(-365, -1)
+    past = asof.window_sums(days, ["venue"], "d_idx", ["n", "s", "q"], 365).select("*", F.min("d_idx").over(w).alias("since"), F.max("d_idx").over(w).alias("until"))
+    past = past.filter("n_before >= 30").select("venue", "d_idx", F.col("n_before").alias("n"), "since", "until", F.col("s_before").alias("s"), F.col("q_before").cast("double").alias("q"))
+    mean = F.col("s") / F.col("n")
+    sd = F.sqrt((F.col("q") - F.col("s") * mean) / (F.col("n") - 1))
+    j = e.join(past, ["venue", "d_idx"]).withColumn("mean", mean).withColumn("sd", sd)
+    cut = lambda k: F.col("m") < F.col("mean") + k * F.col("sd")
+    pace = F.when(cut(-0.6745), "fast").when(cut(0.0), "quick").when(cut(0.6745), "even").otherwise("slow")
+    return j.select("event", "n", "since", "until", F.round((F.col("m") - F.col("mean")) / F.col("sd"), 3).alias("z"), pace.alias("pace"))
+
+
 @query("B11_merged_ranks", with_pt("SELECT event, runner_no, row_number() OVER (PARTITION BY event ORDER BY q, runner_no)::INT AS predicted FROM (SELECT event, runner_no, 0.6 * percent_rank() OVER (PARTITION BY event ORDER BY measure DESC) + 0.4 * percent_rank() OVER (PARTITION BY event ORDER BY popularity) AS q FROM pt)"))
 def merged_ranks(spark, d):
     e = Window.partitionBy("event")

@@ -37,6 +37,53 @@ def aliases(spark, d):
     return table(spark, d, "part").select(F.col("p_partkey").alias("id"), key.alias("key")).groupBy("key").agg(F.min("id").alias("canonical"), F.count("*").alias("n"))
 
 
+#: Abbreviations with their full forms, forms left out of the loosest key, and names joined by hand. Fixed values.
+SHORT, FORMS, MANUAL = {"std": "standard", "promo": "promotional"}, ("plated", "polished", "brushed"), {"economybrand#11": "economybrand#12"}
+_RAW = "CASE p_partkey % 5 WHEN 0 THEN upper(name) WHEN 1 THEN replace(name, ' ', '  ') WHEN 2 THEN replace(replace(name, 'STANDARD', 'STD'), 'PROMOTIONAL', 'PROMO') WHEN 3 THEN replace(name, ' PLATED', '') ELSE left(name, 18) END"
+_L1 = r"lower(regexp_replace(raw, '\s+', '', 'g'))"
+_LA = f"regexp_replace(regexp_replace({_L1}, '^std', 'standard'), '^promo', 'promotional')"
+N3 = f"""nr AS (SELECT raw, count(*) AS n, max(id) AS newest FROM (SELECT p_partkey AS id, {_RAW} AS raw FROM (SELECT *, p_type || ' ' || p_brand || ' PLATED' AS name FROM part)) GROUP BY 1),
+ nk AS (SELECT *, {_L1} AS l1, CASE WHEN {_L1} LIKE 'promotional%' THEN {_L1} ELSE {_LA} END AS la FROM nr),
+ nb AS (SELECT *, replace(replace(replace(la, 'plated', ''), 'polished', ''), 'brushed', '') AS b0 FROM nk), nm AS (SELECT *, CASE b0 WHEN 'economybrand#11' THEN 'economybrand#12' ELSE b0 END AS kb FROM nb),
+ cut AS (SELECT c.raw, min(f.kb) AS full_kb FROM nm c JOIN nm f ON left(f.la, 10) = left(c.la, 10) AND length(f.la) > length(c.la) AND starts_with(f.la, c.la) WHERE length(c.raw) = 18 GROUP BY 1 HAVING count(DISTINCT f.la) = 1),
+ cl AS (SELECT nm.*, coalesce(full_kb, kb) AS cluster FROM nm LEFT JOIN cut USING (raw)),
+ cc AS (SELECT cluster, arg_max(raw, (n, newest)) AS canonical, count(*) AS names, arg_max(l1, (n, newest)) AS c1, arg_max(la, (n, newest)) AS ca FROM cl GROUP BY 1)"""
+
+
+@query("N3_alias_ladder", f"WITH {N3} SELECT raw, canonical, names, raw <> canonical AS redirected, CASE WHEN raw = canonical THEN 'own' WHEN l1 = c1 THEN 'L1' WHEN la = ca THEN 'A' WHEN kb <> cluster THEN 'cut' WHEN b0 <> kb THEN 'manual' ELSE 'B' END AS level FROM cl JOIN cc USING (cluster)")
+def alias_ladder(spark, d):
+    """Names by a ladder of keys: without case and spaces (L1), abbreviations spelt out (A), forms left out (B), pairs by
+    hand, and names cut at 18 letters that begin one full name only. Redirects go to the most frequent name, of equals the
+    newest. Names are made of part types and brands in five spellings."""
+    t, k = F.concat_ws(" ", "p_type", "p_brand", F.lit("PLATED")), F.col("p_partkey") % 5
+    raw = (
+        F.when(k == 0, F.upper(t)).when(k == 1, F.replace(t, F.lit(" "), F.lit("  "))).when(k == 2, F.replace(F.replace(t, F.lit("STANDARD"), F.lit("STD")), F.lit("PROMOTIONAL"), F.lit("PROMO")))
+        .when(k == 3, F.replace(t, F.lit(" PLATED"), F.lit(""))).otherwise(F.left(t, F.lit(18)))
+    )
+    rows = table(spark, d, "part").select(F.col("p_partkey").alias("id"), raw.alias("raw")).groupBy("raw").agg(F.count("*").alias("n"), F.max("id").alias("newest"))
+    l1 = F.lower(F.regexp_replace("raw", r"\s+", ""))
+    la = l1
+    for short, full in SHORT.items():
+        la = F.when(F.startswith(l1, F.lit(full)), la).otherwise(F.regexp_replace(la, f"^{short}", full))
+    b0 = F.col("la")
+    for form in FORMS:
+        b0 = F.replace(b0, F.lit(form), F.lit(""))
+    kb = F.col("b0")
+    for a, b in MANUAL.items():
+        kb = F.when(F.col("b0") == a, b).otherwise(kb)
+    n = rows.withColumn("l1", l1).withColumn("la", la).withColumn("b0", b0).withColumn("kb", kb)
+    head = F.left("la", F.lit(10)).alias("head")
+    full = n.select(head, F.col("la").alias("full_la"), F.col("kb").alias("full_kb"))
+    j = n.filter(F.char_length("raw") == 18).select("raw", "la", head).join(full, "head").filter((F.char_length("full_la") > F.char_length("la")) & F.startswith("full_la", "la"))
+    cut = j.groupBy("raw").agg(F.count_distinct("full_la").alias("k"), F.min("full_kb").alias("full_kb")).filter("k = 1").drop("k")
+    c = n.join(cut, "raw", "left").withColumn("cluster", F.coalesce("full_kb", "kb"))
+    newest = F.struct("n", "newest")
+    g = c.groupBy("cluster").agg(F.max_by("raw", newest).alias("canonical"), F.count("*").alias("names"), F.max_by("l1", newest).alias("c1"), F.max_by("la", newest).alias("ca"))
+    other = F.col("raw") != F.col("canonical")
+    level = F.when(~other, "own").when(F.col("l1") == F.col("c1"), "L1").when(F.col("la") == F.col("ca"), "A").when(F.col("kb") != F.col("cluster"), "cut").when(F.col("b0") != F.col("kb"), "manual").otherwise("B")
+    return c.join(g, "cluster").select("raw", "canonical", "names", other.alias("redirected"), level.alias("level"))
+
+
 @query("N4_abbreviations", "WITH f AS (SELECT DISTINCT p_type AS full_name FROM part), a AS (SELECT DISTINCT left(p_type, 11) AS short FROM part) SELECT short, min(full_name) AS full_name FROM a JOIN f ON starts_with(full_name, short) GROUP BY 1 HAVING count(*) = 1")
 def abbreviations(spark, d):
     f = table(spark, d, "part").select(F.col("p_type").alias("full_name")).distinct()
@@ -112,6 +159,42 @@ def mentions(spark, d):
     return tokens.join(table(spark, d, "nation").select(F.col("n_name").alias("name")), "name").select("id", "name")
 
 
+#: Roster names of each language as of a document's text; a role word near a name gives it precedence. Fixed values.
+ROLES = ("by", "for", "with", "par", "para", "zu")
+N11 = r"""tw AS (SELECT doc_id, pos, w FROM (SELECT doc_id, generate_subscripts(p, 1) - 1 AS pos, unnest(p) AS w FROM (SELECT doc_id, string_split_regex(lower(text), '[^\p{L}]+') AS p FROM documents)) WHERE w <> ''),
+ ro AS (SELECT item_id AS person, w AS name, left(w, 3) || '.' || right(w, 1) AS short FROM (SELECT item_id, (list_filter(string_split_regex(lower(text), '[^\p{L}]+'), lambda x: length(x) >= 9))[1] AS w FROM benchmark) WHERE w IS NOT NULL),
+ rl AS (SELECT doc_id, pos FROM tw WHERE w IN ('by', 'for', 'with', 'par', 'para', 'zu')),
+ nx AS (SELECT *, pos - last_value(CASE WHEN w IN ('by', 'for', 'with', 'par', 'para', 'zu') THEN pos END IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS gap FROM tw),
+ ex AS (SELECT doc_id, pos, person, gap, 'exact' AS form FROM nx JOIN ro ON w = name),
+ fb AS (SELECT doc_id, pos, person, gap, 'short' AS form FROM nx JOIN ro ON left(w, 3) || '.' || right(w, 1) = short AND w <> name WHERE length(w) BETWEEN length(name) - 2 AND length(name) + 2 AND (doc_id, pos) NOT IN (SELECT doc_id, pos FROM ex)),
+ al AS (SELECT * FROM ex UNION ALL SELECT * FROM fb), ok AS (SELECT doc_id, pos, min(person) AS person, any_value(gap) AS gap, any_value(form) AS form FROM al GROUP BY 1, 2 HAVING count(DISTINCT person) = 1)"""
+
+
+@query("N11_linked_mentions", f"WITH {N11} SELECT doc_id, person, form, gap <= 3 AS near_role, pos FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, person ORDER BY form, coalesce(gap, 1000000000), pos) AS k FROM ok) WHERE k = 1".replace("gap <= 3 AS near_role", "coalesce(gap <= 3, false) AS near_role"))
+def linked_mentions(spark, d):
+    """Roster persons in whole texts of documents: by name, else by its head and last letter at about its length; places
+    that fit several persons are dropped; of a person's places in a text the exact one and that nearest behind a role word
+    comes first. The roster has each benchmark item's first word of nine letters or more."""
+    words = lambda c: F.split(F.lower(c), r"[^\p{L}]+")
+    key = lambda w: F.concat(F.left(w, F.lit(3)), F.lit("."), F.right(w, F.lit(1)))
+    name = F.get(F.filter(words("text"), lambda w: F.char_length(w) >= 9), 0)
+    roster = table(spark, d, "benchmark").select(F.col("item_id").alias("person"), name.alias("name")).filter("name IS NOT NULL").withColumn("short", key(F.col("name")))
+    t = table(spark, d, "documents").select("doc_id", F.posexplode(words("text")).alias("pos", "w")).filter("w <> ''")
+    behind = Window.partitionBy("doc_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
+    role = F.last(F.when(F.col("w").isin(*ROLES), F.col("pos")), ignorenulls=True).over(behind)
+    t = t.select("doc_id", "pos", "w", (F.col("pos") - role).alias("gap"))
+    n = F.char_length("name")
+    # Both forms share the short key, so one join finds them; an exact name at a place rules the short forms there out.
+    hit = t.withColumn("short", key(F.col("w"))).join(roster, "short").filter(F.char_length("w").between(n - 2, n + 2))
+    hit = hit.withColumn("exact", F.col("w") == F.col("name"))
+    g = hit.groupBy("doc_id", "pos").agg(F.bool_or("exact").alias("exact"), F.min(F.when(F.col("exact"), F.col("person"))).alias("p1"), F.max(F.when(F.col("exact"), F.col("person"))).alias("p2"), F.min("person").alias("q1"), F.max("person").alias("q2"), F.first("gap").alias("gap"))
+    g = g.filter((F.col("exact") & (F.col("p1") == F.col("p2"))) | (~F.col("exact") & (F.col("q1") == F.col("q2"))))
+    ok = g.select("doc_id", "pos", F.coalesce("p1", "q1").alias("person"), "gap", F.when(F.col("exact"), "exact").otherwise("short").alias("form"))
+    best = F.min_by(F.struct("form", "gap", "pos"), F.struct("form", F.coalesce("gap", F.lit(1000000000)), "pos")).alias("s")
+    out = ok.groupBy("doc_id", "person").agg(best)
+    return out.select("doc_id", "person", F.col("s.form").alias("form"), F.coalesce(F.col("s.gap") <= 3, F.lit(False)).alias("near_role"), F.col("s.pos").cast("long").alias("pos"))
+
+
 @query("R1_head_to_head", with_pt("SELECT a.event, a.one, a.two, count(b.event) AS met, count(*) FILTER (WHERE b.won) AS won FROM pr a LEFT JOIN pr b ON a.one = b.one AND a.two = b.two AND b.d_idx < a.d_idx GROUP BY 1, 2, 3", "pr AS (SELECT * FROM pr0 QUALIFY row_number() OVER (PARTITION BY event, one, two ORDER BY won) = 1)").replace("pr AS (SELECT * FROM pr0", PAIRS.replace("pr AS", "pr0 AS", 1) + ", pr AS (SELECT * FROM pr0"))
 def head_to_head(spark, d):
     p = pairs(participations(spark, d)).groupBy("event", "d_idx", "one", "two").agg(F.min("won").alias("won"))

@@ -21,18 +21,78 @@ def tags(spark, d):
     return s.groupBy(F.array_join(text.tags_of(F.col("sentence"), RULES), ",").alias("tags")).agg(F.count("*").alias("n"))
 
 
+#: Boiler-plate is skipped; of two labels that contradict each other none is kept.
+SKIP, EXCLUSIVE = "(?i)licen[sc]e|copyright|rights reserved|cookie", [("article", "german")]
+X1 = f"""ob AS (SELECT id, regexp_matches(sentence, '{SKIP}') AS boiler, {", ".join(f"regexp_matches(sentence, '{p}') AS t_{t}" for p, t in RULES)} FROM st),
+ og AS (SELECT id, {", ".join(f"bool_or(t_{t} AND NOT boiler) AS t_{t}" for _, t in RULES)}, count(*) FILTER (WHERE NOT (boiler OR {" OR ".join(f"t_{t}" for _, t in RULES)})) AS unmatched, count(*) FILTER (WHERE boiler) AS skipped FROM ob GROUP BY 1)"""
+
+
+@query("X1_tag_report", f"WITH {SENT}, {X1} SELECT id, array_to_string(list_filter([" + ", ".join(f"CASE WHEN t_{t}{' AND NOT (t_article AND t_german)' if t in EXCLUSIVE[0] else ''} THEN '{t}' END" for t in sorted(t for _, t in RULES)) + "], lambda x: x IS NOT NULL), ',') AS tags, unmatched, skipped FROM og")
+def tag_report(spark, d):
+    """Tags of each text, its sentences that no rule matches, and those skipped as boiler-plate."""
+    r = text.tag_report(text.sentences(table(spark, d, "documents"), "doc_id", "text"), RULES, SKIP, EXCLUSIVE)
+    return r.withColumn("tags", F.array_join("tags", ","))
+
+
 @query("X2_negation", f"WITH {SENT} SELECT id, count(*) AS n FROM st WHERE regexp_matches(replace(sentence, 'the of', ''), '\\bthe\\b') GROUP BY 1")
 def negation(spark, d):
     s = text.sentences(table(spark, d, "documents"), "doc_id", "text")
     return s.filter(text.affirmed(F.col("sentence"), r"\bthe\b", " of")).groupBy("id").agg(F.count("*").alias("n"))
 
 
+#: Groups by the words that name them; "word" is the generic one. Fixed values.
+GROUPS = {"article": "the|la", "link": "and|que", "word": "the|of|de|en|is"}
+TAIL, NOTICE, DATE = "of|in|may|not", "^(?:Is|It|En) ", "[0-9]{2,9}"
+#: Ends of words, as lookarounds and, for the SQL, as characters.
+_L, _R, _E = r"(?<![\p{L}\p{N}_])", r"(?![\p{L}\p{N}_])", r"[^\p{L}\p{N}_]"
+
+
+def _affirmed_sql(words: str) -> str:
+    """Negated words are taken out first (three times, as neighbours overlap), since the SQL has no lookahead."""
+    out = "sentence"
+    for _ in range(3):
+        out = rf"regexp_replace({out}, '(^|{_E})(?:{words})( (?:{TAIL}))($|{_E})', '\1\2\3', 'g')"
+    return f"regexp_matches({out}, '(?:^|{_E})(?:{words})(?:$|{_E})')"
+
+
+_GRP = ", ".join(f"CASE WHEN {_affirmed_sql(p)} THEN '{g}' END" for g, p in GROUPS.items())
+X2 = f"""fd AS (SELECT id, pos, sentence, list_filter([{_GRP}], lambda x: x IS NOT NULL) AS f, nullif(regexp_extract(sentence, '{DATE}'), '')::BIGINT AS dated FROM st WHERE NOT regexp_matches(sentence, '{NOTICE}')),
+ fg AS (SELECT id, pos, sentence, dated, unnest(CASE WHEN len(f) > 1 THEN list_filter(f, lambda x: x <> 'word') ELSE f END) AS grp FROM fd),
+ fn AS (SELECT id, pos, sentence, grp, coalesce(dated, max(dated) OVER (PARTITION BY id, grp)) AS dated FROM fg)"""
+
+
+@query("X2_events", f"WITH {SENT}, {X2} SELECT id, grp, dated, count(*) AS n, md5(string_agg(sentence, ' ' ORDER BY pos)) AS text_md5 FROM fn GROUP BY 1, 2, 3")
+def tag_events(spark, d):
+    """Affirmed groups of words by text and date (its first number), sentences joined in their order."""
+    s = text.sentences(table(spark, d, "documents"), "doc_id", "text")
+    e = text.tag_events(s, {g: f"{_L}(?:{w}){_R}" for g, w in GROUPS.items()}, f" (?:{TAIL}){_R}", NOTICE, DATE, "word")
+    return e.select("id", "grp", F.col("at").alias("dated"), "n", F.md5(F.col("text").cast("binary")).alias("text_md5"))
+
+
 @query("X3_blocks", "SELECT conv_id, block, count(*) AS lines, min(turn) AS first FROM (SELECT *, sum((role = 'user')::INT) OVER (PARTITION BY conv_id ORDER BY turn)::BIGINT AS block FROM conversations) GROUP BY 1, 2")
 def blocks(spark, d):
     lines = text.blocks(table(spark, d, "conversations"), ["conv_id"], ["turn"], F.col("role") == "user")
     return lines.groupBy("conv_id", "block").agg(F.count("*").alias("lines"), F.min("turn").alias("first"))
 
 
+#: Lines of a report: which go on with the line before, which start and stop a block, kinds in order, words for causes.
+GOES_ON, START, STOP = r"^(?:[a-z0-9(]|[^A-Z]{0,9}$)", r"^(?:The|To|As|Th|De|La|Der)", r"^(?:In|Is|It|On|En|Die)"
+KINDS, CAUSES = [("(?:tion|ción)", "action"), ("(?:ing|ung)", "state"), ("[0-9]", "number"), (".", "other")], ["the", "then", "that", "than", "de", "der", "des"]
+X3 = f"""ln AS (SELECT doc_id AS id, pos, line FROM (SELECT doc_id, generate_subscripts(p, 1) - 1 AS pos, trim(unnest(p), ' ') AS line FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS p FROM documents)) WHERE line <> ''),
+ un AS (SELECT id, unit, min(pos) AS pos, string_agg(line, ' ' ORDER BY pos) AS line FROM (SELECT *, sum((NOT regexp_matches(line, '{GOES_ON}'))::INT) OVER (PARTITION BY id ORDER BY pos) AS unit FROM ln) GROUP BY 1, 2),
+ bk AS (SELECT *, sum(regexp_matches(line, '{START}')::INT) OVER (PARTITION BY id ORDER BY pos)::BIGINT AS block FROM un),
+ ev AS (SELECT * FROM (SELECT *, sum(regexp_matches(line, '{STOP}')::INT) OVER (PARTITION BY id, block ORDER BY pos) AS stops FROM bk WHERE block > 0) WHERE stops = 0)"""
+
+
+@query("X3_report_events", f"WITH {X3} SELECT id, block, pos::INT AS pos, CASE " + " ".join(f"WHEN regexp_matches(line, '{p}') THEN '{k}' END".replace(" END", "") for p, k in KINDS) + f" END AS kind, nullif(regexp_extract(line, '({'|'.join(sorted(CAUSES, key=lambda w: (-len(w), w)))})', 1), '') AS cause, length(line) AS chars FROM ev")
+def report_events(spark, d):
+    """Events of reports, a text each: lines joined over page breaks, blocks between start and stop lines, kind and cause."""
+    parts = F.transform(F.split(F.coalesce("text", F.lit("")), "\n"), lambda s: F.btrim(s))
+    lines = table(spark, d, "documents").select(F.col("doc_id").alias("id"), F.posexplode(parts).alias("pos", "line")).filter("line <> ''")
+    e = text.report_events(text.report_lines(lines, ["id"], "pos", "line", GOES_ON), ["id"], "pos", "line", START, STOP, KINDS, CAUSES)
+    return e.select("id", "block", "pos", "kind", "cause", F.char_length("line").cast("long").alias("chars"))
+
+
 @query("X4_templates", f"WITH {SENT} SELECT md5(regexp_replace(regexp_replace(sentence, '[A-Z][a-z]+', 'N', 'g'), '[0-9]+', '0', 'g')) AS key, count(*) AS n, min(id) AS first FROM st GROUP BY 1 HAVING count(*) >= 3")
 def templates(spark, d):
     s = text.sentences(table(spark, d, "documents"), "doc_id", "text")
@@ -40,6 +100,20 @@ def templates(spark, d):
     return s.groupBy(key.alias("key")).agg(F.count("*").alias("n"), F.min("id").alias("first")).filter("n >= 3")
 
 
+MASKS = [("[A-Z][a-z]+", "N"), ("[0-9]+", "0"), ("(?:tion|ing|ed|en|er)", "~")]
+_MASKED = "md5(regexp_replace(regexp_replace(regexp_replace({0}, '[A-Z][a-z]+', 'N', 'g'), '[0-9]+', '0', 'g'), '(?:tion|ing|ed|en|er)', '~', 'g'))"
+_BENCH = SENT.replace("st AS", "sb AS").replace("doc_id", "item_id").replace("documents", "benchmark")
+X4 = f"kt AS (SELECT {_MASKED.format('sentence')} AS key, count(*) AS n FROM st GROUP BY 1), lb AS (SELECT {_MASKED.format('sentence')} AS key, 'item ' || min(id) AS label FROM sb GROUP BY 1), kl AS (SELECT key, n, label FROM kt LEFT JOIN lb USING (key))"
+
+
+@query("X4_dictionary", f"WITH {SENT}, {_BENCH}, {X4} SELECT label, NULL::VARCHAR AS key, sum(n)::BIGINT AS n FROM kl WHERE label IS NOT NULL GROUP BY 1 UNION ALL (SELECT label, key, n FROM kl WHERE label IS NULL ORDER BY n DESC, key LIMIT 20)")
+def template_labels(spark, d):
+    """Sentences by their template's label (templates of benchmark items), and the 20 most frequent templates without one."""
+    sentences = lambda name, i: text.sentences(table(spark, d, name), i, "text").withColumn("key", F.md5(text.template(F.col("sentence"), MASKS).cast("binary")))
+    labels = sentences("benchmark", "item_id").groupBy("key").agg(F.concat(F.lit("item "), F.min("id").cast("string")).alias("label"))
+    return text.label_templates(sentences("documents", "doc_id").groupBy("key").agg(F.count("*").alias("n")), labels, 20)
+
+
 @query("X5_dictionary", "WITH x AS (SELECT l_orderkey AS o, l_linenumber AS l, CASE WHEN l_partkey % 97 <> 0 THEN l_partkey END AS v FROM lineitem), c AS (SELECT v, row_number() OVER (ORDER BY min((o, l)), v) - 1 AS code FROM x WHERE v IS NOT NULL GROUP BY 1) SELECT x.v, coalesce(code, -1)::BIGINT AS code, count(*) AS n FROM x LEFT JOIN c USING (v) GROUP BY 1, 2")
 def dictionary(spark, d):
     li = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("o"), F.col("l_linenumber").alias("l"), F.when(F.col("l_partkey") % 97 != 0, F.col("l_partkey")).alias("v"))
@@ -142,6 +216,13 @@ def q6(spark, d):
     return y.select("yr", "n", (F.col("n") < 0.9 * F.lag("n").over(Window.orderBy("yr"))).alias("shrunk"))  # one row a year
 
 
+@query("Q6_refused_writes", with_snap("SELECT id, price, status, day, replaced FROM (SELECT *, false AS replaced FROM sa UNION ALL SELECT *, true FROM sb) JOIN (SELECT month(a.day) AS mo, b.n >= 1.33 * a.n AS ok FROM (SELECT any_value(day) AS day, count(*) AS n FROM sa GROUP BY month(day)) a JOIN (SELECT month(day) AS mo, count(*) AS n FROM sb GROUP BY 1) b ON b.mo = month(a.day)) ON mo = month(day) WHERE replaced = ok"))
+def refused_writes(spark, d):
+    """A snapshot replaces the last one by month of its rows, unless it has too few of them."""
+    old, new = (s.withColumn("mo", F.month("day")) for s in snapshots(spark, d))
+    return quality.guarded_replace(old, new, "mo", 1.33).drop("mo")
+
+
 FILLS = (30, 90, 365)
 _FILL = "SELECT 'rate_{0}' AS feature, count(*) AS rows_n, round(count(rate) / count(*), 6) AS fill, count(*) FILTER (WHERE rate IS NULL) AS missing, count(rate) / count(*) < 0.5 AS degraded FROM (SELECT p.event, b.hb / nullif(b.nb, 0) AS rate FROM pt p JOIN (SELECT entity, d_idx, sum(n) OVER w AS nb, sum(h) OVER w AS hb FROM fb WINDOW w AS (PARTITION BY entity ORDER BY d_idx RANGE BETWEEN {0} PRECEDING AND 1 PRECEDING)) b USING (entity, d_idx))"
 

@@ -59,6 +59,56 @@ def cards(spark, d):
     return c.groupBy("grp", "day").agg(F.count_distinct("key").alias("keys"), F.count("*").alias("steps"), F.round(F.min(ratio), 6).alias("best"), F.min_by("key", F.struct(ratio.alias("r"), "id")).alias("best_key"))
 
 
+#: The last hours before the deadline that count, and the length of a slot in hours.
+SPAN, SLOT = 12, 4
+RC = (
+    f"sn AS (SELECT grp, day, key, i, o, rank() OVER (PARTITION BY grp, day, i ORDER BY o)::INT AS r FROM (SELECT grp, day, key, dense_rank() OVER (PARTITION BY grp, day ORDER BY slot)::INT AS i, o FROM (SELECT grp, day, key, hour(ts) // {SLOT} AS slot, arg_max(value, (ts, id)) AS o FROM tk WHERE ts >= deadline - INTERVAL {SPAN} HOUR GROUP BY 1, 2, 3, 4)))",
+    "rc AS (SELECT * FROM (SELECT *, lag(i) OVER w AS pi, lag(o) OVER w AS o0, lag(r) OVER w AS r0 FROM sn WINDOW w AS (PARTITION BY grp, day, key ORDER BY i)) WHERE pi = i - 1 AND o0 > 0 AND o > 0 AND r <= 5 AND o <= 0.5 * o0 + 1e-9)",
+)
+
+
+def ranked(spark, d):
+    late = ticks(spark, d).filter(F.col("ts") >= F.col("deadline") - F.expr(f"INTERVAL {SPAN} HOUR"))
+    return tk.ranked_collapses(tk.slots(late, ["grp", "day"], "key", F.floor(F.hour("ts") / SLOT)), ["grp", "day"], "key")
+
+
+@query("T5_ranked_collapses", with_tk("SELECT grp, day, key, i, o0, r0, o, r FROM rc", *RC))
+def ranked_collapses(spark, d):
+    """Halved values among the five best of a slot, against the slot right before, in the last hours before the deadline."""
+    return ranked(spark, d).select("grp", "day", "key", "i", "o0", "r0", "o", "r")
+
+
+T6 = (
+    "it AS (SELECT grp, day, key, min(o / o0) AS ratio FROM rc GROUP BY 1, 2, 3)",
+    "cd AS (SELECT grp, day, count(*) AS keys, arg_min(key, (ratio, key)) AS best_key, round(min(ratio), 6) AS best FROM it GROUP BY 1, 2)",
+    "sp AS (SELECT grp, day, sum(c)::BIGINT AS steps, arg_max(i, (c, i)) AS step FROM (SELECT grp, day, i, count(*) AS c FROM rc GROUP BY 1, 2, 3) GROUP BY 1, 2)",
+    "mb AS (SELECT grp, day, m, count(*) AS c FROM (SELECT grp, day, unnest([key % 8, 8 + key % 5]) AS m FROM it) GROUP BY 1, 2, 3)",
+    "fo AS (SELECT grp, day, string_agg(m, ',' ORDER BY c DESC, m) AS focus FROM (SELECT *, row_number() OVER (PARTITION BY grp, day ORDER BY c DESC, m) AS k FROM mb JOIN cd USING (grp, day)) WHERE 2 * c >= keys OR k = 1 GROUP BY 1, 2)",
+    "fr AS (SELECT grp, day, string_agg(key, ',' ORDER BY v, key) AS result FROM (SELECT *, row_number() OVER (PARTITION BY grp, day ORDER BY v, key) AS k FROM (SELECT grp, day, key, arg_max(value, (ts, id)) AS v FROM tk GROUP BY 1, 2, 3)) WHERE k <= 3 GROUP BY 1, 2 HAVING count(*) = 3)",
+)
+
+
+@query("T6_focus_cards", with_tk("SELECT grp, day, keys, best_key, best, steps, step, focus, result FROM cd JOIN sp USING (grp, day) JOIN fo USING (grp, day) LEFT JOIN fr USING (grp, day)", *RC, *T6))
+def focus_cards(spark, d):
+    """A card for each group-day with collapses: the best one, the step that has most (the later of equals), members in
+    half of the keys or more (else the one in most), and the first three of the final values if there are three.
+
+    A key stands for the pair of its members key % 8 and 8 + key % 5.
+    """
+    by = ["grp", "day"]
+    rc = ranked(spark, d)
+    items = rc.groupBy(*by, "key").agg(F.min(F.col("o") / F.col("o0")).alias("ratio"))
+    card = items.groupBy(*by).agg(F.count("*").alias("keys"), F.min_by("key", F.struct("ratio", "key")).alias("best_key"), F.round(F.min("ratio"), 6).alias("best"))
+    steps = rc.groupBy(*by, "i").agg(F.count("*").alias("c")).groupBy(*by).agg(F.sum("c").alias("steps"), F.max_by("i", F.struct("c", "i")).alias("step"))
+    members = items.select(*by, F.explode(F.array(F.col("key") % 8, 8 + F.col("key") % 5)).alias("m")).groupBy(*by, "m").agg(F.count("*").alias("c"))
+    joined = lambda rows, sort, what, name: rows.groupBy(*by).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(*sort))), lambda s: s[what].cast("string")), ",").alias(name), F.count("*").alias("__n"))
+    k = F.row_number().over(Window.partitionBy(*by).orderBy(F.desc("c"), "m"))
+    focus = members.join(card.select(*by, "keys"), by).withColumn("k", k).filter("2 * c >= keys OR k = 1")
+    final = tk.final_values(ticks(spark, d), [*by, "key"]).withColumn("k", F.row_number().over(Window.partitionBy(*by).orderBy("final", "key"))).filter("k <= 3")
+    out = card.join(steps, by).join(joined(focus, ("k", "m"), "m", "focus").drop("__n"), by)
+    return out.join(joined(final, ("k", "key"), "key", "result").filter("__n = 3").drop("__n"), by, "left")
+
+
 NEAR = (240, 60, 10)
 
 

@@ -226,6 +226,32 @@ def seasonal(spark, d):
     return out.select("venue", "d_idx", F.round(F.coalesce("s", "y"), 4).alias("baseline"), level.alias("level"))
 
 
+#: Days from which a venue's values are of another kind; venues without one have a single regime.
+REGIMES = {0: -1500, 3: -1200, 4: -900, 7: -1000, 11: -700, 19: -1300}
+_CUT = "CASE venue " + " ".join(f"WHEN {v} THEN d_idx >= {c}" for v, c in REGIMES.items()) + " ELSE false END AS regime"
+
+
+@query("W19_regimes", with_pt("SELECT d.venue, d.d_idx, round(coalesce(s.m, y.m), 4) AS baseline, CASE WHEN s.m IS NOT NULL THEN 'season' WHEN y.m IS NOT NULL THEN 'year' END AS level, coalesce(s.n, 0)::BIGINT AS n_season, coalesce(y.n, 0)::BIGINT AS n_year FROM dv d LEFT JOIN sn s USING (venue, d_idx) LEFT JOIN yr y USING (venue, d_idx)",
+    f"rg AS (SELECT venue, d_idx, measure, {_CUT} FROM pt)", "dv AS (SELECT DISTINCT venue, d_idx, regime FROM rg)",
+    "sn AS (SELECT a.venue, a.d_idx, median(b.measure) AS m, count(*) AS n FROM dv a JOIN rg b ON b.venue = a.venue AND b.regime = a.regime AND (" + " OR ".join(f"b.d_idx BETWEEN a.d_idx - {x0} AND a.d_idx - {x1}" for x0, x1 in SPANS) + ") GROUP BY 1, 2 HAVING count(*) >= 8)",
+    "yr AS (SELECT a.venue, a.d_idx, median(b.measure) AS m, count(*) AS n FROM dv a JOIN rg b ON b.venue = a.venue AND b.regime = a.regime AND b.d_idx BETWEEN a.d_idx - 365 AND a.d_idx - 1 GROUP BY 1, 2 HAVING count(*) >= 8)"))
+def seasonal_regimes(spark, d):
+    """The seasonal baseline from rows of the day's own regime only, with the rows behind each level."""
+    cut = F.lit(False)
+    for v, c in REGIMES.items():
+        cut = F.when(F.col("venue") == v, F.col("d_idx") >= c).otherwise(cut)
+    p = participations(spark, d).select("venue", "d_idx", "measure", cut.alias("regime"))
+    days, by = p.select("venue", "regime", "d_idx").distinct(), ["venue", "regime"]
+    facts = p.select(*by, F.col("d_idx").alias("at"), "measure")
+    ahead = facts.withColumn("by", F.explode(F.array(*[F.lit(b - 1) for _, b in SPANS]))).withColumn("at", F.col("at") + F.col("by"))
+    med = lambda facts, k, n: moving(days, facts, by=by, day="d_idx", at="at", value="measure", days=k).filter("window_n >= 8").select("venue", "d_idx", F.col("window").alias(n), F.col("window_n").alias(f"n_{n}"))
+    s, y = med(ahead, SPANS[0][0] - SPANS[0][1] + 1, "season"), med(facts, 365, "year")
+    out = days.join(s, ["venue", "d_idx"], "left").join(y, ["venue", "d_idx"], "left")
+    level = F.when(F.col("season").isNotNull(), "season").when(F.col("year").isNotNull(), "year")
+    n = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c)
+    return out.select("venue", "d_idx", F.round(F.coalesce("season", "year"), 4).alias("baseline"), level.alias("level"), n("n_season"), n("n_year"))
+
+
 @query("W20_last_year", with_pt("SELECT p.event, p.runner_no, y.n, y.wins FROM pt p LEFT JOIN yy y ON y.rider = p.rider AND y.yr = year(p.day) - 1", "yy AS (SELECT rider, year(day) AS yr, count(*) AS n, count(*) FILTER (WHERE finish = 1) AS wins FROM pt GROUP BY 1, 2)"))
 def last_year(spark, d):
     p = participations(spark, d)
@@ -391,6 +417,26 @@ def partner_conflict(spark, d):
     return participations(spark, d).select("event", "runner_no", n.alias("rivals"))
 
 
+W32 = "lp AS (SELECT a.event, a.runner_no, a.rider, a.sire, a.d_idx, list(b.sire ORDER BY b.d_idx DESC, b.event DESC, b.runner_no DESC)[1:3] AS known FROM pt a LEFT JOIN pt b ON b.rider = a.rider AND b.d_idx < a.d_idx GROUP BY ALL)"
+
+
+@query("W32_known_partners", with_pt("SELECT a.event, a.runner_no, coalesce(list_contains(any_value(a.known), any_value(a.sire)), false) AS chosen, count(*) FILTER (WHERE list_contains(a.known, b.sire)) AS passed_over, count(*) FILTER (WHERE list_contains(b.known, a.sire) AND b.sire <> a.sire) AS dropped_by, any_value(e.entries) AS entries FROM lp a LEFT JOIN lp b ON b.event = a.event AND b.runner_no <> a.runner_no JOIN (SELECT rider, d_idx, count(*) AS entries FROM pt GROUP BY 1, 2) e ON e.rider = a.rider AND e.d_idx = a.d_idx GROUP BY 1, 2", W32))
+def known_partners(spark, d):
+    """A rider's last three partners (sires) of earlier days against the event's field: whether the present one is among
+    them, how many others of the field are, and how many other riders know this runner's partner but ride another; with the
+    rider's entries of the day. Pairs are made inside an event only, whose field is small."""
+    p = participations(spark, d)
+    last = asof.last_before(p, ["rider"], "d_idx", ["event", "runner_no"], ["sire"], 3).select("rider", "d_idx", F.col("last.sire").alias("known"))
+    entries = F.count("*").over(Window.partitionBy("rider", "d_idx")).alias("entries")
+    a = p.select("event", "runner_no", "rider", "sire", "d_idx", entries).join(last, ["rider", "d_idx"], "left").withColumn("known", F.coalesce("known", F.array().cast("array<string>")))
+    b = a.select("event", F.col("runner_no").alias("no2"), F.col("sire").alias("sire2"), F.col("known").alias("known2"))
+    pairs = a.join(b, "event").filter("no2 <> runner_no").groupBy("event", "runner_no").agg(
+        F.count_if(F.array_contains("known", F.col("sire2"))).alias("passed_over"), F.count_if(F.array_contains("known2", F.col("sire")) & (F.col("sire2") != F.col("sire"))).alias("dropped_by")
+    )
+    out = a.select("event", "runner_no", F.array_contains("known", F.col("sire")).alias("chosen"), "entries").join(pairs, ["event", "runner_no"], "left")
+    return out.fillna(0, ["passed_over", "dropped_by"])
+
+
 AS_OF = ("1996-07-01", "1998-01-01", "1999-12-31")
 
 
