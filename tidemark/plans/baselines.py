@@ -108,6 +108,19 @@ def group_differences(spark, d):
     return bl.alternating_medians(r, ["d_idx", "sire"], "r", rounds=ROUNDS)["sire"].select("sire", F.round("effect", 2).alias("effect"))
 
 
+B6F = ("cm AS (SELECT class, distance, median(measure) AS base FROM pt WHERE 2 * runner_no <= field_size GROUP BY 1, 2)", "fs AS MATERIALIZED (SELECT sire, d_idx, measure - base AS r FROM pt JOIN cm USING (class, distance) WHERE 2 * runner_no <= field_size)")
+
+
+@query("B6_front_split", with_pt(f"SELECT sire, n, round(effect, 2) AS effect FROM e_sire_{ROUNDS} JOIN (SELECT sire, count(*) AS n FROM fs GROUP BY 1) USING (sire)", *B6F, *alternating_sql("fs", ["d_idx", "sire"], "r", ROUNDS)))
+def front_split(spark, d):
+    """The same on the measure of the field's front half, with the rows behind each effect."""
+    p = participations(spark, d).filter(2 * F.col("runner_no") <= F.col("field_size")).select("class", "distance", "sire", "d_idx", "measure")
+    base = p.groupBy("class", "distance").agg(F.percentile("measure", 0.5).alias("base"))
+    r = bl.written(p.join(base, ["class", "distance"]).select("sire", "d_idx", (F.col("measure") - F.col("base")).alias("r")), "residual")
+    e = bl.alternating_medians(r, ["d_idx", "sire"], "r", rounds=ROUNDS)["sire"]
+    return e.join(r.groupBy("sire").agg(F.count("*").alias("n")), "sire").select("sire", "n", F.round("effect", 2).alias("effect"))
+
+
 @query("B7_deviation_words", with_pt("SELECT venue, d_idx, CASE WHEN bias < lo THEN 'low' WHEN bias > hi THEN 'high' ELSE 'normal' END AS word FROM wb JOIN (SELECT venue, quantile_cont(bias, 0.1) AS lo, quantile_cont(bias, 0.9) AS hi FROM wb GROUP BY 1 HAVING count(*) >= 30) USING (venue)", DAYBIAS))
 def deviation_words(spark, d):
     b = day_bias(participations(spark, d))
@@ -210,6 +223,55 @@ def speed_index(spark, d):
     return p.select("event", F.round(F.least(index, F.lit(200.0)), 4).alias("speed"))
 
 
+#: The class whose effect is zero in every fit, the years that a fit looks back, runs that weigh as much as the mean.
+ANCHOR, BACK, PULL = "PROMO", 3, 5
+FIT = ("wf AS MATERIALIZED (SELECT event, class, venue, going, d_idx, price, measure, distance, year(day)::INT AS yr FROM pt WHERE finish = 1)",
+    "rf AS MATERIALIZED (SELECT fit || '|' || class AS fc, fit || '|' || venue AS fv, fit || '|' || d_idx AS fd, price FROM (SELECT *, yr + k AS fit FROM wf, range(1, 4) t(k)) WHERE fit <= (SELECT max(yr) FROM wf))",
+    *alternating_sql("rf", ["fc", "fv", "fd"], "price", ROUNDS),
+    f"an AS (SELECT split_part(fc, '|', 1) AS fit, effect AS zero FROM e_fc_{ROUNDS} WHERE fc LIKE '%|{ANCHOR}')",
+    f"fx AS (SELECT event, venue, going, d_idx, price, measure, distance, v.effect + zero AS course, c.effect - zero AS grade, price - v.effect - c.effect AS r FROM wf JOIN e_fc_{ROUNDS} c ON c.fc = yr || '|' || class JOIN e_fv_{ROUNDS} v ON v.fv = yr || '|' || venue JOIN an ON an.fit = yr::VARCHAR)",
+    f"ds AS (SELECT venue, going, d_idx, (count(*) * median(r) + {PULL} * any_value(mg)) / (count(*) + {PULL}) AS shift FROM (SELECT *, avg(r) OVER (PARTITION BY venue, going) AS mg FROM fx) GROUP BY 1, 2, 3)")
+
+
+def fitted(spark, d):
+    """Winners with the course and class effects of the three years before theirs, and their day's shrunk shift.
+
+    A year's fit alternates medians ten times over the rows of the years before; the anchor class has effect zero in
+    each, so that courses compare over the years. A day's shift is its median residual, pulled to the venue's mean under
+    that condition.
+    """
+    p = participations(spark, d).filter("finish = 1").select("event", "class", "venue", "going", "d_idx", "price", "measure", "distance", F.year("day").alias("yr"))
+    p = bl.written(p, "winners")
+    last = p.agg(F.max("yr").alias("last"))
+    rows = p.withColumn("fit", F.explode(F.array(*[F.col("yr") + k for k in range(1, BACK + 1)]))).crossJoin(F.broadcast(last)).filter("fit <= last")  # one row
+    key = lambda c, y="fit": F.concat_ws("|", y, c)
+    rows = bl.written(rows.select(key("class").alias("fc"), key("venue").alias("fv"), key("d_idx").alias("fd"), "price"), "fits")
+    e = bl.alternating_medians(rows, ["fc", "fv", "fd"], "price", rounds=ROUNDS)
+    zero = e["fc"].filter(F.col("fc").endswith(f"|{ANCHOR}")).select(F.substring_index("fc", "|", 1).cast("int").alias("yr"), F.col("effect").alias("zero"))
+    x = p.withColumn("fc", key("class", "yr")).withColumn("fv", key("venue", "yr"))
+    x = x.join(e["fc"].withColumnRenamed("effect", "c"), "fc").join(e["fv"].withColumnRenamed("effect", "v"), "fv").join(F.broadcast(zero), "yr")  # one row a year
+    x = x.select("event", "venue", "going", "d_idx", "price", "measure", "distance", (F.col("v") + F.col("zero")).alias("course"), (F.col("c") - F.col("zero")).alias("grade"), (F.col("price") - F.col("v") - F.col("c")).alias("r"))
+    mean = x.groupBy("venue", "going").agg(F.avg("r").alias("mg"))
+    n = F.count("*")
+    day = x.groupBy("venue", "going", "d_idx").agg(F.percentile("r", 0.5).alias("m"), n.alias("n")).join(mean, ["venue", "going"])
+    day = day.select("venue", "going", "d_idx", ((F.col("n") * F.col("m") + PULL * F.col("mg")) / (F.col("n") + PULL)).alias("shift"))
+    return x.join(day, ["venue", "going", "d_idx"])
+
+
+@query("B13_rolling_fit", with_pt("SELECT event, round(course, 2) AS course, round(grade, 2) AS grade, round(shift, 2) AS shift FROM fx JOIN ds USING (venue, going, d_idx)", *FIT))
+def rolling_fit(spark, d):
+    return fitted(spark, d).select("event", F.round("course", 2).alias("course"), F.round("grade", 2).alias("grade"), F.round("shift", 2).alias("shift"))
+
+
+@query("B14_anchored_index", with_pt("SELECT event, round(80 + 1000 / greatest(abs(course + grade), 1000) * (course + grade - least(price, 1.5 * greatest(course + grade, 1000)) + shift * distance / 250) / 100 + 2 * (measure - 25), 3) AS speed FROM fx JOIN ds USING (venue, going, d_idx)", *FIT))
+def anchored_index(spark, d):
+    """Speed index over the base of rolling fits: the value capped at one and a half bases, the day's shift by distance."""
+    base = F.col("course") + F.col("grade")
+    capped = F.least(F.col("price"), 1.5 * F.greatest(base, F.lit(1000.0)))
+    index = 80 + 1000 / F.greatest(F.abs(base), F.lit(1000.0)) * (base - capped + F.col("shift") * F.col("distance") / 250) / 100 + 2 * (F.col("measure") - 25)
+    return fitted(spark, d).select("event", F.round(index, 3).alias("speed"))
+
+
 #: Runs of a day that weigh as much as no shift.
 SHIFT = 11.1
 B15 = f"sh AS (SELECT venue, d_idx, bias * c / (c + {SHIFT}) AS shift FROM wb JOIN (SELECT venue, d_idx, count(*) AS c FROM pt WHERE finish = 1 GROUP BY 1, 2) USING (venue, d_idx)), ad AS (SELECT event, venue, d_idx, round(price - coalesce(shift, 0), 6) AS v FROM pt LEFT JOIN sh USING (venue, d_idx) WHERE finish = 1)"

@@ -248,17 +248,26 @@ def kalman(spark, d):
 
 
 RIDGE = 10
-R5 = "WITH m AS (SELECT avg(l_quantity) AS m FROM lineitem), b AS MATERIALIZED (SELECT l_partkey AS a, l_suppkey AS b, count(*) AS n, sum(l_quantity - m) AS s FROM lineitem, m GROUP BY 1, 2), a0 AS (SELECT a, sum(s) / (sum(n) + 5) AS e FROM b GROUP BY 1), " + ", ".join(
-    f"b{k} AS MATERIALIZED (SELECT b.b, sum(s - n * e) / (sum(n) + 20) AS e FROM b JOIN a{k - 1} USING (a) GROUP BY 1), a{k} AS MATERIALIZED (SELECT b.a, sum(s - n * e) / (sum(n) + 5) AS e FROM b JOIN b{k} USING (b) GROUP BY 1)" for k in range(1, RIDGE + 1)
-) + f" SELECT b AS supplier, round(e, 4) AS effect FROM b{RIDGE}"
 
 
-@query("R5_two_way", R5)
-def two_way(spark, d):
-    a, b = ratings.two_way_ridge(table(spark, d, "lineitem"), "l_partkey", "l_suppkey", "l_quantity", rounds=RIDGE)
+def ridge_sql(rounds: int) -> str:
+    """The rounds of `two_way_ridge` as a chain of common tables."""
+    steps = ", ".join(
+        f"b{k} AS MATERIALIZED (SELECT b.b, sum(s - n * e) / (sum(n) + 20) AS e FROM b JOIN a{k - 1} USING (a) GROUP BY 1), a{k} AS MATERIALIZED (SELECT b.a, sum(s - n * e) / (sum(n) + 5) AS e FROM b JOIN b{k} USING (b) GROUP BY 1)"
+        for k in range(1, rounds + 1)
+    )
+    return f"WITH m AS (SELECT avg(l_quantity) AS m FROM lineitem), b AS MATERIALIZED (SELECT l_partkey AS a, l_suppkey AS b, count(*) AS n, sum(l_quantity - m) AS s FROM lineitem, m GROUP BY 1, 2), a0 AS (SELECT a, sum(s) / (sum(n) + 5) AS e FROM b GROUP BY 1), {steps} SELECT b AS supplier, round(e, 4) AS effect FROM b{rounds}"
+
+
+def two_way(spark, d, rounds=RIDGE):
+    a, b = ratings.two_way_ridge(table(spark, d, "lineitem"), "l_partkey", "l_suppkey", "l_quantity", rounds=rounds)
     return b.select(F.col("l_suppkey").alias("supplier"), F.round("eb", 4).alias("effect"))
 
 
+query("R5_two_way", ridge_sql(RIDGE))(two_way)
+query("R5_two_way_30", ridge_sql(30))(lambda spark, d: two_way(spark, d, 30))
+
+
 @query("R6_opposition", with_pt("SELECT event, runner_no, round((sum(r) OVER (PARTITION BY event) - r) / nullif(count(*) OVER (PARTITION BY event) - 1, 0), 6) AS others FROM (SELECT event, runner_no, coalesce(rate, 0.25) AS r FROM (SELECT event, runner_no, count(*) FILTER (WHERE finish = 1) OVER w / nullif(count(*) OVER w, 0) AS rate FROM pt WINDOW w AS (PARTITION BY rider ORDER BY d_idx RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)))"))
 def opposition(spark, d):
     w = Window.partitionBy("rider").orderBy("d_idx").rangeBetween(Window.unboundedPreceding, -1)

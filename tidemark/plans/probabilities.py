@@ -306,6 +306,36 @@ def e18(spark, d):
     return means.join(error, "q").join(years, "q").select("q", "n", F.round("m", 6).alias("mean"), F.round("se", 6).alias("twice_se"), "years_up", "years")
 
 
+#: Feature groups of a probability and their weights in its exponent. Fixed values.
+PARTS = {"market": 0.6, "weight": 0.3, "form": 0.5}
+E18A = ("hs AS (SELECT entity, d_idx, sum(n) OVER w AS n, sum(h) OVER w AS h FROM (SELECT entity, d_idx, count(*) AS n, count(*) FILTER (WHERE finish = 1) AS h FROM pt GROUP BY 1, 2) WINDOW w AS (PARTITION BY entity ORDER BY d_idx RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))",
+    "ft AS (SELECT p.event, p.runner_no, p.won, year(p.day)::INT AS yr, ln(p.p) AS market, ln(t.measure) AS weight, ln((coalesce(h.h, 0) + 1) / (coalesce(h.n, 0) + 5)) AS form FROM pb p JOIN (SELECT event, runner_no, measure, d_idx FROM pt) t USING (event, runner_no) JOIN hs h ON h.entity = p.entity AND h.d_idx = t.d_idx)",
+    "sc AS (" + " UNION ALL ".join(f"SELECT '{out}' AS part, event, runner_no, won, yr, exp({' + '.join(f'{w} * {k}' for k, w in PARTS.items() if k != out)}) AS s FROM ft" for out in ("none", *PARTS)) + ")",
+    "ly AS (SELECT part, yr, count(*) AS n, sum(loss) AS loss FROM (SELECT part, yr, won, -ln(s / sum(s) OVER (PARTITION BY part, event)) AS loss FROM sc) WHERE won GROUP BY 1, 2)",
+    "la AS (SELECT a.part, a.yr, a.n, a.loss - b.loss AS delta FROM ly a JOIN ly b ON b.part = 'none' AND b.yr = a.yr WHERE a.part <> 'none')")
+
+
+@query("E18_ablation", with_pt("SELECT part, sum(n)::BIGINT AS n, round(sum(delta) / sum(n), 6) AS delta, count(*) FILTER (WHERE delta > 0) AS years_up, count(*) AS years FROM la GROUP BY 1", PB, *E18A))
+def e18_ablation(spark, d):
+    """What each feature group is worth: by how much the winners' log loss rises without it, and in how many years."""
+    p = participations(spark, d).select("event", "runner_no", "entity", "d_idx", "measure", "finish")
+    days = p.groupBy("entity", "d_idx").agg(F.count("*").alias("n"), F.count_if(F.col("finish") == 1).alias("h"))
+    w = Window.partitionBy("entity").orderBy("d_idx").rangeBetween(Window.unboundedPreceding, -1)
+    total = lambda c: F.coalesce(F.sum(c).over(w), F.lit(0))
+    past = days.select("entity", "d_idx", F.log((total("h") + 1) / (total("n") + 5)).alias("form"))
+    rows = probs(spark, d).select("event", "runner_no", "day", "won", "p").join(p, ["event", "runner_no"]).join(past, ["entity", "d_idx"])
+    logs = {"market": F.log("p"), "weight": F.log("measure"), "form": F.col("form")}
+    e = Window.partitionBy("event")
+    losses = []
+    for out in ("none", *PARTS):
+        s = sum((w * logs[k] for k, w in PARTS.items() if k != out), F.lit(0.0))
+        losses.append((-F.log(F.exp(s) / F.sum(F.exp(s)).over(e))).alias(out))  # one window for all
+    won = rows.select("won", F.year("day").alias("yr"), *losses).filter("won")
+    years = won.groupBy("yr").agg(F.count("*").alias("n"), *[F.sum(F.col(k) - F.col("none")).alias(k) for k in PARTS])
+    parts = years.select("n", F.inline(F.array(*[F.struct(F.lit(k).alias("part"), F.col(k).alias("d")) for k in PARTS])))
+    return parts.groupBy("part").agg(F.sum("n").alias("n"), F.round(F.sum("d") / F.sum("n"), 6).alias("delta"), F.count_if(F.col("d") > 0).alias("years_up"), F.count("*").alias("years"))
+
+
 @query("E19_model")
 def e19(spark, d):
     """Logistic regression (Spark ML) on as-of features; all rows are scored by the coefficients, as plain expressions."""
