@@ -61,9 +61,8 @@ def guarded_replace(old: DataFrame, new: DataFrame, part: str, least: float) ->
 
     Parts that only new has are taken; parts that new lacks keep their old rows.
     """
-    count = lambda df, n: df.groupBy(part).agg(F.count("*").alias(n))
-    both = count(old, "n1").join(count(new, "n2"), part, "full_outer")
-    ok = F.coalesce(F.coalesce("n2", F.lit(0)) >= least * F.col("n1"), F.lit(True))
-    ok = both.select(F.col(part).alias("__part"), ok.alias("replaced"))
-    taken = lambda df, yes: df.join(ok, F.col(part).eqNullSafe(F.col("__part"))).filter(F.col("replaced") == yes).drop("__part")
+    sides = old.select(part, F.lit(1).alias("a"), F.lit(0).alias("b")).union(new.select(part, F.lit(0), F.lit(1)))
+    ok = (F.sum("b") > 0) & (F.sum("b") >= least * F.sum("a"))
+    ok = sides.groupBy(F.col(part).alias("__part")).agg(ok.alias("replaced"))  # null is a part as well
+    taken = lambda df, yes: df.join(ok, df[part].eqNullSafe(ok["__part"])).filter(F.col("replaced") == yes).drop("__part")
     return taken(old, False).unionByName(taken(new, True))
