@@ -72,6 +72,43 @@ def blended(spark, d):
     return day.select("venue", "d_idx", "n", stats.half_up((F.col("own") + F.coalesce("projected", "own")) / 2, 2).alias("value"))
 
 
+#: What a month's values weigh against those of the month after it.
+FADE = 0.9
+MONTH = "year(day) * 12 + month(day)"
+B4M = (
+    f"mv AS (SELECT *, {MONTH} AS m, price - baseline AS v FROM b1 WHERE baseline IS NOT NULL)",
+    "mo AS (SELECT entity, m, sum(v) AS s, count(*) AS n FROM mv GROUP BY 1, 2)",
+    f"pj AS (SELECT a.entity, a.m, sum(b.s * pow({FADE}, a.m - b.m)) / sum(b.n * pow({FADE}, a.m - b.m)) AS p FROM mo a JOIN mo b ON b.entity = a.entity AND b.m < a.m GROUP BY 1, 2)",
+    "an AS (SELECT m, avg(p) AS zero FROM pj GROUP BY 1)",
+)
+
+
+@query("B4_monthly_anchor", with_pt(f"SELECT venue, d_idx, count(*) AS n, {hu('(median(v) + coalesce(median(v - (p - zero)), median(v))) / 2', 2)} AS value FROM mv LEFT JOIN pj USING (entity, m) LEFT JOIN an USING (m) GROUP BY 1, 2", *B1, *B4M))
+def monthly_anchor(spark, d):
+    """Half the day value, half what participants' values of all earlier months project, anchored anew each month.
+
+    A projection is the mean of an entity's values so far, each month weighing FADE of the next; a month's projections are
+    shifted to mean zero, so that they tell participants apart and leave the level to the day. A participant without
+    earlier months has no projection, and a day without any takes its own value.
+    """
+    p = participations(spark, d).select("event", "runner_no", "entity", "venue", "going", "class", "d_idx", "day", "price")
+    rows = bl.asof_medians(p, LEVELS, day="d_idx", value="price").filter("baseline IS NOT NULL")
+    rows = bl.written(rows.select("entity", "venue", "d_idx", F.expr(MONTH).alias("m"), (F.col("price") - F.col("baseline")).alias("v")), "values")
+    months = rows.groupBy("entity", "m").agg(F.sum("v").alias("s"), F.count("*").alias("n"))
+    before = Window.partitionBy("entity").orderBy("m").rangeBetween(Window.unboundedPreceding, -1)
+    last = F.max("m").over(Window.partitionBy("entity"))
+    faded = F.pow(F.lit(FADE), last - F.col("m"))  # the same weights but for a factor of the entity
+    months = months.select("entity", "m", "s", "n", faded.alias("f"))
+    projected = F.try_divide(F.sum(F.col("s") * F.col("f")).over(before), F.sum(F.col("n") * F.col("f")).over(before))
+    projected = months.select("entity", "m", projected.alias("p")).filter("p IS NOT NULL")
+    projected = bl.written(projected, "projections")
+    zero = projected.groupBy("m").agg(F.avg("p").alias("zero"))
+    projected = projected.join(zero, "m").select("entity", "m", (F.col("p") - F.col("zero")).alias("ability"))
+    day = rows.join(projected, ["entity", "m"], "left").groupBy("venue", "d_idx")
+    day = day.agg(F.percentile("v", 0.5).alias("own"), F.percentile(F.col("v") - F.col("ability"), 0.5).alias("projected"), F.count("*").alias("n"))
+    return day.select("venue", "d_idx", "n", stats.half_up((F.col("own") + F.coalesce("projected", "own")) / 2, 2).alias("value"))
+
+
 @query("B5_frozen_history", with_pt(f"SELECT venue, d_idx, {hu('bias')} AS bias, d_idx < 0 AS frozen FROM wb", DAYBIAS))
 def frozen_history(spark, d):
     b = day_bias(participations(spark, d)).select("venue", "d_idx", stats.half_up(F.col("bias")).alias("bias"))
