@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from importlib import import_module
 
-_MODULES = ("line_dedup", "bpe", "language_id", "media", "url_filter", "mixing", "exact_dedup", "chat_format", "token_store", "near_dedup")
+_MODULES = ("line_dedup", "bpe", "language_id", "media", "url_filter", "mixing", "exact_dedup", "chat_format", "token_store", "near_dedup",
+            "filter_audit")
 QUERIES: dict = {}
 ORACLES: dict = {}
 for _name in _MODULES:
