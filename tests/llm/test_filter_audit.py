@@ -54,7 +54,8 @@ def brute(rows, labels):
         if i is not None:
             first[text or ""] = min(first.get(text or "", i), i)
     for i, q, t in labels:
-        good[i], toxic[i] = good.get(i, False) or q == 1, toxic.get(i, False) or t == 1
+        if i is not None:
+            good[i], toxic[i] = good.get(i, False) or q == 1, toxic.get(i, False) or t == 1
     fails = []
     for i, text, part in rows:
         n, d, caps, points, symbols = plain(text or "")
