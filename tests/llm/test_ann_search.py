@@ -83,4 +83,4 @@ def test_most_rows_are_judged_by_their_codes_alone(monkeypatch):
     real = np.nonzero
     monkeypatch.setattr(ann.np, "nonzero", lambda m: (exact.append(int(m.sum())), real(m))[1])
     q.meet(centre[0], np.arange(5000), v, bits.copy().view(np.uint64), length, s)
-    assert 0 < sum(exact) < 0.2 * 20 * 5000
+    assert 0 < sum(exact) < 0.25 * 20 * 5000

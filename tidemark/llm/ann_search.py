@@ -13,7 +13,7 @@ Neighbor Search" (2024):
    the bound.
 3. Rows lie in blocks of one cell and bounded size, with their vectors. A task takes one block of queries and GROUP blocks
    of rows: a query passes over a block whose centre and radius can't reach its k-th score; in the others it takes the
-   exact inner product, in double precision, of the k best estimates, and then of just the rows whose upper bound reaches the
+   exact inner product, in double precision, of the 3 k best estimates, and then of just the rows whose upper bound reaches the
    k-th score so far. Each task returns k rows for a query, and one window picks the nearest of all tasks.
 
 So the stated queries meet all rows, in blocks; nothing is capped, and a row is missed only where its error exceeds
@@ -136,11 +136,12 @@ class Queries:
             bound = self.length[at][:, None] * spread[None, :] + self.rounding[at][:, None] * scale[None, :] + slack[at][:, None]
             own = self.ids[at][:, None] == ids[None, :]
             least, sure = self.kth[at], np.zeros(own.shape, bool)
-            if len(ids) > self.k:  # the exact scores of the k best estimates: the k-th score can't be less
-                top = np.argpartition(np.where(own, -np.inf, middle), len(ids) - self.k, axis=1)[:, len(ids) - self.k :]
+            first_ones = 3 * self.k
+            if len(ids) > first_ones:  # the exact scores of the best estimates: the k-th score can't be less
+                top = np.argpartition(np.where(own, -np.inf, middle), len(ids) - first_ones, axis=1)[:, len(ids) - first_ones :]
                 np.put_along_axis(sure, top, True, axis=1)
                 known = np.where(np.take_along_axis(own, top, axis=1), -np.inf, (self.v[at][:, None, :] * v[top]).sum(2))
-                least = np.maximum(least, known.min(1))
+                least = np.maximum(least, np.partition(known, first_ones - self.k, axis=1)[:, first_ones - self.k])
             x, y = np.nonzero((sure | ~(middle + bound < least[:, None])) & ~own)
             score = np.concatenate([(self.v[at[x[a : a + 65_536]]] * v[y[a : a + 65_536]]).sum(1) for a in range(0, len(x), 65_536)] or [np.zeros(0)])
             cuts = np.searchsorted(x, np.arange(len(at) + 1))
