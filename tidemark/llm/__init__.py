@@ -5,7 +5,7 @@ from __future__ import annotations
 from importlib import import_module
 
 _MODULES = ("line_dedup", "bpe", "language_id", "media", "url_filter", "mixing", "exact_dedup", "chat_format", "token_store", "near_dedup",
-            "ann_search", "filter_audit")
+            "hard_negatives", "ann_search", "filter_audit")
 QUERIES: dict = {}
 ORACLES: dict = {}
 for _name in _MODULES:
