@@ -2,11 +2,12 @@
 
 1. Each line (trimmed of spaces, blank lines aside) gives a 96-bit hash. Of the lines with enough rows to reach the
    threshold, HyperLogLog sketches of the sites are aggregated for each hash, partly before the shuffle, so that a
-   line of millions of rows is a sketch by then.
+   line of millions of rows is a sketch by then. Where these lines are too many to be broadcast, rows are first reduced
+   to distinct (hash, site), again partly before the shuffle: a line then has a row for each of its sites at most.
 2. A line whose estimate lies clearly beyond the threshold is boilerplate, one clearly below is not. For the lines
    near it, and only for them, sites are counted exactly.
 3. A document loses all its boilerplate lines. Up to BROADCAST_LINES of them, counted first, go to every task as two
-   arrays, and texts don't move; beyond that lines meet them in a shuffled join.
+   arrays, and texts don't move; beyond that lines meet them in a shuffled join, the most frequent ones by broadcast.
 
 Defined results: a null text is the empty one; a null site counts for no line; blank lines stay and are never
 boilerplate; a document that repeats a line loses each of them; rows that repeat an id are handled each by itself; an
@@ -22,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import materialise, small, table
+from ._common import BROADCAST_ROWS, discard, join_groups, materialise, table
 from ._segments import slices
 
 #: Sites from which on a line is boilerplate.
@@ -43,28 +44,38 @@ def _hash(line: Column) -> Column:
     return F.struct(F.xxhash64(line).alias("a"), F.hash(line).alias("b"))
 
 
-def boilerplate(docs: DataFrame, *, site_col: str, text_col: str, min_sites: int = MIN_SITES) -> DataFrame:
-    """h struct<a long, b int>, sites long: hashes of the lines that stand on at least min_sites sites."""
+def boilerplate(docs: DataFrame, *, site_col: str, text_col: str, min_sites: int = MIN_SITES, few: int = BROADCAST_ROWS) -> DataFrame:
+    """h struct<a long, b int>, sites long, n long (documents): hashes of the lines that stand on at least min_sites sites.
+
+    few: lines at most that are joined by broadcast."""
     line = F.explode(F.array_distinct(F.transform(F.filter(_lines(F.col(text_col)), lambda x: F.btrim(x) != ""), _hash)))
     rows = docs.select(F.col(site_col).alias("site"), line.alias("h")).filter("site IS NOT NULL")
     # A line with fewer rows than min_sites has fewer sites: just the others get a sketch, whose buffers are large.
-    often = rows.groupBy("h").agg(F.count("*").alias("n")).filter(F.col("n") >= min_sites).select("h")
-    rows = rows.join(small(materialise(often, "frequent-lines")), "h", "left_semi")
-    spread = rows.groupBy("h").agg(F.hll_sketch_estimate(F.hll_sketch_agg("site", LG_K)).alias("est"))
+    often = materialise(rows.groupBy("h").agg(F.count("*").alias("n")).filter(F.col("n") >= min_sites), "frequent-lines")
+
+    def of(lines: DataFrame) -> DataFrame:
+        """site, h, n of the lines' rows; each site of a line once where the lines are many."""
+        if lines.limit(few + 1).count() <= few:
+            return rows.join(F.broadcast(lines), "h")
+        return rows.distinct().join(lines, "h")
+
+    spread = of(often).groupBy("h").agg(F.hll_sketch_estimate(F.hll_sketch_agg("site", LG_K)).alias("est"), F.max("n").alias("n"))
     error = BAND * 1.04 / 2 ** (LG_K / 2)
     spread = materialise(spread.filter(F.col("est") >= min_sites * (1 - error)), "line-spread")
     near = F.col("est") <= min_sites * (1 + error)
-    recount = rows.join(small(spread.filter(near).select("h")), "h", "left_semi")
-    exact = recount.groupBy("h").agg(F.count_distinct("site").alias("sites")).filter(F.col("sites") >= min_sites)
-    return materialise(spread.filter(~near).select("h", F.col("est").alias("sites")).unionByName(exact), "boilerplate")
+    exact = of(spread.filter(near).select("h", "n")).groupBy("h").agg(F.count_distinct("site").alias("sites"), F.max("n").alias("n"))
+    exact = exact.filter(F.col("sites") >= min_sites)
+    out = materialise(spread.filter(~near).select("h", F.col("est").alias("sites"), "n").unionByName(exact), "boilerplate")
+    discard(often, spread)
+    return out
 
 
 def remove_boilerplate(
     docs: DataFrame, *, id_col: str = "doc_id", site_col: str = "source", text_col: str = "text",
-    min_sites: int = MIN_SITES, broadcast_lines: int = BROADCAST_LINES,
+    min_sites: int = MIN_SITES, broadcast_lines: int = BROADCAST_LINES, few: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """id, text string without boilerplate lines, n_lines long, n_removed long."""
-    found = boilerplate(docs, site_col=site_col, text_col=text_col, min_sites=min_sites)
+    found = boilerplate(docs, site_col=site_col, text_col=text_col, min_sites=min_sites, few=few)
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text"))
     if found.count() <= broadcast_lines:
         return _remove_in_place(rows, found).withColumnRenamed("id", id_col)
@@ -110,7 +121,8 @@ def _remove_in_place(rows: DataFrame, found: DataFrame) -> DataFrame:
 
 def _remove_by_join(rows: DataFrame, found: DataFrame) -> DataFrame:
     line = F.explode(F.array_distinct(F.transform(_lines(F.col("text")), _hash)))
-    hits = rows.select(F.col("id").alias("hit_id"), line.alias("h")).join(found.select("h"), "h", "left_semi")
+    hits = rows.select(F.col("id").alias("hit_id"), line.alias("h"))
+    hits = join_groups(hits, found.select("h", "n"), ["h"], "n").filter("n IS NOT NULL")
     bad = materialise(hits.groupBy("hit_id").agg(F.collect_set("h").alias("bad")), "boilerplate-of-rows")
     rows = rows.select("id", _lines(F.col("text")).alias("lines"))
     rows = rows.join(bad, F.col("id").eqNullSafe(F.col("hit_id")), "left")
