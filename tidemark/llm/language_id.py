@@ -1,7 +1,7 @@
 """Language identification by compression: the language whose dictionary gives the smallest zstandard frame.
 
 Texts are reduced to lower-case words with one space between. For each language a raw-content dictionary holds the
-whole texts of SAMPLE_ROWS labelled training rows at most, the sample's only bound. A text is compressed once with each
+whole texts of SAMPLE_ROWS labelled training rows and of DICTIONARY_BYTES at most, the sample's only bounds. A text is compressed once with each
 dictionary, whole, in blocks that fit the compressor's window beside it; the smallest sum of sizes
 wins and the gap to the next one, in proportion, is the score, whatever the text's length. A narrow gap is a rejection.
 All languages of the labels take part: dictionaries are broadcast ROUND_BYTES at a time, and where that takes more than
@@ -16,6 +16,7 @@ read to predict; columns that are not named are kept by `keep_identified`.
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -27,8 +28,8 @@ from pyspark.sql import functions as F
 from ._common import materialise, small, table
 from ._segments import slices
 
-#: Training rows of a language at most: the bound of the sample that the dictionaries are made of.
-SAMPLE_ROWS = 200
+#: Training rows of a language at most, and bytes of their texts: the bounds of the sample that dictionaries are made of.
+SAMPLE_ROWS, DICTIONARY_BYTES = 200, 2_000_000
 #: Bytes of dictionaries that are broadcast at a time, one dictionary at least, and languages at a time.
 ROUND_BYTES, ROUND_LANGUAGES = 64_000_000, 256
 #: Bytes of a text that are compressed at a time. Block and dictionary fit the window: beyond the window no dictionary
@@ -47,21 +48,26 @@ def words_only(text: str) -> bytes:
 
 def learned(
     docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-    sample_rows: int = SAMPLE_ROWS,
+    sample_rows: int = SAMPLE_ROWS, dictionary_bytes: int = DICTIONARY_BYTES,
 ) -> Iterator[tuple[str, bytes]]:
     """(language, dictionary) in the order that ties are decided: more labelled rows first. One round's texts at a time.
 
-    The first scan reads labels and ids only and picks, for each language, the sample_rows rows whose id's hash is
-    smallest; the second one reads just their texts.
+    The first scan reads labels, ids and the texts' sizes and picks, for each language, the sample_rows rows whose id's
+    hash is smallest, as far as their whole texts fit dictionary_bytes; longer texts than that come last, and a language
+    that has nothing else is learned from one of them, cut there. The second scan reads just the picked texts.
     """
     labelled = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     counts = labelled.groupBy(F.col(lang_col).alias("picked_lang")).agg(F.count("*").alias("n"))
-    order = Window.partitionBy("picked_lang").orderBy("order", "picked")
+    order = Window.partitionBy("picked_lang").orderBy("long", "order", "picked")
+    size = F.octet_length(text_col).cast("long")
     picked = (
-        labelled.select(F.col(id_col).alias("picked"), F.col(lang_col).alias("picked_lang"))
+        labelled.select(F.col(id_col).alias("picked"), F.col(lang_col).alias("picked_lang"), size.alias("bytes"), (size > dictionary_bytes).alias("long"))
         .withColumn("order", F.xxhash64("picked"))
         .withColumn("k", F.row_number().over(order))
         .filter(F.col("k") <= sample_rows)
+        .withColumn("total", F.sum("bytes").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+        .filter((F.col("total") <= dictionary_bytes) | (F.col("k") == 1))
+        .select("picked", "picked_lang", "k")
     )
     picked = small(materialise(picked, "language-sample"))
     same = F.col(id_col).eqNullSafe(F.col("picked")) & (F.col(lang_col) == F.col("picked_lang"))
@@ -74,7 +80,7 @@ def learned(
             held[r["picked_lang"]].append((r["k"], r["text"]))
         for lang, rows in held.items():
             if words := b" ".join(words_only(t) for _, t in sorted(rows)):
-                yield lang, words
+                yield lang, words[:dictionary_bytes]
 
 
 def train(docs: DataFrame, **columns: str) -> list[tuple[str, bytes]]:
@@ -127,6 +133,18 @@ class Classifier:
         return _verdict(*self.best(text))
 
 
+#: A worker's compressors, by the name of the round whose dictionaries they hold.
+_models: dict[str, Classifier] = {}
+
+
+def _model(name: str, dictionaries: list[tuple[str, bytes]]) -> Classifier:
+    """The compressors of a round, made once in each worker; those of other rounds go."""
+    if name not in _models:
+        _models.clear()
+        _models[name] = Classifier(dictionaries)
+    return _models[name]
+
+
 def _verdict(lang: str | None, size: int | None, second: int | None) -> tuple[str, float]:
     if lang is None:
         return UNDETERMINED, 0.0
@@ -162,8 +180,8 @@ def predict(
             rows = materialise(rows, "language-round")
         held, later = docs.sparkSession.sparkContext.broadcast(group), not first
 
-        def run(batches: Iterator[pa.RecordBatch], held=held, later=later) -> Iterator[pa.RecordBatch]:
-            model = Classifier(held.value)
+        def run(batches: Iterator[pa.RecordBatch], held=held, later=later, name=uuid.uuid4().hex) -> Iterator[pa.RecordBatch]:
+            model = _model(name, held.value)
             for batch in batches:
                 for a, b in slices(batch.column("__text")):
                     part = batch.slice(a, b - a)
