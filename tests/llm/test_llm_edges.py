@@ -22,7 +22,7 @@ SCHEMA = "doc_id long, text string, lang string, source string"
 def docs(spark):
     df = spark.createDataFrame(TEXTS, SCHEMA)
     # Names that operators use inside.
-    return df.select("*", *[F.lit(9).alias(c) for c in ("id", "n", "size", "old", "h64", "sha", "ids", "score", "n_chars", "node", "band", "keep_id")])
+    return df.select("*", *[F.lit(9).alias(c) for c in ("id", "n", "size", "old", "h64", "sha", "ids", "score", "n_chars", "node", "band", "keep_id", "__sha", "gone_id", "__id", "c0", "h")])
 
 
 @pytest.fixture(scope="module")
@@ -96,6 +96,15 @@ def test_language_id_keeps_very_long_texts(spark):
         assert (found, part[0]) == (lang, lang) and score > 0.3 * part[1]
 
 
+def test_language_dictionaries_keep_to_their_bytes(spark):
+    rows = [(i, f"word{i} " * 10, "en") for i in range(50)] + [(100, "tall " * 2_000, "en"), (101, "lang " * 2_000, "de"), (102, "lang " * 3_000, "de")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = dict(language_id.learned(df, dictionary_bytes=1_000))
+    assert len(found["en"]) <= 1_000 and b"tall" not in found["en"] and found["en"].count(b"word") >= 90
+    assert len(found["de"]) == 1_000 and set(found["de"].split()) == {b"lang"}
+    assert len(dict(language_id.learned(df))["en"]) > 10_000
+
+
 def chunks_of(data):
     at, out = 8, []
     while at < len(data):
@@ -430,8 +439,8 @@ def test_pipeline_stages(spark, docs, empty):
 def test_line_dedup(spark, docs, empty):
     line = [(i, f"keep {i}\n shared line \n\nshared line", "en", f"s{i % 4}") for i in range(8)]
     df = spark.createDataFrame(line, SCHEMA).unionByName(docs, allowMissingColumns=True)
-    for most in (1_000, 0):
-        rows = {r.doc_id: r for r in line_dedup.remove_boilerplate(df, min_sites=4, broadcast_lines=most).collect() if (r.text or "").startswith("keep")}
+    for most, few in ((1_000, 1_000), (0, 1_000), (0, 0)):
+        rows = {r.doc_id: r for r in line_dedup.remove_boilerplate(df, min_sites=4, broadcast_lines=most, few=few).collect() if (r.text or "").startswith("keep")}
         assert len(rows) == 8 and all(r.text == f"keep {i}\n" and (r.n_lines, r.n_removed) == (4, 2) for i, r in rows.items())
     assert line_dedup.remove_boilerplate(df, min_sites=5).filter("n_removed > 0").count() == 0
     assert line_dedup.remove_boilerplate(docs, min_sites=2).count() == len(TEXTS) and line_dedup.remove_boilerplate(empty).count() == 0

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import _fuse
-from ._common import ascii_lower, join_groups, materialise, small, table
+from ._common import ascii_lower, discard, join_groups, materialise, small, table
 
 #: Keys in a filter on average: a bucket's keys are one task's row of half a megabyte.
 KEYS_PER_FILTER = 65_536
@@ -133,22 +133,25 @@ def older_half(id_col: str = "doc_id") -> Column:
 def drop_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs with all their columns, without the rows that `find_duplicates` does not keep."""
     found = materialise(find_duplicates(docs, older_half(id_col), id_col=id_col, text_col=text_col), "duplicates")
-    sha = F.sha2(ascii_lower(F.col(text_col)), 256)
     gone = found.groupBy(F.col(id_col).alias("gone_id"), F.col("text_sha256").alias("gone_sha")).agg(
         F.max("kept").alias("one_stays"), F.count("*").alias("times")
     )
     gone = materialise(gone.filter("NOT one_stays OR times > 1"), "gone")
     dropped = small(gone.filter("NOT one_stays"))
-    out = docs.withColumn("__sha", sha)
-    same = out[id_col].eqNullSafe(dropped["gone_id"]) & (out["__sha"] == dropped["gone_sha"])
+    # Columns go by their places here: whatever name they have, none is overwritten.
+    names = docs.columns
+    key, text = f"c{names.index(id_col)}", f"c{names.index(text_col)}"
+    out = docs.toDF(*[f"c{i}" for i in range(len(names))]).withColumn("sha", F.sha2(ascii_lower(F.col(text)), 256))
+    same = out[key].eqNullSafe(dropped["gone_id"]) & (out["sha"] == dropped["gone_sha"])
     out = out.join(dropped, same, "left_anti")
     repeated = gone.filter("one_stays")
     if repeated.limit(1).count():  # rows that repeat an id and its text: one of them; the others don't move
         repeated = small(repeated)
-        same = out[id_col].eqNullSafe(repeated["gone_id"]) & (out["__sha"] == repeated["gone_sha"])
-        one = out.join(repeated, same, "left_semi").dropDuplicates([id_col, "__sha"])
+        same = out[key].eqNullSafe(repeated["gone_id"]) & (out["sha"] == repeated["gone_sha"])
+        one = out.join(repeated, same, "left_semi").dropDuplicates([key, "sha"])
         out = out.join(repeated, same, "left_anti").unionByName(one)
-    return out.drop("__sha")
+    discard(found)
+    return out.drop("sha").toDF(*names)
 
 
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
