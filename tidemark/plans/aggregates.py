@@ -148,15 +148,17 @@ def fill_rates(spark, d):
     return g.select("month", "n", F.inline(both))
 
 
-@query("A19_calendar_coverage", """WITH e AS (SELECT unnest(generate_series(DATE '1995-01-01', DATE '2001-08-01', INTERVAL 1 DAY))::DATE AS day), h AS (SELECT o_orderdate::DATE AS day, count(*) AS n FROM orders GROUP BY 1)
-  SELECT year(e.day)::INT AS year, count(*) AS expected, count(h.day) AS held, (DATE '2001-08-01' - max(h.day))::INT AS lag_days FROM e LEFT JOIN h USING (day) GROUP BY 1""")
+@query("A19_calendar_coverage", """WITH h AS (SELECT o_orderdate::DATE AS day, count(*) AS n FROM orders GROUP BY 1), b AS (SELECT min(day) AS first, max(day) AS last FROM h),
+  e AS (SELECT unnest(generate_series((SELECT first FROM b), (SELECT last FROM b), INTERVAL 1 DAY))::DATE AS day)
+  SELECT year(e.day)::INT AS year, count(*) AS expected, count(h.day) AS held, ((SELECT last FROM b) - max(h.day))::INT AS lag_days FROM e LEFT JOIN h USING (day) GROUP BY 1""")
 def calendar_coverage(spark, d):
-    days = F.explode(F.sequence(F.lit("1995-01-01").cast("date"), F.lit("2001-08-01").cast("date")))
-    expected = spark.range(1).select(days.alias("day"))
+    """Days held of all days from the first to the last one that the table has, by year, and how far the year's last is back."""
     held = table(spark, d, "orders").groupBy(F.col("o_orderdate").cast("date").alias("day")).agg(F.count("*").alias("n"))
+    ends = held.agg(F.min("day").alias("first"), F.max("day").alias("last"))
+    expected = ends.select("last", F.explode(F.sequence("first", "last")).alias("day"))
     j = expected.join(held, "day", "left").withColumn("held_day", F.when(F.col("n").isNotNull(), F.col("day")))
     return j.groupBy(F.year("day").alias("year")).agg(
-        F.count("*").alias("expected"), F.count("held_day").alias("held"), F.datediff(F.lit("2001-08-01").cast("date"), F.max("held_day")).alias("lag_days")
+        F.count("*").alias("expected"), F.count("held_day").alias("held"), F.datediff(F.max("last"), F.max("held_day")).alias("lag_days")
     )
 
 

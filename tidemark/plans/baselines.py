@@ -166,11 +166,38 @@ def deviation_words(spark, d):
     return b.join(q, "venue").select("venue", "d_idx", word.alias("word"))
 
 
-@query("B8_normal_ranges", with_pt("SELECT venue, going, round(median(g), 4) AS mid, round(quantile_cont(g, 0.1), 4) AS p10, round(quantile_cont(g, 0.9), 4) AS p90, count(*) AS n FROM (SELECT venue, going, d_idx, avg(popularity - finish) AS g FROM pt WHERE d_idx >= -1400 GROUP BY 1, 2, 3) GROUP BY 1, 2 HAVING count(*) >= 30"))
+#: Days that a cell needs for ranges of its own.
+CELL_DAYS = 30
+B8 = (
+    "vy AS (SELECT venue, year(day) AS yr, count(*) AS n, min(d_idx) AS first FROM pt GROUP BY 1, 2)",
+    "vc AS (SELECT *, CASE WHEN lag(n) OVER w IS NULL OR 10 * abs(n - lag(n) OVER w) > lag(n) OVER w THEN first END AS cut FROM vy WINDOW w AS (PARTITION BY venue ORDER BY yr))",
+    "rg AS (SELECT venue, yr, max(cut) OVER (PARTITION BY venue ORDER BY yr) AS regime FROM vc)",
+    f"gd AS (SELECT venue, going, regime, d_idx, {hu('avg(popularity - finish)', 6)} AS g FROM pt JOIN rg USING (venue) WHERE rg.yr = year(day) GROUP BY 1, 2, 3, 4)",
+    *[f"{n} AS (SELECT {keys}, count(*) AS n, median(g) AS mid, quantile_cont(g, 0.1) AS p10, quantile_cont(g, 0.9) AS p90 FROM gd GROUP BY {keys})" for n, keys in (("gr", "venue, going, regime"), ("ga", "venue, going"))],
+)
+
+
+@query("B8_normal_ranges", with_pt(f"""SELECT venue, going, regime, gr.n, CASE WHEN gr.n >= {CELL_DAYS} THEN 'regime' ELSE 'all' END AS level, """ + ", ".join(f"{hu(f'CASE WHEN gr.n >= {CELL_DAYS} THEN gr.{c} ELSE ga.{c} END')} AS {c}" for c in ("mid", "p10", "p90")) + " FROM gr JOIN ga USING (venue, going)", *B8))
 def normal_ranges(spark, d):
-    g = participations(spark, d).filter("d_idx >= -1400").groupBy("venue", "going", "d_idx").agg(F.avg(F.col("popularity") - F.col("finish")).alias("g"))
-    q = lambda p: F.round(F.percentile("g", p), 4)
-    return g.groupBy("venue", "going").agg(q(0.5).alias("mid"), q(0.1).alias("p10"), q(0.9).alias("p90"), F.count("*").alias("n")).filter("n >= 30")
+    """Median and outer deciles of a running-day contrast by venue and condition, within the venue's regime as of the day.
+
+    A venue's regime begins in its first year and in each year whose rows differ by more than a tenth from the year
+    before. Cells of fewer than CELL_DAYS days take the ranges of the venue and condition over all regimes.
+    """
+    p = participations(spark, d).withColumn("yr", F.year("day"))
+    years = p.groupBy("venue", "yr").agg(F.count("*").alias("n"), F.min("d_idx").alias("first"))
+    w = Window.partitionBy("venue").orderBy("yr")
+    last = F.lag("n").over(w)
+    cuts = years.withColumn("cut", F.when(last.isNull() | (10 * F.abs(F.col("n") - last) > last), F.col("first")))
+    regimes = cuts.select("venue", "yr", F.max("cut").over(w).alias("regime"))
+    contrast = stats.half_up(F.avg(F.col("popularity") - F.col("finish")), 6).alias("g")
+    g = p.groupBy("venue", "going", "yr", "d_idx").agg(contrast).join(regimes, ["venue", "yr"])
+    quantiles = [F.percentile("g", q).alias(c) for c, q in (("mid", 0.5), ("p10", 0.1), ("p90", 0.9))]
+    own = g.groupBy("venue", "going", "regime").agg(F.count("*").alias("n"), *quantiles)
+    wide = g.groupBy("venue", "going").agg(*[q.alias(f"all_{c}") for q, c in zip(quantiles, ("mid", "p10", "p90"), strict=True)])
+    enough = F.col("n") >= CELL_DAYS
+    pick = lambda c: stats.half_up(F.when(enough, F.col(c)).otherwise(F.col(f"all_{c}"))).alias(c)
+    return own.join(wide, ["venue", "going"]).select("venue", "going", "regime", "n", F.when(enough, "regime").otherwise("all").alias("level"), pick("mid"), pick("p10"), pick("p90"))
 
 
 @query("B9_own_excluded", with_pt("SELECT p.event, p.runner_no, round(median(q.measure), 4) AS others FROM pt p JOIN pt q ON q.venue = p.venue AND q.d_idx = p.d_idx AND (q.event, q.runner_no) <> (p.event, p.runner_no) GROUP BY 1, 2"))
@@ -295,18 +322,18 @@ def fitted(spark, d):
     return x.join(day, ["venue", "going", "d_idx"])
 
 
-@query("B13_rolling_fit", with_pt("SELECT event, round(course, 2) AS course, round(grade, 2) AS grade, round(shift, 2) AS shift FROM fx JOIN ds USING (venue, going, d_idx)", *FIT))
+@query("B13_rolling_fit", with_pt(f"SELECT event, {hu('course', 2)} AS course, {hu('grade', 2)} AS grade, {hu('shift', 2)} AS shift FROM fx JOIN ds USING (venue, going, d_idx)", *FIT))
 def rolling_fit(spark, d):
-    return fitted(spark, d).select("event", F.round("course", 2).alias("course"), F.round("grade", 2).alias("grade"), F.round("shift", 2).alias("shift"))
+    return fitted(spark, d).select("event", *[stats.half_up(F.col(c), 2).alias(c) for c in ("course", "grade", "shift")])
 
 
-@query("B14_anchored_index", with_pt("SELECT event, round(80 + 1000 / greatest(abs(course + grade), 1000) * (course + grade - least(price, 1.5 * greatest(course + grade, 1000)) + shift * distance / 250) / 100 + 2 * (measure - 25), 3) AS speed FROM fx JOIN ds USING (venue, going, d_idx)", *FIT))
+@query("B14_anchored_index", with_pt("SELECT event, " + hu("80 + 1000 / greatest(abs(course + grade), 1000) * (course + grade - least(price, 1.5 * greatest(course + grade, 1000)) + shift * distance / 250) / 100 + 2 * (measure - 25)", 3) + " AS speed FROM fx JOIN ds USING (venue, going, d_idx)", *FIT))
 def anchored_index(spark, d):
     """Speed index over the base of rolling fits: the value capped at one and a half bases, the day's shift by distance."""
     base = F.col("course") + F.col("grade")
     capped = F.least(F.col("price"), 1.5 * F.greatest(base, F.lit(1000.0)))
     index = 80 + 1000 / F.greatest(F.abs(base), F.lit(1000.0)) * (base - capped + F.col("shift") * F.col("distance") / 250) / 100 + 2 * (F.col("measure") - 25)
-    return fitted(spark, d).select("event", F.round(index, 3).alias("speed"))
+    return fitted(spark, d).select("event", stats.half_up(index, 3).alias("speed"))
 
 
 #: Runs of a day that weigh as much as no shift.

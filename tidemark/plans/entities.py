@@ -277,20 +277,21 @@ def opposition(spark, d):
     return rows.select("event", "runner_no", F.round(F.try_divide(F.sum("r").over(e) - F.col("r"), F.count("*").over(e) - 1), 6).alias("others"))
 
 
-@query("R7_components", """WITH RECURSIVE e AS (SELECT DISTINCT l_suppkey AS a, 1000000 + l_partkey AS b FROM lineitem WHERE l_quantity >= 50), u AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
-  r AS (SELECT a AS node, a AS seen FROM u UNION SELECT r.node, u.b FROM r JOIN u ON u.a = r.seen) SELECT node, min(seen) AS comp FROM r GROUP BY 1""")
-def components(spark, d):
-    li = table(spark, d, "lineitem").filter("l_quantity >= 50")  # the graph's edges: large lines
-    return graph.components(li.select(F.col("l_suppkey").alias("a"), (1000000 + F.col("l_partkey")).alias("b")).distinct())
+#: Labels by node that only get smaller; a round passes on those that shrank.
+R7 = """WITH RECURSIVE e AS (SELECT DISTINCT l_suppkey AS a, 1000000 + l_partkey AS b FROM lineitem), u AS MATERIALIZED (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+  r(node, comp) USING KEY (node) AS (SELECT a, a FROM u GROUP BY a UNION SELECT * FROM (SELECT u.b, min(r.comp) FROM r JOIN u ON u.a = r.node JOIN recurring.r AS k ON k.node = u.b WHERE r.comp < k.comp GROUP BY u.b)) SELECT node, comp FROM r"""
 
 
-@query("R7_components_all")
-def components_all(spark, d):
-    """The whole table's supplier-part links. No SQL: DuckDB's recursion holds every reachable pair of nodes."""
+def components(spark, d):
+    """Supplier-part links of all of lineitem."""
     li = table(spark, d, "lineitem")
     return graph.components(li.select(F.col("l_suppkey").alias("a"), (1000000 + F.col("l_partkey")).alias("b")).distinct())
 
 
+query("R7_components", R7)(components)
+query("R7_components_all", R7)(components)
+
+
 R8 = f"""WITH RECURSIVE {PT}, pa AS MATERIALIZED (SELECT event, rider, measure, year(day) AS yr FROM pt), pm AS (SELECT avg(measure) AS m FROM pa), ys AS (SELECT yr, row_number() OVER (ORDER BY yr) AS i FROM (SELECT DISTINCT yr FROM pa)),
  st AS (SELECT 0::BIGINT AS i, rider, 0.0::DOUBLE AS s, 0::BIGINT AS n FROM (SELECT DISTINCT rider FROM pa) UNION ALL
   SELECT st.i + 1, st.rider, st.s + coalesce(d.s, 0), (st.n + coalesce(d.n, 0))::BIGINT FROM st LEFT JOIN (SELECT rider, sum(measure + shift) AS s, count(*) AS n FROM (SELECT event, rider, measure, count(*) OVER e / (count(*) OVER e + 3)::DOUBLE * median(ability - measure) OVER e AS shift FROM (SELECT pa.event, pa.rider, pa.measure, (x.s + 3 * m) / (x.n + 3) AS ability FROM pa JOIN ys USING (yr) JOIN st x ON x.rider = pa.rider AND ys.i = x.i + 1, pm) WINDOW e AS (PARTITION BY event)) GROUP BY 1) d ON d.rider = st.rider WHERE st.i < (SELECT max(i) FROM ys))

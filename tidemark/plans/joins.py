@@ -131,17 +131,32 @@ def next_events(spark, d):
     return rows.select("event", *[F.lead("event", k).over(w).alias(f"next{k}") for k in (1, 2, 3)])
 
 
-PAIRS = "pr AS (SELECT a.event, a.d_idx, a.rider AS one, b.rider AS two, a.finish < b.finish AS won, b.finish - a.finish AS gap FROM pt a JOIN pt b ON a.event = b.event AND a.runner_no < b.runner_no AND a.rider < b.rider)"
+PAIRS = "pr AS (SELECT a.event, a.d_idx, a.rider AS one, b.rider AS two, a.finish < b.finish AS won, b.finish - a.finish AS gap FROM pt a JOIN pt b ON a.event = b.event AND a.rider < b.rider)"
 
 
 def pairs(p):
-    """Ordered pairs of participants that met in an event; events are small, so the self-join is by event."""
-    a = p.select("event", "d_idx", "runner_no", F.col("rider").alias("one"), "finish")
-    b = p.select("event", F.col("runner_no").alias("no2"), F.col("rider").alias("two"), F.col("finish").alias("finish2"))
-    met = a.join(b, "event").filter("runner_no < no2 AND one < two")
+    """All pairs of different participants that met in an event, the smaller id first; events are small, so the self-join is by event."""
+    a = p.select("event", "d_idx", F.col("rider").alias("one"), "finish")
+    b = p.select("event", F.col("rider").alias("two"), F.col("finish").alias("finish2"))
+    met = a.join(b, "event").filter("one < two")
     return met.select("event", "d_idx", "one", "two", (F.col("finish") < F.col("finish2")).alias("won"), (F.col("finish2") - F.col("finish")).alias("gap"))
 
 
+#: Days within which a next event counts.
+SOON = 400
+
+
+@query("J12_next_until", with_oh(f"SELECT event, CASE WHEN d1 <= d_idx + {SOON} THEN n1 END AS next1, CASE WHEN d2 <= d_idx + {SOON} THEN n2 END AS next2, CASE WHEN d3 <= d_idx + {SOON} THEN n3 END AS next3, (coalesce(d1 <= d_idx + {SOON}, false)::INT + coalesce(d2 <= d_idx + {SOON}, false)::INT + coalesce(d3 <= d_idx + {SOON}, false)::INT) AS within FROM (SELECT event, d_idx, " + ", ".join(f"lead(event, {k}) OVER w AS n{k}, lead(d_idx, {k}) OVER w AS d{k}" for k in (1, 2, 3)) + " FROM oh WHERE status <> 'P' WINDOW w AS (PARTITION BY entity ORDER BY d_idx, event))"))
+def next_until(spark, d):
+    """The next three events of an entity that lie within SOON days; withdrawn rows are left out."""
+    w = Window.partitionBy("entity").orderBy("d_idx", "event")
+    ahead = lambda k: F.lead(F.struct("event", "d_idx"), k).over(w).alias(f"n{k}")
+    rows = order_history(spark, d).filter("status <> 'P'").select("event", "d_idx", *[ahead(k) for k in (1, 2, 3)])
+    near = lambda k: F.coalesce(F.col(f"n{k}.d_idx") <= F.col("d_idx") + SOON, F.lit(False))
+    nexts = [F.when(near(k), F.col(f"n{k}.event")).alias(f"next{k}") for k in (1, 2, 3)]
+    return rows.select("event", *nexts, sum((near(k).cast("int") for k in (2, 3)), near(1).cast("int")).alias("within"))
+
+
 @query("J13_pairs", with_pt("SELECT one, two, count(*) AS met, count(*) FILTER (WHERE won) AS won FROM pr GROUP BY 1, 2", PAIRS))
 def met_pairs(spark, d):
     return pairs(participations(spark, d)).groupBy("one", "two").agg(F.count("*").alias("met"), F.count_if("won").alias("won"))
@@ -178,10 +193,10 @@ def name_search(spark, d):
     return out.orderBy(F.desc("last"), "id").limit(50)  # the feature: the 50 newest
 
 
-@query("O1_order", "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem ORDER BY coalesce(nullif(l_linenumber, 7), 99), l_quantity DESC, l_orderkey, l_partkey LIMIT 100")
+@query("O1_order", "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem ORDER BY coalesce(nullif(l_linenumber, 7), 99), l_quantity DESC, l_orderkey, l_partkey")
 def order(spark, d):
     keys = [F.coalesce(F.nullif(F.col("l_linenumber"), F.lit(7)), F.lit(99)), F.desc("l_quantity"), "l_orderkey", "l_partkey"]
-    return table(spark, d, "lineitem").orderBy(*keys).limit(100).select("l_orderkey", "l_linenumber", "l_quantity")
+    return table(spark, d, "lineitem").orderBy(*keys).select("l_orderkey", "l_linenumber", "l_quantity")
 
 
 @query("O1_order_all", "SELECT l_orderkey, l_linenumber, l_quantity, row_number() OVER (ORDER BY coalesce(nullif(l_linenumber, 7), 99), l_quantity DESC, l_orderkey, l_partkey, l_suppkey, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) AS place FROM lineitem")

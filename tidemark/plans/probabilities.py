@@ -114,11 +114,11 @@ def e8(spark, d):
 
 E9 = (
     "hp AS (SELECT a.event, a.runner_no AS r1, b.runner_no AS r2, a.price * b.price AS x, round(a.p * b.p / nullif(1 - a.p, 0), 9) AS prob FROM pb a JOIN pb b ON a.event = b.event AND a.runner_no <> b.runner_no)",
-    "hr AS (SELECT event, r1, r2, round(x / sum(x) OVER (PARTITION BY event) / nullif(prob, 0), 6) AS ratio, floor(ln(greatest(prob, 1e-9)) * 8)::BIGINT AS peer FROM hp)",
+    "hr AS (SELECT event, r1, r2, " + hu("x / sum(x) OVER (PARTITION BY event) / nullif(prob, 0)", 6) + " AS ratio, floor(ln(greatest(prob, 1e-9)) * 8)::BIGINT AS peer FROM hp)",
 )
 
 
-@query("E9_anomaly", with_pt("SELECT event, r1, r2, round(ratio, 4) AS ratio, n, round(surrogate, 4) AS surrogate FROM hr JOIN (SELECT peer, count(*) AS n, quantile_cont(ratio, 0.95) AS lim, median(ratio) AS surrogate FROM hr GROUP BY 1) USING (peer) WHERE n >= 20 AND ratio > lim", PB, *E9))
+@query("E9_anomaly", with_pt(f"SELECT event, r1, r2, ratio, n, {hu('surrogate')} AS surrogate FROM hr JOIN (SELECT peer, count(*) AS n, quantile_cont(ratio, 0.95) AS lim, median(ratio) AS surrogate FROM hr GROUP BY 1) USING (peer) WHERE n >= 20 AND ratio > lim", PB, *E9))
 def e9(spark, d):
     """Observed price share of ordered pairs over their Harville probability: those beyond the 95th percentile among
     pairs of similar probability, with the peers' median as what a surrogate pick would show."""
@@ -126,10 +126,10 @@ def e9(spark, d):
     p = participations(spark, d).select("event", "runner_no", "price")
     j = h.join(p.withColumnRenamed("runner_no", "r1").withColumnRenamed("price", "a"), ["event", "r1"]).join(p.withColumnRenamed("runner_no", "r2").withColumnRenamed("price", "b"), ["event", "r2"])
     share = F.col("a") * F.col("b") / F.sum(F.col("a") * F.col("b")).over(Window.partitionBy("event"))
-    j = j.withColumn("ratio", F.round(F.try_divide(share, F.col("prob")), 6)).withColumn("peer", F.floor(F.log(F.greatest("prob", F.lit(1e-9))) * 8))
+    j = j.withColumn("ratio", stats.half_up(F.try_divide(share, F.col("prob")), 6)).withColumn("peer", F.floor(F.log(F.greatest("prob", F.lit(1e-9))) * 8))
     g = j.groupBy("peer").agg(F.count("*").alias("n"), F.percentile("ratio", 0.95).alias("limit"), F.percentile("ratio", 0.5).alias("surrogate"))
     # Peers are eighths of a logarithm: 170 at most.
-    return j.join(F.broadcast(g.filter("n >= 20")), "peer").filter("ratio > limit").select("event", "r1", "r2", F.round("ratio", 4).alias("ratio"), "n", F.round("surrogate", 4).alias("surrogate"))
+    return j.join(F.broadcast(g.filter("n >= 20")), "peer").filter("ratio > limit").select("event", "r1", "r2", "ratio", "n", stats.half_up(F.col("surrogate")).alias("surrogate"))
 
 
 E10 = "CASE WHEN discount < 0.03 THEN 'long' WHEN discount < 0.07 THEN 'mid' ELSE 'short' END"
