@@ -336,24 +336,76 @@ def e18_ablation(spark, d):
     return parts.groupBy("part").agg(F.sum("n").alias("n"), F.round(F.sum("d") / F.sum("n"), 6).alias("delta"), F.count_if(F.col("d") > 0).alias("years_up"), F.count("*").alias("years"))
 
 
-@query("E19_model")
-def e19(spark, d):
-    """Logistic regression (Spark ML) on as-of features; all rows are scored by the coefficients, as plain expressions."""
-    from pyspark.ml.classification import LogisticRegression
-    from pyspark.ml.feature import VectorAssembler
+def _past_form(p):
+    """Log of the win rate before the day, shrunk to one in five, by entity and day."""
+    days = p.groupBy("entity", "d_idx").agg(F.count("*").alias("n"), F.count_if(F.col("finish") == 1).alias("h"))
+    w = Window.partitionBy("entity").orderBy("d_idx").rangeBetween(Window.unboundedPreceding, -1)
+    total = lambda c: F.coalesce(F.sum(c).over(w), F.lit(0))
+    return days.select("entity", "d_idx", F.log((total("h") + 1) / (total("n") + 5)).alias("form"))
+
 
+#: The last year that the refitted models learn from.
+LEARN_UNTIL = 1998
+
+
+def refit_rows(spark, d):
+    """Rows once for each left-out feature group, whose column is 0 there."""
+    p = participations(spark, d).select("event", "runner_no", "entity", "d_idx", "measure", "finish")
+    rows = probs(spark, d).select("event", "runner_no", F.year("day").alias("yr"), "won", "p").join(p, ["event", "runner_no"]).join(_past_form(p), ["entity", "d_idx"])
+    rows = rows.select("event", "yr", F.col("won").cast("int").alias("won"), F.log("p").alias("market"), F.log("measure").alias("weight"), "form")
+    rows = rows.withColumn("part", F.explode(F.array(*[F.lit(x) for x in ("none", *PARTS)])))
+    return rows.select("part", "event", "yr", "won", *[F.when(F.col("part") == c, 0.0).otherwise(F.col(c)).alias(c) for c in PARTS])
+
+
+@query("E18_refits")
+def e18_refits(spark, d):
+    """What each feature group is worth when the model is fitted anew without it: all fits are one grouped regression on
+    the years until LEARN_UNTIL; the log loss of later years' winners, normalised within events, tells the rest."""
+    from ..operators import models
     from ..operators.baseline import written
+
+    rows = written(refit_rows(spark, d), "refit-rows")
+    model = models.softmax_fit(rows.filter(F.col("yr") <= LEARN_UNTIL), ["part"], list(PARTS), "won", 2)
+    later = models.score(rows.filter(F.col("yr") > LEARN_UNTIL), model, ["part"], list(PARTS), ["lost", "p"])
+    share = F.col("p") / F.sum("p").over(Window.partitionBy("part", "event"))
+    loss = later.withColumn("loss", -F.log(share)).filter("won = 1").groupBy("part", "yr").agg(F.count("*").alias("n"), F.sum("loss").alias("loss"))
+    full = loss.filter("part = 'none'").select("yr", F.col("loss").alias("least"))
+    g = loss.filter("part <> 'none'").join(full, "yr").withColumn("d", F.col("loss") - F.col("least")).groupBy("part")
+    return g.agg(F.sum("n").alias("n"), stats.half_up(F.sum("d") / F.sum("n"), 6).alias("delta"), F.count_if(F.col("d") > 0).alias("years_up"), F.count("*").alias("years"))
+
+
+MODEL = ["rate", "n", "popularity"]
+
+
+def model_rows(spark, d, keep=("popularity", "finish")):
+    """As-of features of each row: hit rate and rows of the 365 days before, and popularity."""
     from .windows import asof_rate
 
-    rows = asof_rate(spark, d, 365, keep=("popularity", "finish"))
-    rows = rows.select("event", "runner_no", F.coalesce("rate", F.lit(0.0)).alias("rate"), F.col("n").cast("double").alias("n"), F.col("popularity").cast("double").alias("popularity"), (F.col("finish") == 1).cast("double").alias("label"))
-    names = ["rate", "n", "popularity"]
-    rows = written(rows, "model-rows")
-    model = LogisticRegression(maxIter=8, regParam=0.01).fit(VectorAssembler(inputCols=names, outputCol="features").transform(rows))
-    z = F.lit(float(model.intercept))
-    for name, b in zip(names, model.coefficients, strict=True):
-        z = z + float(b) * F.col(name)
-    return rows.select("event", "runner_no", F.round(1 / (1 + F.exp(-z)), 4).alias("p"))
+    rows = asof_rate(spark, d, 365, keep=keep)
+    number = lambda c: F.col(c).cast("double").alias(c)
+    return rows.select("event", "runner_no", F.coalesce("rate", F.lit(0.0)).alias("rate"), number("n"), number("popularity"), *[c for c in keep if c != "popularity"])
+
+
+@query("E19_model")
+def e19(spark, d):
+    """Logistic regression of a win on as-of features."""
+    from ..operators import models
+
+    rows = model_rows(spark, d).withColumn("all", F.lit(0)).withColumn("won", (F.col("finish") == 1).cast("int"))
+    model = models.softmax_fit(rows, ["all"], MODEL, "won", 2)
+    return models.score(rows, model, ["all"], MODEL, ["lost", "p"]).select("event", "runner_no", stats.half_up(F.col("p"), 6).alias("p"))
+
+
+@query("E19_venue_classes")
+def e19_venues(spark, d):
+    """Three classes (unplaced, second or third, won) with a model for each venue, all fitted side by side."""
+    from ..operators import models
+
+    rows = model_rows(spark, d, keep=("popularity", "finish", "venue"))
+    rows = rows.withColumn("class", F.when(F.col("finish") == 1, 2).when(F.col("finish") <= 3, 1).otherwise(0))
+    model = models.softmax_fit(rows, ["venue"], MODEL, "class", 3)
+    out = models.score(rows, model, ["venue"], MODEL, ["p_unplaced", "p_placed", "p_won"])
+    return out.select("event", "runner_no", "venue", *[stats.half_up(F.col(c), 6).alias(c) for c in ("p_unplaced", "p_placed", "p_won")])
 
 
 @query("E20_strongest", with_pt("SELECT event, round(a - b, 6) AS lead FROM (SELECT event, max(CASE WHEN k = 1 THEN p END) AS a, max(CASE WHEN k = 2 THEN p END) AS b FROM (SELECT event, round(p, 9) AS p, row_number() OVER (PARTITION BY event ORDER BY round(p, 9) DESC, runner_no) AS k FROM pb) WHERE k <= 2 GROUP BY 1) WHERE b IS NOT NULL ORDER BY round(a - b, 6) DESC, event LIMIT 20", PB).replace(" AS lead FROM", " AS ahead FROM"))
