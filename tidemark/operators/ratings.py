@@ -14,77 +14,6 @@ from ..sources.io import new_path
 from .baseline import written
 
 
-def elo_periods(pairs: DataFrame, period: str, *, k: float = 32.0, start: float = 1500.0) -> DataFrame:
-    """entity, period, before, rating for each period that an entity takes part in. pairs: period, event, one, two, won.
-
-    Periods are those of the data, in order. Within one all pairs use the ratings before it, so that a period is one join
-    and one grouping over its own partition of the pairs; an event moves a rating by k / (n - 1) for each opponent.
-    """
-    both = pairs.select(period, "event", F.col("one").alias("entity"), F.col("two").alias("other"), F.col("won").cast("double").alias("s"))
-    both = both.unionByName(pairs.select(period, "event", F.col("two").alias("entity"), F.col("one").alias("other"), (1 - F.col("won").cast("double")).alias("s")))
-    path = new_path(pairs.sparkSession, "elo-pairs")
-    both.write.partitionBy(period).parquet(path)
-    both = pairs.sparkSession.read.parquet(path)
-    periods = sorted(r[0] for r in both.select(period).distinct().collect())  # one value a period
-    state: DataFrame | None = None
-    moves: list[DataFrame] = []
-    for p in periods:
-        now = both.filter(F.col(period) == p)
-        if state is not None:
-            now = now.join(state, "entity", "left").join(state.select(F.col("entity").alias("other"), F.col("rating").alias("r2")), "other", "left")
-        else:
-            now = now.withColumn("rating", F.lit(None).cast("double")).withColumn("r2", F.lit(None).cast("double"))
-        mine, theirs = F.coalesce("rating", F.lit(start)), F.coalesce("r2", F.lit(start))
-        expected = 1 / (1 + F.pow(F.lit(10.0), (theirs - mine) / 400))
-        events = now.groupBy("entity", "event").agg(F.first(mine).alias("r"), F.avg(F.col("s") - expected).alias("m"))
-        moved = events.groupBy("entity").agg(F.first("r").alias("before"), (k * F.sum("m")).alias("d"))
-        moved = written(moved.select("entity", F.lit(p).alias(period), "before", (F.col("before") + F.col("d")).alias("rating")), "elo-moves")
-        moves.append(moved)
-        fresh = moved.select("entity", "rating")
-        state = fresh if state is None else written(fresh.unionByName(state.join(fresh, "entity", "left_anti")), "elo")
-    out = moves[0]
-    for m in moves[1:]:
-        out = out.unionByName(m)
-    return out
-
-
-def glicko_periods(pairs: DataFrame, period: str, *, mu: float = 1500.0, phi: float = 350.0, drift: float = 30.0) -> DataFrame:
-    """entity, period, before, rating, dev for each period that an entity takes part in: Glicko updates by period.
-
-    pairs: period, one, two, score (of one against two, from 0 to 1). Deviations grow with the periods that have passed.
-    """
-    q = np.log(10) / 400
-    both = pairs.select(period, F.col("one").alias("entity"), F.col("two").alias("other"), F.col("score").alias("s"))
-    both = both.unionByName(pairs.select(period, F.col("two").alias("entity"), F.col("one").alias("other"), (1 - F.col("score")).alias("s")))
-    path = new_path(pairs.sparkSession, "glicko-pairs")
-    both.write.partitionBy(period).parquet(path)
-    both = pairs.sparkSession.read.parquet(path)
-    periods = sorted(r[0] for r in both.select(period).distinct().collect())  # one value a period
-    state: DataFrame | None = None
-    moves: list[DataFrame] = []
-    for i, p in enumerate(periods):
-        now = both.filter(F.col(period) == p)
-        if state is None:
-            now = now.select("*", *[F.lit(None).cast("double").alias(c) for c in ("rating", "dev", "r2", "d2")])
-        else:
-            grown = state.select("entity", "rating", F.least(F.lit(phi), F.sqrt(F.col("dev") ** 2 + drift**2 * (i - F.col("at")))).alias("dev"))
-            now = now.join(grown, "entity", "left").join(grown.select(F.col("entity").alias("other"), F.col("rating").alias("r2"), F.col("dev").alias("d2")), "other", "left")
-        r, rd, r2, d2 = F.coalesce("rating", F.lit(mu)), F.coalesce("dev", F.lit(phi)), F.coalesce("r2", F.lit(mu)), F.coalesce("d2", F.lit(phi))
-        g = 1 / F.sqrt(1 + 3 * q**2 * d2 * d2 / np.pi**2)
-        e = 1 / (1 + F.pow(F.lit(10.0), -g * (r - r2) / 400))
-        sums = now.groupBy("entity").agg(F.first(r).alias("before"), F.first(rd).alias("rd"), F.sum(g * (F.col("s") - e)).alias("up"), F.sum(g * g * e * (1 - e) * q**2).alias("info"))
-        low = 1 / (1 / (F.col("rd") ** 2) + F.col("info"))
-        moved = sums.select("entity", F.lit(p).alias(period), "before", (F.col("before") + q * low * F.col("up")).alias("rating"), F.sqrt(low).alias("dev"))
-        moved = written(moved, "glicko-moves")
-        moves.append(moved)
-        fresh = moved.select("entity", "rating", "dev", F.lit(i).alias("at"))
-        state = fresh if state is None else written(fresh.unionByName(state.join(fresh, "entity", "left_anti")), "glicko")
-    out = moves[0]
-    for m in moves[1:]:
-        out = out.unionByName(m)
-    return out
-
-
 def kalman(rows: DataFrame, entity: str, day: str, order: Sequence[str], value: str, *, prior: float, var: float, noise: float, per_day: float) -> DataFrame:
     """rows with the filtered mean before each row: a scalar Kalman filter for each entity (independent groups)."""
 

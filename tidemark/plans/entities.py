@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ..operators import graph, ratings
+from ..operators import daily, graph, ratings, stats
 from ..operators.asof import band_join
 from ..sources import io
-from .demo import OH, PT, order_history, participations, query, snapshots, table, with_pt, with_snap
+from .demo import OH, PT, hu, order_history, participations, query, snapshots, table, with_pt, with_snap
 from .joins import PAIRS, pairs
 
 
@@ -202,40 +202,49 @@ def head_to_head(spark, d):
     return p.select("event", "one", "two", F.count("*").over(w).alias("met"), F.count_if("won").over(w).alias("won"))
 
 
-#: Quarters since year 0: one less than the number of the quarter, so that a year's four follow the last one's.
-QUARTER = "year(day) * 4 + quarter(day) - 1"
-ELO = f"""WITH RECURSIVE {PT}, pq AS (SELECT DISTINCT event, {QUARTER} AS q FROM pt), {PAIRS}, bo AS (SELECT event, one, two, won::INT::DOUBLE AS s FROM pr UNION ALL SELECT event, two, one, 1 - won::INT::DOUBLE FROM pr),
- qs AS (SELECT q, row_number() OVER (ORDER BY q) AS i FROM (SELECT DISTINCT q FROM pq WHERE event IN (SELECT event FROM bo))), b AS MATERIALIZED (SELECT i, q, event, one, two, s FROM bo JOIN pq USING (event) JOIN qs USING (q)),
- st AS (SELECT 0::BIGINT AS i, one AS entity, 1500.0::DOUBLE AS rating FROM (SELECT DISTINCT one FROM b) UNION ALL
-  SELECT s.i + 1, s.entity, s.rating + coalesce(d.delta, 0) FROM st s LEFT JOIN (SELECT one, sum(m) * 32 AS delta FROM (SELECT b.one, b.event, avg(b.s - 1 / (1 + pow(10, (r2.rating - r1.rating) / 400))) AS m FROM b JOIN st r1 ON r1.entity = b.one AND b.i = r1.i + 1 JOIN st r2 ON r2.entity = b.two GROUP BY 1, 2) GROUP BY 1) d ON d.one = s.entity WHERE s.i < (SELECT max(i) FROM qs))
- SELECT p.entity, p.q::INT AS quarter, round(x.rating, 2) AS before, round(y.rating, 2) AS rating FROM (SELECT DISTINCT one AS entity, i, q FROM b) p JOIN st x ON x.entity = p.entity AND x.i = p.i - 1 JOIN st y ON y.entity = p.entity AND y.i = p.i"""
+#: One row for each entity of an event (its best place), numbered days, and the pairs that met on each of them.
+FIELD = f"""WITH RECURSIVE {PT}, fd AS MATERIALIZED (SELECT event, d_idx, rider AS entity, min(finish)::DOUBLE AS o FROM pt GROUP BY 1, 2, 3),
+ ds AS (SELECT d_idx, row_number() OVER (ORDER BY d_idx) AS i FROM (SELECT DISTINCT d_idx FROM fd)), sz AS (SELECT event, count(*) AS n FROM fd GROUP BY 1),
+ b AS MATERIALIZED (SELECT i, a.event, a.entity AS one, c.entity AS two, a.o AS o1, c.o AS o2, n FROM fd a JOIN fd c ON a.event = c.event AND a.entity <> c.entity JOIN ds ON ds.d_idx = a.d_idx JOIN sz ON sz.event = a.event),"""
+ELO = f"""{FIELD} st AS (SELECT 0::BIGINT AS i, entity, 1500.0::DOUBLE AS rating FROM (SELECT DISTINCT entity FROM fd) UNION ALL
+  SELECT s.i + 1, s.entity, s.rating + coalesce(d.delta, 0) FROM st s LEFT JOIN (SELECT b.one, sum(32 / (n - 1) * (CASE WHEN o1 < o2 THEN 1 WHEN o1 = o2 THEN 0.5 ELSE 0 END::DOUBLE - 1 / (1 + pow(10, (r2.rating - r1.rating) / 400)))) AS delta FROM b JOIN st r1 ON r1.entity = b.one AND b.i = r1.i + 1 JOIN st r2 ON r2.entity = b.two GROUP BY 1) d ON d.one = s.entity WHERE s.i < (SELECT max(i) FROM ds))
+ SELECT p.entity, p.d_idx, {hu('x.rating', 2)} AS before, {hu('y.rating', 2)} AS rating FROM (SELECT DISTINCT entity, d_idx, i FROM fd JOIN ds USING (d_idx)) p JOIN st x ON x.entity = p.entity AND x.i = p.i - 1 JOIN st y ON y.entity = p.entity AND y.i = p.i"""
+
+
+def _field(spark, d):
+    """One row for each entity of an event, with its best place."""
+    return participations(spark, d).groupBy("event", "d_idx", "rider").agg(F.min("finish").alias("place"))
+
+
+def _rated(spark, d, rule):
+    return daily.ratings_by_day(_field(spark, d), rule, day="d_idx", event="event", entity="rider", rank="place")
 
 
 @query("R2_elo", ELO)
 def elo(spark, d):
-    """Elo by quarters of the data, K / (n - 1) for each opponent, with the rating before each quarter."""
-    p = participations(spark, d)
-    quarter = p.select("event", (F.year("day") * 4 + F.quarter("day") - 1).alias("quarter")).distinct()
-    out = ratings.elo_periods(pairs(p).select("event", "one", "two", "won").join(quarter, "event"), "quarter")
-    return out.select("entity", "quarter", F.round("before", 2).alias("before"), F.round("rating", 2).alias("rating"))
+    """Pairwise Elo by day, K / (n - 1) for each opponent: the rating before and after each day of an entity."""
+    out = _rated(spark, d, daily.Elo())
+    return out.select("entity", F.col("day").cast("int").alias("d_idx"), stats.half_up(F.col("before_rating"), 2).alias("before"), stats.half_up(F.col("rating"), 2).alias("rating"))
 
 
-GLICKO = f"""WITH RECURSIVE {PT}, pq AS (SELECT DISTINCT event, {QUARTER} AS q FROM pt), {PAIRS}, sc AS (SELECT event, one, two, 0.5 + greatest(-3, least(3, gap)) / 6.0::DOUBLE AS s FROM pr), bo AS (SELECT event, one, two, s FROM sc UNION ALL SELECT event, two, one, 1 - s FROM sc),
- qs AS (SELECT q, row_number() OVER (ORDER BY q) AS i FROM (SELECT DISTINCT q FROM pq WHERE event IN (SELECT event FROM bo))), b AS MATERIALIZED (SELECT i, q, one, two, s FROM bo JOIN pq USING (event) JOIN qs USING (q)),
- st AS (SELECT 0::BIGINT AS i, one AS entity, 1500.0::DOUBLE AS rating, 350.0::DOUBLE AS dev FROM (SELECT DISTINCT one FROM b) UNION ALL
-  SELECT s.i + 1, s.entity, s.rating + coalesce(ln(10) / 400 * d.up / (1 / s.dev ** 2 + d.info), 0), least(350, sqrt(CASE WHEN d.info IS NULL THEN s.dev ** 2 ELSE 1 / (1 / s.dev ** 2 + d.info) END + 900))
-  FROM st s LEFT JOIN (SELECT one, sum(g * (s - e)) AS up, sum(g * g * e * (1 - e) * (ln(10) / 400) ** 2) AS info FROM (SELECT *, 1 / (1 + pow(10, -g * (r - r2) / 400)) AS e FROM (SELECT b.one, b.s, r1.rating AS r, r2.rating AS r2, 1 / sqrt(1 + 3 * (ln(10) / 400) ** 2 * r2.dev ** 2 / pi() ** 2) AS g FROM b JOIN st r1 ON r1.entity = b.one AND b.i = r1.i + 1 JOIN st r2 ON r2.entity = b.two)) GROUP BY 1) d ON d.one = s.entity WHERE s.i < (SELECT max(i) FROM qs))
- SELECT p.entity, p.q::INT AS quarter, round(x.rating, 2) AS before, round(y.rating, 2) AS rating FROM (SELECT DISTINCT one AS entity, i, q FROM b) p JOIN st x ON x.entity = p.entity AND x.i = p.i - 1 JOIN st y ON y.entity = p.entity AND y.i = p.i"""
+Q10 = "(ln(10) / 400)"
+GLICKO = f"""{FIELD} st AS (SELECT 0::BIGINT AS i, entity, 1500.0::DOUBLE AS rating, 350.0::DOUBLE AS dev, NULL::INT AS since, 1500.0::DOUBLE AS r0, 350.0::DOUBLE AS d0 FROM (SELECT DISTINCT entity FROM fd) UNION ALL
+  SELECT s.i + 1, s.entity, CASE WHEN p.entity IS NULL THEN s.rating ELSE s.rating + coalesce({Q10} * d.up / (1 / g.dev ** 2 + d.info), 0) END,
+   CASE WHEN p.entity IS NULL THEN s.dev ELSE sqrt(1 / (1 / g.dev ** 2 + coalesce(d.info, 0))) END, CASE WHEN p.entity IS NULL THEN s.since ELSE p.d_idx END, s.rating, g.dev
+  FROM st s JOIN (SELECT k.entity, least(350, sqrt(k.dev ** 2 + 900 * coalesce(ds.d_idx - k.since, 0) / 30.0::DOUBLE)) AS dev FROM st k JOIN ds ON ds.i = k.i + 1) g ON g.entity = s.entity
+  LEFT JOIN (SELECT DISTINCT ds.i, fd.entity, ds.d_idx FROM fd JOIN ds USING (d_idx)) p ON p.entity = s.entity AND p.i = s.i + 1
+  LEFT JOIN (SELECT one, sum(3.0 / (n - 1) * gj * (sc - e)) AS up, sum(3.0 / (n - 1) * {Q10} ** 2 * gj * gj * e * (1 - e)) AS info FROM (SELECT *, 1 / (1 + pow(10, -gj * (ra - rb) / 400)) AS e FROM (SELECT b.one, b.n, r1.rating AS ra, r2.rating AS rb, 0.5 + greatest(-3, least(3, o2 - o1)) / 6 AS sc,
+     1 / sqrt(1 + 3 * {Q10} ** 2 * least(350, sqrt(r2.dev ** 2 + 900 * coalesce(ds.d_idx - r2.since, 0) / 30.0::DOUBLE)) ** 2 / pi() ** 2) AS gj FROM b JOIN ds ON ds.i = b.i JOIN st r1 ON r1.entity = b.one AND b.i = r1.i + 1 JOIN st r2 ON r2.entity = b.two)) GROUP BY 1) d ON d.one = s.entity
+  WHERE s.i < (SELECT max(i) FROM ds))
+ SELECT p.entity, p.d_idx, {hu('y.r0', 2)} AS before, {hu('y.d0', 2)} AS before_dev, {hu('y.rating', 2)} AS rating, {hu('y.dev', 2)} AS dev FROM (SELECT DISTINCT entity, d_idx, i FROM fd JOIN ds USING (d_idx)) p JOIN st y ON y.entity = p.entity AND y.i = p.i"""
 
 
 @query("R3_glicko", GLICKO)
 def glicko(spark, d):
-    """Glicko by quarters of the data with scores graded by margin (up to three places), and the rating before each."""
-    p = participations(spark, d)
-    quarter = p.select("event", (F.year("day") * 4 + F.quarter("day") - 1).alias("quarter")).distinct()
-    score = 0.5 + F.greatest(F.lit(-3), F.least(F.lit(3), F.col("gap"))) / 6.0
-    out = ratings.glicko_periods(pairs(p).select("event", "one", "two", score.alias("score")).join(quarter, "event"), "quarter")
-    return out.select("entity", "quarter", F.round("before", 2).alias("before"), F.round("rating", 2).alias("rating"))
+    """Glicko by day: deviations that grow with time, scores graded by up to three places, values before and after each day."""
+    out = _rated(spark, d, daily.Glicko())
+    number = lambda c, n: stats.half_up(F.col(c), 2).alias(n)
+    return out.select("entity", F.col("day").cast("int").alias("d_idx"), number("before_rating", "before"), number("before_dev", "before_dev"), number("rating", "rating"), number("dev", "dev"))
 
 
 R4 = f"WITH RECURSIVE {OH}, s AS (SELECT entity, event, d_idx, price, row_number() OVER (PARTITION BY entity ORDER BY d_idx, event) AS k FROM oh), f AS (SELECT entity, event, k, 150000.0::DOUBLE AS before, d_idx, 150000.0::DOUBLE + 1e9 / (1e9 + 4e9) * (price - 150000.0) AS m, (1 - 1e9 / (1e9 + 4e9)) * 1e9 AS v FROM s WHERE k = 1 UNION ALL SELECT entity, event, k, m, d_idx, m + p / (p + 4e9) * (price - m), (1 - p / (p + 4e9)) * p FROM (SELECT s.entity, s.event, s.k, s.d_idx, s.price, f.m, f.v + 1e6 * (s.d_idx - f.d_idx) AS p FROM f JOIN s ON s.entity = f.entity AND s.k = f.k + 1)) SELECT event, round(before, 2) AS before FROM f"
