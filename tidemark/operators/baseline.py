@@ -43,10 +43,17 @@ def median_without(values: Column, own: Column) -> Column:
     return F.when(n > 0, (F.get(rest, low) + F.get(rest, high)) / 2)
 
 
-def alternating_medians(rows: DataFrame, factors: Sequence[str], value: str, rounds: int = 3) -> dict[str, DataFrame]:
-    """Additive effects of the factors: each in turn is the median of what the others leave, a fixed number of times."""
+def alternating_medians(rows: DataFrame, factors: Sequence[str], value: str, rounds: int = 3, *, small: int = 100_000, moved: dict[str, float] | None = None) -> dict[str, DataFrame]:
+    """Additive effects of the factors: each in turn is the median of what the others leave, a fixed number of times.
+
+    Groups of more than `small` rows are medians by selection. moved, if given, gets the largest change that each factor's
+    effects had in the last round, so that a caller sees how far they are from standing still.
+    """
+    from .selection import largest_group, percentiles
+
+    largest = {f: largest_group(rows, [f], value) for f in factors}
     effects: dict[str, DataFrame] = {}
-    for _ in range(rounds):
+    for turn in range(rounds):
         for f in factors:
             left = rows
             rest = F.col(value)
@@ -54,7 +61,12 @@ def alternating_medians(rows: DataFrame, factors: Sequence[str], value: str, rou
                 if g != f and g in effects:
                     left = left.join(effects[g].select(g, F.col("effect").alias(f"__{g}")), g)
                     rest = rest - F.col(f"__{g}")
-            effects[f] = written(left.groupBy(f).agg(F.percentile(rest, 0.5).alias("effect")), "effect")
+            found = percentiles(left.select(f, rest.alias("__rest")), [f], "__rest", small=small, largest=largest[f])
+            before = effects.get(f)
+            effects[f] = written(found.withColumnRenamed("percentile", "effect"), "effect")
+            if moved is not None and turn == rounds - 1 and before is not None:
+                change = effects[f].join(before.withColumnRenamed("effect", "__old"), f).agg(F.max(F.abs(F.col("effect") - F.col("__old"))).alias("m"))
+                moved[f] = change.first()["m"] or 0.0
     return effects
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import asof
 from ..operators import baseline as bl
-from ..operators import stats
+from ..operators import selection, stats
 from ..operators.rolling import rolling
 from .demo import hu, participations, query, with_pt
 from .windows import DAYBIAS, day_bias
@@ -140,7 +140,7 @@ B13 = ("wn AS MATERIALIZED (SELECT class, venue, d_idx, price, measure, event FR
 def group_differences(spark, d):
     """Day and sire effects on the residual over the class median, alternating ten times."""
     p = participations(spark, d)
-    base = p.groupBy("class", "distance").agg(F.percentile("price", 0.5).alias("base"))
+    base = selection.percentiles(p, ["class", "distance"], "price").withColumnRenamed("percentile", "base")
     r = bl.written(p.join(base, ["class", "distance"]).select("sire", "d_idx", (F.col("price") - F.col("base")).alias("r")), "residual")
     return bl.alternating_medians(r, ["d_idx", "sire"], "r", rounds=ROUNDS)["sire"].select("sire", F.round("effect", 2).alias("effect"))
 
@@ -152,7 +152,7 @@ B6F = ("cm AS (SELECT class, distance, median(measure) AS base FROM pt WHERE 2 *
 def front_split(spark, d):
     """The same on the measure of the field's front half, with the rows behind each effect."""
     p = participations(spark, d).filter(2 * F.col("runner_no") <= F.col("field_size")).select("class", "distance", "sire", "d_idx", "measure")
-    base = p.groupBy("class", "distance").agg(F.percentile("measure", 0.5).alias("base"))
+    base = selection.percentiles(p, ["class", "distance"], "measure").withColumnRenamed("percentile", "base")
     r = bl.written(p.join(base, ["class", "distance"]).select("sire", "d_idx", (F.col("measure") - F.col("base")).alias("r")), "residual")
     e = bl.alternating_medians(r, ["d_idx", "sire"], "r", rounds=ROUNDS)["sire"]
     return e.join(r.groupBy("sire").agg(F.count("*").alias("n")), "sire").select("sire", "n", F.round("effect", 2).alias("effect"))
