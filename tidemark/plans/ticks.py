@@ -158,9 +158,7 @@ def latest(spark, d):
 def latest_stream(spark, d):
     out = jobs._out(spark, "latest")
     jobs.latest_state(jobs.read_ticks(spark, f"{d}/events.parquet"), out)
-    rows = spark.read.parquet(out)
-    last = rows.agg(F.max("batch")).first()[0]
-    return rows.filter(F.col("batch") == last).select("user_id", "event_id", "value")
+    return jobs.read_latest(spark, out).select("user_id", "event_id", "value")
 
 
 HOURS = "SELECT time_bucket(INTERVAL 1 HOUR, ts) AS start, event_type, count(*) AS n FROM events GROUP BY 1, 2"
@@ -216,6 +214,18 @@ def notify(spark, d):
     return g.agg(F.bool_or("sent").alias("sent"))
 
 
+@query("T15_baselines", """WITH subs AS (SELECT user_id % 7 AS subscriber, event_type, event_id AS created, ts AS since, user_id % 2 = 0 AS silent FROM events WHERE user_id % 3 = 0 AND event_id % 40 = 0),
+  held AS (SELECT subscriber, event_type, arg_max(since, created) AS since, arg_max(silent, created) AS silent FROM subs GROUP BY 1, 2)
+  SELECT subscriber, event_id, event_type, silent, NOT silent AND row_number() OVER (PARTITION BY subscriber, silent ORDER BY event_id) <= 50 AS sent FROM events JOIN held USING (event_type) WHERE ts > since""")
+def notify_baselines(spark, d):
+    """Subscriptions with a time from which ticks are new, a silent mode, and several for a device, of which the last counts."""
+    out = jobs._out(spark, "notify")
+    e = table(spark, d, "events").filter("user_id % 3 = 0 AND event_id % 40 = 0")
+    subs = e.select((F.col("user_id") % 7).alias("subscriber"), "event_type", F.col("event_id").alias("created"), F.col("ts").cast("timestamp").alias("since"), (F.col("user_id") % 2 == 0).alias("silent"))
+    jobs.notify(jobs.read_ticks(spark, f"{d}/events.parquet"), subs, out, cap=50)
+    return spark.read.parquet(out).groupBy("subscriber", "event_id", "event_type").agg(F.bool_or("silent").alias("silent"), F.bool_or("sent").alias("sent"))
+
+
 @query("T16_heartbeat", "SELECT event_type, max(ts) AS last, date_diff('day', max(ts)::DATE, (SELECT max(ts) FROM events)::DATE)::INT AS idle_days, max(ts) + INTERVAL 6 HOUR < (SELECT max(ts) FROM events) AS due FROM events GROUP BY 1")
 def heartbeat(spark, d):
     e = table(spark, d, "events")

@@ -10,9 +10,10 @@ import os
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
-from pyspark.errors import AnalysisException
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor
 
 from ..operators import ticks as tk
 from ..sources.io import work_dir
@@ -46,70 +47,155 @@ def session_counts(ticks: DataFrame, *, gap: str = "30 minutes", late: str = "1
     return tk.sessions(ticks.withWatermark("ts", late), gap, ["user_id"])
 
 
-def _earlier(spark: SparkSession, out: str, batch_id: int) -> DataFrame | None:
-    """What the batches before this one wrote, with their number; none at the start. It is read from storage, so that a
-    job that is started again goes on where the last one stopped."""
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def drain_keyed(df: DataFrame, out: str) -> None:
+    """Runs a stream with keyed state until its input is used up; each batch's rows are written to their own folder of
+    out (column batch), over again if the batch is repeated. State lies in RocksDB under the checkpoint: a batch reads and
+    writes just the state of its own keys, and a job that is started again goes on where the last one stopped."""
+    spark, key = df.sparkSession, "spark.sql.streaming.stateStore.providerClass"
+    held = spark.conf.get(key, None)
+    spark.conf.set(key, ROCKSDB)
     try:
-        return spark.read.parquet(out).filter(F.col("batch") < batch_id)
-    except AnalysisException:  # no batch has been written
-        return None
+        drain(df, out, mode="update", each=lambda batch, n: batch.write.mode("overwrite").parquet(f"{out}/batch={n}"))
+    finally:
+        spark.conf.set(key, held) if held else spark.conf.unset(key)
+
+
+class _Latest(StatefulProcessor):
+    """Keeps the key's newest row by (ts, event_id) and tells it when it changes."""
+
+    def init(self, handle) -> None:
+        self.last = handle.getValueState("last", "ts long, event_id long, value double")
+
+    def handleInputRows(self, key, rows, timers):
+        best = self.last.get() if self.last.exists() else None
+        new = best
+        for part in rows:
+            for row in zip(part["ts"].tolist(), part["event_id"].tolist(), part["value"].tolist(), strict=True):
+                if new is None or row[:2] > tuple(new[:2]):
+                    new = row
+        if new is not best:
+            self.last.update(tuple(new))
+            yield pd.DataFrame({"user_id": [key[0]], "ts": [new[0]], "event_id": [new[1]], "value": [new[2]]})
+
+    def close(self) -> None:
+        pass
 
 
 def latest_state(ticks: DataFrame, out: str) -> None:
-    """Upsert of the latest tick of each key: each batch merges its own latest rows into the state written before."""
-    spark = ticks.sparkSession
+    """Upsert of the latest tick of each key: out gets the keys that each batch changed; `read_latest` reads the state."""
+    rows = ticks.select("user_id", F.unix_micros("ts").alias("ts"), "event_id", "value")
+    changes = rows.groupBy("user_id").transformWithStateInPandas(_Latest(), "user_id long, ts long, event_id long, value double", "Update", "None")
+    drain_keyed(changes.select("user_id", F.timestamp_micros("ts").alias("ts"), "event_id", "value"), out)
 
-    def merge(batch: DataFrame, batch_id: int) -> None:
-        fresh = batch.select("user_id", "ts", "event_id", "value")
-        before = _earlier(spark, out, batch_id)
-        last = before.agg(F.max("batch").alias("b")).first()["b"] if before is not None else None
-        if last is not None:
-            fresh = fresh.unionByName(before.filter(F.col("batch") == last).drop("batch"))
-        state = tk.latest(fresh, ["user_id"], ["ts", "event_id", "value"], ("ts", "event_id"))
-        state.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
-    drain(ticks, out, mode="append", each=merge)
+def read_latest(spark: SparkSession, out: str) -> DataFrame:
+    """The latest row of each key that latest_state has written."""
+    return tk.latest(spark.read.parquet(out), ["user_id"], ["ts", "event_id", "value"], ("ts", "event_id"))
 
 
-def first_write_wins(ticks: DataFrame, deadlines: DataFrame, out: str, *, minutes: int = 15) -> None:
-    """Of the rows at least `minutes` before their day's deadline the first written of each key and day stays for good.
+class _First(StatefulProcessor):
+    """Tells the key's first row once. Rows of a batch are ordered by (ts, event_id); the mark goes when the watermark has
+    passed the end of its day."""
 
-    Within a batch the earliest row counts as first; rows after the freeze and later rows of a key are left out.
-    """
-    spark = ticks.sparkSession
+    def init(self, handle) -> None:
+        self.handle, self.done = handle, handle.getValueState("done", "event_id long")
+
+    def handleInputRows(self, key, rows, timers):
+        first = None
+        for part in rows:
+            for row in zip(part["micros"].tolist(), part["event_id"].tolist(), strict=True):
+                first = row if first is None else min(first, row)
+        if first is not None and not self.done.exists():
+            self.done.update((first[1],))
+            self.handle.registerTimer(first[0] // 86_400_000_000 * 86_400_000 + 86_400_000)
+            yield pd.DataFrame({"user_id": [key[0]], "day": [key[1]], "event_id": [first[1]]})
+
+    def handleExpiredTimer(self, key, timers, expired):
+        self.done.clear()
+        return iter(())
+
+    def close(self) -> None:
+        pass
 
-    def keep(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.withColumn("day", F.col("ts").cast("date")).join(deadlines, "day")
-        open_ = rows.filter(F.col("ts") <= F.col("deadline") - F.make_dt_interval(mins=F.lit(minutes)))
-        first = open_.groupBy("user_id", "day").agg(F.min_by("event_id", F.struct("ts", "event_id")).alias("event_id"))
-        before = _earlier(spark, out, batch_id)
-        if before is not None:
-            first = first.join(before.select("user_id", "day"), ["user_id", "day"], "left_anti")
-        first.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
-    drain(ticks, out, each=keep)
+def first_write_wins(ticks: DataFrame, deadlines: DataFrame, out: str, *, minutes: int = 15, late: str = "400 days") -> None:
+    """Of the rows at least `minutes` before their day's deadline the first written of each key and day stays for good.
+
+    Within a batch the earliest row counts as first; rows after the freeze and later rows of a key are left out. Rows
+    later than the watermark are dropped, so that the mark of a day that it has passed can go.
+    """
+    rows = ticks.withWatermark("ts", late).withColumn("day", F.col("ts").cast("date")).join(deadlines, "day")
+    open_ = rows.filter(F.col("ts") <= F.col("deadline") - F.make_dt_interval(mins=F.lit(minutes)))
+    named = open_.select("user_id", F.col("day").cast("string").alias("day"), "ts", F.unix_micros("ts").alias("micros"), "event_id")
+    first = named.groupBy("user_id", "day").transformWithStateInPandas(_First(), "user_id long, day string, event_id long", "Update", "EventTime")
+    drain_keyed(first.select("user_id", F.col("day").cast("date").alias("day"), "event_id"), out)
+
+
+class _Deliveries(StatefulProcessor):
+    """A subscriber's deliveries: each event once, `cap` in a batch, the others wait for its next batch."""
+
+    def __init__(self, cap: int):
+        self.cap = cap
+
+    def init(self, handle) -> None:
+        self.seen = handle.getMapState("seen", "event_id long", "known boolean")
+        self.waiting = handle.getMapState("waiting", "event_id long", "event_type string")
+
+    def _send(self, key, new: dict, silent: dict):
+        queue = {k[0]: v[0] for k, v in self.waiting.iterator()}
+        late = set(queue)
+        queue |= new
+        chosen = sorted(queue)[: self.cap]
+        for event in chosen:
+            if event in late:
+                self.waiting.removeKey((event,))
+        for event in set(new) - set(chosen):
+            self.waiting.updateValue((event,), (new[event],))
+        rows = [(e, queue[e], True, False) for e in chosen] + [(e, new[e], False, False) for e in sorted(set(new) - set(chosen))] + [(e, silent[e], False, True) for e in sorted(silent)]
+        if rows:
+            ids, kinds, sent, quiet = zip(*rows, strict=True)
+            yield pd.DataFrame({"subscriber": [key[0]] * len(rows), "event_id": ids, "event_type": kinds, "sent": sent, "silent": quiet})
+
+    def handleInputRows(self, key, rows, timers):
+        new, silent = {}, {}
+        for part in rows:
+            for event, kind, quiet in zip(part["event_id"].tolist(), part["event_type"].tolist(), part["silent"].tolist(), strict=True):
+                if not self.seen.containsKey((event,)):
+                    self.seen.updateValue((event,), (True,))
+                    (silent if quiet else new)[event] = kind
+        yield from self._send(key, new, silent)
+
+    def close(self) -> None:
+        pass
+
+
+def latest_subscriptions(subscribers: DataFrame) -> DataFrame:
+    """subscriber, event_type, since, silent: of several subscriptions of a device to a kind the one created last counts.
+
+    Missing columns: created (all alike), since (null: from the start), silent (false).
+    """
+    has = lambda c, v: F.col(c) if c in subscribers.columns else v
+    rows = subscribers.select("subscriber", "event_type", has("created", F.lit(0)).alias("created"), has("since", F.lit(None).cast("timestamp")).alias("since"), has("silent", F.lit(False)).alias("silent"))
+    best = F.max_by(F.struct("since", "silent"), F.struct("created", "since", "silent")).alias("s")
+    return rows.groupBy("subscriber", "event_type").agg(best).select("subscriber", "event_type", "s.since", F.coalesce("s.silent", F.lit(False)).alias("silent"))
 
 
 def notify(ticks: DataFrame, subscribers: DataFrame, out: str, *, cap: int = 3) -> None:
-    """Rows subscriber, event_id, event_type, sent: new ticks joined with the subscribers of their kind, each pair once.
+    """Rows subscriber, event_id, event_type, sent, silent: new ticks joined with the subscribers of their kind, each pair once.
 
-    A batch sends at most `cap` to a subscriber, lowest ids first; the others are written as not sent and come up again
-    with the next batch. Pairs of earlier batches are read from storage, so none is sent twice after a restart.
+    subscribers: subscriber long, event_type, and where given created, since (baseline: earlier ticks are not new) and
+    silent (recorded, not sent, not counted); see `latest_subscriptions`. A batch sends at most `cap` to a subscriber,
+    lowest ids first; the others are written as not sent and wait in the subscriber's state for its next batch. A batch
+    reads and writes the state of its own subscribers only.
     """
-    spark, pair = ticks.sparkSession, ["subscriber", "event_id"]
-
-    def send(batch: DataFrame, batch_id: int) -> None:
-        hits = batch.select("event_id", "event_type").join(subscribers, "event_type").dropDuplicates(pair)
-        before = _earlier(spark, out, batch_id)
-        if before is not None:
-            known = before.groupBy(*pair).agg(F.first("event_type").alias("event_type"), F.bool_or("sent").alias("sent"))
-            hits = hits.join(known, pair, "left_anti").unionByName(known.filter("NOT sent").select(hits.columns))
-        w = Window.partitionBy("subscriber").orderBy("event_id")
-        chosen = hits.withColumn("k", F.row_number().over(w)).filter(F.col("k") <= cap).select(*pair, F.lit(True).alias("now"))
-        rows = hits.join(chosen, pair, "left").select(*pair, "event_type", F.coalesce("now", F.lit(False)).alias("sent"))
-        rows.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
-
-    drain(ticks, out, each=send)
+    held = latest_subscriptions(subscribers)
+    hits = ticks.select("event_id", "event_type", "ts").join(held, "event_type").filter(F.col("since").isNull() | (F.col("ts") > F.col("since")))
+    rows = hits.select(F.col("subscriber").cast("long").alias("subscriber"), F.col("event_id").cast("long").alias("event_id"), "event_type", "silent")
+    sent = rows.groupBy("subscriber").transformWithStateInPandas(_Deliveries(cap), "subscriber long, event_id long, event_type string, sent boolean, silent boolean", "Update", "None")
+    drain_keyed(sent, out)
 
 
 def stale(ticks: DataFrame, *, late: str = "1 day", hours: int = 24) -> DataFrame:
