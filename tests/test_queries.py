@@ -12,7 +12,7 @@ pytestmark = pytest.mark.skipif(not Path(SF).exists(), reason="no test tables")
 
 
 #: Queries without SQL: each is tested by value in test_models.py or test_graph.py.
-BRUTE_FORCE = {"E6_logit_pool", "E18_refits", "E19_model", "E19_venue_classes", "R8_daily_form"}
+BRUTE_FORCE = {"E6_logit_pool", "E18_refits", "E19_model", "E19_venue_classes"}
 
 
 @pytest.fixture(scope="module")

@@ -34,13 +34,24 @@ def asof_medians(rows: DataFrame, levels: Sequence[tuple[str, Sequence[str], int
     return out.select(*rows.columns, F.coalesce(*[F.col(f"__{n}") for n in names]).alias("baseline"), label.alias("level"))
 
 
-def median_without(values: Column, own: Column) -> Column:
-    """Median of a sorted array without one occurrence of own (taken out by place, not by value)."""
-    at = F.array_position(values, own).cast("int")
-    rest = F.concat(F.slice(values, 1, at - 1), F.slice(values, at + 1, F.size(values)))
-    n = F.size(rest)
-    low, high = F.floor((n - 1) / 2).cast("int"), F.floor(n / 2).cast("int")
-    return F.when(n > 0, (F.get(rest, low) + F.get(rest, high)) / 2)
+def median_of_others(rows: DataFrame, by: Sequence[str], value: str, order: Sequence[str]) -> DataFrame:
+    """rows with others double: the median of the group's values without the row's own (taken out by place, not by value).
+
+    A row's place among its group's values and the three values around the middle tell it, so no row holds its group.
+    Nulls are no values; a row with a null has the median of all; a group without other values gives null. order breaks
+    ties and must tell a group's rows apart.
+    """
+    group = Window.partitionBy(*by)
+    n, place = F.count(value).over(group), F.row_number().over(group.orderBy(F.asc_nulls_last(value), *order))
+    ranked = rows.withColumn("__n", n).withColumn("__k", place - 1).withColumn("__lo", F.floor((F.col("__n") - 2) / 2))
+    near = lambda i: F.max(F.when(F.col("__k") == F.col("__lo") + i, F.col(value))).over(group)
+    ranked = ranked.select("*", *[near(i).alias(f"__v{i}") for i in range(3)])
+    own, lo, hi = F.col(value).isNotNull(), F.col("__lo"), F.floor((F.col("__n") - 1) / 2)
+    low = F.when(lo < F.col("__k"), F.col("__v0")).otherwise(F.col("__v1"))
+    high = F.when(hi == lo, low).otherwise(F.when(hi < F.col("__k"), F.col("__v1")).otherwise(F.col("__v2")))
+    whole = (F.when(hi == lo, F.col("__v0")).otherwise(F.col("__v1")) + F.col("__v1")) / 2
+    others = F.when(own, F.when(F.col("__n") > 1, (low + high) / 2)).otherwise(whole)
+    return ranked.select(*rows.columns, others.alias("others"))
 
 
 def alternating_medians(rows: DataFrame, factors: Sequence[str], value: str, rounds: int = 3, *, small: int = 100_000, moved: dict[str, float] | None = None) -> dict[str, DataFrame]:

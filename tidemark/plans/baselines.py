@@ -203,9 +203,8 @@ def normal_ranges(spark, d):
 @query("B9_own_excluded", with_pt("SELECT p.event, p.runner_no, round(median(q.measure), 4) AS others FROM pt p JOIN pt q ON q.venue = p.venue AND q.d_idx = p.d_idx AND (q.event, q.runner_no) <> (p.event, p.runner_no) GROUP BY 1, 2"))
 def own_excluded(spark, d):
     p = participations(spark, d).select("event", "runner_no", "venue", "d_idx", "measure")
-    days = p.groupBy("venue", "d_idx").agg(F.sort_array(F.collect_list("measure")).alias("all"))
-    out = p.join(days, ["venue", "d_idx"]).select("event", "runner_no", F.round(bl.median_without(F.col("all"), F.col("measure")), 4).alias("others"))
-    return out.filter("others IS NOT NULL")
+    out = bl.median_of_others(p, ["venue", "d_idx"], "measure", ["event", "runner_no"]).filter("others IS NOT NULL")
+    return out.select("event", "runner_no", F.round("others", 4).alias("others"))
 
 
 @query("B10_pace_labels", with_pt("SELECT event, CASE WHEN m < quantile_cont(m, 0.25) OVER v THEN 'fast' WHEN m < quantile_cont(m, 0.5) OVER v THEN 'quick' WHEN m < quantile_cont(m, 0.75) OVER v THEN 'even' ELSE 'slow' END AS pace FROM (SELECT event, venue, min(price) AS m FROM pt GROUP BY 1, 2) WINDOW v AS (PARTITION BY venue)"))

@@ -103,8 +103,9 @@ def unique_codes(spark, d):
 def record_linkage(spark, d):
     p = table(spark, d, "part").select(F.col("p_partkey").alias("id"), F.col("p_brand").alias("b"), F.col("p_size").alias("s"), F.col("p_type").alias("t"))
     left, right = p.filter("id % 2 = 0"), p.filter("id % 2 = 1").withColumnRenamed("id", "ref")
-    stage = lambda keys, n: left.join(right.select("ref", *keys), keys).groupBy("id").agg(F.min("ref").alias(f"r{n}"), F.count("*").alias(f"n{n}"))
-    j = left.select("id").join(stage(["b", "s"], 1), "id", "left").join(stage(["b", "s", "t"], 2), "id", "left")
+    # One row for each key of the right side: no pairs of a block.
+    stage = lambda keys, n: right.groupBy(*keys).agg(F.min("ref").alias(f"r{n}"), F.count("*").alias(f"n{n}"))
+    j = left.join(stage(["b", "s"], 1), ["b", "s"], "left").join(stage(["b", "s", "t"], 2), ["b", "s", "t"], "left")
     one, two = F.col("n1") == 1, F.col("n2") == 1
     how = F.when(one, "first").when(two, "tie-break").when(F.col("n1") > 1, "multi").otherwise("none")
     return j.select("id", F.when(one, F.col("r1")).when(two, F.col("r2")).alias("ref"), how.alias("how"))
