@@ -175,6 +175,27 @@ def e12(spark, d):
     return means.agg(q(0.025).alias("low"), q(0.5).alias("mid"), q(0.975).alias("high"), F.count("*").alias("resamples"))
 
 
+def _clusters_sql(kind: str, cluster: str) -> str:
+    weight = "CASE " + " ".join(f"WHEN u < {c} THEN {k}" for k, c in enumerate(POISSON)) + " ELSE 6 END"
+    return (f"SELECT '{kind}' AS cluster, any_value(k) AS clusters, round(quantile_cont(m, 0.025), 6) AS low, round(quantile_cont(m, 0.5), 6) AS mid, round(quantile_cont(m, 0.975), 6) AS high, count(*) AS resamples FROM (SELECT b, count(*) AS k, round(sum(w * h) / sum(w * n)::DOUBLE, 9) AS m FROM (SELECT *, {weight} AS w FROM "
+        f"(SELECT g, n, h, b, ('0x' || substr(md5('7:' || g || ':' || b), 1, 8))::BIGINT / 4294967296.0::DOUBLE AS u FROM (SELECT {cluster} AS g, count(*) AS n, count(*) FILTER (WHERE finish = 1) AS h FROM pt WHERE popularity = 1 GROUP BY 1), range({RESAMPLES}) r(b))) GROUP BY 1)")
+
+
+@query("E12_clusters", with_pt(_clusters_sql("event", "event") + " UNION ALL " + _clusters_sql("day", "d_idx")))
+def e12_clusters(spark, d):
+    """95 % intervals of the favourites' hit rate with whole events and whole days as clusters.
+
+    A cluster's Poisson weight in a resample is a hash of both, so that it is the same wherever its rows lie; each task
+    adds up its clusters for all resamples before anything moves.
+    """
+    fav = participations(spark, d).filter("popularity = 1").select(F.explode(F.array(F.struct(F.lit("event").alias("cluster"), F.col("event").cast("long").alias("g")), F.struct(F.lit("day").alias("cluster"), F.col("d_idx").cast("long").alias("g")))).alias("c"), "finish")
+    g = fav.groupBy(F.col("c.cluster").alias("cluster"), F.col("c.g").alias("g")).agg(F.count("*").alias("n"), F.count_if(F.col("finish") == 1).alias("h"))
+    r = g.withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(RESAMPLES - 1)))).withColumn("w", pr.poisson_weight(F.col("g"), F.col("b")))
+    means = r.groupBy("cluster", "b").agg(F.count("*").alias("k"), F.round(F.sum(F.col("w") * F.col("h")) / F.sum(F.col("w") * F.col("n")), 9).alias("m"))
+    q = lambda p: F.round(F.percentile("m", p), 6)
+    return means.groupBy("cluster").agg(F.max("k").alias("clusters"), q(0.025).alias("low"), q(0.5).alias("mid"), q(0.975).alias("high"), F.count("*").alias("resamples"))
+
+
 @query("E13_metrics", with_pt("""SELECT round(avg(-CASE WHEN won THEN ln(p) ELSE ln(1 - p) END), 6) AS log_loss,
   (SELECT round((sum(r) FILTER (WHERE won) - count(*) FILTER (WHERE won) * (count(*) FILTER (WHERE won) + 1) / 2.0::DOUBLE) / (count(*) FILTER (WHERE won) * count(*) FILTER (WHERE NOT won)), 6) FROM (SELECT won, rank() OVER (ORDER BY p) + (count(*) OVER (PARTITION BY p) - 1) / 2.0::DOUBLE AS r FROM pq)) AS auc,
   (SELECT round(sum(w * (lower + same / 2)) FILTER (WHERE won) / (sum(w) FILTER (WHERE won) * sum(w) FILTER (WHERE NOT won)), 6) FROM (SELECT won, w, coalesce(sum(CASE WHEN NOT won THEN w END) OVER (ORDER BY p RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0) - coalesce(sum(CASE WHEN NOT won THEN w END) OVER (PARTITION BY p), 0) AS lower, coalesce(sum(CASE WHEN NOT won THEN w END) OVER (PARTITION BY p), 0) AS same FROM pq)) AS weighted_auc,
