@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ..operators import daily, graph, ratings, stats
+from ..operators import daily, form, graph, ratings, stats
 from ..operators.asof import band_join
 from ..sources import io
 from .demo import OH, PT, hu, order_history, participations, query, snapshots, table, with_pt, with_snap
@@ -328,4 +328,27 @@ def recursive_form(spark, d):
         if state is not None:
             new = new.unionByName(state).groupBy("rider").agg(F.sum("s").alias("s"), F.sum("n").alias("n"))
         state = written(new, "form")
-    return state.select("rider", "n", F.round((F.col("s") + 3 * prior) / (F.col("n") + 3), 4).alias("ability"))
\ No newline at end of file
+    return state.select("rider", "n", F.round((F.col("s") + 3 * prior) / (F.col("n") + 3), 4).alias("ability"))
+
+#: Rows of the first year as they are, then a day a step; `recurring` holds all days so far.
+R8_DAYS = f"""WITH RECURSIVE {PT}, pa AS MATERIALIZED (SELECT event, runner_no, rider, class, measure, d_idx, year(day) AS yr FROM pt), dn AS (SELECT d_idx, row_number() OVER (ORDER BY d_idx) AS i FROM (SELECT DISTINCT d_idx FROM pa)), pd AS MATERIALIZED (SELECT pa.*, i FROM pa JOIN dn USING (d_idx)),
+ st(event, runner_no, rider, class, yr, d_idx, i, ability, gap, shift, adjusted) USING KEY (event, runner_no) AS (
+  SELECT event, runner_no, rider, class, yr, d_idx, i, NULL::DOUBLE, NULL::DOUBLE, 0.0::DOUBLE, measure::DOUBLE FROM pd WHERE yr = (SELECT min(yr) FROM pd)
+  UNION SELECT event, runner_no, rider, class, yr, d_idx, i, ability, gap, coalesce(n / (n + 3.0::DOUBLE) * (middle - centre), 0), measure + coalesce(n / (n + 3.0::DOUBLE) * (middle - centre), 0)
+  FROM (SELECT *, count(gap) OVER e AS n, median(gap) OVER e AS middle FROM (SELECT *, CASE WHEN known >= 3 THEN ability - measure END AS gap FROM (
+   SELECT t.*, coalesce(known, 0) AS known, (coalesce(swv, 0) + coalesce(prior, overall)) / (coalesce(sw, 0) + 1) AS ability, coalesce(centre, 0) AS centre
+   FROM (SELECT * FROM pd WHERE i = (SELECT max(i) + 1 FROM st)) t
+   LEFT JOIN (SELECT rider, count(*) AS known, sum(w) AS sw, sum(w * adjusted) AS swv FROM (SELECT h.rider, h.adjusted, pow(0.5, (q.d_idx - h.d_idx) / 180.0::DOUBLE) AS w, row_number() OVER (PARTITION BY h.rider ORDER BY h.d_idx DESC, h.event DESC, h.runner_no DESC) AS k FROM recurring.st h JOIN (SELECT DISTINCT rider, d_idx FROM pd WHERE i = (SELECT max(i) + 1 FROM st)) q ON q.rider = h.rider) WHERE k <= 5 GROUP BY rider) l ON l.rider = t.rider
+   LEFT JOIN (SELECT h.class, avg(h.adjusted) AS prior FROM recurring.st h, (SELECT min(yr) AS y FROM pd WHERE i = (SELECT max(i) + 1 FROM st)) WHERE h.yr BETWEEN y - 3 AND y - 1 GROUP BY h.class) c ON c.class = t.class,
+   (SELECT avg(h.adjusted) AS overall, median(h.gap) AS centre FROM recurring.st h, (SELECT min(yr) AS y FROM pd WHERE i = (SELECT max(i) + 1 FROM st)) WHERE h.yr BETWEEN y - 3 AND y - 1) o)) WINDOW e AS (PARTITION BY event)))
+ SELECT event, runner_no, {hu('ability')} AS ability, {hu('shift')} AS shift, {hu('adjusted')} AS adjusted FROM st"""
+
+
+@query("R8_day_form", R8_DAYS)
+def day_form(spark, d):
+    """Ability before each day from the last five adjusted values, decayed, with the class's prior; events shifted by what
+    their field shows, less the years' own centre."""
+    p = participations(spark, d).withColumn("year", F.year("day"))
+    out = form.form_by_day(p, day="d_idx", year="year", event="event", no="runner_no", entity="rider", kind="class", value="measure")
+    four = lambda c: stats.half_up(F.col(c)).alias(c)
+    return out.select("event", F.col("no").cast("int").alias("runner_no"), four("ability"), four("shift"), four("adjusted"))
