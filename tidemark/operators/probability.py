@@ -74,12 +74,16 @@ def harville(rows: DataFrame, event: str, runner: str, p: str, places: int) -> D
     return out.select(event, "r1", "r2", "r3", (F.col("prob") * F.try_divide(F.col("p3"), 1 - F.col("p1") - F.col("p2"))).alias("prob"))
 
 
+#: Distribution function of the Poisson law of mean 1 at 0 to 5. Fixed values.
+POISSON_ONE = (0.367879, 0.735759, 0.919699, 0.981012, 0.996340, 0.999406)
+
+
 def poisson_weight(key: Column, b: Column, seed: int = 7) -> Column:
     """A deterministic Poisson(1) draw for each (cluster, resample): the bootstrap without collecting clusters."""
     digest = F.md5(F.concat_ws(":", F.lit(seed), key, b).cast("binary"))
     u = F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") / 4294967296.0
     out = F.lit(6)
-    for k, cut in reversed(list(enumerate((0.367879, 0.735759, 0.919699, 0.981012, 0.996340, 0.999406)))):
+    for k, cut in reversed(list(enumerate(POISSON_ONE))):
         out = F.when(u < cut, k).otherwise(out)
     return out
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import asof
 from ..operators import baseline as bl
+from ..operators import probability as pr
 from ..operators import selection, stats
 from ..operators.rolling import rolling
 from .demo import hu, participations, query, with_pt
@@ -386,4 +387,32 @@ def matched_strata(spark, d):
     se = left.agg(F.sqrt((F.count("*") - 1) / F.count("*") * F.var_pop("e") * F.count("*")).alias("se"))
     out = full.crossJoin(F.broadcast(se))  # one row each
     band = lambda k: F.round(F.col("est") + k * F.col("se"), 4)
-    return out.select(stats.half_up(F.col("est"), 6).alias("difference"), "treated", band(-1.96).alias("low"), band(1.96).alias("high"))
\ No newline at end of file
+    return out.select(stats.half_up(F.col("est"), 6).alias("difference"), "treated", band(-1.96).alias("low"), band(1.96).alias("high"))
+
+#: Resamples of whole events, a Poisson weight each.
+B17_RESAMPLES = 200
+_B17_WEIGHT = "CASE " + " ".join(f"WHEN u < {c} THEN {k}" for k, c in enumerate(pr.POISSON_ONE)) + " ELSE 6 END"
+B17_BOOT = f"""ev AS (SELECT venue, going, event, count(*) FILTER (WHERE popularity = 1) AS n, coalesce(sum(CASE WHEN popularity = 1 THEN measure END), 0) AS a, count(*) FILTER (WHERE popularity > 1) AS k, coalesce(sum(CASE WHEN popularity > 1 THEN measure END), 0) AS b FROM pt GROUP BY 1, 2, 3),
+ wt AS (SELECT event, r, {_B17_WEIGHT} AS w FROM (SELECT event, r, ('0x' || substr(md5('7:' || event || ':' || r), 1, 8))::BIGINT / 4294967296.0::DOUBLE AS u FROM (SELECT DISTINCT event FROM ev), range({B17_RESAMPLES}) q(r))),
+ al AS (SELECT -1 AS r, venue, going, sum(n)::DOUBLE AS n, sum(a) AS a, sum(k)::DOUBLE AS k, sum(b) AS b FROM ev GROUP BY 2, 3 UNION ALL SELECT r, venue, going, sum(w * n)::DOUBLE, sum(w * a), sum(w * k)::DOUBLE, sum(w * b) FROM ev JOIN wt USING (event) GROUP BY 1, 2, 3),
+ es AS (SELECT r, round(sum((a / n - b / k) * n) / sum(n), 9) AS est, sum(n)::BIGINT AS treated FROM al WHERE n > 0 AND k > 0 GROUP BY 1)"""
+
+
+@query("B17_event_bootstrap", with_pt(f"SELECT {hu('f.est', 6)} AS difference, f.treated, {hu('low', 6)} AS low, {hu('high', 6)} AS high, resamples FROM (SELECT est, treated FROM es WHERE r = -1) f, (SELECT quantile_cont(est, 0.025) AS low, quantile_cont(est, 0.975) AS high, count(*) AS resamples FROM es WHERE r >= 0)", B17_BOOT))
+def event_bootstrap(spark, d):
+    """Difference within strata weighted by treated rows, with the 95 % interval of resampled whole events.
+
+    An event's rows in all strata share its weight, a hash of event and resample; sums by stratum and resample are formed
+    before anything moves, so that strata x resamples rows are shuffled for each task, whatever the events' number.
+    """
+    one, more = F.col("popularity") == 1, F.col("popularity") > 1
+    total = lambda ok: F.coalesce(F.sum(F.when(ok, F.col("measure"))), F.lit(0.0))
+    ev = participations(spark, d).groupBy("venue", "going", "event").agg(F.count_if(one).alias("n"), total(one).alias("a"), F.count_if(more).alias("k"), total(more).alias("b"))
+    r = ev.withColumn("r", F.explode(F.sequence(F.lit(-1), F.lit(B17_RESAMPLES - 1))))
+    w = F.when(F.col("r") < 0, 1).otherwise(pr.poisson_weight(F.col("event"), F.col("r")))
+    s = r.withColumn("w", w).groupBy("r", "venue", "going").agg(*[F.sum(F.col("w") * F.col(c)).cast("double").alias(c) for c in ("n", "a", "k", "b")])
+    es = s.filter("n > 0 AND k > 0").groupBy("r").agg(F.round(F.sum((F.col("a") / F.col("n") - F.col("b") / F.col("k")) * F.col("n")) / F.sum("n"), 9).alias("est"), F.sum("n").cast("long").alias("treated"))
+    drawn = F.when(F.col("r") >= 0, F.col("est"))
+    whole = lambda c: F.max(F.when(F.col("r") < 0, F.col(c)))
+    out = es.agg(whole("est").alias("est"), whole("treated").alias("treated"), F.percentile(drawn, 0.025).alias("low"), F.percentile(drawn, 0.975).alias("high"), F.count(drawn).alias("resamples"))
+    return out.select(stats.half_up(F.col("est"), 6).alias("difference"), "treated", stats.half_up(F.col("low"), 6).alias("low"), stats.half_up(F.col("high"), 6).alias("high"), "resamples")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ..operators import daily, form, graph, ratings, stats
+from ..operators import daily, form, graph, matching, ratings, stats
 from ..operators.asof import band_join
 from ..sources import io
 from .demo import OH, PT, hu, order_history, participations, query, snapshots, table, with_pt, with_snap
@@ -92,6 +92,25 @@ def abbreviations(spark, d):
     return j.groupBy("short").agg(F.min("full_name").alias("full_name"), F.count("*").alias("n")).filter("n = 1").drop("n")
 
 
+#: A customer's digits without the tens, without the units, without leading zeros; orders print the one of the nation.
+N4 = """cu AS (SELECT c_custkey AS person, [left(d, 7) || right(d, 1), left(d, 8), ltrim(d, '0')] AS forms, c_nationkey % 3 AS own FROM (SELECT *, substr(c_name, 10) AS d FROM customer)),
+ yo AS (SELECT o_custkey AS person, count(*) AS official FROM orders WHERE year(o_orderdate) = 1997 GROUP BY 1), ct AS (SELECT forms[own + 1] AS short, sum(official) AS n FROM cu JOIN yo USING (person) GROUP BY 1),
+ pp AS (SELECT person, forms, coalesce(official, 0) AS official FROM cu LEFT JOIN yo USING (person)), cd AS MATERIALIZED (SELECT DISTINCT person, short FROM (SELECT person, official, unnest(forms) AS short FROM pp) JOIN ct USING (short) WHERE official > 0 AND n = official),
+ r AS (SELECT 0 AS i, person, short, false AS ok FROM cd UNION ALL SELECT i + 1, person, short, acc FROM (SELECT *, bool_or(acc) OVER (PARTITION BY person) OR bool_or(acc) OVER (PARTITION BY short) AS done, bool_or(acc) OVER () AS any_acc FROM (SELECT *, k = 1 AND count(*) FILTER (WHERE k = 1) OVER (PARTITION BY short) = 1 AS acc FROM (SELECT i, person, short, count(*) OVER (PARTITION BY person) AS k FROM r WHERE NOT ok))) WHERE any_acc AND (acc OR NOT done))"""
+
+
+@query("N4_unique_by_counts", f"WITH RECURSIVE {N4} SELECT person, short, CASE WHEN short IS NOT NULL THEN 'accepted' WHEN official = 0 THEN 'zero' WHEN person NOT IN (SELECT person FROM cd) THEN 'nomatch' WHEN left_ IS NULL THEN 'taken' WHEN left_ = 1 THEN 'shared' ELSE 'many' END AS why, i AS round FROM pp LEFT JOIN (SELECT person, short, i FROM r WHERE ok) USING (person) LEFT JOIN (SELECT person, count(*) AS left_ FROM r WHERE NOT ok AND i = (SELECT max(i) FROM r) GROUP BY 1) USING (person)")
+def unique_by_counts(spark, d):
+    """The abbreviation of each customer whose count in the orders of 1997 equals the customer's own, by elimination."""
+    digits = F.substring("c_name", 10, 100)
+    forms = F.array(F.concat(F.left(digits, F.lit(7)), F.right(digits, F.lit(1))), F.left(digits, F.lit(8)), F.ltrim(digits, F.lit("0")))
+    cu = table(spark, d, "customer").select(F.col("c_custkey").alias("person"), forms.alias("forms"), (F.col("c_nationkey") % 3).alias("own"))
+    yo = table(spark, d, "orders").filter(F.year("o_orderdate") == 1997).groupBy(F.col("o_custkey").alias("person")).agg(F.count("*").alias("official"))
+    counted = cu.join(yo, "person").groupBy(F.get("forms", F.col("own")).alias("short")).agg(F.sum("official").alias("n"))
+    people = cu.join(yo, "person", "left").select("person", F.coalesce("official", F.lit(0)).alias("official"))
+    return matching.unique_candidates(people, cu.select("person", F.explode("forms").alias("short")), counted)
+
+
 @query("N5_unique_codes", "SELECT o_custkey % 50 AS code, count(*) AS n FROM orders WHERE o_custkey % 50 IN (SELECT o_custkey % 50 FROM orders GROUP BY 1 HAVING count(DISTINCT o_orderpriority) = 5) GROUP BY 1")
 def unique_codes(spark, d):
     o = table(spark, d, "orders").withColumn("code", F.col("o_custkey") % 50)

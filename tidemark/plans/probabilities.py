@@ -161,7 +161,7 @@ def e11(spark, d):
 
 #: Clusters are groups of events, so that the draws don't grow with the events.
 GROUPS, RESAMPLES = 1000, 200
-POISSON = (0.367879, 0.735759, 0.919699, 0.981012, 0.996340, 0.999406)
+POISSON = pr.POISSON_ONE
 
 
 @query("E12_bootstrap", with_pt("SELECT round(quantile_cont(m, 0.025), 6) AS low, round(quantile_cont(m, 0.5), 6) AS mid, round(quantile_cont(m, 0.975), 6) AS high, count(*) AS resamples FROM (SELECT b, sum(w * h) / sum(w * n)::DOUBLE AS m FROM (SELECT *, CASE " + " ".join(f"WHEN u < {c} THEN {k}" for k, c in enumerate(POISSON)) + f" ELSE 6 END AS w FROM (SELECT g, n, h, b, ('0x' || substr(md5('7:' || g || ':' || b), 1, 8))::BIGINT / 4294967296.0::DOUBLE AS u FROM (SELECT event % {GROUPS} AS g, count(*) AS n, count(*) FILTER (WHERE finish = 1) AS h FROM pt WHERE popularity = 1 GROUP BY 1), range({RESAMPLES}) r(b))) GROUP BY 1)"))
