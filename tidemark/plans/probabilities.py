@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from ..operators import neighbours
 from ..operators import probability as pr
 from ..operators import stats
 from .aggregates import PB, implied
@@ -122,14 +123,40 @@ E9 = (
 def e9(spark, d):
     """Observed price share of ordered pairs over their Harville probability: those beyond the 95th percentile among
     pairs of similar probability, with the peers' median as what a surrogate pick would show."""
+    j, g = anomalies(spark, d)
+    # Peers are eighths of a logarithm: 170 at most.
+    return j.join(F.broadcast(g.filter("n >= 20")), "peer").filter("ratio > limit").select("event", "r1", "r2", "ratio", "n", stats.half_up(F.col("surrogate")).alias("surrogate"))
+
+
+def anomalies(spark, d):
+    """Ordered pairs with their ratio and peers, and the peers' limits."""
     h = pr.harville(probs(spark, d), "event", "runner_no", "p", 2).withColumn("prob", F.round("prob", 9))
     p = participations(spark, d).select("event", "runner_no", "price")
     j = h.join(p.withColumnRenamed("runner_no", "r1").withColumnRenamed("price", "a"), ["event", "r1"]).join(p.withColumnRenamed("runner_no", "r2").withColumnRenamed("price", "b"), ["event", "r2"])
     share = F.col("a") * F.col("b") / F.sum(F.col("a") * F.col("b")).over(Window.partitionBy("event"))
     j = j.withColumn("ratio", stats.half_up(F.try_divide(share, F.col("prob")), 6)).withColumn("peer", F.floor(F.log(F.greatest("prob", F.lit(1e-9))) * 8))
     g = j.groupBy("peer").agg(F.count("*").alias("n"), F.percentile("ratio", 0.95).alias("limit"), F.percentile("ratio", 0.5).alias("surrogate"))
-    # Peers are eighths of a logarithm: 170 at most.
-    return j.join(F.broadcast(g.filter("n >= 20")), "peer").filter("ratio > limit").select("event", "r1", "r2", "ratio", "n", stats.half_up(F.col("surrogate")).alias("surrogate"))
+    return j, g
+
+
+_NEAR = "last_value({0} IGNORE NULLS) OVER (ORDER BY prob {1}, h {1}, event {1}, r1 {1}, r2 {1} ROWS BETWEEN UNBOUNDED PRECEDING AND {2})"
+_FREE, _SPOT = "CASE WHEN NOT pick THEN s END", "CASE WHEN NOT pick AND {0}.event <> event THEN {0} END"
+E9_SURROGATES = (
+    "hq AS (SELECT hp.event, hp.r1, hp.r2, prob, ratio, coalesce(g.n >= 20 AND ratio > lim, false) AS pick, md5('7:' || event || ':' || r1 || ':' || r2) AS h FROM hr JOIN hp USING (event, r1, r2) JOIN (SELECT peer, count(*) AS n, quantile_cont(ratio, 0.95) AS lim FROM hr GROUP BY 1) g USING (peer) WHERE prob IS NOT NULL)",
+    f"h1 AS (SELECT *, {_NEAR.format(_FREE, 'ASC', '1 PRECEDING')} AS lo, {_NEAR.format(_FREE, 'DESC', '1 PRECEDING')} AS hi FROM (SELECT *, {{'event': event, 'r1': r1, 'r2': r2, 'prob': prob, 'ratio': ratio}} AS s FROM hq))",
+    f"h2 AS (SELECT *, CASE WHEN lo.event <> event THEN lo ELSE {_NEAR.format(_SPOT.format('lo'), 'ASC', 'CURRENT ROW')} END AS low, CASE WHEN hi.event <> event THEN hi ELSE {_NEAR.format(_SPOT.format('hi'), 'DESC', 'CURRENT ROW')} END AS high FROM h1)",
+    "h3 AS (SELECT *, CASE WHEN low.event IS NOT NULL AND (high.event IS NULL OR prob - low.prob <= high.prob - prob) THEN low ELSE high END AS t FROM h2 WHERE pick)",
+)
+
+
+@query("E9_surrogates", with_pt("SELECT event, r1, r2, ratio, t.event AS s_event, t.r1 AS s_r1, t.r2 AS s_r2, t.ratio AS s_ratio FROM h3", PB, *E9, *E9_SURROGATES))
+def e9_surrogates(spark, d):
+    """Each anomalous pair with one surrogate: the pair of another event that is no pick itself and nearest in probability."""
+    j, g = anomalies(spark, d)
+    rows = j.join(F.broadcast(g.select("peer", "n", "limit")), "peer")  # 170 peers at most
+    rows = rows.select("event", "r1", "r2", "prob", "ratio", (F.col("n") >= 20).alias("many"), "limit").withColumn("pick", F.col("many") & (F.col("ratio") > F.col("limit")))
+    out = neighbours.nearest_other(rows, key="prob", group="event", ids=["r1", "r2"], pick="pick", carry=["ratio"])
+    return out.select("event", "r1", "r2", "ratio", "s_event", "s_r1", "s_r2", "s_ratio")
 
 
 E10 = "CASE WHEN discount < 0.03 THEN 'long' WHEN discount < 0.07 THEN 'mid' ELSE 'short' END"
