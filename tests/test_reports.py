@@ -53,3 +53,26 @@ def test_ranked_collapses_needs_neighbouring_slots(spark):
     s = ticks.slots(df, ["g"], "key", F.col("slot"))
     got = [(r["key"], r["i"], r["o0"], r["o"]) for r in ticks.ranked_collapses(s, ["g"], "key").collect()]
     assert got == [(1, 2, 10.0, 5.0)]
+
+
+def test_report_sentences_keep_brackets_and_lone_periods(spark):
+    texts = [
+        (1, "One ran (rule 2. of (4.) here). Two fell. (noted.) Three won. From 3 to 5. (seen) Four rode. No stop"), (2, "(first) ran. Until 9."), (3, "Open (a. b. c. d"), (4, "x) y. z. "), (5, None), (6, " . "), (7, "From 1 to 2."),
+    ]
+    df = spark.createDataFrame(texts, "a INT, s STRING")
+    got = {}
+    for r in text.report_sentences(df, ["a"], "s", "^(?:From|Until|On) [0-9]").orderBy("a", "unit").collect():
+        got.setdefault(r["a"], []).append(r["sentence"])
+    assert got == {
+        1: ["One ran (rule 2. of (4.) here).", "Two fell. (noted.)", "Three won. From 3 to 5. (seen)", "Four rode.", "No stop"],
+        2: ["(first) ran. Until 9."], 3: ["Open (a. b. c. d"], 4: ["x) y.", "z."], 7: ["From 1 to 2."],
+    }
+
+
+def test_periods(spark):
+    texts = ["barred from 3 to 5.", "out until 12", "on 4, 2 and 4.", "On 7", "from 9 to 2", "until 3", "none", None, "on 99999999999999999999"]
+    form, days = text.periods(F.col("s"), F.lit(10))
+    got = spark.createDataFrame([(s,) for s in texts], "s STRING").select("s", form.alias("f"), days.alias("d")).collect()
+    assert [(r["f"], [tuple(x) for x in r["d"]]) for r in got] == [
+        ("range", [(3, 5)]), ("until", [(10, 12)]), ("list", [(2, 2), (4, 4)]), ("list", [(7, 7)]), ("range", []), ("until", []), (None, []), (None, []), ("list", []),
+    ]

@@ -135,3 +135,51 @@ def label_templates(keys: DataFrame, labels: DataFrame, top: int) -> DataFrame:
     j = keys.join(labels, "key", "left")
     known = j.filter("label IS NOT NULL").groupBy("label").agg(F.sum("n").alias("n")).select("label", F.lit(None).cast("string").alias("key"), "n")
     return known.unionByName(j.filter("label IS NULL").select("label", "key", "n").orderBy(F.desc("n"), "key").limit(top))
+
+
+def report_sentences(texts: DataFrame, by: Sequence[str], text: str, alone: str) -> DataFrame:
+    """by, unit (from 1), sentence: texts cut behind full stops that stand in no open bracket.
+
+    A sentence that begins with a bracket gives it back to the sentence before, and one that `alone` matches (a period
+    without a subject) joins it whole; the first sentence of a text keeps both. A bracket that is never closed keeps the
+    rest of its text together, a closing one too many counts as none. `by` names a text; null and blank texts have no row.
+    """
+    names, by = by, [f"key{i}" for i in range(len(by))]
+    count = lambda c: F.char_length("s") - F.char_length(F.replace(F.col("s"), F.lit(c), F.lit("")))
+    order = Window.partitionBy(*by).orderBy("pos")
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    p = texts.select(*[F.col(c).alias(k) for c, k in zip(names, by, strict=True)], F.posexplode(F.split(F.col(text), r"\.")).alias("pos", "s"))
+    p = p.withColumn("net", count("(") - count(")")).withColumn("run", F.sum("net").over(order))
+    # Depth never falls below 0: the running sum less the least it has had.
+    depth = F.col("run") - F.least(F.lit(0), F.min("run").over(order))
+    p = p.withColumn("depth", depth).withColumn("open", F.coalesce(F.last("depth").over(before), F.lit(0)) > 0)
+    p = p.withColumn("unit", F.sum(F.when(F.col("open"), 0).otherwise(1)).over(order))
+    parts = lambda: F.array_sort(F.collect_list(F.struct("pos", "s")))
+    last = F.max("pos").over(Window.partitionBy(*by))
+    g = p.withColumn("end", last).groupBy(*by, "unit").agg(parts().alias("a"), F.max("pos").alias("pos"), F.max("end").alias("end"))
+    whole = F.btrim(F.concat(F.array_join(F.transform("a", lambda x: x["s"]), "."), F.when(F.col("pos") < F.col("end"), ".").otherwise("")))
+    tail = F.regexp_extract("s", r"^(\([^)]*\)\.?)", 1)
+    u = g.select(*by, "unit", whole.alias("s")).filter("s NOT IN ('', '.')").withColumn("tail", tail)
+    rest = F.btrim(F.substring(F.col("s"), F.char_length("tail") + 1, F.char_length("s")))
+    two = F.array(F.struct(F.lit(0).alias("k"), F.col("tail").alias("s"), F.lit(True).alias("back")), F.struct(F.lit(1).alias("k"), rest.alias("s"), rest.rlike(alone).alias("back")))
+    u = u.select(*by, "unit", F.explode(F.filter(two, lambda x: ~x["s"].isin("", "."))).alias("x")).select(*by, F.struct("unit", "x.k").alias("pos"), "x.s", "x.back")
+    place, previous = F.row_number().over(order), F.lag("pos").over(order)
+    stays = (place == 2) & (F.col("pos.k") == 1) & (previous["unit"] == F.col("pos.unit"))  # behind a bracket that has nowhere to go
+    u = u.withColumn("joins", (place > 1) & (F.col("back") | stays)).withColumn("unit", F.sum(F.when(F.col("joins"), 0).otherwise(1)).over(order))
+    named = [F.col(k).alias(c) for c, k in zip(names, by, strict=True)]
+    return u.groupBy(*by, "unit").agg(parts().alias("a")).select(*named, "unit", F.array_join(F.transform("a", lambda x: x["s"]), " ").alias("sentence"))
+
+
+def periods(sentence: Column, today: Column) -> tuple[Column, Column]:
+    """form and days (array of struct<first, last>) of the sentence's period: a range, a list of days, or until a day.
+
+    The first form that matches counts; a range that ends before it begins and an until before today have no days; null
+    and an empty array where there is no period.
+    """
+    number = lambda p, k: F.regexp_extract(sentence, p, k).try_cast("long")
+    span, to, some = r"\b[Ff]rom ([0-9]+) to ([0-9]+)", r"\b[Uu]ntil ([0-9]+)", r"\b[Oo]n ([0-9]+(?:, [0-9]+)*(?: and [0-9]+)?)"
+    one = lambda a, b: F.struct(a.alias("first"), b.alias("last"))
+    form = F.when(sentence.rlike(span), "range").when(sentence.rlike(to), "until").when(sentence.rlike(some), "list")
+    listed = F.array_sort(F.array_distinct(F.transform(F.regexp_extract_all(F.regexp_extract(sentence, some, 1), F.lit("([0-9]+)")), lambda x: x.try_cast("long"))))
+    days = F.when(form == "range", F.array(one(number(span, 1), number(span, 2)))).when(form == "until", F.array(one(today.cast("long"), number(to, 1)))).when(form == "list", F.transform(listed, lambda x: one(x, x)))
+    return form, F.coalesce(F.filter(days, lambda x: x["first"] <= x["last"]), F.array().cast("array<struct<first:bigint,last:bigint>>"))

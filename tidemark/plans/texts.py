@@ -93,6 +93,36 @@ def report_events(spark, d):
     return e.select("id", "block", "pos", "kind", "cause", F.char_length("line").cast("long").alias("chars"))
 
 
+ALONE = "^(?:From|Until|On) [0-9]"
+#: Reports made of orders: brackets with full stops, tails, periods of each form, some of them sentences on their own.
+RP = r"""rp AS (SELECT o_orderkey AS id, a, 'Case ' || k || ' of ' || o_orderpriority || ' (rule ' || k % 7 || '. of ' || k % 5 || '.) is ' || CASE k % 4 WHEN 0 THEN 'out from ' || a || ' to ' || b WHEN 1 THEN 'out until ' || b WHEN 2 THEN 'out on ' || a || ', ' || c || ' and ' || b ELSE 'warned' END
+   || '. (noted ' || k % 3 || '.) ' || CASE k % 3 WHEN 0 THEN 'From ' || c || ' to ' || a WHEN 1 THEN 'Until ' || b ELSE 'It goes on' END || '. Others ran (' || k % 2 || '. and more).' AS t FROM (SELECT *, o_orderkey AS k, dayofyear(o_orderdate) AS a, dayofyear(o_orderdate) + o_orderkey % 11 AS b, dayofyear(o_orderdate) + o_orderkey % 5 AS c FROM orders))"""
+X3_SENTENCES = rf"""{RP}, p0 AS (SELECT id, generate_subscripts(p, 1) - 1 AS pos, unnest(p) AS s, len(p) - 1 AS stop FROM (SELECT id, string_split(t, '.') AS p FROM rp)),
+ p1 AS (SELECT *, sum((length(s) - length(replace(s, '(', ''))) - (length(s) - length(replace(s, ')', '')))) OVER w AS run FROM p0 WINDOW w AS (PARTITION BY id ORDER BY pos)), p2 AS (SELECT *, run - least(0, min(run) OVER w) AS depth FROM p1 WINDOW w AS (PARTITION BY id ORDER BY pos)),
+ p3 AS (SELECT *, coalesce(lag(depth) OVER w, 0) > 0 AS inside FROM p2 WINDOW w AS (PARTITION BY id ORDER BY pos)), p4 AS (SELECT *, sum((NOT inside)::INT) OVER (PARTITION BY id ORDER BY pos) AS unit FROM p3),
+ u0 AS (SELECT id, unit, trim(string_agg(s, '.' ORDER BY pos) || CASE WHEN max(pos) < any_value(stop) THEN '.' ELSE '' END) AS s FROM p4 GROUP BY 1, 2), u1 AS (SELECT *, regexp_extract(s, '^(\([^)]*\)\.?)', 1) AS tail FROM u0 WHERE s NOT IN ('', '.')),
+ u2 AS (SELECT id, unit, 0 AS k, tail AS s, true AS back FROM u1 UNION ALL SELECT id, unit, 1, trim(substr(s, length(tail) + 1)), regexp_matches(trim(substr(s, length(tail) + 1)), '{ALONE}') FROM u1), u3 AS (SELECT *, row_number() OVER w AS place, lag(unit) OVER w AS pu FROM u2 WHERE s NOT IN ('', '.') WINDOW w AS (PARTITION BY id ORDER BY unit, k)),
+ u4 AS (SELECT *, sum((NOT (place > 1 AND (back OR (place = 2 AND k = 1 AND pu = unit))))::INT) OVER (PARTITION BY id ORDER BY unit, k) AS no FROM u3), sn AS (SELECT id, no::BIGINT AS unit, string_agg(s, ' ' ORDER BY u4.unit, k) AS s FROM u4 GROUP BY id, no),
+ fm AS (SELECT sn.*, a, CASE WHEN regexp_matches(s, '\b[Ff]rom [0-9]+ to [0-9]+') THEN 'range' WHEN regexp_matches(s, '\b[Uu]ntil [0-9]+') THEN 'until' WHEN regexp_matches(s, '\b[Oo]n [0-9]+') THEN 'list' END AS form FROM sn JOIN rp USING (id)),
+ dy AS (SELECT *, CASE form WHEN 'range' THEN [[regexp_extract(s, '\b[Ff]rom ([0-9]+) to', 1)::BIGINT, regexp_extract(s, '\b[Ff]rom [0-9]+ to ([0-9]+)', 1)::BIGINT]] WHEN 'until' THEN [[a, regexp_extract(s, '\b[Uu]ntil ([0-9]+)', 1)::BIGINT]] WHEN 'list' THEN [[x::BIGINT, x::BIGINT] FOR x IN list_distinct(regexp_extract_all(regexp_extract(s, '\b[Oo]n ([0-9]+(?:, [0-9]+)*(?: and [0-9]+)?)', 1), '[0-9]+'))] ELSE [] END AS days FROM fm)"""
+
+
+@query("X3_periods", f"WITH {X3_SENTENCES} SELECT id, unit, md5(s) AS sentence_md5, form, coalesce(list_sum([x[2] - x[1] + 1 FOR x IN days IF x[1] <= x[2]]), 0)::BIGINT AS days, list_min([x[1] FOR x IN days IF x[1] <= x[2]]) AS first FROM dy")
+def report_periods(spark, d):
+    """Sentences of reports made of orders, with brackets and lone periods where they belong, and the days each names."""
+    k, pri = F.col("o_orderkey"), F.col("o_orderpriority")
+    a = F.dayofyear("o_orderdate").cast("long")
+    b, c = a + k % 11, a + k % 5
+    form = F.when(k % 4 == 0, F.concat(F.lit("out from "), a, F.lit(" to "), b)).when(k % 4 == 1, F.concat(F.lit("out until "), b)).when(k % 4 == 2, F.concat(F.lit("out on "), a, F.lit(", "), c, F.lit(" and "), b)).otherwise("warned")
+    more = F.when(k % 3 == 0, F.concat(F.lit("From "), c, F.lit(" to "), a)).when(k % 3 == 1, F.concat(F.lit("Until "), b)).otherwise("It goes on")
+    t = F.concat(F.lit("Case "), k, F.lit(" of "), pri, F.lit(" (rule "), k % 7, F.lit(". of "), k % 5, F.lit(".) is "), form, F.lit(". (noted "), k % 3, F.lit(".) "), more, F.lit(". Others ran ("), k % 2, F.lit(". and more)."))
+    reports = table(spark, d, "orders").select(F.col("o_orderkey").alias("id"), a.alias("a"), t.alias("t"))
+    s = text.report_sentences(reports, ["id", "a"], "t", ALONE)
+    kind, days = text.periods(F.col("sentence"), F.col("a"))
+    s = s.select("id", "unit", F.md5(F.col("sentence").cast("binary")).alias("sentence_md5"), kind.alias("form"), days.alias("d"))
+    return s.select("id", "unit", "sentence_md5", "form", F.aggregate("d", F.lit(0).cast("long"), lambda n, x: n + x["last"] - x["first"] + 1).alias("days"), F.array_min(F.transform("d", lambda x: x["first"])).alias("first"))
+
+
 @query("X4_templates", f"WITH {SENT} SELECT md5(regexp_replace(regexp_replace(sentence, '[A-Z][a-z]+', 'N', 'g'), '[0-9]+', '0', 'g')) AS key, count(*) AS n, min(id) AS first FROM st GROUP BY 1 HAVING count(*) >= 3")
 def templates(spark, d):
     s = text.sentences(table(spark, d, "documents"), "doc_id", "text")
