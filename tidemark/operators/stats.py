@@ -99,3 +99,17 @@ def numbered(rows: DataFrame, order: Sequence[Column | str], name: str = "place"
     starts = F.broadcast(rows.sparkSession.createDataFrame(starts, "__part int, __before long"))
     k = F.row_number().over(Window.partitionBy("__part").orderBy(*order))
     return parts.withColumn("__k", k).join(starts, "__part").withColumn(name, F.col("__before") + F.col("__k")).drop("__part", "__k", "__before")
+
+
+def tie_mean(place: Column, ties: Column, amounts: Sequence[int]) -> Column:
+    """Whole amount of a place that `ties` share: the mean of the amounts of the places they take up, cut to a whole number;
+    places beyond the table have nothing."""
+    last = len(amounts)
+    taken = F.slice(F.array(*[F.lit(a).cast("long") for a in amounts]), F.least(place, F.lit(last)).cast("int"), F.least(ties, last + 1 - F.least(place, F.lit(last))).cast("int"))
+    return F.when(place <= last, F.floor(F.aggregate(taken, F.lit(0).cast("long"), lambda a, b: a + b) / ties)).otherwise(F.lit(0)).cast("long")
+
+
+def capped_fold(start: Column, rows: Column, amount: str, limit: str, cap: int) -> Column:
+    """start plus the amounts of an ordered array of structs, each of which lifts the sum up to the row's limit and never
+    lowers it, all up to cap."""
+    return F.aggregate(rows, start.cast("long"), lambda a, r: F.least(F.lit(cap).cast("long"), F.greatest(a, F.least(a + r[amount], r[limit]))))

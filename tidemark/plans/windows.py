@@ -355,6 +355,36 @@ def folded_points(spark, d):
     return rows.groupBy("entity").agg(seq.alias("s")).select("entity", F.size("s").cast("long").alias("n"), F.aggregate("s", F.lit(0), step).alias("points"))
 
 
+#: Amounts of the first five places, and the most that a balance can be.
+AMOUNTS, CAP = (30, 20, 12, 8, 5), 60
+W27_CHECK = f"""WITH RECURSIVE {OH}, rk AS (SELECT *, year(day) AS y, least({CAP}, floor(price / 10000 + 0.5))::BIGINT AS told, rank() OVER (PARTITION BY d_idx, grade ORDER BY floor(price / 50000) DESC) AS place, count(*) OVER (PARTITION BY d_idx, grade, floor(price / 50000)) AS ties, row_number() OVER (PARTITION BY entity, year(day) ORDER BY d_idx, event) AS k FROM oh),
+ am AS MATERIALIZED (SELECT *, CASE WHEN place <= 5 THEN list_sum({list(AMOUNTS)}[place:least(place + ties - 1, 5)]) // ties ELSE 0 END::BIGINT AS amount, CASE WHEN place > 1 THEN grade * 20 ELSE {CAP} END AS lim FROM rk),
+ f AS (SELECT entity, y, 1::BIGINT AS k, told AS points FROM am WHERE k = 1 UNION ALL SELECT f.entity, f.y, f.k + 1, least({CAP}, greatest(f.points, least(f.points + am.amount, am.lim)))::BIGINT FROM f JOIN am ON am.entity = f.entity AND am.y = f.y AND am.k = f.k + 1),
+ ck AS (SELECT entity, lead(y) OVER w AS round, points AS computed, lead(told) OVER w AS published FROM (SELECT entity, y, arg_max(points, k) AS points FROM f GROUP BY 1, 2) JOIN (SELECT entity, y, told FROM am WHERE k = 1) USING (entity, y) WINDOW w AS (PARTITION BY entity ORDER BY y))
+ SELECT round::INT AS round, entity, computed, published, computed = published AS matched, count(*) OVER (PARTITION BY round) AS n, count(*) FILTER (WHERE computed = published) OVER (PARTITION BY round) AS hits FROM ck WHERE round IS NOT NULL"""
+
+
+@query("W27_crosscheck", W27_CHECK)
+def crosscheck(spark, d):
+    """Balances carried on from each published value (a year's first order) by places' amounts, ties sharing them, against
+    the next published one: a row for each check, with its round's checks and hits."""
+    race = Window.partitionBy("d_idx", "grade")
+    step = F.floor(F.col("price") / 50000)
+    rows = order_history(spark, d).withColumn("step", step).withColumn("y", F.year("day")).withColumn("told", F.least(F.lit(CAP), F.floor(F.col("price") / 10000 + 0.5)).cast("long"))
+    place, ties = F.rank().over(race.orderBy(F.desc("step"))), F.count("*").over(Window.partitionBy("d_idx", "grade", "step"))
+    rows = rows.withColumn("place", place).withColumn("ties", ties)
+    limit = F.when(F.col("place") > 1, F.col("grade") * 20).otherwise(CAP).cast("long")
+    row = F.struct("d_idx", "event", "told", stats.tie_mean(F.col("place"), F.col("ties"), AMOUNTS).alias("amount"), limit.alias("lim"))
+    years = rows.groupBy("entity", "y").agg(F.array_sort(F.collect_list(row)).alias("s"))  # an entity's rows of one year
+    later = F.slice("s", 2, F.greatest(F.size("s") - 1, F.lit(0)))
+    years = years.select("entity", "y", F.col("s")[0]["told"].alias("told"), stats.capped_fold(F.col("s")[0]["told"], later, "amount", "lim", CAP).alias("computed"))
+    w = Window.partitionBy("entity").orderBy("y")
+    checks = years.select("entity", F.lead("y").over(w).alias("round"), "computed", F.lead("told").over(w).alias("published")).filter("round IS NOT NULL")
+    checks = checks.withColumn("matched", F.col("computed") == F.col("published"))
+    totals = checks.groupBy("round").agg(F.count("*").alias("n"), F.count_if("matched").alias("hits"))
+    return checks.join(F.broadcast(totals), "round").select("round", "entity", "computed", "published", "matched", "n", "hits")  # a row a year
+
+
 #: Dated lines: the points that count from a switch date on.
 LINES = (("1990-01-01", 30), ("1997-04-01", 35), ("1999-04-01", 40), ("2001-01-01", 50))
 W28 = (
