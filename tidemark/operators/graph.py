@@ -23,3 +23,16 @@ def components(edges: DataFrame) -> DataFrame:
         if not new.filter("comp <> old").limit(1).count():
             return new.select("node", "comp")
         labels = new.select("node", "comp")
+
+
+def alias_groups(names: DataFrame, pairs: DataFrame) -> DataFrame:
+    """name, canonical, names: every name with its group's most frequent one (of equals the newest, then the greatest) and
+    the group's size.
+
+    names: name, n, newest, one row a name. pairs: a, b, joined by hand: groups follow chains of any length, over names that
+    `names` lacks too. Pairs with a null join nothing; a name in no pair is its own group.
+    """
+    comp = components(pairs.select("a", "b").filter("a IS NOT NULL AND b IS NOT NULL")).select(F.col("node").alias("name"), "comp")
+    rows = names.select("name", "n", "newest").join(comp, "name", "left").withColumn("grp", F.coalesce("comp", "name"))
+    best = F.max_by("name", F.struct("n", "newest", "name")).alias("canonical")
+    return rows.join(rows.groupBy("grp").agg(best, F.count("*").alias("names")), "grp").select("name", "canonical", "names")

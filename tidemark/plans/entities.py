@@ -84,6 +84,21 @@ def alias_ladder(spark, d):
     return c.join(g, "cluster").select("raw", "canonical", "names", other.alias("redirected"), level.alias("level"))
 
 
+N3_CHAINS = """nm AS (SELECT p_type || ' ' || p_brand AS name, p_type, substr(p_brand, 7)::INT AS num, count(*) AS n, max(p_partkey) AS newest FROM part GROUP BY ALL), pr AS (SELECT name AS a, p_type || ' Brand#' || (num + 5) AS b FROM nm WHERE num % 7 <> 0),
+ e AS (SELECT a, b FROM pr UNION SELECT b, a FROM pr), r AS (SELECT a AS node, a AS root FROM e UNION SELECT e.b, r.root FROM r JOIN e ON e.a = r.node), c AS (SELECT node, min(root) AS comp FROM r GROUP BY 1),
+ gr AS (SELECT nm.*, coalesce(comp, name) AS grp FROM nm LEFT JOIN c ON node = name), gg AS (SELECT grp, arg_max(name, (n, newest, name)) AS canonical, count(*) AS names FROM gr GROUP BY 1)"""
+
+
+@query("N3_hand_chains", f"WITH RECURSIVE {N3_CHAINS} SELECT name, canonical, names FROM gr JOIN gg USING (grp)")
+def hand_chains(spark, d):
+    """Names of part types and brands under chains of pairs by hand: each brand number with the one five above, but for
+    every seventh."""
+    p = table(spark, d, "part").withColumn("num", F.substring("p_brand", 7, 9).cast("int"))
+    names = p.groupBy(F.concat_ws(" ", "p_type", "p_brand").alias("name"), "p_type", "num").agg(F.count("*").alias("n"), F.max("p_partkey").alias("newest"))
+    pairs = names.filter("num % 7 <> 0").select(F.col("name").alias("a"), F.concat(F.col("p_type"), F.lit(" Brand#"), F.col("num") + 5).alias("b"))
+    return graph.alias_groups(names, pairs)
+
+
 @query("N4_abbreviations", "WITH f AS (SELECT DISTINCT p_type AS full_name FROM part), a AS (SELECT DISTINCT left(p_type, 11) AS short FROM part) SELECT short, min(full_name) AS full_name FROM a JOIN f ON starts_with(full_name, short) GROUP BY 1 HAVING count(*) = 1")
 def abbreviations(spark, d):
     f = table(spark, d, "part").select(F.col("p_type").alias("full_name")).distinct()
