@@ -4,6 +4,7 @@ import random
 from statistics import median
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.operators import rolling
 
@@ -15,12 +16,23 @@ def rows_of(n, seed):
     return [(r.choice(["a", "a", "a", "b", None]), r.randint(-40, 40), r.choice([None, *map(float, range(12))]), "x") for _ in range(n)]
 
 
+def fine_rows(n, seed):
+    """Values of two digits, of which one is a third of all rows."""
+    r = random.Random(seed)
+    return [(r.choice(["a", "a", "a", "b", None]), r.randint(-40, 40), r.choice([None, 3.25, 3.25, *[round(r.gauss(0, 5), 2) for _ in range(3)]]), "x") for _ in range(n)]
+
+
+HOT = {"small": 40, "cell_rows": 12}
+
+
 @pytest.mark.parametrize("days", [1, 7, 30])
 @pytest.mark.parametrize("stat", ["median", "share_below", "mode"])
-def test_against_pairs(spark, monkeypatch, days, stat):
+@pytest.mark.parametrize(("limits", "make"), [({}, rows_of), (HOT, fine_rows)])
+def test_against_pairs(spark, monkeypatch, days, stat, limits, make):
     monkeypatch.setattr(rolling, "_MANY", 3)
-    probes, facts = rows_of(60, 1) + rows_of(5, 1), rows_of(400, 2)
-    got = rolling.rolling(spark.createDataFrame(probes, SCHEMA), spark.createDataFrame(facts, SCHEMA), by=["k"], day="d", value="v", days=days, stat=stat).collect()
+    nan = [("a", 3, float("nan"), "x")]
+    probes, facts = make(60, 1) + make(5, 1), make(400, 2)
+    got = rolling.rolling(spark.createDataFrame(probes, SCHEMA), spark.createDataFrame(facts + nan, SCHEMA), by=["k"], day="d", value="v", days=days, stat=stat, **limits).collect()
     want = []
     for k, d, v, x in probes:
         held = [w for k2, e, w, _ in facts if k2 == k and w is not None and d - days <= e < d]
@@ -34,6 +46,23 @@ def test_against_pairs(spark, monkeypatch, days, stat):
     assert sorted(map(str, want)) == sorted(str((r.k, r.d, r.v, r.d_idx, r.window_n, r.window and round(r.window, 9))) for r in got)
 
 
+def test_one_value_and_a_hot_block_are_cells(spark, monkeypatch):
+    """No sorted list is longer than a cell, though one block holds all rows, and a value that repeats is in none."""
+    facts = spark.range(30_000).select(F.lit("a").alias("k"), (F.col("id") % 9).cast("int").alias("d"), F.when(F.col("id") % 3 == 0, 7.5).otherwise(F.col("id").cast("double")).alias("v"))
+    known = facts.filter("d < 8")
+    probes = spark.createDataFrame([("a", 8, 7.5), ("a", 8, 20_000.0), ("a", 8, None)], "k string, d int, v double")
+    seen, plain = [], rolling._answers
+    monkeypatch.setattr(rolling, "_answers", lambda asked, known, keys, *rest: (seen.append((keys, known.groupBy(*keys).count().agg(F.max("count")).first()[0])), plain(asked, known, keys, *rest))[1])
+    limits = {"by": ["k"], "day": "d", "value": "v", "days": 9, "small": 5000, "cell_rows": 500}
+    shares = {r.v: r.window for r in rolling.rolling(probes, known, stat="share_below", **limits).collect()}
+    values = sorted(r.v for r in known.collect())
+    assert shares == {v: None if v is None else (sum(w < v for w in values) + values.count(v) / 2) / len(values) for v in (7.5, 20_000.0, None)}
+    for stat, want in (("median", median(values)), ("mode", 7.5)):
+        assert {r.window for r in rolling.rolling(probes, known, stat=stat, **limits).collect()} == {want}
+    assert max(n for keys, n in seen if "cell" in keys) <= 1000
+    assert all(not n for keys, n in seen if "cell" not in keys)
+
+
 def test_empty_tables(spark):
     some, none = spark.createDataFrame(rows_of(5, 3), SCHEMA), spark.createDataFrame([], SCHEMA)
     assert rolling.rolling(none, some, by=["k"], day="d", value="v", days=5).count() == 0

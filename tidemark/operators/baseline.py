@@ -7,17 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..sources.io import new_path
+from ..sources.io import written
 from .rolling import rolling
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """df written to the shared folder and read again: cuts the lineage of iterations."""
-    path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def asof_medians(rows: DataFrame, levels: Sequence[tuple[str, Sequence[str], int]], *, day: str, value: str, least: int = 8) -> DataFrame:
     """rows with baseline and level: the median of value over the days before, at the first level with `least` rows.
 

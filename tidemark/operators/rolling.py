@@ -3,6 +3,11 @@
 A key's time line is cut into blocks as long as the window. Each fact goes to its own block and to the next one, each
 probe to its own, so that a block holds all that its probes' windows reach, at most twice the facts in all, and a key
 with many rows is split by time. Within a block rows come in the order of days and one sorted list is kept up to date.
+
+A block of more than `small` facts is split by value too. Its cells lie between approximate quantiles of its own facts, and
+each of these is a cell by itself, so that a value that repeats without end is counted, not held. Counts by day and cell,
+summed over the window, tell for each day the facts of a cell and of all cells below it; sorted lists then answer for one
+cell each: the value of a rank in the cell, the place of a value in it, or its most frequent value.
 """
 
 from __future__ import annotations
@@ -14,9 +19,15 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as Over
 from pyspark.sql import functions as F
 
+from ..sources.io import written
+from .asof import null_safe
+
+#: Cells of a hot block at most, not counting the quantiles between them: a list holds 1 / MOST_CELLS of its facts.
+MOST_CELLS = 4096
 #: More values of a day than this are merged into the window's list at once.
 _MANY = 64
 
@@ -61,47 +72,128 @@ class Window:
             return None
         return (bisect_left(self.values, v) + bisect_right(self.values, v)) / 2 / len(self.values)
 
-    def mode(self) -> float | None:
-        """The most frequent value, of equally frequent ones the smallest."""
+    def place(self, v: float) -> float:
+        """Number of the values that are smaller, ties counting half."""
+        return (bisect_left(self.values, v) + bisect_right(self.values, v)) / 2
+
+    def mode(self) -> tuple[float | None, int]:
+        """The most frequent value, of equally frequent ones the smallest, and how often it is there."""
         n, best, most, at = len(self.values), None, 0, 0
         while at < n:
             end = bisect_right(self.values, self.values[at], at)
             if end - at > most:
                 best, most = self.values[at], end - at
             at = end
-        return best
+        return best, most
 
 
-STATS = {"median": lambda w, v: w.median(), "share_below": lambda w, v: w.share_below(v), "mode": lambda w, v: w.mode()}
+#: By window and the probe's own value.
+STATS = {
+    "median": lambda w, v: w.median(), "share_below": lambda w, v: w.share_below(v), "mode": lambda w, v: w.mode(),
+    "place": lambda w, v: w.place(v), "ranked": lambda w, v: w.values[int(v)],
+}
+#: These differ from probe to probe of a day.
+OWN = {"share_below", "place", "ranked"}
 
 
 def rolling(
-    probes: DataFrame, facts: DataFrame, *, by: Sequence[str], day: str, value: str, days: int, stat: str = "median", at: str | None = None
-) -> DataFrame:
+    probes: DataFrame, facts: DataFrame, *, by: Sequence[str], day: str, value: str, days: int, stat: str = "median", at: str | None = None,
+    small: int = 1_000_000, cell_rows: int = 250_000,
+) -> DataFrame:
     """probes with window_n long and window double: the statistic of the facts of the key in [day - days, day - 1].
 
     stat: median, share_below (of the probe's own `value`) or mode (of numbers). at: the facts' day column, if it has
-    another name. Facts without a value are left out; a window without facts has window_n 0 and a null.
+    another name. Facts without a value (null or NaN) are left out, a probe's NaN is a null; a window without facts has
+    window_n 0 and a null. Blocks of more than `small` facts are split into cells of about `cell_rows` facts.
     """
-    at = at or day
     names = probes.columns
-    marks = [f"p{i}" for i in range(len(names))]
-    keys = [f"k{i}" for i in range(len(by))]
-    cell = lambda c: F.floor(F.col(c) / days)
-    own = F.col(value).cast("double") if value in names else F.lit(None).cast("double")
-    asked = probes.select(
-        *[F.col(c).alias(k) for c, k in zip(by, keys, strict=True)], cell(day).alias("block"), F.col(day).cast("long").alias("d"), F.lit(0).alias("side"), own.alias("v"),
-        *[F.col(c).alias(m) for c, m in zip(names, marks, strict=True)],
-    )
-    blank = [F.lit(None).cast(f.dataType).alias(m) for f, m in zip(probes.schema, marks, strict=True)]
-    known = facts.filter(F.col(value).isNotNull()).select(
-        *[F.col(c).alias(k) for c, k in zip(by, keys, strict=True)], F.explode(F.array(cell(at), cell(at) + 1)).alias("block"), F.col(at).cast("long").alias("d"), F.lit(1).alias("side"),
-        F.col(value).cast("double").alias("v"), *blank,
-    )
-    rows = asked.unionByName(known)
+    marks, keys = [f"p{i}" for i in range(len(names))], [f"k{i}" for i in range(len(by))]
+    named = [F.col(c).alias(k) for c, k in zip(by, keys, strict=True)]
+    real = lambda c: F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias("v")
+    own = real(value) if value in names else F.lit(None).cast("double").alias("v")
+    block, on = F.floor(F.col("d") / days), [*keys, "block"]
+    asked = probes.select(*named, F.col(day).cast("long").alias("d"), own, *[F.col(c).alias(m) for c, m in zip(names, marks, strict=True)]).withColumn("block", block)
+    known = written(facts.select(*named, F.col(at or day).cast("long").alias("d"), real(value)).filter("v IS NOT NULL"), "facts")
+    both = F.explode(F.array(block, block + 1)).alias("block")
+    sizes = known.groupBy(*keys, block.alias("own")).agg(F.count("*").alias("n")).select(*keys, F.explode(F.array("own", F.col("own") + 1)).alias("block"), "n")
+    hot = written(sizes.groupBy(*on).agg(F.sum("n").alias("n")).filter(F.col("n") > small), "hot")
+    known = known.select(*keys, both, "d", "v")
+    if not hot.limit(1).count():
+        out = _answers(asked, known, on, marks, days, stat)
+    else:
+        rest = _answers(null_safe(asked, hot, on, "left_anti"), null_safe(known, hot, on, "left_anti"), on, marks, days, stat)
+        split = _by_value(null_safe(asked, hot.select(*on), on), null_safe(known, hot, on), on, marks, days, stat, cell_rows)
+        out = rest.select(*marks, "window_n", "window").unionByName(split)
+    return out.select(*[F.col(m).alias(c) for m, c in zip(marks, names, strict=True)], "window_n", "window")
+
+
+def _cuts_up_to(v: Column) -> Column:
+    """How many of the sorted `cuts` are no larger than v, by halving."""
+    steps = [MOST_CELLS >> i for i in range(1, MOST_CELLS.bit_length())]
+    further = lambda at, k: (at + k <= F.size("cuts")) & (F.try_element_at("cuts", at + k) <= v)
+    return F.aggregate(F.array(*[F.lit(k) for k in steps]), F.lit(0), lambda at, k: F.when(further(at, k), at + k).otherwise(at))
+
+
+def _by_value(asked: DataFrame, known: DataFrame, on: list[str], marks: list[str], days: int, stat: str, cell_rows: int) -> DataFrame:
+    """The answers of hot blocks; known has n, the facts of its block."""
+    shares = [i / MOST_CELLS for i in range(1, MOST_CELLS)]
+    found = known.groupBy(*on).agg(F.percentile_approx("v", shares, 4 * MOST_CELLS).alias("all"), F.first("n").alias("n"))
+    found = found.withColumn("step", F.greatest(F.lit(1), F.floor(F.lit(float(MOST_CELLS)) * cell_rows / F.col("n"))))
+    cuts = written(found.select(*on, F.array_distinct(F.filter("all", lambda _, i: i % F.col("step") == 0)).alias("cuts")), "cuts")
+    day, cell, place = [*on, "d"], [*on, "cell"], [*on, "d", "cell"]
+
+    def placed(df: DataFrame) -> DataFrame:
+        """df with cell: 2 i + 1 for the cut i itself (from 0), 2 i for values between the cuts i - 1 and i."""
+        at = null_safe(df, cuts, on).withColumn("upto", _cuts_up_to(F.col("v")))
+        exact = F.try_element_at("cuts", F.col("upto")) == F.col("v")
+        number = F.when((F.col("upto") > 0) & exact, 2 * F.col("upto") - 1).otherwise(2 * F.col("upto"))
+        return at.withColumn("cell", F.when(F.col("v").isNotNull(), number)).drop("upto", "cuts")
+
+    facts = written(placed(known.drop("n")), "cells")
+    lists = facts.filter("cell % 2 = 0")
+    daily = facts.groupBy(*place).agg(F.count("*").alias("c"))
+    empty = null_safe(asked.select(*day).distinct(), cuts.select(*on, F.explode(F.sequence(F.lit(0), 2 * F.size("cuts"))).alias("cell")), on)
+    # Days asked for come in as rows without facts; a frame ends the day before, so a day's own facts don't count.
+    rows = daily.withColumn("asked", F.lit(False)).unionByName(empty.select(*place, F.lit(0).cast("long").alias("c"), F.lit(True).alias("asked")))
+    inside = F.coalesce(F.sum("c").over(Over.partitionBy(*cell).orderBy("d").rangeBetween(-days, -1)), F.lit(0).cast("long"))
+    counts = rows.withColumn("inside", inside).filter("asked").select(*place, "inside")
+    of_day = Over.partitionBy(*day)
+    counts = written(counts.withColumn("under", F.sum("inside").over(of_day.orderBy("cell")) - F.col("inside")).withColumn("total", F.sum("inside").over(of_day)), "counts")
+    totals = counts.filter("cell = 0").select(*day, F.col("total").alias("window_n"))
+
+    if stat == "share_below":
+        mine = placed(null_safe(asked, totals, day))
+        mine = null_safe(mine, counts.select(*place, "inside", "under"), place, "left").select(*cell, "d", "v", *marks, "window_n", "inside", "under")
+        single = mine.filter("cell IS NULL OR cell % 2 = 1").select(*marks, F.col("window_n").alias("n"), (F.col("under") + F.col("inside") / 2).alias("place"))
+        inner = _answers(mine.filter("cell % 2 = 0").withColumnRenamed("window_n", "n"), lists, cell, [*marks, "n", "under"], days, "place")
+        every = single.unionByName(inner.select(*marks, "n", (F.col("under") + F.col("window")).alias("place")))
+        return every.select(*marks, F.col("n").alias("window_n"), F.try_divide("place", "n").alias("window"))
+
+    shown = [f"o{i}" for i in range(len(day))]
+    back = [F.col(o).alias(c) for c, o in zip(day, shown, strict=True)]
+    known_cut = null_safe(counts.filter("inside > 0"), cuts, on).withColumn("cut", F.try_element_at("cuts", F.floor((F.col("cell") + 1) / 2).cast("int"))).drop("cuts")
+    known_cut = known_cut.select("*", *[F.col(c).alias(o) for c, o in zip(day, shown, strict=True)])
+    if stat == "median":
+        middle = F.explode(F.array(F.floor((F.col("total") - 1) / 2), F.floor(F.col("total") / 2)))
+        some = known_cut.withColumn("rank", middle).filter("rank >= under AND rank < under + inside").withColumn("v", (F.col("rank") - F.col("under")).cast("double"))
+        inner = _answers(some.filter("cell % 2 = 0"), lists, cell, shown, days, "ranked").select(*back, "window")
+        values = some.filter("cell % 2 = 1").select(*day, F.col("cut").alias("window")).unionByName(inner)
+        best = values.groupBy(*day).agg((F.sum("window") / 2).alias("window"))
+    else:
+        some = known_cut.withColumn("v", F.lit(None).cast("double"))
+        inner = _answers(some.filter("cell % 2 = 0"), lists, cell, shown, days, "mode").select(*back, "window", "repeats")
+        values = some.filter("cell % 2 = 1").select(*day, F.col("cut").alias("window"), F.col("inside").alias("repeats")).unionByName(inner)
+        best = values.groupBy(*day).agg(F.min_by("window", F.struct(-F.col("repeats"), F.col("window"))).alias("window"))
+    return null_safe(null_safe(asked, totals, day), best, day, "left").select(*marks, "window_n", "window")
+
+
+def _answers(asked: DataFrame, known: DataFrame, keys: list[str], marks: list[str], days: int, stat: str) -> DataFrame:
+    """marks of asked with window_n, window and, for a mode, repeats; both tables have the keys, d and v."""
+    blank = [F.lit(None).cast(asked.schema[m].dataType).alias(m) for m in marks]
+    rows = asked.select(*keys, "d", F.lit(0).alias("side"), "v", *marks).unionByName(known.select(*keys, "d", F.lit(1).alias("side"), "v", *blank))
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = rows.repartition(parts, *keys, "block").sortWithinPartitions(*keys, "block", "d", "side")
-    of = STATS[stat]
+    rows = rows.repartition(parts, *keys).sortWithinPartitions(*keys, "d", "side")
+    of, single, twin = STATS[stat], stat not in OWN, stat == "mode"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         window, last = Window(days), None
@@ -109,7 +201,7 @@ def rolling(
             n = batch.num_rows
             if not n:
                 continue
-            places = [batch.column(c) for c in (*keys, "block")]
+            places = [batch.column(c) for c in keys]
             codes = [pc.fill_null(c.dictionary_encode().indices, -1).to_numpy(zero_copy_only=False) for c in places]
             d, side = batch.column("d").to_numpy(), batch.column("side").to_numpy()
             cut = np.zeros(n - 1, bool)
@@ -131,15 +223,13 @@ def rolling(
                 else:
                     window.move(int(d[x]))
                     counts += [len(window.values)] * (y - x)
-                    if stat == "share_below":
-                        found += [of(window, u) for u in v[x:y]]
-                    else:
-                        found += [of(window, None)] * (y - x)
+                    found += [of(window, None)] * (y - x) if single else [of(window, u) for u in v[x:y]]
             last = tuple(c[n - 1].as_py() for c in places)
             probes_here = batch.filter(pa.array(side == 0))
             kept = [probes_here.column(m) for m in marks]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(counts, pa.int64()), pa.array(found, pa.float64())], [*marks, "window_n", "window"])
+            more = [pa.array([r for _, r in found], pa.int64())] if twin else []
+            shown = [m for m, _ in found] if twin else found
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(counts, pa.int64()), pa.array(shown, pa.float64()), *more], [*marks, "window_n", "window", *(["repeats"] if twin else [])])
 
-    fields = "".join(f"{m} {f.dataType.simpleString()}, " for m, f in zip(marks, probes.schema, strict=True))
-    out = rows.mapInArrow(run, f"{fields}window_n long, window double")
-    return out.select(*[F.col(m).alias(c) for m, c in zip(marks, names, strict=True)], "window_n", "window")
+    fields = "".join(f"{m} {asked.schema[m].dataType.simpleString()}, " for m in marks)
+    return rows.mapInArrow(run, f"{fields}window_n long, window double" + (", repeats long" if twin else ""))
