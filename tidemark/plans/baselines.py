@@ -10,6 +10,8 @@ from ..operators import baseline as bl
 from ..operators import probability as pr
 from ..operators import selection, stats
 from ..operators.rolling import rolling
+from ..sources import commits
+from ..sources.io import new_path, written
 from .demo import hu, participations, query, with_pt
 from .windows import DAYBIAS, day_bias
 
@@ -238,6 +240,21 @@ def pace_log(spark, d):
     return j.select("event", "n", "since", "until", F.round((F.col("m") - F.col("mean")) / F.col("sd"), 3).alias("z"), pace.alias("pace"))
 
 
+@query("B10_kept_log", with_pt("SELECT event, n::BIGINT AS n, since, until, round((m - s / n) / sqrt((q - s * (s / n)) / (n - 1)), 3) AS z, CASE WHEN d_idx < -730 THEN 1 ELSE 2 END AS version FROM pe JOIN ph USING (venue, d_idx) WHERE n >= 30", B10))
+def kept_log(spark, d):
+    """The log of B10_pace_log kept in a committed table: a first run has the days before -730, a second one all days and
+    logs only what is new, a third one finds nothing. A row has the version that brought it."""
+    path = new_path(spark, "pace-log")
+    early = participations(spark, d).filter("d_idx < -730").select("event").distinct()
+    rows = written(pace_log(spark, d).drop("pace"), "pace")
+    for part in (rows.join(early, "event", "left_semi"), rows, rows):
+        commits.append_new(part, path, ["event"])
+    schema = rows.schema
+    one = commits.read(spark, path, schema, 1).withColumn("version", F.lit(1))
+    whole = commits.read(spark, path, schema).withColumn("version", F.lit(2)).join(one.select("event"), "event", "left_anti")
+    return one.unionByName(whole)
+
+
 @query("B11_merged_ranks", with_pt("SELECT event, runner_no, row_number() OVER (PARTITION BY event ORDER BY q, runner_no)::INT AS predicted FROM (SELECT event, runner_no, 0.6 * percent_rank() OVER (PARTITION BY event ORDER BY measure DESC) + 0.4 * percent_rank() OVER (PARTITION BY event ORDER BY popularity) AS q FROM pt)"))
 def merged_ranks(spark, d):
     e = Window.partitionBy("event")

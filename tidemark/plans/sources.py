@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..sources import io
+from ..sources import commits, io
 from .demo import query, snapshots, table, with_snap
 
 
@@ -146,3 +146,37 @@ def replace_sources(spark, d):
     a, b = snapshots(spark, d)
     out = io.replace_sources(a, b.filter("status <> 'P'"), "status", ["id", "price"])
     return out.groupBy("status").agg(F.count("*").alias("n"), F.bool_and("replaced").alias("replaced"))
+
+
+CHECKED = """og AS (SELECT o_custkey AS source, o_orderkey AS id, o_totalprice AS price FROM orders),
+  ng AS (SELECT source, CASE WHEN source % 17 <> 0 THEN id END AS id, CASE WHEN source % 5 = 0 THEN price + 1 ELSE price END AS price FROM og WHERE source % 19 <> 0 UNION ALL SELECT source, id, price FROM og WHERE source % 11 = 0 AND id % 2 = 0),
+  jd AS (SELECT source, CASE WHEN source % 13 = 0 THEN 'not asked' WHEN source % 7 = 0 THEN 'failed' WHEN source % 19 = 0 AND NOT (source % 11 = 0 AND any_even) THEN 'empty' WHEN source % 17 = 0 AND source % 19 <> 0 THEN 'missing ids'
+     WHEN source % 11 = 0 AND source % 19 <> 0 AND any_even THEN 'repeated ids' WHEN source % 5 = 0 AND source % 19 <> 0 THEN 'replaced' WHEN source % 19 = 0 AND NOT all_even THEN 'replaced' ELSE 'same' END AS outcome
+     FROM (SELECT source, bool_or(id % 2 = 0) AS any_even, bool_and(id % 2 = 0) AS all_even FROM og GROUP BY 1)),
+  rs AS (SELECT og.source, price FROM og JOIN jd USING (source) WHERE outcome <> 'replaced' UNION ALL SELECT ng.source, price FROM ng JOIN jd USING (source) WHERE outcome = 'replaced')"""
+
+
+@query("S20_checked_replace", f"WITH {CHECKED} SELECT source, outcome, CASE WHEN outcome = 'not asked' THEN source % 3 WHEN outcome IN ('same', 'replaced') THEN 0 ELSE source % 3 + 1 END AS failures, count(*) AS n, round(sum(price), 2) AS total FROM jd JOIN rs USING (source) GROUP BY 1, 2, 3")
+def checked_replace(spark, d):
+    """Customers as source documents: some not asked for, some failed, empty, without ids, with ids twice, some changed."""
+    old = table(spark, d, "orders").select(F.col("o_custkey").alias("source"), F.col("o_orderkey").alias("id"), F.col("o_totalprice").alias("price"))
+    source = F.col("source")
+    new = old.filter(source % 19 != 0).select("source", F.when(source % 17 != 0, F.col("id")).alias("id"), F.when(source % 5 == 0, F.col("price") + 1).otherwise(F.col("price")).alias("price"))
+    new = new.unionByName(old.filter((source % 11 == 0) & (F.col("id") % 2 == 0)))
+    each = old.select("source").distinct()
+    fetched = each.filter(source % 13 != 0).select("source", F.when(source % 7 == 0, "timeout").otherwise("ok").alias("status"))
+    rows, state = io.replace_checked(old, new, fetched, each.select("source", (source % 3).alias("failures")), "source", "id", ["id", "price"])
+    totals = rows.groupBy("source").agg(F.count("*").alias("n"), F.round(F.sum("price"), 2).alias("total"))
+    return state.join(totals, "source")
+
+
+@query("S14_archived_days", "SELECT day::VARCHAR AS day, n, archived FROM (SELECT ts::DATE AS day, count(*) AS n, ts::DATE < DATE '2024-01-20' AS archived FROM events GROUP BY 1, 3)")
+def archived_days(spark, d):
+    """Events by day in a committed table; days before the 20th are archived, verified and dropped. Counts of both places."""
+    e = table(spark, d, "events").select("event_id", "user_id", "event_type", "value", F.col("ts").cast("date").cast("string").alias("day"))
+    path, out = io.new_path(spark, "days"), io.new_path(spark, "archive")
+    commits.commit(e, path, by="day")
+    commits.archive_before(spark, path, e.schema, "day", "2024-01-20", out)
+    left = commits.read(spark, path, e.schema).withColumn("archived", F.lit(False))
+    gone = spark.read.schema(e.schema).json(out).withColumn("archived", F.lit(True))
+    return left.unionByName(gone).groupBy("day", "archived").agg(F.count("*").alias("n"))

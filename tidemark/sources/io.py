@@ -158,3 +158,32 @@ def replace_sources(old: DataFrame, new: DataFrame, source: str, cols: Sequence[
     changed = digest(new, "d2").join(digest(old, "d1"), source, "left").filter(~F.col("d1").eqNullSafe(F.col("d2"))).select(source)
     kept = old.join(changed, source, "left_anti").withColumn("replaced", F.lit(False))
     return kept.unionByName(new.join(changed, source, "left_semi").withColumn("replaced", F.lit(True)))
+
+
+#: Outcomes of replace_checked that keep the old rows and count as a failure.
+REFUSED = ("failed", "empty", "missing ids", "repeated ids")
+
+
+def replace_checked(old: DataFrame, new: DataFrame, fetched: DataFrame, state: DataFrame, source: str, key: str, cols: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """(rows, state): rows of a source are replaced only by a document that was fetched, is sound and has changed.
+
+    fetched: source and status, "ok" or an error, once for each source that was asked for; state: source and failures in
+    a row so far. A failed fetch, a document without rows, with a null id or with an id twice is refused: the old rows stay
+    and the source's failures go up by one; any other document sets them to 0. Sources that weren't asked for keep rows
+    and failures. The new state has source, outcome (same, replaced, not asked or one of REFUSED) and failures.
+    """
+    digest = lambda df, n: df.groupBy(source).agg(F.struct(*row_digests(cols)).alias(n))
+    ids = new.groupBy(source, key).agg(F.count("*").alias("n")).groupBy(source)
+    sound = ids.agg(F.max(F.when(F.col(key).isNotNull(), F.col("n"))).alias("most"), F.bool_or(F.col(key).isNull()).alias("blank"))
+    sides = fetched.select(source, "status").join(digest(new, "d2"), source, "left").join(digest(old, "d1"), source, "left").join(sound, source, "left")
+    outcome = (
+        F.when(F.coalesce(F.col("status") != "ok", F.lit(True)), "failed").when(F.col("d2").isNull(), "empty").when(F.col("blank"), "missing ids")
+        .when(F.col("most") > 1, "repeated ids").when(F.col("d1").eqNullSafe(F.col("d2")), "same").otherwise("replaced")
+    )
+    judged = written(sides.select(source, outcome.alias("outcome")), "judged")
+    taken = judged.filter("outcome = 'replaced'").select(source)
+    rows = old.join(taken, source, "left_anti").unionByName(new.join(taken, source, "left_semi"))
+    before = F.coalesce("failures", F.lit(0))
+    after = F.when(F.col("outcome").isNull(), before).when(F.col("outcome").isin(*REFUSED), before + 1).otherwise(0)
+    both = state.select(source, "failures").join(judged, source, "full_outer")
+    return rows, both.select(source, F.coalesce("outcome", F.lit("not asked")).alias("outcome"), after.alias("failures"))
