@@ -67,6 +67,34 @@ def band_join(left: DataFrame, right: DataFrame, *, by: Sequence[str], left_on:
     return near.filter((F.col(right_on) < F.col(left_on)) & (F.col(right_on) >= F.col(left_on) - days)).drop("__cell")
 
 
+def around(rows: DataFrame, points: DataFrame, *, by: Sequence[str], key: Sequence[str], at: str, value: str, before: int, after: int) -> DataFrame:
+    """key, n, total: count and sum of the points' values in [at - before, at + after] of each row, without pairs.
+
+    Times are whole numbers. A key's time line is cut into cells as long as the window; a point goes to the one or two
+    cells whose rows reach it. There the points are summed in order, and a row is the running sum at its end less that at
+    its start. Points without a value or a time are left out; rows without points have 0 and null, and so have rows with
+    a null in `by` or `at`. Sums are exact decimals; key must tell rows apart.
+    """
+    width = before + after
+    t, names = F.col(at).cast("long"), [f"__by{i}" for i in range(len(by))]
+    ids = [f"__key{i}" for i in range(len(key))]
+    groups = [F.col(c).alias(n) for c, n in zip(by, names, strict=True)]
+    ends = F.inline(F.array(*[F.struct(p.alias("pos"), F.lit(k).alias("kind"), F.lit(s).alias("sign")) for p, k, s in ((t - before, 0, -1), (t + after, 2, 1))]))
+    asked = rows.select(*groups, *[F.col(c).alias(n) for c, n in zip(key, ids, strict=True)], F.floor(t / width).alias("cell"), ends)
+    cells = F.array_distinct(F.array(F.floor((t - after) / width), F.floor((t + before) / width)))
+    v = F.col(value).cast("decimal(28,6)")
+    known = points.filter(F.col(value).isNotNull() & F.col(at).isNotNull()).select(*groups, F.explode(cells).alias("cell"), t.alias("pos"), F.lit(1).alias("kind"), v.alias("v"))
+    both = asked.unionByName(known, allowMissingColumns=True)
+    w = Window.partitionBy(*names, "cell").orderBy("pos", "kind").rowsBetween(Window.unboundedPreceding, 0)
+    run = both.select("*", F.count("v").over(w).alias("upto"), F.sum("v").over(w).alias("sum")).filter("kind <> 1")
+    usable = F.col("pos").isNotNull()
+    for n in names:
+        usable = usable & F.col(n).isNotNull()
+    part = lambda c: F.sum(F.when(usable, F.col("sign") * F.coalesce(c, F.lit(0))))
+    out = run.groupBy(*ids).agg(F.coalesce(part("upto"), F.lit(0)).cast("long").alias("n"), part("sum").alias("total"))
+    return out.select(*[F.col(n).alias(c) for c, n in zip(key, ids, strict=True)], "n", F.when(F.col("n") > 0, F.col("total")).alias("total"))
+
+
 def last_before(rows: DataFrame, by: Sequence[str], day: str, order: Sequence[str], cols: Sequence[str], k: int) -> DataFrame:
     """by, day, last: the k newest rows strictly before each day of the key, newest first, as structs of day, order and cols.
 

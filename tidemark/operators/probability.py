@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .rolling import rolling
+
 
 def normalised(weight: Column, event: Sequence[str]) -> Column:
     """Share of an event's weight; equal shares where the weights sum to 0."""
@@ -103,3 +105,13 @@ def binomial_tail(k: Column, n: Column) -> Column:
 
     total = F.aggregate(F.sequence(F.lit(0).cast("long"), low), start, step, lambda a: a["s"])
     return F.least(F.lit(1.0), 2 * total)
+
+
+def payout_coefficients(prices: DataFrame, winners: DataFrame, *, by: Sequence[str], day: str, days: int, least: int) -> DataFrame:
+    """by, day, n, coef: for every day with prices, the median of payout / price of the winners of the days before.
+
+    prices: by and day; winners: by, day, price and payout for a price of 1. Cells of fewer than `least` have no row.
+    """
+    facts = winners.select(*by, day, F.try_divide("payout", "price").alias("__ratio"))
+    out = rolling(prices.select(*by, day).distinct(), facts, by=list(by), day=day, value="__ratio", days=days)
+    return out.filter(F.col("window_n") >= least).select(*by, day, F.col("window_n").alias("n"), F.col("window").alias("coef"))

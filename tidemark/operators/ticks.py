@@ -47,6 +47,19 @@ def collapses(ticks: DataFrame, by: Sequence[str], most: float = 0.5, order: Seq
     return ticks.withColumn("previous", prev).filter((F.col("previous") > 0) & (F.col("value") <= most * F.col("previous")))
 
 
+def segment_values(ticks: DataFrame, by: Sequence[str], segment: Column, first: str = "first", value: str = "value", order: Sequence[str] = ("ts", "id")) -> DataFrame:
+    """by, segment, o: the last value in each time segment and, as the segment named `first`, the very first one.
+
+    A tick without a value counts as none. One grouping by segment, whose rows are one for each segment of a group.
+    """
+    known = ticks.filter(F.col(value).isNotNull()).withColumn("__segment", segment)
+    parts = known.groupBy(*by, "__segment").agg(F.max_by(value, F.struct(*order)).alias("o"), F.min(F.struct(*order, F.col(value).alias("o"))).alias("__first"))
+    item = F.struct(F.col("__segment").alias("segment"), "o")
+    whole = parts.groupBy(*by).agg(F.collect_list(item).alias("__all"), F.min("__first").alias("__first"))
+    start = F.array(F.struct(F.lit(first).alias("segment"), F.col("__first.o").alias("o")))
+    return whole.select(*by, F.inline(F.concat(start, "__all")))
+
+
 def slots(ticks: DataFrame, by: Sequence[str], key: str, slot: Column, order: Sequence[str] = ("ts", "id")) -> DataFrame:
     """by, key, i, o, r: each key's last value in every slot, the slot's number within the group, the value's rank in it."""
     last = ticks.withColumn("__slot", slot).groupBy(*by, key, "__slot").agg(F.max_by("value", F.struct(*order)).alias("o"))

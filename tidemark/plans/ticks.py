@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from ..operators import asof
 from ..operators import ticks as tk
+from ..operators.probability import payout_coefficients
 from ..operators.stats import half_up
 from ..streaming import jobs
 from .demo import hu, query, table, ticks, with_tk
@@ -240,3 +242,61 @@ def observations(spark, d):
     days = e.groupBy(F.dayofmonth("ts").alias("dom")).agg(F.count("*").alias("n"), half_up(F.avg("value")).alias("mean"))
     o = table(spark, d, "orders").select(F.col("o_orderkey").alias("event"), F.dayofmonth("o_orderdate").alias("dom"))
     return o.join(days, "dom", "left").select("event", F.coalesce("n", F.lit(0)).cast("long").alias("n"), "mean")
+
+
+SEGMENT = "CASE WHEN ts < deadline - INTERVAL 12 HOURS THEN 'early' WHEN ts < deadline - INTERVAL 3 HOURS THEN 'day' WHEN ts < deadline - INTERVAL 1 HOURS THEN 'late' ELSE 'final' END"
+BAND = "CASE WHEN o < 3 THEN 'short' WHEN o < 8 THEN 'mid' ELSE 'long' END"
+E10_SEGMENTS = (
+    f"eo AS (SELECT grp, day, date_diff('day', DATE '2024-01-01', day)::INT AS d, key, id, ts, deadline, 1 + value / 10 AS o, {SEGMENT} AS segment FROM tk)",
+    f"es AS (SELECT *, {BAND} AS band FROM (SELECT grp, day, d, key, segment, arg_max(o, (ts, id)) AS o FROM eo GROUP BY 1, 2, 3, 4, 5 UNION ALL SELECT grp, day, d, key, 'first', arg_min(o, (ts, id)) FROM eo GROUP BY 1, 2, 3, 4))",
+    "ew AS (SELECT grp, day, any_value(key) AS key, any_value(payout) AS payout FROM (SELECT grp, day, key, arg_max(o, (ts, id)) AS payout, max(ts) = any_value(deadline) AS won FROM eo GROUP BY 1, 2, 3) WHERE won GROUP BY 1, 2 HAVING count(*) = 1)",
+    "ec AS (SELECT a.segment, a.band, a.d, count(*) AS n, median(b.ratio) AS coef FROM (SELECT DISTINCT segment, band, d FROM es) a JOIN (SELECT segment, band, d, payout / o AS ratio FROM es JOIN ew USING (grp, day, key)) b ON a.segment = b.segment AND a.band = b.band AND b.d BETWEEN a.d - 14 AND a.d - 1 GROUP BY 1, 2, 3 HAVING count(*) >= 3)",
+)
+
+
+def _segment_prices(spark, d):
+    """(prices, winners): odds of each member in each segment with their band; the one member seen at the deadline and its closing odds."""
+    rows = ticks(spark, d).withColumn("o", 1 + F.col("value") / 10).withColumn("d", F.datediff("day", F.lit("2024-01-01").cast("date")))
+    key = ["grp", "day", "d", "key"]
+    o = F.col("o")
+    prices = tk.segment_values(rows, key, F.expr(SEGMENT), value="o").withColumn("band", F.when(o < 3, "short").when(o < 8, "mid").otherwise("long"))
+    ends = rows.groupBy(*key).agg(F.max_by("o", F.struct("ts", "id")).alias("payout"), (F.max("ts") == F.first("deadline")).alias("won"))
+    one = ends.filter("won").groupBy("grp", "day").agg(F.count("*").alias("n"), F.first("key").alias("key"), F.first("payout").alias("payout"))
+    return prices, one.filter("n = 1").drop("n")
+
+
+def _segment_coefficients(prices, winners):
+    paid = prices.join(winners, ["grp", "day", "key"]).withColumnRenamed("o", "price")
+    return payout_coefficients(prices, paid, by=["segment", "band"], day="d", days=14, least=3)
+
+
+@query("E10_coefficients", with_tk(f"SELECT segment, band, d, n, {hu('coef')} AS coef FROM ec", *E10_SEGMENTS))
+def segment_coefficients(spark, d):
+    """Median of payout over odds by time segment (and the first tick) and odds band, from the 14 days before each day."""
+    return _segment_coefficients(*_segment_prices(spark, d)).withColumn("coef", half_up(F.col("coef")))
+
+
+@query("E10_segment_bets", with_tk(f"SELECT segment, band, count(*) AS bets, count(w.key) AS hits, count(*) * 100 AS stake, {hu('coalesce(sum(100 * w.payout), 0)', 2)} AS back FROM (SELECT s.*, p * o * coef AS ev FROM es s JOIN ec USING (segment, band, d) JOIN (SELECT grp, day, key, 1 / o / sum(1 / o) OVER (PARTITION BY grp, day) AS p FROM es WHERE segment = 'first') USING (grp, day, key)) b LEFT JOIN ew w USING (grp, day, key) WHERE floor(ev * 1e6 + 0.500001) >= 200000 GROUP BY 1, 2", *E10_SEGMENTS))
+def segment_bets(spark, d):
+    """Bets whose expected value by the day's coefficient reaches a fifth: stakes and returns by segment and band.
+
+    The probability is the one that the first odds imply; only events with one winner pay."""
+    prices, winners = _segment_prices(spark, d)
+    coef = _segment_coefficients(prices, winners).select("segment", "band", "d", "coef")
+    p = (1 / F.col("o")) / F.sum(1 / F.col("o")).over(Window.partitionBy("grp", "day"))
+    first = prices.filter("segment = 'first'").select("grp", "day", "key", p.alias("p"))
+    bets = prices.join(coef, ["segment", "band", "d"]).join(first, ["grp", "day", "key"])
+    bets = bets.filter(F.floor(F.col("p") * F.col("o") * F.col("coef") * 1e6 + 0.500001) >= 200000)
+    out = bets.join(winners.withColumn("won", F.lit(True)), ["grp", "day", "key"], "left")
+    back = half_up(F.coalesce(F.sum(100 * F.col("payout")), F.lit(0.0)), 2)
+    return out.groupBy("segment", "band").agg(F.count("*").alias("bets"), F.count("won").alias("hits"), (F.count("*") * 100).alias("stake"), back.alias("back"))
+
+
+@query("T17_around", f"""WITH ob AS (SELECT user_id % 25 AS station, event_id, event_type, epoch_us(ts) // 1000000 AS t, value FROM events)
+  SELECT e.event_id AS event, count(o.t) AS n, {hu('(sum(o.value::DECIMAL(28, 6)) / count(o.t))::DOUBLE')} AS mean FROM ob e LEFT JOIN ob o ON o.station = e.station AND o.event_type <> 'purchase' AND o.value BETWEEN 5 AND 95 AND (o.t // 3600) % 24 BETWEEN 8 AND 19 AND o.t BETWEEN e.t - 1800 AND e.t + 3600 WHERE e.event_type = 'purchase' GROUP BY 1""")
+def observations_around(spark, d):
+    """Observations of an event's station from half an hour before to an hour after it: sound values of daytime hours only."""
+    e = table(spark, d, "events").select((F.col("user_id") % 25).alias("station"), "event_id", "event_type", F.unix_seconds(F.col("ts").cast("timestamp")).alias("t"), "value")
+    points = e.filter((F.col("event_type") != "purchase") & F.col("value").between(5, 95) & (F.floor(F.col("t") / 3600) % 24).between(8, 19))
+    out = asof.around(e.filter("event_type = 'purchase'"), points, by=["station"], key=["event_id"], at="t", value="value", before=1800, after=3600)
+    return out.select(F.col("event_id").alias("event"), "n", half_up((F.col("total") / F.col("n")).cast("double")).alias("mean"))
