@@ -6,6 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..operators import daily, form, graph, matching, ratings, stats
+from ..operators import mentions as mention
 from ..operators.asof import band_join
 from ..sources import io
 from .demo import OH, PT, hu, order_history, participations, query, snapshots, table, with_pt, with_snap
@@ -230,6 +231,29 @@ def linked_mentions(spark, d):
     return out.select("doc_id", "person", F.col("s.form").alias("form"), F.coalesce(F.col("s.gap") <= 3, F.lit(False)).alias("near_role"), F.col("s.pos").cast("long").alias("pos"))
 
 
+#: Names of two words from the benchmark items, in rosters of days 0, 10 and 20 that each lack a third of them.
+PEOPLE = r"SELECT item_id, CASE WHEN item_id % 2 = 0 THEN 'rider' ELSE 'trainer' END AS kind, regexp_extract(text, '[A-Za-z]{3,} [a-z]{4,}', 0) AS name FROM benchmark"
+DATED = f"""ro AS (SELECT DISTINCT since, kind, name FROM ({PEOPLE}) p, (VALUES (0), (10), (20)) s(since) WHERE length(name) > 1 AND item_id % 3 <> since // 10),
+ dt AS (SELECT doc_id, text, CASE WHEN doc_id % 30 >= 20 THEN 20 WHEN doc_id % 30 >= 10 THEN 10 ELSE 0 END AS since FROM documents WHERE text IS NOT NULL),
+ hd AS (SELECT doc_id, text, kind, name, head, unnest(list_filter(range(1, length(text) - length(head) + 2), lambda i: substr(text, i, length(head)) = head)) AS p FROM (SELECT *, left(name, length(name) - 1) AS head FROM dt JOIN ro USING (since)) WHERE contains(text, head)),
+ hp AS (SELECT *, strpos(substr(text, p + length(head), 4), right(name, 1)) AS tail FROM hd),
+ hf AS (SELECT *, p + length(head) + tail AS stop, CASE kind WHEN 'rider' THEN 'on' ELSE 'th' END AS word FROM (SELECT *, bool_or(tail = 1) OVER (PARTITION BY doc_id, kind, name) AS any_whole FROM hp) WHERE tail = 1 OR (NOT any_whole AND tail > 0)),
+ hn AS (SELECT doc_id, kind, name, p - 1 AS pos, contains(substr(text, greatest(1, p - 12), least(12, p - 1)), word) OR contains(substr(text, stop, 12), word) AS near FROM hf),
+ hb AS (SELECT * FROM hn QUALIFY near = bool_or(near) OVER (PARTITION BY doc_id))"""
+
+
+@query("N11_dated_roster", f"WITH {DATED} SELECT doc_id, any_value(near) AS near, count(DISTINCT (kind, name)) AS persons, CASE WHEN count(DISTINCT (kind, name)) = 1 THEN any_value(kind) END AS kind, CASE WHEN count(DISTINCT (kind, name)) = 1 THEN any_value(name) END AS name, CASE WHEN count(DISTINCT (kind, name)) = 1 THEN min(pos) END AS pos FROM hb GROUP BY 1")
+def dated_roster(spark, d):
+    """Whole texts of documents against the roster of their day, names of two words: by name, else by head and last letter
+    within four letters; places near the kind's role word come first, and a text is linked only if one person is left."""
+    name = F.regexp_extract("text", "[A-Za-z]{3,} [a-z]{4,}", 0)
+    people = table(spark, d, "benchmark").select("item_id", F.when(F.col("item_id") % 2 == 0, "rider").otherwise("trainer").alias("kind"), name.alias("name"))
+    roster = people.withColumn("since", F.explode(F.array(F.lit(0), F.lit(10), F.lit(20)))).filter(F.col("item_id") % 3 != F.floor(F.col("since") / 10))
+    texts = table(spark, d, "documents").select("doc_id", "text", (F.col("doc_id") % 30).cast("int").alias("day"))
+    places = mention.mentions(texts, roster, key="doc_id", text="text", day="day", since="since", roles={"rider": "on", "trainer": "th"})
+    return mention.one_person(places, "doc_id").withColumnRenamed("at", "pos")
+
+
 @query("R1_head_to_head", with_pt("SELECT a.event, a.one, a.two, count(b.event) AS met, count(*) FILTER (WHERE b.won) AS won FROM pr a LEFT JOIN pr b ON a.one = b.one AND a.two = b.two AND b.d_idx < a.d_idx GROUP BY 1, 2, 3", "pr AS (SELECT * FROM pr0 QUALIFY row_number() OVER (PARTITION BY event, one, two ORDER BY won) = 1)").replace("pr AS (SELECT * FROM pr0", PAIRS.replace("pr AS", "pr0 AS", 1) + ", pr AS (SELECT * FROM pr0"))
 def head_to_head(spark, d):
     p = pairs(participations(spark, d)).groupBy("event", "d_idx", "one", "two").agg(F.min("won").alias("won"))
