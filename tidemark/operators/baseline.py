@@ -14,12 +14,14 @@ from .rolling import rolling
 def asof_medians(rows: DataFrame, levels: Sequence[tuple[str, Sequence[str], int]], *, day: str, value: str, least: int = 8) -> DataFrame:
     """rows with baseline and level: the median of value over the days before, at the first level with `least` rows.
 
-    levels: (name, keys, days), finest first. Each level is one rolling pass for its distinct (keys, day).
+    levels: (name, keys, days), finest first. Each level is one rolling pass for its distinct (keys, day). The columns
+    that they need are written once, so that rows isn't computed again for each.
     """
     out = rows
+    known = written(rows.select(*dict.fromkeys([*[k for _, keys, _ in levels for k in keys], day, value])), "levels")
     for name, keys, days in levels:
-        probe = rows.select(*keys, day).distinct()
-        med = rolling(probe, rows.select(*keys, day, value), by=list(keys), day=day, value=value, days=days)
+        probe = known.select(*keys, day).distinct()
+        med = rolling(probe, known.select(*keys, day, value), by=list(keys), day=day, value=value, days=days)
         med = med.filter(F.col("window_n") >= least).select(*keys, day, F.col("window").alias(f"__{name}"))
         out = out.join(med, [*keys, day], "left")
     names = [n for n, _, _ in levels]
