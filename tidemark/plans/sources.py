@@ -114,9 +114,7 @@ def archive(spark, d):
 @query("S15_year_partitions", "SELECT year(o_orderdate)::INT AS year, count(*) AS n, round(sum(o_totalprice), 2) AS total FROM orders WHERE year(o_orderdate) BETWEEN 1996 AND 1998 GROUP BY 1")
 def year_partitions(spark, d):
     path = io.new_path(spark, "years")
-    # A year is written by several tasks, by key, so that its size doesn't decide how long one of them runs.
-    orders = table(spark, d, "orders").withColumn("year", F.year("o_orderdate")).withColumn("shard", F.pmod(F.xxhash64("o_orderkey"), F.lit(4)))
-    orders.repartition("year", "shard").drop("shard").write.partitionBy("year").parquet(path)
+    io.write_partitions(table(spark, d, "orders").withColumn("year", F.year("o_orderdate")), path, "year", ["o_orderkey"])
     back = spark.read.parquet(path).filter(F.col("year").between(1996, 1998))
     return back.groupBy("year").agg(F.count("*").alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total"))
 

@@ -160,6 +160,20 @@ def replace_sources(old: DataFrame, new: DataFrame, source: str, cols: Sequence[
     return kept.unionByName(new.join(changed, source, "left_semi").withColumn("replaced", F.lit(True)))
 
 
+def write_partitions(rows: DataFrame, path: str, part: str, key: Sequence[str], rows_a_file: int = 5_000_000) -> int:
+    """rows in a folder for each value of part; returns the files that the largest one may have.
+
+    A value's rows are spread by a hash of key over as many tasks as its size asks for, so that no task writes many more
+    than rows_a_file rows unless they share a key; a small value is one file.
+    """
+    sizes = written(rows.groupBy(part).agg(F.ceil(F.count("*") / rows_a_file).alias("__files")), "sizes")
+    files = sizes.agg(F.max("__files")).first()[0] or 1
+    own = sizes.select(F.col(part).alias("__part"), "__files")
+    spread = rows.join(own, F.col(part).eqNullSafe(F.col("__part")), "left").withColumn("__file", F.pmod(F.xxhash64(*key), F.col("__files")))
+    spread.repartition(part, "__file").drop("__part", "__files", "__file").write.partitionBy(part).parquet(path)
+    return files
+
+
 #: Outcomes of replace_checked that keep the old rows and count as a failure.
 REFUSED = ("failed", "empty", "missing ids", "repeated ids")
 
