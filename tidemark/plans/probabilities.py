@@ -298,7 +298,7 @@ def e16(spark, d):
 E16 = "mg AS (SELECT p.*, t.rider, t.d_idx, t.measure FROM pb p JOIN (SELECT event, runner_no, rider, d_idx, measure FROM pt) t USING (event, runner_no)), md AS (SELECT rider, d_idx, sum(measure) AS s, count(*) AS n, arg_max(measure, (-finish, event, runner_no)) AS top, min(finish) AS f FROM mg GROUP BY 1, 2), mn AS (SELECT rider, d_idx, sum(s) OVER w / sum(n) OVER w AS norm, arg_max(top, (-f, d_idx)) OVER w AS best FROM md WINDOW w AS (PARTITION BY rider ORDER BY d_idx RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))"
 
 
-@query("E16_field_weights", with_pt("SELECT event, runner_no, round(measure - avg(measure) OVER e, 6) AS rel, round((measure - avg(measure) OVER e) / nullif(stddev_samp(measure) OVER e, 0), 6) AS z, round(percent_rank() OVER (PARTITION BY event ORDER BY measure), 6) AS pct, round(measure - norm, 6) AS vs_norm, round(measure - best, 6) AS vs_best, p >= 0.15 AND p * (1 / (discount + 0.05)) >= 1.5 AND 1 / (discount + 0.05) BETWEEN 8 AND 18 AS picked FROM mg JOIN mn USING (rider, d_idx) WINDOW e AS (PARTITION BY event)", PB, E16))
+@query("E16_field_weights", with_pt("SELECT event, runner_no, round(measure - avg(measure) OVER e, 6) AS rel, round((measure - avg(measure) OVER e) / nullif(stddev_samp(measure) OVER e, 0), 6) AS z, round(percent_rank() OVER (PARTITION BY event ORDER BY measure), 6) AS pct, round(measure - norm, 6) AS vs_norm, round(measure - best, 6) AS vs_best, round(p, 9) >= 0.15 AND round(p * (1 / (discount + 0.05)), 9) >= 1.5 AND 1 / (discount + 0.05) BETWEEN 8 AND 18 AS picked FROM mg JOIN mn USING (rider, d_idx) WINDOW e AS (PARTITION BY event)", PB, E16))
 def field_weights(spark, d):
     """A runner's weight (measure) against the field's mean, spread and ranks, against its rider's norm of all earlier days
     and the value of the best earlier result, and whether rules on probability, expectation and odds pick it."""
@@ -311,8 +311,9 @@ def field_weights(spark, d):
     e, m = Window.partitionBy("event"), F.col("measure")
     rel = m - F.avg("measure").over(e)
     sd = F.when(F.count("*").over(e) > 1, F.nullif(F.stddev_samp("measure").over(e), F.lit(0.0)))
+    # To nine digits, or the order in which an event's probabilities were added up decides at the bounds.
     odds = 1 / (F.col("discount") + 0.05)
-    picked = (F.col("p") >= 0.15) & (F.col("p") * odds >= 1.5) & odds.between(8, 18)
+    picked = (F.round("p", 9) >= 0.15) & (F.round(F.col("p") * odds, 9) >= 1.5) & odds.between(8, 18)
     return rows.join(past, ["rider", "d_idx"]).select(
         "event", "runner_no", F.round(rel, 6).alias("rel"), F.round(F.try_divide(rel, sd), 6).alias("z"), F.round(F.percent_rank().over(e.orderBy("measure")), 6).alias("pct"),
         F.round(m - F.col("norm"), 6).alias("vs_norm"), F.round(m - F.col("best"), 6).alias("vs_best"), picked.alias("picked"),
