@@ -43,20 +43,20 @@ def negation(spark, d):
 #: Groups by the words that name them; "word" is the generic one. Fixed values.
 GROUPS = {"article": "the|la", "link": "and|que", "word": "the|of|de|en|is"}
 TAIL, NOTICE, DATE = "of|in|may|not", "^(?:Is|It|En) ", "[0-9]{2,9}"
-#: Ends of words, as lookarounds and, for the SQL, as characters.
-_L, _R, _E = r"(?<![\p{L}\p{N}_])", r"(?![\p{L}\p{N}_])", r"[^\p{L}\p{N}_]"
+#: Ends of words; runs of word characters and of others, for the SQL.
+_L, _R = r"(?<![\p{L}\p{N}_])", r"(?![\p{L}\p{N}_])"
 
 
 def _affirmed_sql(words: str) -> str:
-    """Negated words are taken out first (three times, as neighbours overlap), since the SQL has no lookahead."""
-    out = "sentence"
-    for _ in range(3):
-        out = rf"regexp_replace({out}, '(^|{_E})(?:{words})( (?:{TAIL}))($|{_E})', '\1\2\3', 'g')"
-    return f"regexp_matches({out}, '(?:^|{_E})(?:{words})(?:$|{_E})')"
+    """The SQL has no lookahead: runs of word characters and runs between them in order, a word without a tail one blank behind it."""
+    listed = lambda s: ", ".join(f"'{w}'" for w in s.split("|"))
+    tail = f"coalesce(runs[i + 1] = ' ' AND runs[i + 2] IN ({listed(TAIL)}), false)"
+    return f"len(list_filter(range(1, len(runs) + 1), lambda i: runs[i] IN ({listed(words)}) AND NOT {tail})) > 0"
 
 
+_RUNS = r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_]+"
 _GRP = ", ".join(f"CASE WHEN {_affirmed_sql(p)} THEN '{g}' END" for g, p in GROUPS.items())
-X2 = f"""fd AS (SELECT id, pos, sentence, list_filter([{_GRP}], lambda x: x IS NOT NULL) AS f, nullif(regexp_extract(sentence, '{DATE}'), '')::BIGINT AS dated FROM st WHERE NOT regexp_matches(sentence, '{NOTICE}')),
+X2 = f"""fd AS (SELECT id, pos, sentence, list_filter([{_GRP}], lambda x: x IS NOT NULL) AS f, nullif(regexp_extract(sentence, '{DATE}'), '')::BIGINT AS dated FROM (SELECT *, regexp_extract_all(sentence, '{_RUNS}') AS runs FROM st) WHERE NOT regexp_matches(sentence, '{NOTICE}')),
  fg AS (SELECT id, pos, sentence, dated, unnest(CASE WHEN len(f) > 1 THEN list_filter(f, lambda x: x <> 'word') ELSE f END) AS grp FROM fd),
  fn AS (SELECT id, pos, sentence, grp, coalesce(dated, max(dated) OVER (PARTITION BY id, grp)) AS dated FROM fg)"""
 
