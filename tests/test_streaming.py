@@ -2,6 +2,7 @@
 
 from datetime import datetime, timedelta
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -59,6 +60,43 @@ def test_notifications_go_once_and_wait_for_room(spark, halves):
     assert sorted(sent) == [(1, i, 0) for i in range(4)] + [(1, i, 1) for i in range(4, 8)] + [(2, i, 0) for i in (0, 2, 4)] + [(2, 6, 1)]
 
 
+def test_waiting_events_leave_in_the_order_of_their_ids(spark, halves):
+    """Several runs wait at once; a batch's new events may be lower or higher than these; ticks told again are not new."""
+    more, _ = halves
+    subscribers = spark.createDataFrame([("a", 1), ("b", 1)], "event_type string, subscriber long")
+    out = jobs._out(spark, "notify")
+    batches, held, told, known = [range(50, 80), [*range(20, 30), *range(50, 60)], [90, 1, 55], [91], range(100, 104)], set(), [], set()
+    for n, numbers in enumerate(batches):
+        jobs.notify(more(numbers), subscribers, out, cap=7)
+        new = set(numbers) - known
+        known |= new
+        now = sorted(held | new)[:7]
+        told += [(i, n, True) for i in now] + [(i, n, False) for i in new - set(now)]
+        held = (held | new) - set(now)
+    rows = spark.read.parquet(out).collect()
+    assert sorted((r.event_id, r.batch, r.sent) for r in rows) == sorted(told)
+    assert all(r.event_type == "ab"[r.event_id % 2] and not r.silent for r in rows)
+
+
+def test_state_is_not_asked_row_by_row(monkeypatch):
+    """A batch of 20,000 rows of a subscriber makes a few calls to its state."""
+    calls, held = [], {}
+
+    class State:
+        def __getattr__(self, name):
+            def call(*a):
+                calls.append(name)
+                return {"keys": lambda: iter(held), "updateValue": held.__setitem__, "getValue": held.get, "removeKey": held.pop}[name](*a)
+
+            return call
+
+    p = jobs._Deliveries(50)
+    p.init(type("Handle", (), {"getMapState": lambda *a: State()})())
+    part = lambda a: pd.DataFrame({"event_id": range(a, a + 10_000), "event_type": "a", "silent": False})
+    got = pd.concat(p.handleInputRows((1,), iter([part(10_000), part(0)]), None))
+    assert len(got) == 20_000 and got[got.sent].event_id.tolist() == list(range(50)) and len(calls) < 10
+
+
 def test_subscriptions_baseline_silence_and_the_latest_one(spark, halves):
     more, _ = halves
     at = lambda i: START + timedelta(minutes=37 * i)

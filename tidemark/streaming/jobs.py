@@ -6,10 +6,12 @@ deterministic overwrite by batch id) and is driven by `availableNow`, so that th
 
 from __future__ import annotations
 
+import json
 import os
 import uuid
 from collections.abc import Callable
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,7 +52,7 @@ def session_counts(ticks: DataFrame, *, gap: str = "30 minutes", late: str = "1
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def drain_keyed(df: DataFrame, out: str) -> None:
+def drain_keyed(df: DataFrame, out: str, mode: str = "update") -> None:
     """Runs a stream with keyed state until its input is used up; each batch's rows are written to their own folder of
     out (column batch), over again if the batch is repeated. State lies in RocksDB under the checkpoint: a batch reads and
     writes just the state of its own keys, and a job that is started again goes on where the last one stopped."""
@@ -58,7 +60,7 @@ def drain_keyed(df: DataFrame, out: str) -> None:
     held = spark.conf.get(key, None)
     spark.conf.set(key, ROCKSDB)
     try:
-        drain(df, out, mode="update", each=lambda batch, n: batch.write.mode("overwrite").parquet(f"{out}/batch={n}"))
+        drain(df, out, mode=mode, each=lambda batch, n: batch.write.mode("overwrite").parquet(f"{out}/batch={n}"))
     finally:
         spark.conf.set(key, held) if held else spark.conf.unset(key)
 
@@ -96,77 +98,87 @@ def read_latest(spark: SparkSession, out: str) -> DataFrame:
     return tk.latest(spark.read.parquet(out), ["user_id"], ["ts", "event_id", "value"], ("ts", "event_id"))
 
 
-class _First(StatefulProcessor):
-    """Tells the key's first row once. Rows of a batch are ordered by (ts, event_id); the mark goes when the watermark has
-    passed the end of its day."""
-
-    def init(self, handle) -> None:
-        self.handle, self.done = handle, handle.getValueState("done", "event_id long")
-
-    def handleInputRows(self, key, rows, timers):
-        first = None
-        for part in rows:
-            for row in zip(part["micros"].tolist(), part["event_id"].tolist(), strict=True):
-                first = row if first is None else min(first, row)
-        if first is not None and not self.done.exists():
-            self.done.update((first[1],))
-            self.handle.registerTimer(first[0] // 86_400_000_000 * 86_400_000 + 86_400_000)
-            yield pd.DataFrame({"user_id": [key[0]], "day": [key[1]], "event_id": [first[1]]})
-
-    def handleExpiredTimer(self, key, timers, expired):
-        self.done.clear()
-        return iter(())
-
-    def close(self) -> None:
-        pass
-
-
 def first_write_wins(ticks: DataFrame, deadlines: DataFrame, out: str, *, minutes: int = 15, late: str = "400 days") -> None:
     """Of the rows at least `minutes` before their day's deadline the first written of each key and day stays for good.
 
-    Within a batch the earliest row counts as first; rows after the freeze and later rows of a key are left out. Rows
-    later than the watermark are dropped, so that the mark of a day that it has passed can go.
+    Within a batch the earliest row counts as first; rows after the freeze and later rows of a key are left out. Rows of
+    days before the watermark, whole days behind the newest one, are dropped, so that these days' state can go.
+
+    The state is an aggregate by key and day: the least of (time of the batch, ts, event_id). A batch writes the keys
+    whose first row it brought; the time of a batch is in the stream's own log, so a repeated batch has it again.
     """
-    rows = ticks.withWatermark("ts", late).withColumn("day", F.col("ts").cast("date")).join(deadlines, "day")
+    rows = ticks.withColumn("day", F.col("ts").cast("date")).join(F.broadcast(deadlines), "day")  # one row a day
     open_ = rows.filter(F.col("ts") <= F.col("deadline") - F.make_dt_interval(mins=F.lit(minutes)))
-    named = open_.select("user_id", F.col("day").cast("string").alias("day"), "ts", F.unix_micros("ts").alias("micros"), "event_id")
-    first = named.groupBy("user_id", "day").transformWithStateInPandas(_First(), "user_id long, day string, event_id long", "Update", "EventTime")
-    drain_keyed(first.select("user_id", F.col("day").cast("date").alias("day"), "event_id"), out)
+    named = open_.select("user_id", F.date_trunc("day", "ts").alias("start"), F.current_timestamp().alias("at"), "ts", "event_id").withWatermark("start", late)
+    first = named.groupBy("user_id", "start").agg(F.min(F.struct("at", "ts", "event_id")).alias("first")).filter(F.col("first.at") == F.current_timestamp())
+    drain_keyed(first.select("user_id", F.col("start").cast("date").alias("day"), "first.event_id"), out)
+
+
+def _packed(ids: np.ndarray, kinds: np.ndarray) -> tuple[bytes, bytes, str]:
+    """Events in the order of their ids as one value of a state."""
+    order = np.argsort(ids)
+    codes, names = pd.factorize(kinds[order])
+    return ids[order].astype("<i8").tobytes(), codes.astype("<i4").tobytes(), json.dumps(names.tolist())
 
 
 class _Deliveries(StatefulProcessor):
-    """A subscriber's deliveries: each event once, `cap` in a batch, the others wait for its next batch."""
+    """A subscriber's deliveries: `cap` in a batch, the others wait for its next batch.
+
+    Waiting events lie in the state in packed runs, each under its lowest id: a batch reads the runs that hold one of its
+    `cap` lowest events, and rows go through in parts, so that no task holds a subscriber's batch.
+    """
 
     def __init__(self, cap: int):
         self.cap = cap
 
     def init(self, handle) -> None:
-        self.seen = handle.getMapState("seen", "event_id long", "known boolean")
-        self.waiting = handle.getMapState("waiting", "event_id long", "event_type string")
-
-    def _send(self, key, new: dict, silent: dict):
-        queue = {k[0]: v[0] for k, v in self.waiting.iterator()}
-        late = set(queue)
-        queue |= new
-        chosen = sorted(queue)[: self.cap]
-        for event in chosen:
-            if event in late:
-                self.waiting.removeKey((event,))
-        for event in set(new) - set(chosen):
-            self.waiting.updateValue((event,), (new[event],))
-        rows = [(e, queue[e], True, False) for e in chosen] + [(e, new[e], False, False) for e in sorted(set(new) - set(chosen))] + [(e, silent[e], False, True) for e in sorted(silent)]
-        if rows:
-            ids, kinds, sent, quiet = zip(*rows, strict=True)
-            yield pd.DataFrame({"subscriber": [key[0]] * len(rows), "event_id": ids, "event_type": kinds, "sent": sent, "silent": quiet})
+        self.waiting = handle.getMapState("waiting", "lowest long", "ids binary, codes binary, names string")
+
+    def _keep(self, ids: np.ndarray, kinds: np.ndarray) -> None:
+        if len(ids):
+            self.waiting.updateValue((int(ids.min()),), _packed(ids, kinds))
+
+    def _run(self, lowest: int) -> tuple[np.ndarray, np.ndarray]:
+        ids, codes, names = self.waiting.getValue((lowest,))
+        return np.frombuffer(ids, "<i8"), np.array(json.loads(names), object)[np.frombuffer(codes, "<i4")]
 
     def handleInputRows(self, key, rows, timers):
-        new, silent = {}, {}
+        def told(ids, kinds, sent, silent):
+            return pd.DataFrame({"subscriber": key[0], "event_id": ids, "event_type": kinds, "sent": sent, "silent": silent})
+
+        waiting = sorted(k[0] for k in self.waiting.keys())
+        ids, kinds = np.zeros(0, np.int64), np.zeros(0, object)  # the lowest new events so far
         for part in rows:
-            for event, kind, quiet in zip(part["event_id"].tolist(), part["event_type"].tolist(), part["silent"].tolist(), strict=True):
-                if not self.seen.containsKey((event,)):
-                    self.seen.updateValue((event,), (True,))
-                    (silent if quiet else new)[event] = kind
-        yield from self._send(key, new, silent)
+            quiet = part["silent"].to_numpy(bool)
+            new, its = part["event_id"].to_numpy(np.int64), part["event_type"].to_numpy(object)
+            if quiet.any():
+                yield told(new[quiet], its[quiet], False, True)
+            new, its = np.concatenate([ids, new[~quiet]]), np.concatenate([kinds, its[~quiet]])
+            order = np.argsort(new, kind="stable")
+            chosen, rest = order[: self.cap], order[self.cap :]
+            ids, kinds = new[chosen], its[chosen]
+            if len(rest):
+                self._keep(new[rest], its[rest])
+                yield told(new[rest], its[rest], False, False)
+        runs = {}
+        best = ids
+        for lowest in waiting:
+            if len(best) >= self.cap and lowest > best[-1]:
+                break
+            runs[lowest] = self._run(lowest)
+            best = np.sort(np.concatenate([best, runs[lowest][0]]))[: self.cap]
+        now = np.isin(ids, best)
+        if now.any():
+            yield told(ids[now], kinds[now], True, False)
+        if not now.all():
+            self._keep(ids[~now], kinds[~now])
+            yield told(ids[~now], kinds[~now], False, False)
+        for lowest, (held, its) in runs.items():
+            now = np.isin(held, best)
+            if now.any():
+                self.waiting.removeKey((lowest,))
+                self._keep(held[~now], its[~now])
+                yield told(held[now], its[now], True, False)
 
     def close(self) -> None:
         pass
@@ -188,14 +200,16 @@ def notify(ticks: DataFrame, subscribers: DataFrame, out: str, *, cap: int = 3)
 
     subscribers: subscriber long, event_type, and where given created, since (baseline: earlier ticks are not new) and
     silent (recorded, not sent, not counted); see `latest_subscriptions`. A batch sends at most `cap` to a subscriber,
-    lowest ids first; the others are written as not sent and wait in the subscriber's state for its next batch. A batch
-    reads and writes the state of its own subscribers only.
+    lowest ids first; the others are written as not sent and wait in the subscriber's state for its next batch with
+    something new for it. A batch reads and writes the state of its own subscribers and pairs only: which pairs were seen
+    is the state of Spark's own deduplication, spread over all tasks by pair.
     """
     held = latest_subscriptions(subscribers)
     hits = ticks.select("event_id", "event_type", "ts").join(held, "event_type").filter(F.col("since").isNull() | (F.col("ts") > F.col("since")))
     rows = hits.select(F.col("subscriber").cast("long").alias("subscriber"), F.col("event_id").cast("long").alias("event_id"), "event_type", "silent")
-    sent = rows.groupBy("subscriber").transformWithStateInPandas(_Deliveries(cap), "subscriber long, event_id long, event_type string, sent boolean, silent boolean", "Update", "None")
-    drain_keyed(sent, out)
+    rows = rows.filter("event_id IS NOT NULL").dropDuplicates(["subscriber", "event_id"])
+    sent = rows.groupBy("subscriber").transformWithStateInPandas(_Deliveries(cap), "subscriber long, event_id long, event_type string, sent boolean, silent boolean", "Append", "None")
+    drain_keyed(sent, out, mode="append")
 
 
 def stale(ticks: DataFrame, *, late: str = "1 day", hours: int = 24) -> DataFrame:
