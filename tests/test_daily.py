@@ -63,3 +63,11 @@ def test_empty_and_a_large_field(spark, monkeypatch):
     idx = next(daily.fields(daily.np.array([0]), daily.np.array([40])))
     (s,) = daily.opponents(idx, lambda i, j: [(i < j).astype(float)])
     assert s.tolist() == [[39.0 - w for w in range(40)]] and plain(rows, False)[0, 1][1] == pytest.approx(1516)
+
+
+def test_a_block_reads_what_was_left_for_it(spark):
+    """Each row knows the next block of its entity, so that a block's state is one folder, not all blocks before it."""
+    rows = spark.createDataFrame([(d, d, who, 1.0, b) for d, who, b in [(1, 1, 0), (1, 2, 0), (2, 1, 0), (3, 2, 1), (4, 1, 2), (4, 3, 2)]], "day long, event long, entity long, rank double, block int")
+    read, sizes = daily.dealt_out(rows, daily.new_path(spark, "t"), "day long, event long, entity long, rank double")
+    got = {b: sorted({(r.entity, r.next) for r in read(b).collect()}) for b in sizes}
+    assert sizes == {0: 3, 1: 1, 2: 2} and got == {0: [(1, 2), (2, 1)], 1: [(2, daily.NONE)], 2: [(1, daily.NONE), (3, daily.NONE)]}

@@ -3,9 +3,9 @@
 Days are an inherent chain: a day's updates need the ratings that earlier days left. Consecutive days are packed into
 blocks of at most BLOCK_ROWS rows, known from one count a day. A block is one bounded task that holds just the entities it
 touches and goes over its days with whole-day array operations. A day with more rows than that is spread over all tasks by
-event, since all its events use the ratings before it: only sums by entity come together. Each block writes what it
-changed; an entity's row names the earlier block that touched it last, so that a block reads the state of just those
-entities from just those blocks, and nothing is rewritten.
+event, since all its events use the ratings before it: only sums by entity come together. Which block an entity comes up in
+next is known beforehand, so a block writes its entities' state into the folders of these blocks and reads just its own
+folder: each state is written once and read once, and nothing is rewritten.
 """
 
 from __future__ import annotations
@@ -20,7 +20,11 @@ from pyspark.sql import functions as F
 from ..sources.io import new_path
 
 #: Rows of a block of days at most.
-BLOCK_ROWS = 200_000
+BLOCK_ROWS = 2_000_000
+#: Parts of a block that are written by tasks of their own.
+PARTS = 8
+#: Instead of a block: a row that no later block reads.
+NONE = -1
 #: Cells of a matrix of opponents that are held at a time.
 CELLS = 4_000_000
 
@@ -109,6 +113,22 @@ def _columns(t: pa.Table, names: Sequence[str]) -> list[np.ndarray]:
     return [t.column(c).to_numpy() for c in names]
 
 
+def dealt_out(dealt: DataFrame, at: str, schema: str):
+    """(read, {block: rows}): read(b) is block b of dealt, from its own folder, with next: the next block of its entity, or NONE."""
+    spark = dealt.sparkSession
+    seen = dealt.select("entity", "block").distinct().withColumn("next", F.lead("block", default=NONE).over(Window.partitionBy("entity").orderBy("block")))
+    rows = dealt.join(seen, ["entity", "block"])
+    sizes = {r["block"]: r["count"] for r in dealt.groupBy("block").count().collect()}
+    parts = max(1, min(len(sizes) * PARTS, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    rows.repartition(parts, "block", F.pmod(F.xxhash64("event"), F.lit(PARTS))).write.partitionBy("block").parquet(at)
+    return lambda b: spark.read.schema(f"{schema}, next int").parquet(f"{at}/block={b}"), sizes
+
+
+def state_of(spark, path: str, b: int, written: set[int], schema: str) -> DataFrame:
+    """What earlier blocks left for block b."""
+    return spark.read.schema(schema).parquet(f"{path}/next={b}") if b in written else spark.createDataFrame([], schema)
+
+
 def ratings_by_day(rows: DataFrame, rule: Elo | Glicko, *, day: str, event: str, entity: str, rank: str, block_rows: int | None = None) -> DataFrame:
     """entity, day, and for each part of the rule's state before_x and x: the values before and after each day that an
     entity takes part in.
@@ -128,12 +148,9 @@ def ratings_by_day(rows: DataFrame, rule: Elo | Glicko, *, day: str, event: str,
         blocks.append((r["day"], number))
     at, path = new_path(spark, "rating-rows"), new_path(spark, "ratings")
     dealt = rows.join(F.broadcast(spark.createDataFrame(blocks, "day long, block int")), "day")
-    seen = dealt.select("entity", "block").distinct().withColumn("last_block", F.lag("block").over(Window.partitionBy("entity").orderBy("block")))
-    dealt.join(seen, ["entity", "block"]).write.partitionBy("block").parquet(at)
-    dealt = spark.read.schema("day long, event long, entity long, rank double, last_block int, block int").parquet(at)
-    sizes = {r["block"]: r["count"] for r in dealt.groupBy("block").count().collect()}
+    read, sizes = dealt_out(dealt, at, "day long, event long, entity long, rank double")
     fields_out = ", ".join([f"before_{c} double, {c} double" for c in names])
-    schema = f"entity long, day long, {fields_out}, last boolean"
+    schema = f"entity long, day long, {fields_out}, next int"
 
     def run(t: pa.Table) -> pa.Table:
         """A block's days one after the other. Columns: day, event, entity, rank, since (day of the entity's state) and the state."""
@@ -160,8 +177,10 @@ def ratings_by_day(rows: DataFrame, rule: Elo | Glicko, *, day: str, event: str,
             since[here] = days[a]
             out.append([here, np.full(len(here), days[a]), *[x for c in names for x in (before[c], after[c])]])
         flat = [np.concatenate(x) for x in zip(*out, strict=True)]
-        last = flat[1] == since[flat[0]]
-        return pa.table([who[flat[0]], *flat[1:], last], names=["entity", "day", *[x for c in names for x in (f"before_{c}", c)], "last"])
+        following = np.full(len(who), NONE, np.int32)
+        following[code] = t.column("next").to_numpy()
+        further = np.where(flat[1] == since[flat[0]], following[flat[0]], NONE)
+        return pa.table([who[flat[0]], *flat[1:], pa.array(further, pa.int32())], names=["entity", "day", *[x for c in names for x in (f"before_{c}", c)], "next"])
 
     def contribute(t: pa.Table) -> pa.Table:
         """Moves of some events of one day."""
@@ -175,34 +194,30 @@ def ratings_by_day(rows: DataFrame, rule: Elo | Glicko, *, day: str, event: str,
         for batch in batches:
             before, sums = ({c: batch.column(c).to_numpy() for c in cols} for cols in (names, rule.parts))
             after = rule.after(before, sums)
-            yield pa.RecordBatch.from_arrays([batch.column("entity"), batch.column("day"), *[pa.array(x) for c in names for x in (before[c], after[c])], pa.array(np.ones(batch.num_rows, bool))], ["entity", "day", *[x for c in names for x in (f"before_{c}", c)], "last"])
+            yield pa.RecordBatch.from_arrays([batch.column("entity"), batch.column("day"), *[pa.array(x) for c in names for x in (before[c], after[c])], batch.column("next")], ["entity", "day", *[x for c in names for x in (f"before_{c}", c)], "next"])
 
     def grow(batches):
         for batch in batches:
             gap = (batch.column("day").to_numpy() - batch.column("since").to_numpy()).astype(float)
             grown = rule.grown({c: batch.column(c).to_numpy() for c in names}, gap)
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in ("day", "event", "entity", "rank", "since")], *[pa.array(grown[c]) for c in names]], ["day", "event", "entity", "rank", "since", *names])
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in ("day", "event", "entity", "rank", "since", "next")], *[pa.array(grown[c]) for c in names]], ["day", "event", "entity", "rank", "since", "next", *names])
 
     state_fields = ", ".join(f"{c} double" for c in names)
+    left: set[int] = set()
     for b in sorted(sizes):
-        now = dealt.filter(F.col("block") == b).drop("block")
-        if b:
-            touched = [r[0] for r in now.select("last_block").distinct().collect() if r[0] is not None]  # blocks, not entities
-            log = spark.read.schema(f"{schema}, block int").parquet(path).filter(F.col("block").isin(touched) & F.col("last"))
-            now = now.join(log.select("entity", F.col("block").alias("last_block"), F.col("day").alias("since"), *names), ["entity", "last_block"], "left")
-        else:
-            now = now.select("*", F.lit(None).cast("long").alias("since"), *[F.lit(None).cast("double").alias(c) for c in names])
-        now = now.select("day", "event", "entity", "rank", "since", *names)
+        state = state_of(spark, path, b, left, f"entity long, day long, {state_fields}").withColumnRenamed("day", "since")
+        now = read(b).join(state, "entity", "left").select("day", "event", "entity", "rank", "since", "next", *names)
         if sizes[b] <= most:
             made = now.withColumn("group", F.lit(b)).groupBy("group").applyInArrow(run, schema)
         else:  # one day: its events are independent of each other
-            now = now.select("day", "event", "entity", "rank", F.coalesce("since", "day").alias("since"), *[F.coalesce(c, F.lit(v)).alias(c) for c, v in rule.state.items()])
-            now = now.mapInArrow(grow, f"day long, event long, entity long, rank double, since long, {state_fields}")
+            now = now.select("day", "event", "entity", "rank", F.coalesce("since", "day").alias("since"), "next", *[F.coalesce(c, F.lit(v)).alias(c) for c, v in rule.state.items()])
+            now = now.mapInArrow(grow, f"day long, event long, entity long, rank double, since long, next int, {state_fields}")
             parts = F.lit(max(1, sizes[b] * 8 // most))
             moves = now.groupBy(F.pmod(F.xxhash64("event"), parts)).applyInArrow(contribute, "entity long, " + ", ".join(f"{c} double" for c in rule.parts))
             sums = moves.groupBy("entity").agg(*[F.sum(c).alias(c) for c in rule.parts])
-            made = now.groupBy("entity").agg(F.first("day").alias("day"), *[F.first(c).alias(c) for c in names]).join(sums, "entity").mapInArrow(close, schema)
-        made.write.mode("overwrite").parquet(f"{path}/block={b}")
+            made = now.groupBy("entity").agg(F.first("day").alias("day"), F.first("next").alias("next"), *[F.first(c).alias(c) for c in names]).join(sums, "entity").mapInArrow(close, schema)
+        made.write.mode("append").partitionBy("next").parquet(path)
+        left.update(r[0] for r in read(b).select("next").distinct().collect())  # blocks, not entities
     if not sizes:
-        return spark.createDataFrame([], schema).drop("last")
-    return spark.read.schema(f"{schema}, block int").parquet(path).drop("last", "block")
+        return spark.createDataFrame([], schema).drop("next")
+    return spark.read.schema(schema).parquet(path).drop("next")
