@@ -3,10 +3,12 @@
 import random
 from statistics import median
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import rolling
+from tidemark.operators.rolling import Window
 
 SCHEMA = "k string, d int, v double, d_idx string"
 
@@ -67,3 +69,23 @@ def test_empty_tables(spark):
     some, none = spark.createDataFrame(rows_of(5, 3), SCHEMA), spark.createDataFrame([], SCHEMA)
     assert rolling.rolling(none, some, by=["k"], day="d", value="v", days=5).count() == 0
     assert [r.window_n for r in rolling.rolling(some, none, by=["k"], day="d", value="v", days=5).collect()] == [0] * 5
+
+
+def test_a_large_window_is_held_in_an_array():
+    """Growing and shrinking over the bound, with ties, against sorted lists."""
+    r = random.Random(3)
+    w, held, arrays = Window(20), [], 0
+    for day in range(0, 240, 2):
+        w.move(day)
+        held = [(d, v) for d, v in held if d >= day - 20]
+        want = sorted(x for _, v in held for x in v)
+        assert list(w.values) == want
+        arrays += isinstance(w.values, np.ndarray)
+        if want:
+            n, v = len(want), want[len(want) // 3]
+            assert w.median() == (want[(n - 1) // 2] + want[n // 2]) / 2
+            assert w.place(v) == sum(x < v for x in want) + want.count(v) / 2
+        new = [float(r.randint(0, 300)) for _ in range(r.choice([3, 500]) if day % 80 < 40 else r.choice([0, 70]))]
+        held.append((day, new))
+        w.add(day, new)
+    assert 0 < arrays < 120

@@ -30,6 +30,8 @@ from .asof import null_safe
 MOST_CELLS = 4096
 #: More values of a day than this are merged into the window's list at once.
 _MANY = 64
+#: More values than this are held in an array: a day's come and go by copies of memory, not value by value.
+_LARGE = 2048
 
 
 class Window:
@@ -39,7 +41,14 @@ class Window:
         self.days, self.held, self.values = days, deque(), []
 
     def add(self, day: int, values: list) -> None:
+        if len(self.values) + len(values) > _LARGE:
+            new, held = np.sort(np.asarray(values, float)), np.asarray(self.values, float)
+            self.held.append((day, new))
+            self.values = np.insert(held, np.searchsorted(held, new, "right"), new)
+            return
         self.held.append((day, values))
+        if isinstance(self.values, np.ndarray):
+            self.values = self.values.tolist()
         if len(values) > _MANY:
             self.values = sorted(self.values + values)  # two runs: one merge
         else:
@@ -48,13 +57,23 @@ class Window:
 
     def move(self, day: int) -> None:
         """Forgets what lies more than `days` days before day."""
+        gone = []
         while self.held and self.held[0][0] < day - self.days:
-            _, old = self.held.popleft()
+            gone.append(self.held.popleft()[1])
+        if not gone:
+            return
+        if isinstance(self.values, np.ndarray):
+            old = np.sort(np.concatenate([np.asarray(g, float) for g in gone]))
+            # Of equal values the first ones go.
+            again = np.arange(len(old)) - np.searchsorted(old, old)
+            self.values = np.delete(self.values, np.searchsorted(self.values, old) + again)
+            return
+        for old in gone:
             if len(old) > _MANY:
-                gone, kept = Counter(old), []
+                count, kept = Counter(old), []
                 for v in self.values:
-                    if gone[v]:
-                        gone[v] -= 1
+                    if count[v]:
+                        count[v] -= 1
                     else:
                         kept.append(v)
                 self.values = kept
@@ -64,11 +83,11 @@ class Window:
 
     def median(self) -> float | None:
         n = len(self.values)
-        return (self.values[(n - 1) // 2] + self.values[n // 2]) / 2 if n else None
+        return float(self.values[(n - 1) // 2] + self.values[n // 2]) / 2 if n else None
 
     def share_below(self, v: float | None) -> float | None:
         """Share of the values that are smaller, ties counting half."""
-        if v is None or not self.values:
+        if v is None or not len(self.values):
             return None
         return (bisect_left(self.values, v) + bisect_right(self.values, v)) / 2 / len(self.values)
 
@@ -90,7 +109,7 @@ class Window:
 #: By window and the probe's own value.
 STATS = {
     "median": lambda w, v: w.median(), "share_below": lambda w, v: w.share_below(v), "mode": lambda w, v: w.mode(),
-    "place": lambda w, v: w.place(v), "ranked": lambda w, v: w.values[int(v)],
+    "place": lambda w, v: w.place(v), "ranked": lambda w, v: float(w.values[int(v)]),
 }
 #: These differ from probe to probe of a day.
 OWN = {"share_below", "place", "ranked"}
