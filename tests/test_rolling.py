@@ -89,3 +89,26 @@ def test_a_large_window_is_held_in_an_array():
         held.append((day, new))
         w.add(day, new)
     assert 0 < arrays < 120
+
+
+def test_equal_values_are_held_once(spark, monkeypatch):
+    """Copies of the facts change neither what tasks are given nor what a window holds; times stands for copies."""
+    facts = spark.createDataFrame(rows_of(200, 5), SCHEMA).drop("d_idx")
+    copies = facts.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(50)))).drop("copy")
+    probes = facts.select("k", "d").distinct()
+    seen, plain = [], rolling._answers
+    monkeypatch.setattr(rolling, "_answers", lambda asked, known, *rest: (seen.append(known.count()), plain(asked, known, *rest))[1])
+    limits = {"by": ["k"], "day": "d", "value": "v", "days": 7}
+    for stat in ("median", "mode"):
+        one, many, told = (
+            sorted(map(str, rolling.rolling(probes, f, stat=stat, times=t, **limits).collect()))
+            for f, t in ((facts.withColumn("n", F.lit(50)), "n"), (copies, None), (facts.unionByName(facts).withColumn("n", F.lit(25)), "n"))
+        )
+        assert one == many == told
+    assert len(set(seen)) == 1 and seen[0] < 2 * 200
+    w = Window(5)
+    for day in range(3):
+        w.add(day, [1.0, 2.0], [1_000_000, 3])
+    assert len(w.kinds) == 2 and w.n == 3_000_009 and w.median() == 1.0 and w.mode() == (1.0, 3_000_000)
+    w.move(7)
+    assert w.n == 1_000_003 and w.place(2.0) == 1_000_001.5

@@ -3,8 +3,10 @@
 A key's time line is cut into blocks as long as the window. Each fact goes to its own block and to the next one, each
 probe to its own, so that a block holds all that its probes' windows reach, at most twice the facts in all, and a key
 with many rows is split by time. Within a block rows come in the order of days and one sorted list is kept up to date.
+Equal values of a key and day are one row with their number from the start, so that what is moved, sorted and held grows
+with the different values of a day and not with its rows.
 
-A block of more than `small` facts is split by value too. Its cells lie between approximate quantiles of its own facts, and
+A block of more than `small` such rows is split by value too. Its cells lie between approximate quantiles of its own facts, and
 each of these is a cell by itself, so that a value that repeats without end is counted, not held. Counts by day and cell,
 summed over the window, tell for each day the facts of a cell and of all cells below it; sorted lists then answer for one
 cell each: the value of a rank in the cell, the place of a value in it, or its most frequent value.
@@ -12,9 +14,10 @@ cell each: the value of a rank in the cell, the place of a value in it, or its m
 
 from __future__ import annotations
 
-from bisect import bisect_left, bisect_right, insort
-from collections import Counter, deque
+from bisect import bisect_left, bisect_right
+from collections import deque
 from collections.abc import Iterator, Sequence
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -35,81 +38,110 @@ _LARGE = 2048
 
 
 class Window:
-    """The values of a moving window, sorted, with the counts of each."""
+    """The values of a moving window, sorted, each once with how often it is held."""
 
     def __init__(self, days: int):
-        self.days, self.held, self.values = days, deque(), []
-
-    def add(self, day: int, values: list) -> None:
-        if len(self.values) + len(values) > _LARGE:
-            new, held = np.sort(np.asarray(values, float)), np.asarray(self.values, float)
-            self.held.append((day, new))
-            self.values = np.insert(held, np.searchsorted(held, new, "right"), new)
+        self.days, self.n, self.held, self.kinds, self.times, self.sums = days, 0, deque(), [], [], None
+
+    @property
+    def values(self) -> list | np.ndarray:
+        """All values, repeated as they are held."""
+        if isinstance(self.kinds, np.ndarray):
+            return np.repeat(self.kinds, self.times)
+        return [v for v, c in zip(self.kinds, self.times, strict=True) for _ in range(c)]
+
+    def add(self, day: int, values: Sequence, times: Sequence | None = None) -> None:
+        """times: how often each value is there, else once."""
+        times = [1] * len(values) if times is None else times
+        self.held.append((day, values, times))
+        self.n, self.sums = self.n + sum(times), None
+        if self.n > _LARGE:
+            self._merge(values, times)
             return
-        self.held.append((day, values))
-        if isinstance(self.values, np.ndarray):
-            self.values = self.values.tolist()
+        if isinstance(self.kinds, np.ndarray):
+            self.kinds, self.times = self.kinds.tolist(), self.times.tolist()
         if len(values) > _MANY:
-            self.values = sorted(self.values + values)  # two runs: one merge
-        else:
-            for v in values:
-                insort(self.values, v)
+            count = dict(zip(self.kinds, self.times, strict=True))
+            for v, c in zip(values, times, strict=True):
+                count[v] = count.get(v, 0) + c
+            self.kinds = sorted(count)
+            self.times = [count[v] for v in self.kinds]
+            return
+        for v, c in zip(values, times, strict=True):
+            at = bisect_left(self.kinds, v)
+            if at < len(self.kinds) and self.kinds[at] == v:
+                self.times[at] += c
+            else:
+                self.kinds.insert(at, v)
+                self.times.insert(at, c)
+
+    def _merge(self, values: Sequence, times: Sequence) -> None:
+        kinds, held = np.asarray(self.kinds, float), np.asarray(self.times, np.int64)
+        new, of = np.unique(np.asarray(values, float), return_inverse=True)
+        count = np.zeros(len(new), np.int64)
+        np.add.at(count, of, times)
+        at = np.searchsorted(kinds, new)
+        known = np.zeros(len(new), bool)
+        inside = at < len(kinds)
+        known[inside] = kinds[at[inside]] == new[inside]
+        held[at[known]] += count[known]
+        self.kinds, self.times = np.insert(kinds, at[~known], new[~known]), np.insert(held, at[~known], count[~known])
 
     def move(self, day: int) -> None:
         """Forgets what lies more than `days` days before day."""
-        gone = []
+        values, times = [], []
         while self.held and self.held[0][0] < day - self.days:
-            gone.append(self.held.popleft()[1])
-        if not gone:
+            _, v, c = self.held.popleft()
+            values += v
+            times += c
+        if not values:
             return
-        if isinstance(self.values, np.ndarray):
-            old = np.sort(np.concatenate([np.asarray(g, float) for g in gone]))
-            # Of equal values the first ones go.
-            again = np.arange(len(old)) - np.searchsorted(old, old)
-            self.values = np.delete(self.values, np.searchsorted(self.values, old) + again)
+        self.n, self.sums = self.n - sum(times), None
+        if isinstance(self.kinds, np.ndarray):
+            np.subtract.at(self.times, np.searchsorted(self.kinds, np.asarray(values, float)), times)
+            left = self.times > 0
+            self.kinds, self.times = self.kinds[left], self.times[left]
             return
-        for old in gone:
-            if len(old) > _MANY:
-                count, kept = Counter(old), []
-                for v in self.values:
-                    if count[v]:
-                        count[v] -= 1
-                    else:
-                        kept.append(v)
-                self.values = kept
-            else:
-                for v in old:
-                    del self.values[bisect_left(self.values, v)]
+        for v, c in zip(values, times, strict=True):
+            self.times[bisect_left(self.kinds, v)] -= c
+        if 0 in self.times:
+            left = [i for i, c in enumerate(self.times) if c]
+            self.kinds, self.times = [self.kinds[i] for i in left], [self.times[i] for i in left]
+
+    def _upto(self) -> list | np.ndarray:
+        """For each kind the number of values up to it, itself included."""
+        if self.sums is None:
+            self.sums = np.cumsum(self.times) if isinstance(self.times, np.ndarray) else list(accumulate(self.times))
+        return self.sums
+
+    def ranked(self, rank: int) -> float:
+        """The value of a rank, from 0."""
+        return float(self.kinds[bisect_right(self._upto(), rank)])
 
     def median(self) -> float | None:
-        n = len(self.values)
-        return float(self.values[(n - 1) // 2] + self.values[n // 2]) / 2 if n else None
+        return (self.ranked((self.n - 1) // 2) + self.ranked(self.n // 2)) / 2 if self.n else None
 
     def share_below(self, v: float | None) -> float | None:
         """Share of the values that are smaller, ties counting half."""
-        if v is None or not len(self.values):
-            return None
-        return (bisect_left(self.values, v) + bisect_right(self.values, v)) / 2 / len(self.values)
+        return None if v is None or not self.n else self.place(v) / self.n
 
     def place(self, v: float) -> float:
         """Number of the values that are smaller, ties counting half."""
-        return (bisect_left(self.values, v) + bisect_right(self.values, v)) / 2
+        below, upto = (int(self._upto()[at - 1]) if at else 0 for at in (bisect_left(self.kinds, v), bisect_right(self.kinds, v)))
+        return (below + upto) / 2
 
     def mode(self) -> tuple[float | None, int]:
         """The most frequent value, of equally frequent ones the smallest, and how often it is there."""
-        n, best, most, at = len(self.values), None, 0, 0
-        while at < n:
-            end = bisect_right(self.values, self.values[at], at)
-            if end - at > most:
-                best, most = self.values[at], end - at
-            at = end
-        return best, most
+        if not self.n:
+            return None, 0
+        most = max(self.times)
+        return float(self.kinds[int(np.argmax(self.times))]), int(most)
 
 
 #: By window and the probe's own value.
 STATS = {
     "median": lambda w, v: w.median(), "share_below": lambda w, v: w.share_below(v), "mode": lambda w, v: w.mode(),
-    "place": lambda w, v: w.place(v), "ranked": lambda w, v: float(w.values[int(v)]),
+    "place": lambda w, v: w.place(v), "ranked": lambda w, v: w.ranked(int(v)),
 }
 #: These differ from probe to probe of a day.
 OWN = {"share_below", "place", "ranked"}
@@ -117,13 +149,13 @@ OWN = {"share_below", "place", "ranked"}
 
 def rolling(
     probes: DataFrame, facts: DataFrame, *, by: Sequence[str], day: str, value: str, days: int, stat: str = "median", at: str | None = None,
-    small: int = 1_000_000, cell_rows: int = 250_000,
+    times: str | None = None, small: int = 1_000_000, cell_rows: int = 250_000,
 ) -> DataFrame:
     """probes with window_n long and window double: the statistic of the facts of the key in [day - days, day - 1].
 
     stat: median, share_below (of the probe's own `value`) or mode (of numbers). at: the facts' day column, if it has
     another name. Facts without a value (null or NaN) are left out, a probe's NaN is a null; a window without facts has
-    window_n 0 and a null. Blocks of more than `small` facts are split into cells of about `cell_rows` facts.
+    window_n 0 and a null. Blocks of more than `small` different facts are split into cells of about `cell_rows` of them.
     """
     names = probes.columns
     marks, keys = [f"p{i}" for i in range(len(names))], [f"k{i}" for i in range(len(by))]
@@ -132,11 +164,13 @@ def rolling(
     own = real(value) if value in names else F.lit(None).cast("double").alias("v")
     block, on = F.floor(F.col("d") / days), [*keys, "block"]
     asked = probes.select(*named, F.col(day).cast("long").alias("d"), own, *[F.col(c).alias(m) for c, m in zip(names, marks, strict=True)]).withColumn("block", block)
-    known = written(facts.select(*named, F.col(at or day).cast("long").alias("d"), real(value)).filter("v IS NOT NULL"), "facts")
+    many = F.col(times).cast("long") if times else F.lit(1).cast("long")
+    known = facts.select(*named, F.col(at or day).cast("long").alias("d"), real(value), many.alias("c")).filter("v IS NOT NULL")
+    known = written(known.groupBy(*keys, "d", "v").agg(F.sum("c").alias("c")), "facts")
     both = F.explode(F.array(block, block + 1)).alias("block")
     sizes = known.groupBy(*keys, block.alias("own")).agg(F.count("*").alias("n")).select(*keys, F.explode(F.array("own", F.col("own") + 1)).alias("block"), "n")
     hot = written(sizes.groupBy(*on).agg(F.sum("n").alias("n")).filter(F.col("n") > small), "hot")
-    known = known.select(*keys, both, "d", "v")
+    known = known.select(*keys, both, "d", "v", "c")
     if not hot.limit(1).count():
         out = _answers(asked, known, on, marks, days, stat)
     else:
@@ -154,7 +188,7 @@ def _cuts_up_to(v: Column) -> Column:
 
 
 def _by_value(asked: DataFrame, known: DataFrame, on: list[str], marks: list[str], days: int, stat: str, cell_rows: int) -> DataFrame:
-    """The answers of hot blocks; known has n, the facts of its block."""
+    """The answers of hot blocks; known has n, the rows of its block."""
     shares = [i / MOST_CELLS for i in range(1, MOST_CELLS)]
     found = known.groupBy(*on).agg(F.percentile_approx("v", shares, 4 * MOST_CELLS).alias("all"), F.first("n").alias("n"))
     found = found.withColumn("step", F.greatest(F.lit(1), F.floor(F.lit(float(MOST_CELLS)) * cell_rows / F.col("n"))))
@@ -170,7 +204,7 @@ def _by_value(asked: DataFrame, known: DataFrame, on: list[str], marks: list[str
 
     facts = written(placed(known.drop("n")), "cells")
     lists = facts.filter("cell % 2 = 0")
-    daily = facts.groupBy(*place).agg(F.count("*").alias("c"))
+    daily = facts.groupBy(*place).agg(F.sum("c").alias("c"))
     empty = null_safe(asked.select(*day).distinct(), cuts.select(*on, F.explode(F.sequence(F.lit(0), 2 * F.size("cuts"))).alias("cell")), on)
     # Days asked for come in as rows without facts; a frame ends the day before, so a day's own facts don't count.
     rows = daily.withColumn("asked", F.lit(False)).unionByName(empty.select(*place, F.lit(0).cast("long").alias("c"), F.lit(True).alias("asked")))
@@ -207,9 +241,10 @@ def _by_value(asked: DataFrame, known: DataFrame, on: list[str], marks: list[str
 
 
 def _answers(asked: DataFrame, known: DataFrame, keys: list[str], marks: list[str], days: int, stat: str) -> DataFrame:
-    """marks of asked with window_n, window and, for a mode, repeats; both tables have the keys, d and v."""
+    """marks of asked with window_n, window and, for a mode, repeats; both tables have the keys, d and v, known has c, how
+    often v is there."""
     blank = [F.lit(None).cast(asked.schema[m].dataType).alias(m) for m in marks]
-    rows = asked.select(*keys, "d", F.lit(0).alias("side"), "v", *marks).unionByName(known.select(*keys, "d", F.lit(1).alias("side"), "v", *blank))
+    rows = asked.select(*keys, "d", F.lit(0).alias("side"), "v", F.lit(0).cast("long").alias("c"), *marks).unionByName(known.select(*keys, "d", F.lit(1).alias("side"), "v", "c", *blank))
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = rows.repartition(parts, *keys).sortWithinPartitions(*keys, "d", "side")
     of, single, twin = STATS[stat], stat not in OWN, stat == "mode"
@@ -224,26 +259,26 @@ def _answers(asked: DataFrame, known: DataFrame, keys: list[str], marks: list[st
             codes = [pc.fill_null(c.dictionary_encode().indices, -1).to_numpy(zero_copy_only=False) for c in places]
             d, side = batch.column("d").to_numpy(), batch.column("side").to_numpy()
             cut = np.zeros(n - 1, bool)
-            for c in (*codes, d, side):
-                cut |= c[1:] != c[:-1]
+            for code in (*codes, d, side):
+                cut |= code[1:] != code[:-1]
             starts = [0, *(np.flatnonzero(cut) + 1).tolist()]
-            v = batch.column("v").to_pylist()
+            v, c = batch.column("v").to_pylist(), batch.column("c").to_pylist()
             counts, found = [], []
             new_key = np.zeros(n, bool)
-            for c in codes:
-                new_key[1:] |= c[1:] != c[:-1]
-            first = tuple(c[0].as_py() for c in places)
+            for code in codes:
+                new_key[1:] |= code[1:] != code[:-1]
+            first = tuple(place[0].as_py() for place in places)
             new_key[0] = first != last
             for x, y in zip(starts, [*starts[1:], n], strict=True):
                 if new_key[x]:
                     window = Window(days)
                 if side[x]:
-                    window.add(int(d[x]), v[x:y])
+                    window.add(int(d[x]), v[x:y], c[x:y])
                 else:
                     window.move(int(d[x]))
-                    counts += [len(window.values)] * (y - x)
+                    counts += [window.n] * (y - x)
                     found += [of(window, None)] * (y - x) if single else [of(window, u) for u in v[x:y]]
-            last = tuple(c[n - 1].as_py() for c in places)
+            last = tuple(place[n - 1].as_py() for place in places)
             probes_here = batch.filter(pa.array(side == 0))
             kept = [probes_here.column(m) for m in marks]
             more = [pa.array([r for _, r in found], pa.int64())] if twin else []
