@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import exprs as x
 from ..operators import asof, stats
 from ..operators.rolling import rolling as moving
+from ..sources.io import written
 from .demo import OH, hu, order_history, participations, query, table, with_oh, with_pt
 
 HIST = "hb AS (SELECT entity, d_idx, count(*) AS n, count(*) FILTER (WHERE finish <= 3) AS hits, count(*) FILTER (WHERE finish = 1) AS wins, sum(measure) AS m, sum(measure * measure) AS m2 FROM pt GROUP BY 1, 2)"
@@ -213,13 +214,13 @@ SPANS = (372, 358), (737, 723), (1102, 1088)
     "sn AS (SELECT a.venue, a.d_idx, median(b.measure) AS m FROM dv a JOIN pt b ON b.venue = a.venue AND (" + " OR ".join(f"b.d_idx BETWEEN a.d_idx - {x0} AND a.d_idx - {x1}" for x0, x1 in SPANS) + ") GROUP BY 1, 2 HAVING count(*) >= 8)",
     "yr AS (SELECT a.venue, a.d_idx, median(b.measure) AS m FROM dv a JOIN pt b ON b.venue = a.venue AND b.d_idx BETWEEN a.d_idx - 365 AND a.d_idx - 1 GROUP BY 1, 2 HAVING count(*) >= 8)"))
 def seasonal(spark, d):
-    p = participations(spark, d)
+    p = written(participations(spark, d).groupBy("venue", "d_idx", "measure").agg(F.count("*").alias("times")), "measures")
     days = p.select("venue", "d_idx").distinct()
-    facts = p.select("venue", F.col("d_idx").alias("at"), "measure")
+    facts = p.select("venue", F.col("d_idx").alias("at"), "measure", "times")
     # The years' spans fall on one another when facts move ahead by the end of their span.
     width = SPANS[0][0] - SPANS[0][1] + 1
     ahead = facts.withColumn("by", F.explode(F.array(*[F.lit(b - 1) for _, b in SPANS]))).withColumn("at", F.col("at") + F.col("by"))
-    med = lambda facts, k, n: moving(days, facts, by=["venue"], day="d_idx", at="at", value="measure", days=k).filter("window_n >= 8").select("venue", "d_idx", F.col("window").alias(n))
+    med = lambda facts, k, n: moving(days, facts, by=["venue"], day="d_idx", at="at", value="measure", times="times", days=k).filter("window_n >= 8").select("venue", "d_idx", F.col("window").alias(n))
     s, y = med(ahead, width, "s"), med(facts, 365, "y")
     out = days.join(s, ["venue", "d_idx"], "left").join(y, ["venue", "d_idx"], "left")
     level = F.when(F.col("s").isNotNull(), "season").when(F.col("y").isNotNull(), "year")
@@ -240,11 +241,12 @@ def seasonal_regimes(spark, d):
     cut = F.lit(False)
     for v, c in REGIMES.items():
         cut = F.when(F.col("venue") == v, F.col("d_idx") >= c).otherwise(cut)
-    p = participations(spark, d).select("venue", "d_idx", "measure", cut.alias("regime"))
+    p = participations(spark, d).groupBy("venue", "d_idx", "measure", cut.alias("regime")).agg(F.count("*").alias("times"))
+    p = written(p, "measures")
     days, by = p.select("venue", "regime", "d_idx").distinct(), ["venue", "regime"]
-    facts = p.select(*by, F.col("d_idx").alias("at"), "measure")
+    facts = p.select(*by, F.col("d_idx").alias("at"), "measure", "times")
     ahead = facts.withColumn("by", F.explode(F.array(*[F.lit(b - 1) for _, b in SPANS]))).withColumn("at", F.col("at") + F.col("by"))
-    med = lambda facts, k, n: moving(days, facts, by=by, day="d_idx", at="at", value="measure", days=k).filter("window_n >= 8").select("venue", "d_idx", F.col("window").alias(n), F.col("window_n").alias(f"n_{n}"))
+    med = lambda facts, k, n: moving(days, facts, by=by, day="d_idx", at="at", value="measure", times="times", days=k).filter("window_n >= 8").select("venue", "d_idx", F.col("window").alias(n), F.col("window_n").alias(f"n_{n}"))
     s, y = med(ahead, SPANS[0][0] - SPANS[0][1] + 1, "season"), med(facts, 365, "year")
     out = days.join(s, ["venue", "d_idx"], "left").join(y, ["venue", "d_idx"], "left")
     level = F.when(F.col("season").isNotNull(), "season").when(F.col("year").isNotNull(), "year")
