@@ -121,10 +121,21 @@ def correlation(spark, d):
     return t.select("venue", "n", F.round(F.try_divide(cov, F.sqrt(dev("x") * dev("y"))), 4).alias("r"))
 
 
+#: Rows of a partition, about, where a task sorts it more than once.
+SORTED_ROWS = 500_000
+
+
+def partitions(spark, t) -> int:
+    """Shuffle partitions for as many rows as t has: as the session has them, or more."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-t.count() // SORTED_ROWS))
+
+
 @query("A16_spearman", with_pt("""SELECT event, round(corr(a, b), 6) AS rho FROM (SELECT event, rank() OVER (PARTITION BY event ORDER BY measure) + (count(*) OVER (PARTITION BY event, measure) - 1) / 2.0 AS a,
   rank() OVER (PARTITION BY event ORDER BY price) + (count(*) OVER (PARTITION BY event, price) - 1) / 2.0 AS b FROM pt) GROUP BY 1 HAVING count(*) >= 4 AND stddev_pop(a) > 0 AND stddev_pop(b) > 0"""))
 def spearman(spark, d):
-    r = participations(spark, d).select("event", stats.average_rank(F.col("measure"), ["event"]).alias("a"), stats.average_rank(F.col("price"), ["event"]).alias("b"))
+    rows = participations(spark, d).select("event", "measure", "price")
+    # Four sorts of a partition are in one task: partitions follow the rows.
+    r = rows.repartition(partitions(spark, table(spark, d, "lineitem")), "event").select("event", stats.average_rank(F.col("measure"), ["event"]).alias("a"), stats.average_rank(F.col("price"), ["event"]).alias("b"))
     m = r.groupBy("event").agg(F.count("*").alias("n"), *[F.sum(e).alias(k) for k, e in {"a": F.col("a"), "b": F.col("b"), "aa": F.col("a") * F.col("a"), "bb": F.col("b") * F.col("b"), "ab": F.col("a") * F.col("b")}.items()])
     dev = lambda k: F.col("n") * F.col(k * 2) - F.col(k) * F.col(k)
     rho = F.try_divide(F.col("n") * F.col("ab") - F.col("a") * F.col("b"), F.sqrt(dev("a") * dev("b")))
