@@ -39,3 +39,14 @@ def test_none_to_find(spark):
     got = {x.ev: x.s_ev for x in nearest_other(spark.createDataFrame(rows, SCHEMA), key="p", group="ev", ids=["r"], pick="sel").collect()}
     assert got == {1: None, 2: 1}
     assert nearest_other(spark.createDataFrame([], SCHEMA), key="p", group="ev", ids=["r"], pick="sel").count() == 0
+
+
+def test_only_picks_and_edges_are_written(spark, monkeypatch):
+    """Rows that are no picks are sorted once and not written: 4 a cell at most."""
+    from tidemark.operators import neighbours
+
+    seen, plain_written = [], neighbours.written
+    monkeypatch.setattr(neighbours, "written", lambda df, name: (seen.append((out := plain_written(df, name)).count()), out)[1])
+    rows = [(i, 0, i / 2000, float(i), i % 20 == 0) for i in range(2000)]
+    assert nearest_other(spark.createDataFrame(rows, SCHEMA), key="p", group="ev", ids=["r"], pick="sel", cell_rows=500).count() == 100
+    assert len(seen) == 1 and seen[0] <= 100 + 4 * 4

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .baseline import written
@@ -20,58 +22,84 @@ def nearest_other(rows: DataFrame, *, key: str, group: str, ids: Sequence[str],
     Equal keys are in the order of a seeded hash of group and ids, then of these. Rows without a key or group take no
     part; picks without any such row have nulls; repeated rows are rows. A surrogate may serve several picks.
 
-    Rows are sorted by range once. A cell needs no more of the cells before it than the last row and the last one of
-    another group than that one's; those two and the two behind are copied to it, and windows within cells do the rest.
+    Rows are sorted by range once, in cells of about `cell_rows`; a task looks both ways in its own and gives out its picks
+    and four free rows: the first and the last one, and those nearest to them of another group. Of all other cells a pick
+    needs no more than these, so nothing but picks is written.
     """
     names = [group, *ids, *carry]
     marks = ["g", *[f"i{k}" for k in range(len(ids))], *[f"c{k}" for k in range(len(carry))]]
     marked = rows.select(F.col(key).cast("double").alias("key"), *[F.col(c).alias(m) for c, m in zip(names, marks, strict=True)], F.coalesce(F.col(pick), F.lit(False)).alias("pick")).filter("key IS NOT NULL AND NOT isnan(key) AND g IS NOT NULL")
     told = marks[: 1 + len(ids)]
-    marked = marked.withColumn("h", F.md5(F.concat_ws(":", F.lit(seed), *[F.col(m).cast("string") for m in told]).cast("binary")))
-    order = ["key", "h", *told]
+    marked = marked.withColumn("h", F.unhex(F.md5(F.concat_ws(":", F.lit(seed), *[F.col(m).cast("string") for m in told]).cast("binary"))))
+    order, shown = ["key", "h", *told], ["key", *marks]
     cells = max(1, -(-rows.count() // cell_rows))
-    sorted_ = written(marked.repartitionByRange(cells, *order).withColumn("cell", F.spark_partition_id()), "sorted")
-    if cells > 1:
-        sorted_ = sorted_.unionByName(_halo(sorted_, order, marks))
-    one = F.struct("key", *marks)
-    free = F.when(~F.col("pick"), one)
+    dealt = marked.repartitionByRange(cells, *order).sortWithinPartitions(*order).select("pick", F.spark_partition_id().alias("cell"), *shown)
+    sides = ("low", "high")
 
-    def towards(directed: Sequence):
-        w = Window.partitionBy("cell").orderBy(*directed)
-        near = F.last(free, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
-        # Where the free rows' group changes, the row before is the nearest of another group until the next change.
-        change = F.when(~F.col("pick") & (F.col("near.g") != F.col("g")), F.col("near"))
-        far = F.last(change, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
-        return near, far
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [b for b in batches if b.num_rows]
+        if not held:
+            return
+        cell = pa.Table.from_batches(held).combine_chunks()
+        chosen = cell.column("pick").to_numpy()
+        of = cell.column("g").combine_chunks().dictionary_encode().indices.to_numpy()
+        low, high = _before(chosen, of), len(of) - 1 - _before(chosen[::-1], of[::-1])[::-1]
+        at = np.flatnonzero(chosen)
+        free = np.flatnonzero(~chosen)
+        edges = []
+        for edge, ends in (("a", free), ("z", free[::-1])):
+            other = ends[of[ends] != of[ends[0]]] if len(ends) else ends
+            edges += [(e, int(x[0])) for e, x in ((edge, ends), (f"{edge}2", other)) if len(x)]
+        own = cell.take(pa.array(np.r_[at, np.array([i for _, i in edges], int)]))
+        none = [None] * len(edges)
+        out = [pa.array([None] * len(at) + [e for e, _ in edges], pa.string()), *(own.column(c) for c in ("cell", *shown))]
+        for side in (low[at], high[at]):
+            inside = (side >= 0) & (side < len(of))
+            there = pa.array([int(i) if ok else None for i, ok in zip(side, inside, strict=True)] + none, pa.int64())
+            out += [cell.column(c).take(there) for c in shown]
+        yield from pa.Table.from_arrays(out, ["edge", "cell", *shown, *[f"{s}_{c}" for s in sides for c in shown]]).combine_chunks().to_batches(max_chunksize=10_000)
 
-    out = sorted_
-    for side, directed in (("low", order), ("high", [F.desc(c) for c in order])):
-        near, far = towards(directed)
-        out = out.withColumn("near", near).withColumn("far", far)
-        out = out.withColumn(side, F.when(F.col("near.g") != F.col("g"), F.col("near")).otherwise(F.col("far"))).drop("near", "far")
+    kinds = {c: dealt.schema[c].dataType.simpleString() for c in shown}
+    schema = ", ".join(["edge string", "cell int", *[f"{c} {t}" for c, t in kinds.items()], *[f"{s}_{c} {t}" for s in sides for c, t in kinds.items()]])
+    found = written(dealt.mapInArrow(run, schema), "picks")
+    one = lambda side: F.when(F.col(f"{side}_g").isNotNull(), F.struct(*[F.col(f"{side}_{c}").alias(c) for c in shown]))
+    out = found.filter("edge IS NULL").join(F.broadcast(_halo(found, shown, cells)), "cell", "left")
+    for side in sides:
+        near = F.when(F.col(f"{side}1.g") != F.col("g"), F.col(f"{side}1")).otherwise(F.col(f"{side}2"))
+        out = out.withColumn(side, F.coalesce(one(side), near))
     below = F.col("low").isNotNull() & (F.col("high").isNull() | (F.col("key") - F.col("low.key") <= F.col("high.key") - F.col("key")))
-    out = out.filter("pick").withColumn("s", F.when(below, F.col("low")).otherwise(F.col("high")))
+    out = out.withColumn("s", F.when(below, F.col("low")).otherwise(F.col("high")))
     return out.select(
         *[F.col(m).alias(c) for m, c in zip(marks, names, strict=True)], F.col("key").alias(key), F.col("s.key").alias(f"s_{key}"), *[F.col(f"s.{m}").alias(f"s_{c}") for m, c in zip(marks, names, strict=True)]
     )
 
 
-def _halo(sorted_: DataFrame, order: Sequence[str], marks: Sequence[str]) -> DataFrame:
-    """The free rows of other cells that each cell needs: two before it and two behind it, of two groups."""
-    spark = sorted_.sparkSession
-    whole = F.struct(*order, *[m for m in marks if m not in order])
-    free = sorted_.filter(~F.col("pick")).select("cell", "g", whole.alias("row"))
-    ends = free.groupBy("cell").agg(F.min("row").alias("a"), F.max("row").alias("z"))
-    more = free.join(F.broadcast(ends), "cell").groupBy("cell").agg(F.min(F.when(F.col("g") != F.col("a.g"), F.col("row"))).alias("a2"), F.max(F.when(F.col("g") != F.col("z.g"), F.col("row"))).alias("z2"))
-    found = {r["cell"]: r for r in ends.join(more, "cell").collect()}  # one row a cell
-    places = range(sorted_.agg(F.max("cell")).first()[0] + 1)
-    out = []
-    for ways, last, other in ((places, "z", "z2"), (reversed(places), "a", "a2")):
-        held = []  # the nearest free row passed, and the nearest of another group
+def _before(chosen: np.ndarray, of: np.ndarray) -> np.ndarray:
+    """For each row the place of the nearest row before it that is not chosen and of another group, or -1."""
+    place = np.arange(len(of))
+    free = np.maximum.accumulate(np.where(chosen, -1, place))
+    near = np.r_[-1, free[:-1]]
+    # Where the free rows' group changes, the row before is the nearest of another group until the next change.
+    change = ~chosen & (near >= 0) & (of[near] != of)
+    far = np.maximum.accumulate(np.where(change, near, -1))
+    return np.where((near >= 0) & (of[near] != of), near, far)
+
+
+def _halo(found: DataFrame, shown: Sequence[str], cells: int) -> DataFrame:
+    """For each cell the free rows of other cells that its picks need: two before it and two behind it, of two groups."""
+    row = F.struct(*shown)
+    ends: dict[int, dict] = {}
+    edges = found.filter("edge IS NOT NULL").select("cell", "edge", row.alias("row"))
+    for r in edges.collect():  # four rows a cell
+        ends.setdefault(r["cell"], {})[r["edge"]] = r["row"]
+    sides = []
+    for ways, last in ((range(cells), "z"), (range(cells - 1, -1, -1), "a")):
+        held, of = [], {}  # the nearest free row passed, and the nearest of another group
         for cell in ways:
-            out += [(cell, r) for r in held]
-            if r := found.get(cell):
-                second = [r[other]] if r[other] else [x for x in held if x["g"] != r[last]["g"]][:1]
+            of[cell] = [*held, None, None][:2]
+            if r := ends.get(cell):
+                second = [r[f"{last}2"]] if f"{last}2" in r else [x for x in held if x["g"] != r[last]["g"]][:1]
                 held = [r[last], *second]
-    schema = f"cell int, row {free.schema['row'].dataType.simpleString()}"
-    return spark.createDataFrame(out, schema).select("cell", "row.*", F.lit(False).alias("pick"))
+        sides.append(of)
+    kind = edges.schema["row"].dataType.simpleString()
+    return found.sparkSession.createDataFrame([(c, *sides[0][c], *sides[1][c]) for c in range(cells)], f"cell int, low1 {kind}, low2 {kind}, high1 {kind}, high2 {kind}")

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from ..operators import neighbours
 from ..operators import probability as pr
-from ..operators import stats
+from ..operators import selection, stats
+from ..sources.io import written
 from .aggregates import PB, implied
 from .demo import hu, participations, query, with_pt
 
@@ -51,8 +52,6 @@ E4 = (
 @query("E4_monotone", with_pt("SELECT c.event, c.runner_no, round(CASE WHEN round(p, 9) < x THEN y0 + (round(p, 9) - x0) * (y - y0) / (x - x0) ELSE coalesce(y + (round(p, 9) - x) * (y1 - y) / (x1 - x), y) END, 6) AS p FROM (SELECT c.*, s.x, s.y, s.x1, s.y1, coalesce(s.x0, -1) AS x0, coalesce(s.y0, s.y) AS y0 FROM cal c JOIN steps s USING (field, cell)) c", PB, *E4))
 def e4(spark, d):
     """A monotone table of each field-size band (isotonic regression over cells of p), applied by interpolation."""
-    from ..operators.baseline import written
-
     size = participations(spark, d).select("event", "runner_no", "field_size")
     rows = probs(spark, d).join(size, ["event", "runner_no"]).withColumn("p", F.round("p", 9))
     field = F.lit(FIELDS[-1][1])
@@ -129,14 +128,22 @@ def e9(spark, d):
 
 
 def anomalies(spark, d):
-    """Ordered pairs with their ratio and peers, and the peers' limits."""
-    h = pr.harville(probs(spark, d), "event", "runner_no", "p", 2).withColumn("prob", F.round("prob", 9))
-    p = participations(spark, d).select("event", "runner_no", "price")
-    j = h.join(p.withColumnRenamed("runner_no", "r1").withColumnRenamed("price", "a"), ["event", "r1"]).join(p.withColumnRenamed("runner_no", "r2").withColumnRenamed("price", "b"), ["event", "r2"])
-    share = F.col("a") * F.col("b") / F.sum(F.col("a") * F.col("b")).over(Window.partitionBy("event"))
-    j = j.withColumn("ratio", stats.half_up(F.try_divide(share, F.col("prob")), 6)).withColumn("peer", F.floor(F.log(F.greatest("prob", F.lit(1e-9))) * 8))
-    g = j.groupBy("peer").agg(F.count("*").alias("n"), F.percentile("ratio", 0.95).alias("limit"), F.percentile("ratio", 0.5).alias("surrogate"))
-    return j, g
+    """Ordered pairs with their ratio and peers, and the peers' limits.
+
+    Events are written once, a row each; pairs come out of these rows wherever they are asked for and are never moved.
+    """
+    runner = F.struct("runner_no", "p", "price")
+    fields = written(probs(spark, d).groupBy("event").agg(F.collect_list(runner).alias("field"), F.sum("price").alias("s"), F.sum(F.col("price") * F.col("price")).alias("q")), "fields")
+    one = fields.select("event", "field", (F.col("s") * F.col("s") - F.col("q")).alias("all"), F.explode("field").alias("x"))
+    pairs = one.select("event", "all", "x", F.explode("field").alias("y")).filter("x.runner_no <> y.runner_no")
+    prob = F.round(F.col("x.p") * F.try_divide(F.col("y.p"), 1 - F.col("x.p")), 9)
+    j = pairs.select("event", F.col("x.runner_no").alias("r1"), F.col("y.runner_no").alias("r2"), prob.alias("prob"), F.try_divide(F.col("x.price") * F.col("y.price"), "all").alias("share"))
+    j = j.withColumn("ratio", stats.half_up(F.try_divide("share", "prob"), 6)).withColumn("peer", F.floor(F.log(F.greatest("prob", F.lit(1e-9))) * 8)).drop("share")
+    counts = written(j.groupBy("peer", "ratio").agg(F.count("*").alias("times")), "ratios")
+    g = counts.groupBy("peer").agg(F.sum("times").alias("n"))
+    for q, name in ((0.95, "limit"), (0.5, "surrogate")):
+        g = g.join(selection.percentiles(counts, ["peer"], "ratio", q, times="times").withColumnRenamed("percentile", name), "peer", "left")
+    return j, written(g, "limits")
 
 
 _NEAR = "last_value({0} IGNORE NULLS) OVER (ORDER BY prob {1}, h {1}, event {1}, r1 {1}, r2 {1} ROWS BETWEEN UNBOUNDED PRECEDING AND {2})"
