@@ -142,7 +142,7 @@ def anomalies(spark, d):
     counts = written(j.groupBy("peer", "ratio").agg(F.count("*").alias("times")), "ratios")
     g = counts.groupBy("peer").agg(F.sum("times").alias("n"))
     for q, name in ((0.95, "limit"), (0.5, "surrogate")):
-        g = g.join(selection.percentiles(counts, ["peer"], "ratio", q, times="times").withColumnRenamed("percentile", name), "peer", "left")
+        g = g.join(selection.percentiles(counts, ["peer"], "ratio", q, small=500_000, times="times").withColumnRenamed("percentile", name), "peer", "left")
     return j, written(g, "limits")
 
 
