@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..operators import neighbours
 from ..operators import probability as pr
 from ..operators import selection, stats
+from ..operators.resampling import resampled_sums
 from ..sources.io import written
 from .aggregates import PB, implied
 from .demo import hu, participations, query, with_pt
@@ -224,10 +225,10 @@ def e12_clusters(spark, d):
     """
     fav = participations(spark, d).filter("popularity = 1").select(F.explode(F.array(F.struct(F.lit("event").alias("cluster"), F.col("event").cast("long").alias("g")), F.struct(F.lit("day").alias("cluster"), F.col("d_idx").cast("long").alias("g")))).alias("c"), "finish")
     g = fav.groupBy(F.col("c.cluster").alias("cluster"), F.col("c.g").alias("g")).agg(F.count("*").alias("n"), F.count_if(F.col("finish") == 1).alias("h"))
-    r = g.withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(RESAMPLES - 1)))).withColumn("w", pr.poisson_weight(F.col("g"), F.col("b")))
-    means = r.groupBy("cluster", "b").agg(F.count("*").alias("k"), F.round(F.sum(F.col("w") * F.col("h")) / F.sum(F.col("w") * F.col("n")), 9).alias("m"))
+    sums = resampled_sums(g.withColumn("k", F.lit(1)), "g", ["cluster"], ["n", "h", "k"], RESAMPLES)
+    means = sums.select("cluster", F.when(F.col("r") < 0, F.col("k")).cast("long").alias("k"), F.when(F.col("r") >= 0, F.round(F.col("h") / F.col("n"), 9)).alias("m"))
     q = lambda p: F.round(F.percentile("m", p), 6)
-    return means.groupBy("cluster").agg(F.max("k").alias("clusters"), q(0.025).alias("low"), q(0.5).alias("mid"), q(0.975).alias("high"), F.count("*").alias("resamples"))
+    return means.groupBy("cluster").agg(F.max("k").alias("clusters"), q(0.025).alias("low"), q(0.5).alias("mid"), q(0.975).alias("high"), F.count("m").alias("resamples"))
 
 
 @query("E13_metrics", with_pt("""SELECT round(avg(-CASE WHEN won THEN ln(p) ELSE ln(1 - p) END), 6) AS log_loss,
