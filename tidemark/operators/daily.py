@@ -2,29 +2,33 @@
 
 Days are an inherent chain: a day's updates need the ratings that earlier days left. Consecutive days are packed into
 blocks of at most BLOCK_ROWS rows, known from one count a day. A block is one bounded task that holds just the entities it
-touches and goes over its days with whole-day array operations. A day with more rows than that is spread over all tasks by
-event, since all its events use the ratings before it: only sums by entity come together. Which block an entity comes up in
-next is known beforehand, so a block writes its entities' state into the folders of these blocks and reads just its own
+touches and goes over its days with whole-day array operations. All that doesn't wait for the chain is done by all tasks at
+once: rows are written once, sorted and packed into a row a day with its columns as bytes, and results stay packed until they
+are read, so that the chain's task handles arrays and no rows. A day with more rows than a block may have is spread over all
+tasks by event, since all its events use the ratings before it: only sums by entity come together. Which block an entity comes
+up in next is known beforehand, so a block writes its entities' state into the folders of these blocks and reads just its own
 folder: each state is written once and read once, and nothing is rewritten.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..sources.io import new_path
+from ..sources.io import new_path, written
 
 #: Rows of a block of days at most.
 BLOCK_ROWS = 2_000_000
 #: Parts of a block that are written by tasks of their own.
 PARTS = 8
-#: Instead of a block: a row that no later block reads.
-NONE = -1
+#: Instead of a block: a row that no later block reads; results.
+NONE, RESULT = -1, -2
+#: What a packed row holds: a day's rows, a block's entities with their next blocks, entities' state.
+DAY, WHO, HELD = 0, 1, 2
 #: Cells of a matrix of opponents that are held at a time.
 CELLS = 4_000_000
 
@@ -113,10 +117,137 @@ def _columns(t: pa.Table, names: Sequence[str]) -> list[np.ndarray]:
     return [t.column(c).to_numpy() for c in names]
 
 
-def dealt_out(dealt: DataFrame, at: str, schema: str):
-    """(read, {block: rows}): read(b) is block b of dealt, from its own folder, with next: the next block of its entity, or NONE."""
+def packed(rows: DataFrame, by: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """by and each of the columns as the bytes of an array: one row for each run of rows with equal `by`, which are whole
+    numbers that rows lie sorted by. A null number is NaN."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held = None, []
+
+        def closed() -> pa.RecordBatch:
+            blobs = [np.concatenate(x).tobytes() for x in zip(*held, strict=True)]
+            return pa.RecordBatch.from_arrays([*[pa.array([k], pa.int64()) for k in at], *[pa.array([x], pa.binary()) for x in blobs]], [*by, *columns])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys, values = ([batch.column(c).to_numpy(zero_copy_only=False) for c in names] for names in (by, columns))
+            cut = np.zeros(batch.num_rows - 1, bool)
+            for k in keys:
+                cut |= k[1:] != k[:-1]
+            starts = [0, *(np.flatnonzero(cut) + 1).tolist(), batch.num_rows]
+            for a, b in zip(starts[:-1], starts[1:], strict=True):
+                key = tuple(int(k[a]) for k in keys)
+                if held and key != at:
+                    yield closed()
+                    held = []
+                at = key
+                held.append([v[a:b].copy() for v in values])
+        if held:
+            yield closed()
+
+    return rows.select(*[F.col(c).cast("long").alias(c) for c in by], *columns).mapInArrow(run, ", ".join([f"{c} long" for c in by] + [f"{c} binary" for c in columns]))
+
+
+def unpacked(rows: DataFrame, blobs: Sequence[tuple[str, Sequence[str], str]], key: str | None = None) -> DataFrame:
+    """Rows of packed ones. blobs: (column, names that lie in it one after the other, their type, long or double)."""
+    kinds = {"long": (np.int64, pa.int64()), "double": (np.float64, pa.float64())}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            parts: dict[str, list] = {n: [] for n in out}
+            for i in range(batch.num_rows):
+                size = 0
+                for c, names, kind in blobs:
+                    wide = np.frombuffer(batch.column(c)[i].as_buffer(), kinds[kind][0]).reshape(len(names), -1)
+                    size = wide.shape[1]
+                    for n, x in zip(names, wide, strict=True):
+                        parts[n].append(x)
+                if key:
+                    parts[key].append(np.full(size, batch.column(key)[i].as_py()))
+            if batch.num_rows:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(parts[n]), kinds[k][1], from_pandas=True) for n, k in out.items()], list(out))
+
+    out = {n: kind for _, names, kind in blobs for n in names} | ({key: "long"} if key else {})
+    return rows.select(*([key] if key else []), *[c for c, _, _ in blobs]).mapInArrow(run, ", ".join(f"{n} {k}" for n, k in out.items()))
+
+
+def wide(blob: pa.Scalar, n: int = 1, kind=np.float64) -> np.ndarray:
+    """The n arrays of a blob."""
+    return np.frombuffer(blob.as_buffer(), kind).reshape(n, -1)
+
+
+def slices(blocks: Sequence[tuple[int, int]], counts: dict[int, int], most: int) -> list[tuple[int, int, int]]:
+    """(day, block, slice): a block's days in runs of about a PARTS-th of `most` rows, which are written by tasks of their own."""
+    out, number, held, last = [], 0, 0, None
+    for day, block in blocks:
+        if held and (block != last or held >= most / PARTS):
+            number, held = number + 1, 0
+        held, last = held + counts[day], block
+        out.append((day, block, number))
+    return out
+
+
+class Deal:
+    """Rows dealt out to blocks of days, each in a folder of its own.
+
+    rows: day, event, entity (whole numbers) and the columns that `schema` names; blocks: (day, block) in the order of days.
+    A block of at most `most` rows lies packed by day, its rows in the order of `order`, with the sorted entities and their
+    next blocks beside it; of a larger one, which is a single day, the rows stay rows.
+    """
+
+    def __init__(self, rows: DataFrame, counts: dict[int, int], blocks: Sequence[tuple[int, int]], most: int, at: str, schema: str, columns: Sequence[str], order: Sequence[str]):
+        self.spark, self.at, self.path, self.columns = rows.sparkSession, at, f"{at}-state", list(columns)
+        self.sizes: dict[int, int] = {}
+        for day, b in blocks:
+            self.sizes[b] = self.sizes.get(b, 0) + counts[day]
+        self.large = {b for b, n in self.sizes.items() if n > most}
+        if not blocks:
+            return
+        known = slices(blocks, counts, most)
+        dealt = rows.join(F.broadcast(self.spark.createDataFrame(known, "day long, block int, slice int")), "day")
+        seen = dealt.groupBy("entity").agg(F.sort_array(F.collect_set("block")).alias("blocks")).select("entity", "blocks", F.posexplode("blocks").alias("i", "block"))
+        seen = written(seen.select("entity", "block", F.coalesce(F.get("blocks", F.col("i") + 1), F.lit(NONE)).alias("next")), "seen")
+        self.read_later = {r[0] for r in seen.select("next").distinct().collect()}  # blocks, not entities
+        small = ~F.col("block").isin(*self.large) if self.large else F.lit(True)
+        limit = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        by_slice = dealt.filter(small).repartition(max(1, min(known[-1][2] + 1, limit)), "slice").sortWithinPartitions("day", *order)
+        packed(by_slice, ["block", "day"], columns).write.partitionBy("block").parquet(f"{at}/days")
+        by_block = seen.filter(small).repartition(max(1, min(len(self.sizes), limit)), "block").sortWithinPartitions("block", "entity")
+        packed(by_block.withColumn("next", F.col("next").cast("long")), ["block"], ["entity", "next"]).write.partitionBy("block").parquet(f"{at}/who")
+        if self.large:
+            self.rows, _ = dealt_out(dealt.drop("slice").filter(~small), f"{at}/rows", schema, seen)
+
+    def state(self, b: int, schema: str) -> DataFrame:
+        """What earlier blocks left for block b."""
+        return self.spark.read.schema(schema).parquet(f"{self.path}/next={b}") if b in self.read_later else self.spark.createDataFrame([], schema)
+
+    def all(self, b: int, schema: str) -> DataFrame:
+        """Packed rows of block b in one partition: what, key and the blobs that schema names."""
+        names = [f.split(" ")[0] for f in schema.split(", ")][2:]
+
+        def named(path: str, what: int, key: str, blobs: Sequence[str]) -> DataFrame:
+            df = self.spark.read.schema(", ".join([*([f"{key} long"] if key else []), *[f"{c} binary" for c in blobs]])).parquet(f"{self.at}/{path}/block={b}")
+            have = dict(zip(names, blobs, strict=False))
+            return df.select(F.lit(what).alias("what"), (F.col(key) if key else F.lit(None).cast("long")).alias("key"), *[F.col(have[n]).alias(n) if n in have else F.lit(None).cast("binary").alias(n) for n in names])
+
+        out = named("days", DAY, "day", self.columns).unionByName(named("who", WHO, "", ["entity", "next"]))
+        return (out.unionByName(self.state(b, schema)) if b in self.read_later else out).coalesce(1)
+
+    def left(self, made: DataFrame) -> None:
+        """Writes what a block leaves: packed rows with next, the block that reads them, or RESULT."""
+        made.write.mode("append").partitionBy("next").parquet(self.path)
+
+    def results(self, schema: str) -> DataFrame:
+        return self.spark.read.schema(schema).parquet(f"{self.path}/next={RESULT}")
+
+
+def dealt_out(dealt: DataFrame, at: str, schema: str, seen: DataFrame | None = None):
+    """(read, {block: rows}): read(b) is block b of dealt, from its own folder, with next: the next block of its entity, or NONE.
+    seen: entity, block and next of all blocks, if there are more of them than in dealt."""
     spark = dealt.sparkSession
-    seen = dealt.select("entity", "block").distinct().withColumn("next", F.lead("block", default=NONE).over(Window.partitionBy("entity").orderBy("block")))
+    if seen is None:
+        seen = dealt.select("entity", "block").distinct().withColumn("next", F.lead("block", default=NONE).over(Window.partitionBy("entity").orderBy("block")))
     rows = dealt.join(seen, ["entity", "block"])
     sizes = {r["block"]: r["count"] for r in dealt.groupBy("block").count().collect()}
     parts = max(1, min(len(sizes) * PARTS, int(spark.conf.get("spark.sql.shuffle.partitions"))))
@@ -129,6 +260,24 @@ def state_of(spark, path: str, b: int, written: set[int], schema: str) -> DataFr
     return spark.read.schema(schema).parquet(f"{path}/next={b}") if b in written else spark.createDataFrame([], schema)
 
 
+def by_next(following: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """(next block, places) of the entities that a later block reads."""
+    order = np.argsort(following, kind="stable")
+    for part in np.split(order, np.flatnonzero(np.diff(following[order])) + 1) if len(order) else []:
+        if following[part[0]] != NONE:
+            yield int(following[part[0]]), part
+
+
+LEFT = "what int, key long, a binary, b binary, c binary"
+
+
+def batch_of(rows: Sequence[tuple], schema: str) -> pa.RecordBatch:
+    """Packed rows of schema and next."""
+    kinds = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
+    fields = [f.split(" ") for f in f"{schema}, next int".split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kinds[k]) for i, (_, k) in enumerate(fields)], [n for n, _ in fields])
+
+
 def ratings_by_day(rows: DataFrame, rule: Elo | Glicko, *, day: str, event: str, entity: str, rank: str, block_rows: int | None = None) -> DataFrame:
     """entity, day, and for each part of the rule's state before_x and x: the values before and after each day that an
     entity takes part in.
@@ -138,49 +287,58 @@ def ratings_by_day(rows: DataFrame, rule: Elo | Glicko, *, day: str, event: str,
     """
     most = block_rows or BLOCK_ROWS
     spark, names = rows.sparkSession, list(rule.state)
-    rows = rows.filter(F.col(rank).isNotNull()).select(F.col(day).cast("long").alias("day"), F.col(event).cast("long").alias("event"), F.col(entity).cast("long").alias("entity"), F.col(rank).cast("double").alias("rank"))
+    alone = F.lit(-(2**62)) + F.monotonically_increasing_id()  # a row without an event is one by itself
+    rows = rows.filter(F.col(rank).isNotNull() & F.col(entity).isNotNull() & F.col(day).isNotNull())
+    rows = rows.select(F.col(day).cast("long").alias("day"), F.coalesce(F.col(event).cast("long"), alone).alias("event"), F.col(entity).cast("long").alias("entity"), F.col(rank).cast("double").alias("rank"))
+    rows = written(rows, "rating-rows")
     blocks: list[tuple[int, int]] = []
-    number = held = 0
+    counts, number, held = {}, 0, 0
     for r in rows.groupBy("day").count().orderBy("day").collect():  # one row a day
         if held and held + r["count"] > most:
             number, held = number + 1, 0
         held += r["count"]
+        counts[r["day"]] = r["count"]
         blocks.append((r["day"], number))
-    at, path = new_path(spark, "rating-rows"), new_path(spark, "ratings")
-    dealt = rows.join(F.broadcast(spark.createDataFrame(blocks, "day long, block int")), "day")
-    read, sizes = dealt_out(dealt, at, "day long, event long, entity long, rank double")
-    fields_out = ", ".join([f"before_{c} double, {c} double" for c in names])
-    schema = f"entity long, day long, {fields_out}, next int"
-
-    def run(t: pa.Table) -> pa.Table:
-        """A block's days one after the other. Columns: day, event, entity, rank, since (day of the entity's state) and the state."""
-        t = t.sort_by([("day", "ascending"), ("event", "ascending"), ("entity", "ascending")])
-        days, events, entities, ranks = _columns(t, ["day", "event", "entity", "rank"])
-        who, code = np.unique(entities, return_inverse=True)
+    columns = ["entity", "event", "rank"]
+    deal = Deal(rows, counts, blocks, most, new_path(spark, "ratings"), "day long, event long, entity long, rank double", columns, ["event", "entity"])
+    shown = [x for c in names for x in (f"before_{c}", c)]
+    result = [("a", ["entity"], "long"), ("b", shown, "double")]
+
+    def left_by(who: np.ndarray, since: np.ndarray, state: dict, following: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for b, at in by_next(following):
+            yield batch_of([(HELD, 0, who[at].tobytes(), since[at].tobytes(), np.concatenate([state[c][at] for c in names]).tobytes(), b)], LEFT)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A block's days one after the other."""
+        days, states, who, following = [], [], np.zeros(0, np.int64), np.zeros(0, np.int64)
+        for batch in batches:
+            for what, key, *blobs in zip(*[batch.column(c) for c in ("what", "key", "a", "b", "c")], strict=True):
+                if what.as_py() == DAY:
+                    days.append((key.as_py(), blobs))
+                elif what.as_py() == WHO:
+                    who, following = wide(blobs[0], kind=np.int64)[0], wide(blobs[1], kind=np.int64)[0]
+                else:
+                    states.append(blobs)
         state = {c: np.full(len(who), v) for c, v in rule.state.items()}
         since = np.full(len(who), np.iinfo(np.int64).min)
-        known = t.column("since").is_valid().to_numpy(zero_copy_only=False)
-        since[code[known]] = t.column("since").to_numpy(zero_copy_only=False)[known].astype(np.int64)
-        for c in names:
-            state[c][code[known]] = t.column(c).to_numpy(zero_copy_only=False)[known]
-        cut = np.flatnonzero(np.r_[True, days[1:] != days[:-1]])
-        out: list[list[np.ndarray]] = []
-        for a, b in zip(cut.tolist(), [*cut[1:].tolist(), len(days)], strict=True):
-            here, inside = np.unique(code[a:b], return_inverse=True)
-            gap = np.where(since[here] == np.iinfo(np.int64).min, 0, days[a] - since[here])
+        for a, b, c in states:
+            at = np.searchsorted(who, wide(a, kind=np.int64)[0])
+            since[at] = wide(b, kind=np.int64)[0]
+            for n, x in zip(names, wide(c, len(names)), strict=True):
+                state[n][at] = x
+        for d, (a, b, c) in sorted(days, key=lambda x: x[0]):
+            entities, inside = np.unique(wide(a, kind=np.int64)[0], return_inverse=True)
+            events, ranks, here = wide(b, kind=np.int64)[0], wide(c)[0], np.searchsorted(who, entities)
+            gap = np.where(since[here] == np.iinfo(np.int64).min, 0, d - since[here])
             before = rule.grown({c: state[c][here] for c in names}, gap.astype(float))
-            starts, sizes = _events(days[a:b], events[a:b])
-            moves = rule.moves({c: v[inside] for c, v in before.items()}, ranks[a:b], starts, sizes)
+            starts, sizes = _events(np.zeros(len(events), bool), events)
+            moves = rule.moves({c: v[inside] for c, v in before.items()}, ranks, starts, sizes)
             after = rule.after(before, {c: np.bincount(inside, v, len(here)) for c, v in moves.items()})
             for c in names:
                 state[c][here] = after[c]
-            since[here] = days[a]
-            out.append([here, np.full(len(here), days[a]), *[x for c in names for x in (before[c], after[c])]])
-        flat = [np.concatenate(x) for x in zip(*out, strict=True)]
-        following = np.full(len(who), NONE, np.int32)
-        following[code] = t.column("next").to_numpy()
-        further = np.where(flat[1] == since[flat[0]], following[flat[0]], NONE)
-        return pa.table([who[flat[0]], *flat[1:], pa.array(further, pa.int32())], names=["entity", "day", *[x for c in names for x in (f"before_{c}", c)], "next"])
+            since[here] = d
+            yield batch_of([(DAY, d, entities.tobytes(), np.concatenate([x for c in names for x in (before[c], after[c])]).tobytes(), None, RESULT)], LEFT)
+        yield from left_by(who, since, state, following)
 
     def contribute(t: pa.Table) -> pa.Table:
         """Moves of some events of one day."""
@@ -192,9 +350,12 @@ def ratings_by_day(rows: DataFrame, rule: Elo | Glicko, *, day: str, event: str,
 
     def close(batches):
         for batch in batches:
+            if not batch.num_rows:
+                continue
             before, sums = ({c: batch.column(c).to_numpy() for c in cols} for cols in (names, rule.parts))
-            after = rule.after(before, sums)
-            yield pa.RecordBatch.from_arrays([batch.column("entity"), batch.column("day"), *[pa.array(x) for c in names for x in (before[c], after[c])], batch.column("next")], ["entity", "day", *[x for c in names for x in (f"before_{c}", c)], "next"])
+            after, who, d = rule.after(before, sums), batch.column("entity").to_numpy(), batch.column("day").to_numpy()
+            yield batch_of([(DAY, int(d[0]), who.tobytes(), np.concatenate([x for c in names for x in (before[c], after[c])]).tobytes(), None, RESULT)], LEFT)
+            yield from left_by(who, d, after, batch.column("next").to_numpy())
 
     def grow(batches):
         for batch in batches:
@@ -203,21 +364,21 @@ def ratings_by_day(rows: DataFrame, rule: Elo | Glicko, *, day: str, event: str,
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in ("day", "event", "entity", "rank", "since", "next")], *[pa.array(grown[c]) for c in names]], ["day", "event", "entity", "rank", "since", "next", *names])
 
     state_fields = ", ".join(f"{c} double" for c in names)
-    left: set[int] = set()
-    for b in sorted(sizes):
-        state = state_of(spark, path, b, left, f"entity long, day long, {state_fields}").withColumnRenamed("day", "since")
-        now = read(b).join(state, "entity", "left").select("day", "event", "entity", "rank", "since", "next", *names)
-        if sizes[b] <= most:
-            made = now.withColumn("group", F.lit(b)).groupBy("group").applyInArrow(run, schema)
-        else:  # one day: its events are independent of each other
-            now = now.select("day", "event", "entity", "rank", F.coalesce("since", "day").alias("since"), "next", *[F.coalesce(c, F.lit(v)).alias(c) for c, v in rule.state.items()])
-            now = now.mapInArrow(grow, f"day long, event long, entity long, rank double, since long, next int, {state_fields}")
-            parts = F.lit(max(1, sizes[b] * 8 // most))
-            moves = now.groupBy(F.pmod(F.xxhash64("event"), parts)).applyInArrow(contribute, "entity long, " + ", ".join(f"{c} double" for c in rule.parts))
-            sums = moves.groupBy("entity").agg(*[F.sum(c).alias(c) for c in rule.parts])
-            made = now.groupBy("entity").agg(F.first("day").alias("day"), F.first("next").alias("next"), *[F.first(c).alias(c) for c in names]).join(sums, "entity").mapInArrow(close, schema)
-        made.write.mode("append").partitionBy("next").parquet(path)
-        left.update(r[0] for r in read(b).select("next").distinct().collect())  # blocks, not entities
-    if not sizes:
-        return spark.createDataFrame([], schema).drop("next")
-    return spark.read.schema(schema).parquet(path).drop("next")
+    for b in sorted(deal.sizes):
+        if b not in deal.large:
+            deal.left(deal.all(b, LEFT).mapInArrow(run, f"{LEFT}, next int"))
+            continue
+        # one day: its events are independent of each other
+        state = unpacked(deal.state(b, LEFT), [("a", ["entity"], "long"), ("b", ["since"], "long"), ("c", names, "double")])
+        now = deal.rows(b).join(state, "entity", "left")
+        now = now.select("day", "event", "entity", "rank", F.coalesce("since", "day").alias("since"), "next", *[F.coalesce(c, F.lit(v)).alias(c) for c, v in rule.state.items()])
+        now = now.mapInArrow(grow, f"day long, event long, entity long, rank double, since long, next int, {state_fields}")
+        parts = F.lit(max(1, deal.sizes[b] * 8 // most))
+        moves = now.groupBy(F.pmod(F.xxhash64("event"), parts)).applyInArrow(contribute, "entity long, " + ", ".join(f"{c} double" for c in rule.parts))
+        sums = moves.groupBy("entity").agg(*[F.sum(c).alias(c) for c in rule.parts])
+        made = now.groupBy("entity").agg(F.first("day").alias("day"), F.first("next").alias("next"), *[F.first(c).alias(c) for c in names]).join(sums, "entity")
+        deal.left(made.mapInArrow(close, f"{LEFT}, next int"))
+    if not deal.sizes:
+        return spark.createDataFrame([], f"entity long, day long, {', '.join(f'{c} double' for c in shown)}")
+    out = unpacked(deal.results(LEFT).withColumnRenamed("key", "day"), result, "day")
+    return out.select("entity", "day", *shown)
