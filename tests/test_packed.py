@@ -1,11 +1,12 @@
 """Packed days: rows are computed once, arrays come back as they were, lines are dealt out twice; odd parts against SQL."""
 
 import random
+import statistics
 
 import duckdb
 import pytest
 
-from tidemark.operators import daily
+from tidemark.operators import daily, form
 from tidemark.plans import demo
 
 SF = "/root/testdata/sf0.001"
@@ -66,3 +67,18 @@ def test_parts_that_are_missing_or_twice(spark, tmp_path):
     want = con.execute(demo.with_pt(f"SELECT {names} FROM pt")).fetchall()
     got = [tuple(r) for r in demo.participations(spark, str(tmp_path)).select(*names.split(", ")).collect()]
     assert len(got) == len(want) > 0 and sorted(map(str, got)) == sorted(map(str, want))
+
+
+def test_form_computes_its_rows_once(spark):
+    r, seen = random.Random(2), spark.sparkContext.accumulator(0)
+    rows = [(d * 10 + e, no, r.randint(1, 9), r.choice(["a", "b", None]), r.choice([None, 1.0, 5.0, 9.0]), d, d // 10) for d in range(20) for e in range(2) for no in range(5)]
+    df = counted(spark.createDataFrame(rows, "event long, no int, who int, kind string, v double, d int, y int"), seen)
+    out = form.form_by_day(df, day="d", year="y", event="event", no="no", entity="who", kind="kind", value="v")
+    assert out.count() == len(rows) == seen.value
+
+
+@pytest.mark.parametrize("values", [[], [None, 2.0], [float(i * 7 % 1000) for i in range(1001)], [3.0] * 600 + [4.0] * 600, [1.0] * 5 + [float(i) for i in range(9)]])
+def test_median_between_approximate_quantiles(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    known = [v for v in values if v is not None]
+    assert form.median(df, "x", 50) == (statistics.median(known) if known else None)

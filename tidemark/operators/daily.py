@@ -206,8 +206,8 @@ class Deal:
             return
         known = slices(blocks, counts, most)
         dealt = rows.join(F.broadcast(self.spark.createDataFrame(known, "day long, block int, slice int")), "day")
-        seen = dealt.groupBy("entity").agg(F.sort_array(F.collect_set("block")).alias("blocks")).select("entity", "blocks", F.posexplode("blocks").alias("i", "block"))
-        seen = written(seen.select("entity", "block", F.coalesce(F.get("blocks", F.col("i") + 1), F.lit(NONE)).alias("next")), "seen")
+        seen = dealt.select("entity", "block").distinct().withColumn("next", F.lead("block", default=NONE).over(Window.partitionBy("entity").orderBy("block")))
+        seen = written(seen, "seen")
         self.read_later = {r[0] for r in seen.select("next").distinct().collect()}  # blocks, not entities
         small = ~F.col("block").isin(*self.large) if self.large else F.lit(True)
         limit = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
@@ -222,8 +222,8 @@ class Deal:
         """What earlier blocks left for block b."""
         return self.spark.read.schema(schema).parquet(f"{self.path}/next={b}") if b in self.read_later else self.spark.createDataFrame([], schema)
 
-    def all(self, b: int, schema: str) -> DataFrame:
-        """Packed rows of block b in one partition: what, key and the blobs that schema names."""
+    def all(self, b: int, schema: str, more: DataFrame | None = None) -> DataFrame:
+        """Packed rows of block b, and more of them, in one partition: what, key and the blobs that schema names."""
         names = [f.split(" ")[0] for f in schema.split(", ")][2:]
 
         def named(path: str, what: int, key: str, blobs: Sequence[str]) -> DataFrame:
@@ -232,14 +232,16 @@ class Deal:
             return df.select(F.lit(what).alias("what"), (F.col(key) if key else F.lit(None).cast("long")).alias("key"), *[F.col(have[n]).alias(n) if n in have else F.lit(None).cast("binary").alias(n) for n in names])
 
         out = named("days", DAY, "day", self.columns).unionByName(named("who", WHO, "", ["entity", "next"]))
-        return (out.unionByName(self.state(b, schema)) if b in self.read_later else out).coalesce(1)
+        for other in ([self.state(b, schema)] if b in self.read_later else []) + ([more] if more is not None else []):
+            out = out.unionByName(other)
+        return out.coalesce(1)
 
     def left(self, made: DataFrame) -> None:
         """Writes what a block leaves: packed rows with next, the block that reads them, or RESULT."""
         made.write.mode("append").partitionBy("next").parquet(self.path)
 
-    def results(self, schema: str) -> DataFrame:
-        return self.spark.read.schema(schema).parquet(f"{self.path}/next={RESULT}")
+    def results(self, schema: str, which: int = RESULT) -> DataFrame:
+        return self.spark.read.schema(schema).parquet(f"{self.path}/next={which}")
 
 
 def dealt_out(dealt: DataFrame, at: str, schema: str, seen: DataFrame | None = None):
@@ -255,11 +257,6 @@ def dealt_out(dealt: DataFrame, at: str, schema: str, seen: DataFrame | None = N
     return lambda b: spark.read.schema(f"{schema}, next int").parquet(f"{at}/block={b}"), sizes
 
 
-def state_of(spark, path: str, b: int, written: set[int], schema: str) -> DataFrame:
-    """What earlier blocks left for block b."""
-    return spark.read.schema(schema).parquet(f"{path}/next={b}") if b in written else spark.createDataFrame([], schema)
-
-
 def by_next(following: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     """(next block, places) of the entities that a later block reads."""
     order = np.argsort(following, kind="stable")
