@@ -1,10 +1,14 @@
 """Order statistics of a moving window of days, without joining rows to their windows.
 
-A key's time line is cut into blocks as long as the window. Each fact goes to its own block and to the next one, each
-probe to its own, so that a block holds all that its probes' windows reach, at most twice the facts in all, and a key
-with many rows is split by time. Within a block rows come in the order of days and one sorted list is kept up to date.
-Equal values of a key and day are one row with their number from the start, so that what is moved, sorted and held grows
-with the different values of a day and not with its rows.
+The time line of a key with more than `small` different facts is cut into blocks as long as the window. Each fact goes to its
+own block and to the next one, each probe to its own, so that a block holds all that its probes' windows reach, at most twice
+the facts in all, and a key with many rows is split by time. Equal values of a key and day are one row with their number from
+the start, so that what is moved, sorted and held grows with the different values of a day and not with its rows.
+
+Within a block rows come in the order of days. A window is a run of them, and many windows are answered at once: places of
+values are halved bit by bit, and counts of each half up to each row tell how many of a run lie in it (`by_rank`, `below`), in
+some 20 steps of whole arrays for all probes instead of a step for each value that comes or goes. For a mode one sorted list
+is kept up to date.
 
 A block of more than `small` such rows is split by value too. Its cells lie between approximate quantiles of its own facts, and
 each of these is a cell by itself, so that a value that repeats without end is counted, not held. Counts by day and cell,
@@ -29,6 +33,8 @@ from pyspark.sql import functions as F
 from ..sources.io import written
 from .asof import null_safe
 
+#: Rows that are answered at once, unless a window alone holds more facts.
+CHUNK = 200_000
 #: Cells of a hot block at most, not counting the quantiles between them: a list holds 1 / MOST_CELLS of its facts.
 MOST_CELLS = 4096
 #: More values of a day than this are merged into the window's list at once.
@@ -138,24 +144,100 @@ class Window:
         return float(self.kinds[int(np.argmax(self.times))]), int(most)
 
 
-#: By window and the probe's own value.
-STATS = {
-    "median": lambda w, v: w.median(), "share_below": lambda w, v: w.share_below(v), "mode": lambda w, v: w.mode(),
-    "place": lambda w, v: w.place(v), "ranked": lambda w, v: w.ranked(int(v)),
-}
-#: These differ from probe to probe of a day.
-OWN = {"share_below", "place", "ranked"}
+STATS = {"median", "share_below", "mode", "place", "ranked"}
+
+
+def _halves(codes: np.ndarray, times: np.ndarray | None, bits: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """For each bit from the highest one, rows being stably sorted by the bits above it: the bit, and how many rows have no
+    such bit and how often they are there, up to each row. times: None if each is there once."""
+    for bit in reversed(range(bits)):
+        one = (codes >> bit & 1).astype(bool)
+        zero = ~one
+        zeros = np.r_[0, np.cumsum(zero)]
+        yield bit, zeros, zeros if times is None else np.r_[0, np.cumsum(np.where(zero, times, 0))]
+        codes = np.concatenate([codes[zero], codes[one]])
+        times = None if times is None else np.concatenate([times[zero], times[one]])
+
+
+def _into(lo: np.ndarray, hi: np.ndarray, up: np.ndarray, zeros: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where runs lie among the rows with the bit, if up, else without it."""
+    return tuple(np.where(up, zeros[-1] + at - zeros[at], zeros[at]) for at in (lo, hi))
+
+
+def by_rank(codes: np.ndarray, times: np.ndarray | None, bits: int, lo: np.ndarray, hi: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """For each run of rows lo to hi the code of a rank, from 0, each row counting times."""
+    found = np.zeros(len(lo), np.int64)
+    for bit, zeros, held in _halves(codes, times, bits):
+        here = held[hi] - held[lo]
+        up = rank >= here
+        rank = np.where(up, rank - here, rank)
+        found |= up.astype(np.int64) << bit
+        lo, hi = _into(lo, hi, up, zeros)
+    return found
+
+
+def below(codes: np.ndarray, times: np.ndarray | None, bits: int, lo: np.ndarray, hi: np.ndarray, code: np.ndarray) -> np.ndarray:
+    """For each run of rows lo to hi how many have a smaller code, each row counting times; bits hold code too."""
+    total = np.zeros(len(lo), np.int64)
+    for bit, zeros, held in _halves(codes, times, bits):
+        up = (code >> bit) & 1 == 1
+        total += np.where(up, held[hi] - held[lo], 0)
+        lo, hi = _into(lo, hi, up, zeros)
+    return total
+
+
+def answered(stat: str, days: int, facts: Sequence[np.ndarray], probes: Sequence[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """How many facts the probes' windows hold, and the statistic, NaN for none. facts: group, day, value and times; probes:
+    group, day and value; both sorted by group and day, groups being numbers from 0 in that order."""
+    group, day, value, times = facts
+    g, d, own = probes
+    if not len(group) or not len(g):
+        return np.zeros(len(g), np.int64), np.full(len(g), np.nan)
+    first = min(day.min(), d.min() - days)
+    span = int(max(day.max(), d.max()) - first) + 1
+    at = group * span + (day - first)
+    lo, hi = np.searchsorted(at, g * span + (d - days - first)), np.searchsorted(at, g * span + (d - first))
+    upto = np.r_[0, np.cumsum(times)]
+    n = upto[hi] - upto[lo]
+    # A row's code is its place among its group's values.
+    kinds, dense = np.unique(value, return_inverse=True)
+    place = group * (len(kinds) + 1) + dense
+    order = np.argsort(place, kind="stable")
+    starts = np.searchsorted(group, np.arange(max(group[-1], g[-1]) + 2))
+    codes = np.empty(len(group), np.int64)
+    codes[order] = np.arange(len(group)) - starts[group[order]]
+    bits = int(np.diff(starts).max()).bit_length()
+    times = None if len(times) == upto[-1] and times.min() == 1 else times
+    out, ask = np.full(len(g), np.nan), n > 0
+    if stat in ("median", "ranked"):
+        ask &= ~np.isnan(own) if stat == "ranked" else True
+        of = lambda who, rank: value[order][starts[g[who]] + by_rank(codes, times, bits, lo[who], hi[who], rank)]
+        who = np.flatnonzero(ask)
+        if stat == "ranked":
+            out[who] = of(who, own[who].astype(np.int64))
+        else:
+            low = of(who, (n[who] - 1) // 2)
+            high, even = low.copy(), n[who] % 2 == 0
+            high[even] = of(who[even], n[who[even]] // 2)
+            out[who] = (low + high) / 2
+        return n, out
+    who = np.flatnonzero(ask & ~np.isnan(own))
+    runs, base = (codes, times, bits, lo[who], hi[who]), g[who] * (len(kinds) + 1)
+    edges = [np.searchsorted(place[order], base + np.searchsorted(kinds, own[who], side)) - starts[g[who]] for side in ("left", "right")]
+    out[who] = sum(below(*runs, e) for e in edges) / 2
+    return n, out / np.maximum(n, 1) if stat == "share_below" else out
 
 
 def rolling(
     probes: DataFrame, facts: DataFrame, *, by: Sequence[str], day: str, value: str, days: int, stat: str = "median", at: str | None = None,
-    times: str | None = None, small: int = 1_000_000, cell_rows: int = 250_000,
+    times: str | None = None, counted: bool = False, small: int = 1_000_000, cell_rows: int = 250_000,
 ) -> DataFrame:
     """probes with window_n long and window double: the statistic of the facts of the key in [day - days, day - 1].
 
     stat: median, share_below (of the probe's own `value`) or mode (of numbers). at: the facts' day column, if it has
     another name. Facts without a value (null or NaN) are left out, a probe's NaN is a null; a window without facts has
-    window_n 0 and a null. Blocks of more than `small` different facts are split into cells of about `cell_rows` of them.
+    window_n 0 and a null. Keys of more than `small` different facts are cut into blocks, blocks of more into cells of about
+    `cell_rows` of them. counted: facts are written, and there are no two of a key, day and value.
     """
     names = probes.columns
     marks, keys = [f"p{i}" for i in range(len(names))], [f"k{i}" for i in range(len(by))]
@@ -163,12 +245,20 @@ def rolling(
     real = lambda c: F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias("v")
     own = real(value) if value in names else F.lit(None).cast("double").alias("v")
     block, on = F.floor(F.col("d") / days), [*keys, "block"]
-    asked = probes.select(*named, F.col(day).cast("long").alias("d"), own, *[F.col(c).alias(m) for c, m in zip(names, marks, strict=True)]).withColumn("block", block)
+    asked = probes.select(*named, F.col(day).cast("long").alias("d"), own, *[F.col(c).alias(m) for c, m in zip(names, marks, strict=True)])
     many = F.col(times).cast("long") if times else F.lit(1).cast("long")
     known = facts.select(*named, F.col(at or day).cast("long").alias("d"), real(value), many.alias("c")).filter("v IS NOT NULL")
-    known = written(known.groupBy(*keys, "d", "v").agg(F.sum("c").alias("c")), "facts")
-    both = F.explode(F.array(block, block + 1)).alias("block")
-    sizes = known.groupBy(*keys, block.alias("own")).agg(F.count("*").alias("n")).select(*keys, F.explode(F.array("own", F.col("own") + 1)).alias("block"), "n")
+    if not counted:
+        known = written(known.groupBy(*keys, "d", "v").agg(F.sum("c").alias("c")), "facts")
+    large = written(known.groupBy(*keys).agg(F.count("*").alias("n")).filter(F.col("n") > small).select(*keys, F.lit(True).alias("cut")), "large")
+    if not large.limit(1).count():
+        whole = F.lit(0).cast("long").alias("block")
+        out = _answers(asked.select("*", whole), known.select("*", whole), on, marks, days, stat)
+        return out.select(*[F.col(m).alias(c) for m, c in zip(marks, names, strict=True)], "window_n", "window")
+    asked, known = (null_safe(x, large, keys, "left").withColumn("block", F.when(F.col("cut"), block).otherwise(F.lit(0))) for x in (asked, known))
+    asked = asked.drop("cut")
+    both = F.explode(F.when(F.col("cut"), F.array("block", F.col("block") + 1)).otherwise(F.array("block"))).alias("block")
+    sizes = known.groupBy(*on, "cut").agg(F.count("*").alias("n")).filter("cut").select(*keys, F.explode(F.array("block", F.col("block") + 1)).alias("block"), "n")
     hot = written(sizes.groupBy(*on).agg(F.sum("n").alias("n")).filter(F.col("n") > small), "hot")
     known = known.select(*keys, both, "d", "v", "c")
     if not hot.limit(1).count():
@@ -247,7 +337,49 @@ def _answers(asked: DataFrame, known: DataFrame, keys: list[str], marks: list[st
     rows = asked.select(*keys, "d", F.lit(0).alias("side"), "v", F.lit(0).cast("long").alias("c"), *marks).unionByName(known.select(*keys, "d", F.lit(1).alias("side"), "v", "c", *blank))
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = rows.repartition(parts, *keys).sortWithinPartitions(*keys, "d", "side")
-    of, single, twin = STATS[stat], stat not in OWN, stat == "mode"
+    assert stat in STATS, stat
+    twin = stat == "mode"
+
+    def at_once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows wait until there are CHUNK of them, and as many as facts are held for the windows that go on."""
+        facts, probes, shown, last, number, waiting, held = [], [], [], None, 0, 0, 0
+
+        def flushed() -> Iterator[pa.RecordBatch]:
+            nonlocal facts, probes, shown, number, waiting, held
+            known, wanted = ([np.concatenate(x) for x in zip(*rows, strict=True)] if rows else [np.zeros(0, np.int64)] * k for rows, k in ((facts, 4), (probes, 3)))
+            n, found = answered(stat, days, known, wanted)
+            start = 0
+            for columns in shown:
+                stop = start + len(columns[0])
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(n[start:stop], pa.int64()), pa.array(found[start:stop], pa.float64(), from_pandas=True)], [*marks, "window_n", "window"])
+                start = stop
+            go_on = (known[0] == number) & (known[1] >= newest - days)
+            facts, probes, shown, number, waiting = [[np.zeros(int(go_on.sum()), np.int64), *[x[go_on] for x in known[1:]]]], [], [], 0, 0
+            held = len(facts[0][0])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            places = [batch.column(c) for c in keys]
+            codes = [pc.fill_null(c.dictionary_encode().indices, -1).to_numpy(zero_copy_only=False) for c in places]
+            new_key = np.zeros(batch.num_rows, bool)
+            for code in codes:
+                new_key[1:] |= code[1:] != code[:-1]
+            new_key[0] = last is not None and tuple(place[0].as_py() for place in places) != last
+            last = tuple(place[batch.num_rows - 1].as_py() for place in places)
+            group = number + np.cumsum(new_key)
+            number, fact = int(group[-1]), batch.column("side").to_numpy() == 1
+            d, v, c = (batch.column(x).to_numpy(zero_copy_only=False) for x in ("d", "v", "c"))
+            v, newest = v.astype(float), int(d[-1])
+            facts.append([x[fact] for x in (group, d, v, c)])
+            probes.append([x[~fact] for x in (group, d, v)])
+            asking = batch.filter(pa.array(~fact))
+            shown.append([asking.column(m) for m in marks])
+            waiting += batch.num_rows
+            if waiting >= max(CHUNK, held):
+                yield from flushed()
+        if waiting:
+            yield from flushed()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         window, last = Window(days), None
@@ -277,13 +409,12 @@ def _answers(asked: DataFrame, known: DataFrame, keys: list[str], marks: list[st
                 else:
                     window.move(int(d[x]))
                     counts += [window.n] * (y - x)
-                    found += [of(window, None)] * (y - x) if single else [of(window, u) for u in v[x:y]]
+                    found += [window.mode()] * (y - x)
             last = tuple(place[n - 1].as_py() for place in places)
             probes_here = batch.filter(pa.array(side == 0))
             kept = [probes_here.column(m) for m in marks]
-            more = [pa.array([r for _, r in found], pa.int64())] if twin else []
-            shown = [m for m, _ in found] if twin else found
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(counts, pa.int64()), pa.array(shown, pa.float64()), *more], [*marks, "window_n", "window", *(["repeats"] if twin else [])])
+            modes, repeats = pa.array([m for m, _ in found], pa.float64()), pa.array([r for _, r in found], pa.int64())
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(counts, pa.int64()), modes, repeats], [*marks, "window_n", "window", "repeats"])
 
     fields = "".join(f"{m} {asked.schema[m].dataType.simpleString()}, " for m in marks)
-    return rows.mapInArrow(run, f"{fields}window_n long, window double" + (", repeats long" if twin else ""))
+    return rows.mapInArrow(run if twin else at_once, f"{fields}window_n long, window double" + (", repeats long" if twin else ""))
